@@ -1,10 +1,14 @@
 """Ranking, first-per-key and period-over-period operators.
 
 ``rank_within_key`` numbers the rows of each key in a total order.  A plain
-window puts every row of a key into one task, so keys holding more than
-``hot_threshold`` rows are numbered differently: their rows are range-partitioned
-on (key, order) across many tasks, numbered inside each task, and shifted by the
-counts of the earlier tasks (a small table: at most #hot keys + #partitions rows).
+window puts every row of a key into one task.  When the order starts with a
+uniformly spread hex hash (``spread``, e.g. an MD5 of the row), keys holding
+more than ``hot_threshold`` rows are cut into order-preserving hash ranges
+("salts"): each salt is numbered by its own window task and shifted by the row
+counts of the lower salts of its key.  The hot-key and salt tables hold at most
+2 * rows / hot_threshold entries, so they are broadcast.  Everything is
+deterministic (no partition ids), so recomputation after an executor loss gives
+the same numbers.
 """
 
 from __future__ import annotations
@@ -17,9 +21,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
 from .joins import null_safe_join
 
-# Keys above this many rows are split across tasks; bounds the hot-key table by
-# total_rows / HOT_KEY_ROWS.
-HOT_KEY_ROWS = 5_000_000
+# Keys above this many rows are split; also the target rows per salt.
+HOT_KEY_ROWS = 2_000_000
+_HEX8 = 4294967296  # 16 ** 8
 
 
 def _materialize(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]):
@@ -31,42 +35,41 @@ def _materialize(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Co
 
 
 def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
-                    name: str = "rank", hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``; order ascending, NULLs first.
-
-    ``order`` should make the order total inside each key, otherwise the numbering of
-    tied rows is arbitrary (as in SQL).  ``hot_threshold=None`` uses one window only.
+                    name: str = "rank", spread: ColumnOrName | None = None,
+                    hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY [spread,] order)``, ascending, NULLs first.
+
+    ``order`` should make the order total inside each key, otherwise tied rows are
+    numbered arbitrarily (as in SQL).  ``spread`` is a lower-case hex string (at
+    least 8 digits) that leads the order and lets hot keys be split; without it, or
+    with ``hot_threshold=None``, one plain window is used.
     """
-    base, kn, on = _materialize(df, keys, order)
+    full_order = ([spread] if spread is not None else []) + list(order)
+    base, kn, on = _materialize(df, keys, full_order)
     helpers = kn + on
-    if hot_threshold is None:
-        w = Window.partitionBy(*kn).orderBy(*[F.col(c).asc_nulls_first() for c in on])
+    sort = [F.col(c).asc_nulls_first() for c in on]
+    if spread is None or hot_threshold is None:
+        w = Window.partitionBy(*kn).orderBy(*sort)
         return base.withColumn(name, F.row_number().over(w)).drop(*helpers)
 
-    # 1. Key sizes (partial aggregation absorbs a hot key before the shuffle).
-    hot = (base.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > hot_threshold).select(*kn, F.lit(True).alias("__hot")))
-    # |hot| <= total_rows / hot_threshold: bounded, broadcast.
+    t = max(int(hot_threshold), 1)
+    # Hot keys with their number of salts; partial aggregation absorbs hot keys.
+    # At most rows / t keys qualify: a bounded table, broadcast.
+    hot = (base.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > t)
+           .select(*kn, F.ceil(F.col("__n") / F.lit(t)).cast("long").alias("__s")))
     tagged = null_safe_join(base, F.broadcast(hot), kn, "left")
-    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = tagged.filter(F.col("__hot")).drop("__hot")
-
-    # 2. Ordinary keys: one window, groups bounded by hot_threshold rows.
-    w = Window.partitionBy(*kn).orderBy(*[F.col(c).asc_nulls_first() for c in on])
-    cold_ranked = cold.withColumn(name, F.row_number().over(w))
-
-    # 3. Hot keys: global range sort, positions inside each task, then offsets.
-    sort_cols = [F.col(c).asc_nulls_first() for c in kn + on]
-    s = (hot_rows.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-         .withColumn("__gid", F.monotonically_increasing_id())
-         .withColumn("__pid", F.spark_partition_id()))
-    seg = s.groupBy("__pid", *kn).agg(F.min("__gid").alias("__g0"), F.count(F.lit(1)).alias("__c"))
-    seg = seg.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__pid")) - F.col("__c"))
-    # seg has at most (#hot keys + #partitions) rows.
-    hot_ranked = (null_safe_join(s, F.broadcast(seg.drop("__c")), ["__pid", *kn], "inner")
-                  .withColumn(name, (F.col("__gid") - F.col("__g0") + F.col("__off") + 1).cast("int"))
-                  .drop("__gid", "__pid", "__g0", "__off"))
-    return cold_ranked.unionByName(hot_ranked).drop(*helpers)
+    h8 = F.conv(F.substring(F.col(on[0]), 1, 8), 16, 10).cast("long")
+    tagged = tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
+                               .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
+    local = tagged.withColumn("__r", F.row_number().over(Window.partitionBy(*kn, "__salt").orderBy(*sort)))
+    # Rows per (hot key, salt) and the rows of the lower salts: <= 2 * rows / t entries.
+    counts = (tagged.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt")
+              .agg(F.count(F.lit(1)).alias("__c")))
+    counts = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt"))
+                               - F.col("__c")).drop("__c")
+    out = null_safe_join(local, F.broadcast(counts), kn + ["__salt"], "left")
+    out = out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
+    return out.drop(*helpers, "__s", "__salt", "__r", "__off")
 
 
 def keep_first_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]) -> DataFrame:

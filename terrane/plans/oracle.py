@@ -37,6 +37,7 @@ CLEAN = (
 RANKED = (
     "SELECT *, row_number() OVER (PARTITION BY no_disposition, identifiant_document, "
     "COALESCE(type_local, ''), COALESCE(CAST(surface_reelle_bati AS VARCHAR), '') ORDER BY "
+    "md5(concat_ws('|', " + ", ".join(f"raw_{c}" for c in SRC) + ")), "
     + ", ".join(f"raw_{c} ASC NULLS FIRST" for c in SRC) + ") AS lot_rank FROM cleaned"
 )
 

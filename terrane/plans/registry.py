@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import oracle
+from . import oracle, step_queries
 from .queries import QUERIES as _DATASET_QUERIES
 
-QUERIES = dict(_DATASET_QUERIES)
+QUERIES = {}
+QUERIES.update(step_queries.QUERIES)
+QUERIES.update(_DATASET_QUERIES)
 
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL.update(step_queries.SQL)
 ORACLE_SQL["silver_build"] = oracle.with_ctes("SELECT * FROM silver")
 ORACLE_SQL.update(oracle.GOLD)
 ORACLE_SQL.update(oracle.STAR)

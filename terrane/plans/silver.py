@@ -59,6 +59,11 @@ def rank_order() -> list[Column]:
     return [F.col(RAW_PREFIX + n) for n in SRC_COLUMNS]
 
 
+def rank_spread() -> Column:
+    """Leading sort key: MD5 of the raw row, uniform, so hot keys can be split."""
+    return F.md5(F.concat_ws("|", *rank_order()))
+
+
 def validity_rules() -> tuple[list, Column]:
     rules = min_price_min_surface_rules("valeur_fonciere", "surface_reelle_bati", D.VALIDITY_RULES)
     return rules, F.col("valeur_fonciere") >= F.lit(D.DEFAULT_MIN_PRICE)
@@ -89,9 +94,11 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     distinct = src.select(*SRC_COLUMNS).distinct()
     cleaned = clean_projection(distinct, date_formats)
     if first_only:
-        ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
+        ranked = keep_first_per_key(cleaned, rank_key(), [rank_spread()] + rank_order())
+        ranked = ranked.withColumn("lot_rank", F.lit(1))
     else:
-        ranked = rank_within_key(cleaned, rank_key(), rank_order(), "lot_rank", hot_threshold)
+        ranked = rank_within_key(cleaned, rank_key(), rank_order(), "lot_rank", spread=rank_spread(),
+                                 hot_threshold=hot_threshold)
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
     valid = validate_by_category(valid, "type_local", rules, default)
