@@ -172,3 +172,62 @@ RANK_KEYS = ["no_disposition", "identifiant_document", "type_local", "surface_re
 def bronze_schema() -> StructType:
     """All-string raw schema bound by name."""
     return StructType([StructField(c, StringType(), True) for c in BRONZE_COLUMNS])
+
+
+# ---------------------------------------------------------------------------
+# Declared data tests: (table, column, test, severity, where).
+# ---------------------------------------------------------------------------
+DATA_TESTS = [
+    ("silver_mutation_f", "mutation_id", "unique", "error", None),
+    ("silver_mutation_f", "mutation_id", "not_null", "error", None),
+    ("silver_mutation_f", "valeur_fonciere", "not_null", "warn", None),
+    ("silver_mutation_f", "prix_metre_carre", "not_null", "warn", "surface_reelle_bati > 0"),
+    ("prix_moyen_commune", "commune", "not_null", "error", None),
+    ("prix_moyen_commune", "type_local", "not_null", "warn", None),
+    ("prix_moyen_commune", "prix_moyen", "not_null", "error", None),
+    ("prix_m2_commune", "commune", "not_null", "error", None),
+    ("prix_m2_commune", "prix_m2_moyen", "not_null", "error", None),
+    ("volume_mensuel", "mois", "not_null", "error", None),
+    ("volume_mensuel", "nb_transactions", "not_null", "error", None),
+    ("top_communes", "commune", "not_null", "error", None),
+    ("top_communes", "prix_moyen", "not_null", "error", None),
+    ("gold_kpis", "total_transactions", "not_null", "error", None),
+    ("gold_kpis", "prix_moyen_france", "not_null", "error", None),
+    ("gold_kpis", "volume_financier_total", "not_null", "error", None),
+    ("prix_par_departement", "code_departement", "not_null", "error", None),
+    ("prix_par_departement", "nb_transactions", "not_null", "error", None),
+    ("prix_par_departement", "prix_moyen", "not_null", "error", None),
+    ("evolution_annuelle", "annee", "not_null", "error", None),
+    ("evolution_annuelle", "nb_transactions", "not_null", "error", None),
+    ("evolution_annuelle", "prix_moyen", "not_null", "error", None),
+    ("dim_date", "date_key", "unique", "error", None),
+    ("dim_date", "date_key", "not_null", "error", None),
+    ("dim_date", "date_complete", "unique", "error", None),
+    ("dim_date", "date_complete", "not_null", "error", None),
+    ("dim_date", "annee", "not_null", "error", None),
+    ("dim_geography", "geo_key", "unique", "error", None),
+    ("dim_geography", "geo_key", "not_null", "error", None),
+    ("dim_geography", "commune", "not_null", "error", None),
+    ("dim_geography", "code_departement", "not_null", "error", None),
+    ("dim_geography", "region", "not_null", "error", None),
+    ("dim_type_bien", "type_bien_key", "unique", "error", None),
+    ("dim_type_bien", "type_bien_key", "not_null", "error", None),
+    ("dim_type_bien", "categorie", "not_null", "error", None),
+    ("dim_nature_mutation", "nature_key", "unique", "error", None),
+    ("dim_nature_mutation", "nature_key", "not_null", "error", None),
+    ("dim_nature_mutation", "famille", "not_null", "error", None),
+    ("fact_mutations", "mutation_id", "unique", "error", None),
+    ("fact_mutations", "mutation_id", "not_null", "error", None),
+    ("fact_mutations", "date_key", "not_null", "error", None),
+    ("fact_mutations", "geo_key", "not_null", "error", None),
+    ("fact_mutations", "type_bien_key", "not_null", "error", None),
+    ("fact_mutations", "nature_key", "not_null", "error", None),
+]
+
+# Our addition: foreign keys of the fact (orphans are reported, severity warn).
+RELATIONSHIP_TESTS = [
+    ("fact_mutations", "date_key", "dim_date", "date_key"),
+    ("fact_mutations", "geo_key", "dim_geography", "geo_key"),
+    ("fact_mutations", "type_bien_key", "dim_type_bien", "type_bien_key"),
+    ("fact_mutations", "nature_key", "dim_nature_mutation", "nature_key"),
+]
