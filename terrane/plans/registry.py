@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ops_queries, oracle, step_queries
+from . import ops_queries, oracle, source_queries, step_queries
 from .queries import QUERIES as _DATASET_QUERIES
 
 QUERIES = {}
 QUERIES.update(step_queries.QUERIES)
 QUERIES.update(_DATASET_QUERIES)
 QUERIES.update(ops_queries.QUERIES)
+QUERIES.update(source_queries.QUERIES)
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(step_queries.SQL)
@@ -16,3 +17,4 @@ ORACLE_SQL["silver_build"] = oracle.with_ctes("SELECT * FROM silver")
 ORACLE_SQL.update(oracle.GOLD)
 ORACLE_SQL.update(oracle.STAR)
 ORACLE_SQL.update(ops_queries.SQL)
+ORACLE_SQL.update(source_queries.SQL)
