@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
@@ -72,6 +72,56 @@ def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     return out.drop(*helpers, "__s", "__salt", "__r", "__off")
 
 
+def row_code(cols: Sequence[ColumnOrName]) -> Column:
+    """Injective text encoding of a row: each field as ``<length>:<value>``, NULL as ``-``."""
+    parts = [F.coalesce(F.concat(F.length(col(c)).cast("string"), F.lit(":"), col(c).cast("string")), F.lit("-"))
+             for c in cols]
+    return F.concat_ws("|", *parts)
+
+
+def rank_distinct_rows(df: DataFrame, keys: Sequence[ColumnOrName], code: ColumnOrName, name: str = "rank",
+                       hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """``SELECT DISTINCT`` then ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY md5(code), code)``.
+
+    ``code`` must encode the row injectively (``row_code``): identical rows have
+    identical codes, so after one shuffle on the key they are adjacent in the sort;
+    the first of each run is kept and numbered with ``dense_rank``.  No separate
+    DISTINCT shuffle is needed.  Keys with more than ``hot_threshold`` raw rows are
+    split into hash-range salts as in ``rank_within_key`` (salt sizes counted as
+    distinct codes).
+    """
+    kn = [f"__k{i}" for i in range(len(keys))]
+    base = df.select("*", *[col(k).alias(n) for k, n in zip(keys, kn)], col(code).alias("__code"))
+    base = base.withColumn("__h", F.md5(F.col("__code")))
+    order = [F.col("__h").asc(), F.col("__code").asc()]
+    if hot_threshold is None:
+        salted = base.withColumn("__salt", F.lit(0).cast("long")).withColumn("__s", F.lit(None).cast("long"))
+    else:
+        t = max(int(hot_threshold), 1)
+        # Raw row counts bound the distinct counts: enough to find the hot keys.
+        hot = (df.select(*[col(k).alias(n) for k, n in zip(keys, kn)]).groupBy(*kn)
+               .agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > t)
+               .select(*kn, F.ceil(F.col("__n") / F.lit(t)).cast("long").alias("__s")))
+        salted = null_safe_join(base, F.broadcast(hot), kn, "left")  # <= rows / t entries
+        h8 = F.conv(F.substring(F.col("__h"), 1, 8), 16, 10).cast("long")
+        salted = salted.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
+                                   .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
+    w = Window.partitionBy(*kn, "__salt").orderBy(*order)
+    ranked = (salted.withColumn("__r", F.dense_rank().over(w))
+              .withColumn("__dup", F.coalesce(F.lag("__code", 1).over(w) == F.col("__code"), F.lit(False)))
+              .filter(~F.col("__dup")))
+    if hot_threshold is None:
+        out = ranked.withColumn(name, F.col("__r").cast("int"))
+    else:
+        counts = (salted.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt")
+                  .agg(F.count_distinct("__code").alias("__c")))
+        counts = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt"))
+                                   - F.col("__c")).drop("__c")
+        out = null_safe_join(ranked, F.broadcast(counts), kn + ["__salt"], "left")
+        out = out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
+    return out.drop(*kn, "__code", "__h", "__s", "__salt", "__r", "__dup", "__off")
+
+
 def keep_first_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]) -> DataFrame:
     """The first row of each key in ``order`` (ascending, NULLs first).
 

@@ -30,15 +30,14 @@ CLEAN = (
     + PARSE_DEC.format(c="surface_reelle_bati") + " AS surface_reelle_bati, "
     "nombre_pieces_principales, "
     "TRY_CAST(" + PARSE_DEC.format(c="surface_terrain") + " AS INTEGER) AS surface_terrain, "
-    + ", ".join(f"{c} AS raw_{c}" for c in SRC)
-    + " FROM (SELECT DISTINCT * FROM staging) d"
+    + "concat_ws('|', " + ", ".join(f"COALESCE(CAST(length({c}) AS VARCHAR) || ':' || {c}, '-')" for c in SRC)
+    + ") AS raw_code FROM (SELECT DISTINCT * FROM staging) d"
 )
 
 RANKED = (
     "SELECT *, row_number() OVER (PARTITION BY no_disposition, identifiant_document, "
     "COALESCE(type_local, ''), COALESCE(CAST(surface_reelle_bati AS VARCHAR), '') ORDER BY "
-    "md5(concat_ws('|', " + ", ".join(f"raw_{c}" for c in SRC) + ")), "
-    + ", ".join(f"raw_{c} ASC NULLS FIRST" for c in SRC) + ") AS lot_rank FROM cleaned"
+    "md5(raw_code), raw_code) AS lot_rank FROM cleaned"
 )
 
 _rules = []

@@ -11,13 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import gold, silver, star
+from .catalog import materialized
 from .tables import TABLE_CALENDAR, bronze_from_tables, seed_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def bronze_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines derived from the tables, as a written table."""
+    return materialized(spark, "bronze", sf_dir, lambda: bronze_from_tables(spark, sf_dir))
+
+
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_rows(bronze_from_tables(spark, sf_dir))
+    """The silver table built from the raw lines, as a written table."""
+    return materialized(spark, "silver", sf_dir, lambda: silver.silver_rows(bronze_of(spark, sf_dir)))
 
 
 def calendar_of(spark: SparkSession) -> DataFrame:
@@ -29,7 +36,8 @@ def _gold(fn) -> Query:
 
 
 def q_silver_build(spark, sf_dir):
-    return silver_of(spark, sf_dir)
+    """The full silver build (distinct, clean, rank, validate, key) from the raw table."""
+    return silver.silver_rows(bronze_of(spark, sf_dir))
 
 
 def q_calendar_dim(spark, sf_dir):

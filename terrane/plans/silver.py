@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from .. import domain as D
 from ..functions.scalars import content_hash, parse_date, parse_decimal, parse_int, safe_ratio
 from ..operators.clean import min_price_min_surface_rules, positive_filter, rename, validate_by_category
-from ..operators.windows import HOT_KEY_ROWS, keep_first_per_key, rank_within_key
+from ..operators.windows import HOT_KEY_ROWS, keep_first_per_key, rank_distinct_rows, row_code
 
-RAW_PREFIX = "raw_"
+RAW_CODE = "raw_code"
 SRC_COLUMNS = list(D.RENAME_MAP.values())
 
 
@@ -25,8 +25,8 @@ def clean_projection(src: DataFrame, date_formats: Sequence[str] = D.DATE_FORMAT
                      scale: int = 0, keep_raw: bool = True) -> DataFrame:
     """Lower-case the text, parse numbers (decimal comma) and dates.
 
-    ``keep_raw`` carries the raw columns (``raw_*``) so the lot rank can use a total
-    order.
+    ``keep_raw`` adds ``raw_code``, an injective encoding of the raw row: it tells
+    distinct raw rows apart and gives the lot rank a total order.
     """
     c = F.col
     cleaned = [
@@ -43,25 +43,26 @@ def clean_projection(src: DataFrame, date_formats: Sequence[str] = D.DATE_FORMAT
         c("nombre_pieces_principales"),
         parse_int("surface_terrain").alias("surface_terrain"),
     ]
-    raw = [c(n).alias(RAW_PREFIX + n) for n in SRC_COLUMNS] if keep_raw else []
+    raw = [row_code(SRC_COLUMNS).alias(RAW_CODE)] if keep_raw else []
     return src.select(*cleaned, *raw)
 
 
 def rank_key() -> list[Column]:
-    """Lot-rank key: disposition, document, type and built surface (NULL as '')."""
-    return [F.col("no_disposition"), F.col("identifiant_document"),
+    """Lot-rank key: document, disposition, type and built surface (NULL as '').
+
+    The document leads: the key order does not change the partitioning, but the
+    window sort compares a prefix of the first key, and the document is the most
+    selective part.
+    """
+    return [F.col("identifiant_document"), F.col("no_disposition"),
             F.coalesce(F.col("type_local"), F.lit("")),
             F.coalesce(F.col("surface_reelle_bati").cast("string"), F.lit(""))]
 
 
 def rank_order() -> list[Column]:
-    """Total order inside a key: the raw columns (rows are distinct on them)."""
-    return [F.col(RAW_PREFIX + n) for n in SRC_COLUMNS]
-
-
-def rank_spread() -> Column:
-    """Leading sort key: MD5 of the raw row, uniform, so hot keys can be split."""
-    return F.md5(F.concat_ws("|", *rank_order()))
+    """Total order inside a key: MD5 of the raw-row code (uniform, so hot keys can be
+    split into hash ranges), then the code itself."""
+    return [F.md5(F.col(RAW_CODE)), F.col(RAW_CODE)]
 
 
 def validity_rules() -> tuple[list, Column]:
@@ -87,18 +88,16 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
                 hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """distinct -> clean -> lot rank -> price and rule filters -> id and unit price.
 
+    The DISTINCT and the lot rank share one shuffle (``rank_distinct_rows``).
     ``first_only`` keeps only rank 1 per key (the de-duplication the documentation
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
     src = bronze_or_src if already_staged else staging(bronze_or_src)
-    distinct = src.select(*SRC_COLUMNS).distinct()
-    cleaned = clean_projection(distinct, date_formats)
+    cleaned = clean_projection(src.select(*SRC_COLUMNS), date_formats)
     if first_only:
-        ranked = keep_first_per_key(cleaned, rank_key(), [rank_spread()] + rank_order())
-        ranked = ranked.withColumn("lot_rank", F.lit(1))
+        ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
     else:
-        ranked = rank_within_key(cleaned, rank_key(), rank_order(), "lot_rank", spread=rank_spread(),
-                                 hot_threshold=hot_threshold)
+        ranked = rank_distinct_rows(cleaned, rank_key(), RAW_CODE, "lot_rank", hot_threshold)
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
     valid = validate_by_category(valid, "type_local", rules, default)

@@ -23,8 +23,8 @@ from ..sources.manifest import manifest_diff, manifest_filter, manifest_summary,
 from ..sources.seed import read_seed
 from ..streaming.ledger import load_new_files, read_loaded
 from . import oracle as O
-from .queries import silver_of
-from .tables import BRONZE_SQL, SEED_SQL, bronze_from_tables, load, seed_from_tables
+from .queries import bronze_of, silver_of
+from .tables import BRONZE_SQL, SEED_SQL, load, seed_from_tables
 
 FILE_PARTS = 4
 COLS = D.BRONZE_COLUMNS
@@ -47,13 +47,13 @@ def _disposition(n: int):
 # ------------------------------------------------------------------ files
 def q_delimited_scan(spark, sf_dir):
     path = scratch_dir(spark, "bronze-files")
-    write_delimited(bronze_from_tables(spark, sf_dir), path)
+    write_delimited(bronze_of(spark, sf_dir), path)
     return delimited_scan(spark, path, COLS, glob="*.csv")
 
 
 def q_match_by_name(spark, sf_dir):
     """Even dispositions in files with reversed, upper-cased columns, one extra, one missing."""
-    b = bronze_from_tables(spark, sf_dir)
+    b = bronze_of(spark, sf_dir)
     even = (_q("No disposition").cast("int") % 2) == 0
     path = scratch_dir(spark, "bronze-mixed")
     write_delimited(b.filter(~even), path + "/a")
@@ -81,7 +81,7 @@ def _ragged_lines(b: DataFrame) -> DataFrame:
 def q_tolerant_load(spark, sf_dir):
     path = scratch_dir(spark, "bronze-ragged")
     # A single text column named after the header line; no quoting, no other separator.
-    (_ragged_lines(bronze_from_tables(spark, sf_dir)).repartition(FILE_PARTS).write.mode("overwrite")
+    (_ragged_lines(bronze_of(spark, sf_dir)).repartition(FILE_PARTS).write.mode("overwrite")
      .option("header", True).option("sep", "\t").option("quote", "").csv(path))
     return delimited_scan(spark, path, COLS, glob="*.csv")
 
@@ -117,7 +117,7 @@ def _zip_parts(out_dir: str):
 def _make_archives(spark, sf_dir) -> tuple[str, str]:
     files = scratch_dir(spark, "bronze-text")
     zips = scratch_dir(spark, "archives")
-    write_delimited(bronze_from_tables(spark, sf_dir), files)
+    write_delimited(bronze_of(spark, sf_dir), files)
     parts = list_files(spark, files, "*.csv").select("path")
     parts.repartition(FILE_PARTS, "path").mapInPandas(_zip_parts(zips), ZIP_SCHEMA).write.mode("overwrite") \
         .json(zips.rstrip("/") + "/_zip_log")
@@ -144,7 +144,7 @@ def q_landing_check(spark, sf_dir):
 # ------------------------------------------------------------------ ledger
 def q_load_ledger(spark, sf_dir):
     """Two drops, a rerun with nothing new, a third drop: every row loaded once."""
-    b = bronze_from_tables(spark, sf_dir)
+    b = bronze_of(spark, sf_dir)
     src, table, ckpt = (scratch_dir(spark, n) for n in ("ledger-src", "ledger-table", "ledger-ckpt"))
     disp = _q("No disposition").cast("int")
     write_delimited(b.filter(disp <= 3), src, mode="append")

@@ -14,24 +14,23 @@ from ..functions.scalars import (
 )
 from ..functions.measures import count_if, rows
 from ..operators.clean import positive_filter, validate_by_category
-from ..operators.windows import keep_first_per_key, rank_within_key
+from ..operators.windows import HOT_KEY_ROWS, keep_first_per_key, rank_distinct_rows, rank_within_key
 from . import oracle as O
 from . import silver
-from .queries import silver_of
-from .tables import bronze_from_tables
+from .queries import bronze_of, silver_of
 
 
 def _staged(spark, sf_dir):
-    return silver.staging(bronze_from_tables(spark, sf_dir))
+    return silver.staging(bronze_of(spark, sf_dir))
 
 
 def _cleaned(spark, sf_dir, keep_raw=True):
     return silver.clean_projection(_staged(spark, sf_dir).distinct(), keep_raw=keep_raw)
 
 
-def _ranked(spark, sf_dir):
-    return rank_within_key(_cleaned(spark, sf_dir), silver.rank_key(), silver.rank_order(), "lot_rank",
-                           spread=silver.rank_spread())
+def _ranked(spark, sf_dir, hot_threshold=HOT_KEY_ROWS):
+    return rank_distinct_rows(silver.clean_projection(_staged(spark, sf_dir)), silver.rank_key(), silver.RAW_CODE,
+                              "lot_rank", hot_threshold)
 
 
 CLEAN_COLS = ["no_disposition", "identifiant_document", "date_mutation", "nature_mutation", "valeur_fonciere",
@@ -143,20 +142,25 @@ def q_date_key(spark, sf_dir):
 
 
 def q_rank_within_key(spark, sf_dir):
-    r = _ranked(spark, sf_dir)
-    return r.select(*CLEAN_COLS, "raw_reference_document", "lot_rank")
+    """Distinct raw rows numbered inside their lot key (one shuffle)."""
+    return _ranked(spark, sf_dir).select(*CLEAN_COLS, "raw_code", "lot_rank")
 
 
 def q_rank_within_key_split(spark, sf_dir):
     """Same ranks with every key of two or more rows split into hash-range salts."""
-    r = rank_within_key(_cleaned(spark, sf_dir), silver.rank_key(), silver.rank_order(), "lot_rank",
-                        spread=silver.rank_spread(), hot_threshold=1)
-    return r.select(*CLEAN_COLS, "raw_reference_document", "lot_rank")
+    return _ranked(spark, sf_dir, hot_threshold=1).select(*CLEAN_COLS, "raw_code", "lot_rank")
+
+
+def q_rank_within_window(spark, sf_dir):
+    """The general operator: a window over already distinct rows, hot keys salted."""
+    r = rank_within_key(_cleaned(spark, sf_dir), silver.rank_key(), [F.col(silver.RAW_CODE)], "lot_rank",
+                        spread=F.md5(F.col(silver.RAW_CODE)), hot_threshold=1)
+    return r.select(*CLEAN_COLS, "raw_code", "lot_rank")
 
 
 def q_keep_first_per_key(spark, sf_dir):
-    k = keep_first_per_key(_cleaned(spark, sf_dir), silver.rank_key(), [silver.rank_spread()] + silver.rank_order())
-    return k.select(*CLEAN_COLS, "raw_reference_document")
+    k = keep_first_per_key(_cleaned(spark, sf_dir), silver.rank_key(), silver.rank_order())
+    return k.select(*CLEAN_COLS, "raw_code")
 
 
 QUERIES = {
@@ -177,6 +181,7 @@ QUERIES = {
     "date_key": q_date_key,
     "rank_within_key": q_rank_within_key,
     "rank_within_key_split": q_rank_within_key_split,
+    "rank_within_window": q_rank_within_window,
     "keep_first_per_key": q_keep_first_per_key,
 }
 
@@ -239,9 +244,9 @@ SQL = {
     "date_key": O.with_ctes(
         "SELECT date_mutation, CAST(year(date_mutation) * 10000 + month(date_mutation) * 100 + day(date_mutation) "
         "AS INTEGER) AS date_key FROM (SELECT DISTINCT date_mutation FROM silver) d"),
-    "rank_within_key": O.with_ctes(f"SELECT {_clean_sel}, raw_reference_document, lot_rank FROM ranked", upto="ranked"),
-    "rank_within_key_split": O.with_ctes(f"SELECT {_clean_sel}, raw_reference_document, lot_rank FROM ranked",
-                                         upto="ranked"),
-    "keep_first_per_key": O.with_ctes(f"SELECT {_clean_sel}, raw_reference_document FROM ranked WHERE lot_rank = 1",
+    "rank_within_key": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),
+    "rank_within_key_split": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),
+    "rank_within_window": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),
+    "keep_first_per_key": O.with_ctes(f"SELECT {_clean_sel}, raw_code FROM ranked WHERE lot_rank = 1",
                                       upto="ranked"),
 }
