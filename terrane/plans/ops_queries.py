@@ -10,6 +10,7 @@ from ..operators.upsert import full_refresh, newer_than_target, upsert_table, wr
 from ..session import scratch_dir
 from . import gold
 from . import oracle as O
+from .catalog import materialized
 from .model import datasets
 from .queries import calendar_of, silver_of
 from .tables import seed_from_tables
@@ -20,9 +21,12 @@ TARGET_END = "1999-06-30"
 UPDATES_FROM = "1999-01-01"
 
 
-def _tables(spark, sf_dir):
+def _tables(spark, sf_dir, checks):
+    """The tables under test, each written once per session (checks read built tables)."""
     s = silver_of(spark, sf_dir)
-    return datasets(s, seed_from_tables(spark, sf_dir), calendar_of(spark))
+    built = datasets(s, seed_from_tables(spark, sf_dir), calendar_of(spark))
+    names = {c.table for c in checks} | {c.to_table for c in checks if c.to_table}
+    return {n: materialized(spark, n, sf_dir, lambda df=built[n]: df) for n in names}
 
 
 def _checks(kind: str | None = None) -> list[Check]:
@@ -38,11 +42,15 @@ def _checks(kind: str | None = None) -> list[Check]:
 
 
 def _report(kind=None):
-    return lambda spark, sf_dir: run_checks(_tables(spark, sf_dir), _checks(kind))
+    def q(spark, sf_dir):
+        checks = _checks(kind)
+        return run_checks(_tables(spark, sf_dir, checks), checks)
+    return q
 
 
 def q_quality_summary(spark, sf_dir):
-    return summarize(run_checks(_tables(spark, sf_dir), _checks()))
+    checks = _checks()
+    return summarize(run_checks(_tables(spark, sf_dir, checks), checks))
 
 
 def q_high_water_mark(spark, sf_dir):

@@ -93,6 +93,10 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
     src = bronze_or_src if already_staged else staging(bronze_or_src)
+    if hot_threshold is not None and src.count() <= hot_threshold:
+        # No key can exceed the threshold: skip the hot-key pass.  For a parquet
+        # raw table this count reads file footers only.
+        hot_threshold = None
     cleaned = clean_projection(src.select(*SRC_COLUMNS), date_formats)
     if first_only:
         ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
