@@ -12,16 +12,50 @@ from ..functions.scalars import ColumnOrName, col
 
 
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
-              having: Column | None = None) -> DataFrame:
+              having: Column | None = None, medians: dict[str, ColumnOrName] | None = None) -> DataFrame:
     """GROUP BY keys (columns or aliased expressions) with optional HAVING.
 
     ``having`` may reference the output names of ``measures``.  An empty ``keys``
-    gives the one-row global aggregate.
+    gives the one-row global aggregate.  ``medians`` maps output names to value
+    columns whose exact median is added without ever gathering one group's values
+    in one task: groups holding more than ``MEDIAN_TASK_VALUES`` values (found by a
+    partial-aggregated count; at most rows / MEDIAN_TASK_VALUES of them, broadcast)
+    are left out of Spark's ``percentile`` and answered by ``grouped_median``.
     """
-    out = df.groupBy(*[col(k) for k in keys]).agg(*measures) if keys else df.agg(*measures)
+    if medians:
+        out = _aggregate_with_medians(df, keys, measures, medians)
+    else:
+        out = df.groupBy(*[col(k) for k in keys]).agg(*measures) if keys else df.agg(*measures)
     return out.filter(having) if having is not None else out
 
 
+def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
+                            medians: dict[str, ColumnOrName]) -> DataFrame:
+    from .joins import null_safe_join
+    if not keys:
+        # One group holding every row: always the distributed median (scalar subqueries).
+        out = df.agg(*measures)
+        return out.select("*", *[grouped_median(df, [], v, m).scalar().alias(m) for m, v in medians.items()])
+    exprs = [k for k in keys if not isinstance(k, str)]
+    keyed = df.select("*", *exprs) if exprs else df
+    added = iter(keyed.columns[len(df.columns):])
+    names = [k if isinstance(k, str) else next(added) for k in keys]
+    values = {m: col(v) for m, v in medians.items()}
+    # Row counts bound the values per group.
+    hot = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > MEDIAN_TASK_VALUES)
+           .select(*names, F.lit(True).alias("__hot")))
+    tagged = null_safe_join(keyed, F.broadcast(hot), names, "left")
+    cold = F.col("__hot").isNull()
+    out = tagged.groupBy(*names).agg(*measures, *[F.median(F.when(cold, v.cast("double"))).alias(m)
+                                                  for m, v in values.items()])
+    hot_rows = tagged.filter(F.col("__hot"))
+    for m, v in values.items():
+        hm = grouped_median(hot_rows, names, v, "__hm")  # one row per hot group: bounded
+        out = (null_safe_join(out, F.broadcast(hm), names, "left")
+               .withColumn(m, F.coalesce(F.col(m), F.col("__hm"))).drop("__hm"))
+    return out
+
+
 def top_groups(df: DataFrame, keys: Sequence[str], measure: Column, measure_name: str,
                min_count: int, k: int, strict: bool = True) -> DataFrame:
     """Groups with more than (``strict``) / at least ``min_count`` rows, best ``k`` by measure.
@@ -35,3 +69,72 @@ def top_groups(df: DataFrame, keys: Sequence[str], measure: Column, measure_name
     agg = agg.filter(F.col(n) > min_count if strict else F.col(n) >= min_count).drop(n)
     order = [F.col(measure_name).desc_nulls_first()] + [F.col(c).asc_nulls_last() for c in keys]
     return agg.orderBy(*order).limit(k)
+
+
+# Distinct values one task may rank for a single group; groups above it are cut
+# into value ranges at approximate quantiles (exactness does not depend on them).
+MEDIAN_TASK_VALUES = 1_000_000
+MEDIAN_RANGES = 256
+
+
+def grouped_median(df: DataFrame, keys: Sequence[ColumnOrName], value: ColumnOrName, name: str = "median",
+                   task_values: int = MEDIAN_TASK_VALUES, ranges: int = MEDIAN_RANGES) -> DataFrame:
+    """Exact interpolated median of ``value`` per group (NULLs ignored), skew-safe.
+
+    1. A histogram (group, value) -> count: the shuffle is on both, so a hot group
+       spreads over many tasks and repeated values collapse.
+    2. Groups with more than ``task_values`` distinct values get ``ranges``
+       order-preserving value ranges, cut at approximate quantiles; the boundary
+       table has one row per such group (at most distinct_values / task_values).
+    3. Running counts per (group, range) by a window, shifted by the counts of the
+       lower ranges (a table of at most #hot groups x ``ranges`` rows).
+    4. The rows holding the middle rank(s) give the median, interpolated as
+       Spark's ``percentile`` does: ``0.5 * lo + 0.5 * hi``.
+    Returns ``keys + [name]``; with no keys, one row.
+    """
+    from pyspark.sql import Window
+    from .joins import null_safe_join
+
+    key_cols = [col(k) for k in keys] or [F.lit(0)]
+    kn = [f"__g{i}" for i in range(len(key_cols))]
+    base = df.select(*[k.alias(n) for k, n in zip(key_cols, kn)], col(value).cast("double").alias("__v"))
+    hist = base.filter(F.col("__v").isNotNull()).groupBy(*kn, "__v").agg(F.count(F.lit(1)).alias("__c"))
+
+    distinct_per_group = hist.groupBy(*kn).agg(F.count(F.lit(1)).alias("__d"))
+    hot = distinct_per_group.filter(F.col("__d") > task_values).select(*kn)
+    qs = [i / ranges for i in range(1, ranges)]
+    bounds = (null_safe_join(hist, F.broadcast(hot), kn, "left_semi").groupBy(*kn)
+              .agg(F.percentile_approx("__v", qs, 10_000).alias("__b")))
+    tagged = null_safe_join(hist, F.broadcast(bounds), kn, "left")
+    tagged = tagged.withColumn("__r", F.when(F.col("__b").isNull(), F.lit(0))
+                               .otherwise(F.size(F.filter("__b", lambda b: b < F.col("__v"))))).drop("__b")
+
+    # Lower-range offsets and totals of split groups (bounded table, broadcast).
+    per_range = (null_safe_join(tagged, F.broadcast(hot), kn, "left_semi")
+                 .groupBy(*kn, "__r").agg(F.sum("__c").alias("__rc")))
+    per_range = (per_range
+                 .withColumn("__off", F.sum("__rc").over(Window.partitionBy(*kn).orderBy("__r")) - F.col("__rc"))
+                 .withColumn("__tot", F.sum("__rc").over(Window.partitionBy(*kn)))
+                 .drop("__rc"))
+
+    w = Window.partitionBy(*kn, "__r").orderBy("__v")
+    run = (tagged.withColumn("__cum", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("__rtot", F.sum("__c").over(Window.partitionBy(*kn, "__r"))))
+    run = null_safe_join(run, F.broadcast(per_range), kn + ["__r"], "left")
+    n = F.coalesce(F.col("__tot"), F.col("__rtot"))
+    before = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__cum") - F.col("__c")
+    lo, hi = F.floor((n - 1) / 2), F.ceil((n - 1) / 2)
+    run = run.select(*kn, "__v", before.alias("__s"), (before + F.col("__c")).alias("__e"),
+                     lo.alias("__lo"), hi.alias("__hi"))
+    has_lo = (F.col("__s") <= F.col("__lo")) & (F.col("__lo") < F.col("__e"))
+    has_hi = (F.col("__s") <= F.col("__hi")) & (F.col("__hi") < F.col("__e"))
+    picked = run.filter(has_lo | has_hi).groupBy(*kn).agg(
+        F.max(F.when(has_lo, F.col("__v"))).alias("__vlo"), F.max(F.when(has_hi, F.col("__v"))).alias("__vhi"),
+        F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
+    med = F.when(F.col("__lo") == F.col("__hi"), F.col("__vlo")).otherwise(
+        F.lit(0.5) * F.col("__vlo") + F.lit(0.5) * F.col("__vhi"))
+    out = picked.select(*kn, med.alias(name))
+    if not keys:
+        return out.select(name)
+    names = [k if isinstance(k, str) else f"__g{i}" for i, k in enumerate(keys)]
+    return out.select(*[F.col(n).alias(a) for n, a in zip(kn, names)], name)

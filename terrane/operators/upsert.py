@@ -75,7 +75,7 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     """Write ``df`` as the next version, then commit it to the log."""
     spark = df.sparkSession
     v = (current_version(spark, root) or 0) + 1
-    path = f"{root.rstrip('/')}/v={v}"
+    path = version_path(root, v)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -84,10 +84,14 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return v
 
 
+def version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/v={version}"
+
+
 def full_refresh(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Recompute and replace: a new version holding exactly ``df``; returns it re-read."""
-    write_version(df, root, partition_by)
-    return read_table(df.sparkSession, root)
+    v = write_version(df, root, partition_by)
+    return df.sparkSession.read.parquet(version_path(root, v))
 
 
 def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str],
@@ -97,8 +101,8 @@ def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str],
     if current_version(spark, root) is None:
         return full_refresh(updates, root, partition_by)
     merged = upsert(read_table(spark, root), updates, key)
-    write_version(merged, root, partition_by)
-    return read_table(spark, root)
+    v = write_version(merged, root, partition_by)
+    return spark.read.parquet(version_path(root, v))
 
 
 def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str], mark_col: str,

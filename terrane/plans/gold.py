@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import domain as D
-from ..functions.measures import count_distinct, exact_avg, exact_sum, median, rows
+from ..functions.measures import count_distinct, exact_avg, exact_sum, rows
 from ..functions.scalars import month_start, safe_ratio
 from ..operators.aggregates import aggregate, top_groups
 from ..operators.windows import pct_change
@@ -30,9 +30,11 @@ def global_kpis(silver: DataFrame) -> DataFrame:
         F.max("date_mutation").alias("date_derniere_transaction"),
         exact_sum(PRICE).alias("volume_financier_total"),
         exact_avg(PRICE).alias("prix_moyen_france"),
-        median(PRICE).alias("prix_median_france"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen_france"),
-    ])
+    ], medians={"prix_median_france": PRICE}).select(
+        "total_transactions", "nb_communes", "nb_departements", "date_premiere_transaction",
+        "date_derniere_transaction", "volume_financier_total", "prix_moyen_france", "prix_median_france",
+        "prix_m2_moyen_france")
 
 
 def yoy_change(silver: DataFrame) -> DataFrame:
@@ -41,12 +43,13 @@ def yoy_change(silver: DataFrame) -> DataFrame:
     annual = aggregate(s, [F.year("date_mutation").alias("annee"), "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-        median(PRICE).alias("prix_median"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
-    ])
+    ], medians={"prix_median": PRICE})
     out = pct_change(annual, {"prix_moyen": "variation_prix_pct", "nb_transactions": "variation_volume_pct"},
                      ["type_local"], "annee")
+    out = out.select("annee", "type_local", "nb_transactions", "prix_moyen", "prix_median", "prix_m2_moyen",
+                     "volume_financier", "variation_prix_pct", "variation_volume_pct")
     return out.orderBy(F.col("annee").asc_nulls_last(), F.col("type_local").asc_nulls_last())
 
 
@@ -56,8 +59,7 @@ def avg_median_by_group(silver: DataFrame) -> DataFrame:
     return aggregate(s, ["commune", "code_postal", "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-        median(PRICE).alias("prix_median"),
-    ])
+    ], medians={"prix_median": PRICE})
 
 
 def avg_ratio_by_group(silver: DataFrame) -> DataFrame:
@@ -72,13 +74,14 @@ def avg_ratio_by_group(silver: DataFrame) -> DataFrame:
 def region_benchmark(silver: DataFrame) -> DataFrame:
     """Department x type indicators."""
     s = silver.filter(F.col(PRICE).isNotNull() & F.col("code_departement").isNotNull())
-    return aggregate(s, ["code_departement", "type_local"], [
+    out = aggregate(s, ["code_departement", "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-        median(PRICE).alias("prix_median"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
-    ])
+    ], medians={"prix_median": PRICE})
+    return out.select("code_departement", "type_local", "nb_transactions", "prix_moyen", "prix_median",
+                      "prix_m2_moyen", "volume_financier")
 
 
 def volume_by_month(silver: DataFrame) -> DataFrame:

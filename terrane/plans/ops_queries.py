@@ -11,7 +11,7 @@ from ..session import scratch_dir
 from . import gold
 from . import oracle as O
 from .catalog import materialized
-from .model import datasets
+from .model import builders
 from .queries import calendar_of, silver_of
 from .tables import seed_from_tables
 
@@ -23,10 +23,9 @@ UPDATES_FROM = "1999-01-01"
 
 def _tables(spark, sf_dir, checks):
     """The tables under test, each written once per session (checks read built tables)."""
-    s = silver_of(spark, sf_dir)
-    built = datasets(s, seed_from_tables(spark, sf_dir), calendar_of(spark))
-    names = {c.table for c in checks} | {c.to_table for c in checks if c.to_table}
-    return {n: materialized(spark, n, sf_dir, lambda df=built[n]: df) for n in names}
+    build = builders(silver_of(spark, sf_dir), seed_from_tables(spark, sf_dir), calendar_of(spark))
+    names = sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table})
+    return {n: materialized(spark, n, sf_dir, build[n]) for n in names}
 
 
 def _checks(kind: str | None = None) -> list[Check]:

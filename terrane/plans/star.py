@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import domain as D
-from ..functions.measures import count_distinct, count_if, exact_avg, exact_sum, flag_sum, median, rows
+from ..functions.measures import count_distinct, count_if, exact_avg, exact_sum, flag_sum, rows
 from ..functions.scalars import date_key, first_match, initcap_words, month_start, surrogate_key
 from ..operators.aggregates import aggregate
 from ..operators.joins import lookup
@@ -143,10 +143,13 @@ def _price_measures() -> list[Column]:
         count_if(F.col("est_vente_avec_prix") == 1).alias("nb_ventes"),
         exact_sum(PRICE).alias("volume_financier"),
         exact_avg(PRICE).alias("prix_moyen"),
-        median(PRICE).alias("prix_median"),
     ]
 
 
+MEDIANS = {"prix_median": PRICE}
+PRICE_COLUMNS = ["nb_transactions", "nb_ventes", "volume_financier", "prix_moyen", "prix_median"]
+
+
 def _with_calendar(fact_df: DataFrame, cal: DataFrame, cols: list[str]) -> DataFrame:
     # The calendar is bounded by its span: broadcast, no shuffle of the fact.
     return fact_df.join(F.broadcast(cal.select("date_key", *cols)), "date_key", "inner")
@@ -161,11 +164,14 @@ def agg_year(fact_df: DataFrame, cal: DataFrame) -> DataFrame:
         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
         count_distinct("geo_key").alias("nb_communes_actives"),
-    ])
+    ], medians=MEDIANS)
     out = pct_change(base, {"prix_moyen": "variation_prix_yoy_pct",
                             "nb_transactions": "variation_volume_yoy_pct",
                             "volume_financier": "variation_volume_financier_yoy_pct"},
                      ["type_bien_key"], "annee")
+    out = out.select("type_bien_key", "annee", *PRICE_COLUMNS, "prix_min", "prix_max", "prix_m2_moyen",
+                     "surface_moyenne", "nb_communes_actives", "variation_prix_yoy_pct", "variation_volume_yoy_pct",
+                     "variation_volume_financier_yoy_pct")
     return out.orderBy(F.col("annee").asc_nulls_last(), F.col("type_bien_key").asc_nulls_last())
 
 
@@ -174,13 +180,16 @@ def agg_month(fact_df: DataFrame, cal: DataFrame) -> DataFrame:
     f = _with_calendar(fact_df, cal, ["date_complete", "annee", "trimestre_num", "trimestre_libelle",
                                       "mois_num", "mois_nom", "semestre"])
     m = month_start("date_complete")
-    return aggregate(f, ["type_bien_key", date_key(m).alias("date_mois_key"), m.alias("mois"), "annee",
-                         "trimestre_num", "trimestre_libelle", "mois_num", "mois_nom", "semestre"],
-                     _price_measures() + [
-                         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
-                         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
-                         flag_sum("est_bien_bati").alias("nb_biens_batis"),
-                     ])
+    keys = ["type_bien_key", date_key(m).alias("date_mois_key"), m.alias("mois"), "annee", "trimestre_num",
+            "trimestre_libelle", "mois_num", "mois_nom", "semestre"]
+    out = aggregate(f, keys, _price_measures() + [
+        exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
+        exact_avg("surface_reelle_bati").alias("surface_moyenne"),
+        flag_sum("est_bien_bati").alias("nb_biens_batis"),
+    ], medians=MEDIANS)
+    return out.select("type_bien_key", "date_mois_key", "mois", "annee", "trimestre_num", "trimestre_libelle",
+                      "mois_num", "mois_nom", "semestre", *PRICE_COLUMNS, "prix_m2_moyen", "surface_moyenne",
+                      "nb_biens_batis")
 
 
 def agg_region_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame) -> DataFrame:
@@ -193,9 +202,12 @@ def agg_region_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame) -> DataF
     g = geo.select("geo_key", "code_departement", "nom_departement", "region")
     f = f.join(g, "geo_key", "inner")
     base = aggregate(f, ["code_departement", "nom_departement", "region", "type_bien_key", "annee"],
-                     _price_measures() + [exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen")])
-    return pct_change(base, {"prix_moyen": "variation_prix_yoy_pct", "nb_transactions": "variation_volume_yoy_pct"},
-                      ["code_departement", "type_bien_key"], "annee")
+                     _price_measures() + [exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen")],
+                     medians=MEDIANS)
+    out = pct_change(base, {"prix_moyen": "variation_prix_yoy_pct", "nb_transactions": "variation_volume_yoy_pct"},
+                     ["code_departement", "type_bien_key"], "annee")
+    return out.select("code_departement", "nom_departement", "region", "type_bien_key", "annee", *PRICE_COLUMNS,
+                      "prix_m2_moyen", "variation_prix_yoy_pct", "variation_volume_yoy_pct")
 
 
 def agg_geo_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame,
@@ -213,7 +225,7 @@ def agg_geo_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame,
         F.max(PRICE).alias("prix_max"),
         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
-    ], having=F.col("nb_transactions") >= min_count)
+    ], having=F.col("nb_transactions") >= min_count, medians=MEDIANS)
     g = geo.select("geo_key", "commune", "code_postal", "code_departement", "nom_departement", "region")
     out = base.join(g, "geo_key", "inner")
     return out.select("geo_key", "commune", "code_postal", "code_departement", "nom_departement", "region",

@@ -133,3 +133,24 @@ def test_model_builds_every_table(silver_df, seed, spark):
     for name, df in t.items():
         df.count()
     assert {c for c, *_ in D.DATA_TESTS} <= set(t)
+
+
+def test_hot_group_medians_match_percentile(spark, silver_df, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from terrane.operators import aggregates
+    random.seed(7)
+    rows = [srow(i, "2021-03-01", random.randint(1000, 1200)) for i in range(400)]
+    rows += [srow(1000 + i, "2021-03-01", random.randint(1000, 9000), commune=f"c{i % 9}") for i in range(90)]
+    s = silver_df(rows)
+    ref = {(r.commune, r.code_postal, r.type_local): r.m for r in s.groupBy("commune", "code_postal", "type_local")
+           .agg(F.median(F.col("valeur_fonciere").cast("double")).alias("m")).collect()}
+    for threshold in (3, 10_000_000):
+        monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", threshold)
+        got = {(r.commune, r.code_postal, r.type_local): r.prix_median for r in gold.avg_median_by_group(s).collect()}
+        assert got == ref
+    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 3)
+    kpi = gold.global_kpis(s).collect()[0].prix_median_france
+    assert kpi == s.agg(F.median(F.col("valeur_fonciere").cast("double"))).collect()[0][0]
