@@ -12,7 +12,8 @@ from ..functions.scalars import ColumnOrName, col
 
 
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
-              having: Column | None = None, medians: dict[str, ColumnOrName] | None = None) -> DataFrame:
+              having: Column | None = None, medians: dict[str, ColumnOrName] | None = None,
+              row_bound: int | None = None) -> DataFrame:
     """GROUP BY keys (columns or aliased expressions) with optional HAVING.
 
     ``having`` may reference the output names of ``measures``.  An empty ``keys``
@@ -21,8 +22,13 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
     in one task: groups holding more than ``MEDIAN_TASK_VALUES`` values (found by a
     partial-aggregated count; at most rows / MEDIAN_TASK_VALUES of them, broadcast)
     are left out of Spark's ``percentile`` and answered by ``grouped_median``.
+    ``row_bound`` (an upper bound of the input rows, e.g. the count of the written
+    source table) skips that machinery when no group can be that large.
     """
-    if medians:
+    if medians and row_bound is not None and row_bound <= MEDIAN_TASK_VALUES:
+        plain = [F.median(col(v).cast("double")).alias(m) for m, v in medians.items()]
+        out = df.groupBy(*[col(k) for k in keys]).agg(*measures, *plain) if keys else df.agg(*measures, *plain)
+    elif medians:
         out = _aggregate_with_medians(df, keys, measures, medians)
     else:
         out = df.groupBy(*[col(k) for k in keys]).agg(*measures) if keys else df.agg(*measures)

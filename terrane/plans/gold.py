@@ -19,6 +19,11 @@ def _ratio():
     return safe_ratio(PRICE, "surface_reelle_bati")
 
 
+def source_rows(table: DataFrame) -> int:
+    """Rows of a written source table (a footer read for parquet): bounds every group."""
+    return table.count()
+
+
 def global_kpis(silver: DataFrame) -> DataFrame:
     """One row of country-wide indicators."""
     s = silver.filter(F.col(PRICE).isNotNull())
@@ -31,7 +36,7 @@ def global_kpis(silver: DataFrame) -> DataFrame:
         exact_sum(PRICE).alias("volume_financier_total"),
         exact_avg(PRICE).alias("prix_moyen_france"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen_france"),
-    ], medians={"prix_median_france": PRICE}).select(
+    ], medians={"prix_median_france": PRICE}, row_bound=source_rows(silver)).select(
         "total_transactions", "nb_communes", "nb_departements", "date_premiere_transaction",
         "date_derniere_transaction", "volume_financier_total", "prix_moyen_france", "prix_median_france",
         "prix_m2_moyen_france")
@@ -45,7 +50,7 @@ def yoy_change(silver: DataFrame) -> DataFrame:
         exact_avg(PRICE).alias("prix_moyen"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
-    ], medians={"prix_median": PRICE})
+    ], medians={"prix_median": PRICE}, row_bound=source_rows(silver))
     out = pct_change(annual, {"prix_moyen": "variation_prix_pct", "nb_transactions": "variation_volume_pct"},
                      ["type_local"], "annee")
     out = out.select("annee", "type_local", "nb_transactions", "prix_moyen", "prix_median", "prix_m2_moyen",
@@ -59,7 +64,7 @@ def avg_median_by_group(silver: DataFrame) -> DataFrame:
     return aggregate(s, ["commune", "code_postal", "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-    ], medians={"prix_median": PRICE})
+    ], medians={"prix_median": PRICE}, row_bound=source_rows(silver))
 
 
 def avg_ratio_by_group(silver: DataFrame) -> DataFrame:
@@ -79,7 +84,7 @@ def region_benchmark(silver: DataFrame) -> DataFrame:
         exact_avg(PRICE).alias("prix_moyen"),
         exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
-    ], medians={"prix_median": PRICE})
+    ], medians={"prix_median": PRICE}, row_bound=source_rows(silver))
     return out.select("code_departement", "type_local", "nb_transactions", "prix_moyen", "prix_median",
                       "prix_m2_moyen", "volume_financier")
 
