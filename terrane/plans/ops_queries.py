@@ -12,7 +12,10 @@ from . import gold
 from . import oracle as O
 from .catalog import materialized
 from .model import builders
-from .queries import calendar_of, silver_of
+from . import silver
+from ..functions.scalars import parse_date
+from .queries import bronze_of, calendar_of, silver_of
+from .tables import BRONZE_SQL
 from .tables import seed_from_tables
 
 # Split date of the incremental scenario: the target holds rows up to it, the
@@ -73,6 +76,20 @@ def q_incremental_upsert(spark, sf_dir):
     return upsert_table(updates, root, "mutation_id")
 
 
+def _first_load(b):
+    d = parse_date(F.col("`Date mutation`"), D.DATE_FORMATS)
+    return b.filter((d <= F.lit(TARGET_END).cast("date")) | d.isNull())
+
+
+def _silver_incremental(restrict: bool):
+    def q(spark, sf_dir):
+        b = bronze_of(spark, sf_dir)
+        root = scratch_dir(spark, "silver-incremental")
+        silver.incremental_build(_first_load(b), root)
+        return silver.incremental_build(b, root, restrict_to_new_keys=restrict)
+    return q
+
+
 def q_full_refresh(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     root = scratch_dir(spark, "volume-mensuel")
@@ -90,6 +107,8 @@ QUERIES = {
     "high_water_mark": q_high_water_mark,
     "incremental_upsert": q_incremental_upsert,
     "full_refresh": q_full_refresh,
+    "silver_incremental": _silver_incremental(True),
+    "silver_incremental_all_keys": _silver_incremental(False),
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -157,3 +176,14 @@ SQL = {
          ("upd", f"SELECT * FROM silver WHERE date_mutation >= DATE '{UPDATES_FROM}'")]),
     "full_refresh": O.GOLD["volume_by_month"],
 }
+
+_FIRST = ("SELECT * FROM (" + BRONZE_SQL + ") b WHERE " + O.PARSE_DATE.format(c='"Date mutation"')
+          + f" <= DATE '{TARGET_END}' OR " + O.PARSE_DATE.format(c='"Date mutation"') + " IS NULL")
+_INCR = ("WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in
+                               O.silver_chain("s1_", _FIRST) + O.silver_chain("s2_", BRONZE_SQL)) +
+         ",\nfresh AS (SELECT * FROM s2_silver WHERE date_mutation > (SELECT MAX(date_mutation) FROM s1_silver))\n"
+         f"SELECT {_SILVER_COLS} FROM s1_silver t WHERE NOT EXISTS "
+         "(SELECT 1 FROM fresh f WHERE f.mutation_id = t.mutation_id)\n"
+         f"UNION ALL SELECT {_SILVER_COLS} FROM fresh")
+SQL["silver_incremental"] = _INCR
+SQL["silver_incremental_all_keys"] = _INCR

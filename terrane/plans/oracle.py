@@ -77,6 +77,20 @@ BASE_CTES = [
 ]
 
 
+def silver_chain(prefix: str, bronze_sql: str) -> list[tuple[str, str]]:
+    """The silver CTE chain with every name prefixed, over another raw source."""
+    import re
+    names = [n for n, _ in BASE_CTES]
+    out = []
+    for name, sql in BASE_CTES:
+        body = bronze_sql if name == "bronze" else sql
+        if name != "bronze":
+            for n in names:
+                body = re.sub(rf"\b{n}\b", prefix + n, body)
+        out.append((prefix + name, body))
+    return out
+
+
 def with_ctes(body: str, extra: list[tuple[str, str]] | None = None, upto: str = "silver") -> str:
     ctes = []
     for name, sql in BASE_CTES:
