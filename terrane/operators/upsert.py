@@ -114,3 +114,34 @@ def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str],
     delta = newer_than_target(candidates, read_table(spark, root), mark_col, lookback_days)
     return upsert_table(delta, root, key, partition_by)
 
+
+
+def merge_partitions(updates: DataFrame, path: str, key: str | Sequence[str], partition_col: str,
+                     staging_root: str) -> DataFrame:
+    """Keyed upsert into a partitioned parquet table, rewriting only touched partitions.
+
+    ``updates`` carries ``partition_col`` and the key must determine it (a matching
+    row always lives in the same partition), e.g. a month derived from a date that
+    is part of the key's hash.  Only the partitions present in ``updates`` are read,
+    merged, staged under ``staging_root`` and swapped in with dynamic partition
+    overwrite; every other partition is left as it is.  The list of touched
+    partition values (a handful of months) is the only thing the driver sees.
+    """
+    spark = updates.sparkSession
+    try:
+        current = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no table yet
+        current = None
+    if current is None:
+        updates.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        return spark.read.parquet(path)
+    touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
+    part = F.col(partition_col)
+    cond = part.isin(*[t for t in touched if t is not None]) if any(t is not None for t in touched) else F.lit(False)
+    if any(t is None for t in touched):
+        cond = cond | part.isNull()
+    merged = upsert(current.filter(cond), updates.select(*current.columns), key)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_root)
+    (spark.read.parquet(staging_root).select(*current.columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    return spark.read.parquet(path)

@@ -62,3 +62,22 @@ def test_incremental_load_only_adds_newer(spark):
     out = incremental_load(batch, root, "id", "d")
     assert {r.id for r in out.collect()} == {"a", "new"}
     assert read_table(spark, root).filter(F.col("id") == "new").count() == 1
+
+
+def test_merge_partitions_rewrites_only_touched_months(spark):
+    import glob
+    import os
+
+    from terrane.operators.upsert import merge_partitions
+    from terrane.session import local_path
+    path = scratch_dir(spark, "t-merge")
+    rows = [("a", dt.date(2021, 1, 5), 1), ("b", dt.date(2021, 2, 5), 1)]
+    df = _df(spark, rows).withColumn("m", F.trunc("d", "month"))
+    merge_partitions(df, path, "id", "m", scratch_dir(spark, "t-stage"))
+    jan = sorted(glob.glob(os.path.join(local_path(path), "m=2021-01-01", "*.parquet")))
+    before = [os.path.getmtime(f) for f in jan]
+    upd = _df(spark, [("b", dt.date(2021, 2, 5), 9), ("c", dt.date(2021, 2, 7), 1)]).withColumn("m", F.trunc("d", "month"))
+    out = merge_partitions(upd, path, "id", "m", scratch_dir(spark, "t-stage"))
+    assert sorted((r.id, r.v) for r in out.collect()) == [("a", 1), ("b", 9), ("c", 1)]
+    assert sorted(glob.glob(os.path.join(local_path(path), "m=2021-01-01", "*.parquet"))) == jan
+    assert [os.path.getmtime(f) for f in jan] == before
