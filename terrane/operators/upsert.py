@@ -122,26 +122,43 @@ def merge_partitions(updates: DataFrame, path: str, key: str | Sequence[str], pa
 
     ``updates`` carries ``partition_col`` and the key must determine it (a matching
     row always lives in the same partition), e.g. a month derived from a date that
-    is part of the key's hash.  Only the partitions present in ``updates`` are read,
-    merged, staged under ``staging_root`` and swapped in with dynamic partition
-    overwrite; every other partition is left as it is.  The list of touched
-    partition values (a handful of months) is the only thing the driver sees.
+    is part of the key's hash.  The batch is computed once and staged under
+    ``staging_root``; only the partitions it touches are read from the table,
+    merged, staged and swapped in with dynamic partition overwrite; every other
+    partition is left as it is.  The list of touched partition values (a handful
+    of months) is the only thing the driver sees.
     """
     spark = updates.sparkSession
+    root = staging_root.rstrip("/")
     try:
         current = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no table yet
         current = None
     if current is None:
-        updates.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        _rebalanced(updates, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
-    touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
+    _rebalanced(updates.select(*current.columns), partition_col).write.mode("overwrite") \
+        .partitionBy(partition_col).parquet(f"{root}/batch")
+    batch = spark.read.parquet(f"{root}/batch")
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if not touched:
+        return current
     part = F.col(partition_col)
-    cond = part.isin(*[t for t in touched if t is not None]) if any(t is not None for t in touched) else F.lit(False)
-    if any(t is None for t in touched):
+    values = [t for t in touched if t is not None]
+    cond = part.isin(*values) if values else F.lit(False)
+    if len(values) < len(touched):
         cond = cond | part.isNull()
-    merged = upsert(current.filter(cond), updates.select(*current.columns), key)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_root)
-    (spark.read.parquet(staging_root).select(*current.columns).write.mode("overwrite")
+    merged = upsert(current.filter(cond), batch.select(*current.columns), key)
+    _rebalanced(merged, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{root}/merged")
+    (spark.read.parquet(f"{root}/merged").select(*current.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
+
+
+def _rebalanced(df: DataFrame, partition_col: str) -> DataFrame:
+    """Cluster rows by the output partition before a partitioned write (few, full files).
+
+    ``REBALANCE`` lets AQE split a partition value that is too large for one task and
+    merge small ones, so a hot month never lands whole in one writer.
+    """
+    return df.hint("rebalance", partition_col)
