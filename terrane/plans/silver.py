@@ -96,13 +96,15 @@ def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool
     from ..operators.joins import null_safe_join
     from ..operators.upsert import newer_than_target
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
+    bound = src.count()  # the raw table: a footer read; bounds any restriction of it
     if restrict_to_new_keys:
         kn = [f"__nk{i}" for i in range(4)]
         key_cols = [k.alias(n) for k, n in zip(_raw_rank_key(), kn)]
         probe = src.select(*key_cols, parse_date("date_mutation", date_formats).alias("date_mutation"))
         keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct()
         src = null_safe_join(src.select("*", *key_cols), keys, kn, "left_semi").drop(*kn)
-    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold)
+    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold,
+                       row_bound=bound)
     return newer_than_target(rows, current, "date_mutation", lookback_days)
 
 
@@ -115,7 +117,7 @@ def _raw_rank_key() -> list[Column]:
 
 def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
                 date_formats: Sequence[str] = D.DATE_FORMATS, first_only: bool = False,
-                hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+                hot_threshold: int | None = HOT_KEY_ROWS, row_bound: int | None = None) -> DataFrame:
     """distinct -> clean -> lot rank -> price and rule filters -> id and unit price.
 
     The DISTINCT and the lot rank share one shuffle (``rank_distinct_rows``).
@@ -123,9 +125,10 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
     src = bronze_or_src if already_staged else staging(bronze_or_src)
-    if hot_threshold is not None and src.count() <= hot_threshold:
+    if hot_threshold is not None and (row_bound if row_bound is not None else src.count()) <= hot_threshold:
         # No key can exceed the threshold: skip the hot-key pass.  For a parquet
-        # raw table this count reads file footers only.
+        # raw table the count reads file footers only; ``row_bound`` supplies it
+        # when the input is derived (e.g. restricted to some keys).
         hot_threshold = None
     cleaned = clean_projection(src.select(*SRC_COLUMNS), date_formats)
     if first_only:
