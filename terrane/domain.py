@@ -77,6 +77,9 @@ RENAME_MAP = {
     "Surface terrain": "surface_terrain",
 }
 
+# Token every archive of the dataset carries in its name (catalog filter).
+ARCHIVE_TOKEN = "valeursfoncieres"
+
 # Raw-file null tokens (besides empty fields).
 NULL_TOKENS = ("", "NULL", "null")
 
@@ -175,7 +178,7 @@ def bronze_schema() -> StructType:
 
 
 # ---------------------------------------------------------------------------
-# Declared data tests: (table, column, test, severity, where).
+# FIXED VALUES — the declared data tests: (table, column, test, severity, where).
 # ---------------------------------------------------------------------------
 DATA_TESTS = [
     ("silver_mutation_f", "mutation_id", "unique", "error", None),

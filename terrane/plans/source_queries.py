@@ -100,7 +100,7 @@ def _zip_parts(out_dir: str):
             for uri in pdf["path"]:
                 in_fs, in_path = _fs(uri)
                 stem = posixpath.basename(in_path).split(".")[0]
-                target = posixpath.join(out_root, f"valeursfoncieres-{stem}.txt.zip")
+                target = posixpath.join(out_root, f"{D.ARCHIVE_TOKEN}-{stem}.txt.zip")
                 with out_fs.open_output_stream(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
                     with in_fs.open_input_stream(in_path) as src, zf.open(f"ValeursFoncieres-{stem}.txt", "w") as dst:
                         while True:
@@ -174,10 +174,11 @@ def _item_url(pages: DataFrame):
     pid = F.col("page_id")
     year = (F.lit(2015) + pid % 11).cast("string")
     base = F.regexp_replace("url", "[?#].*$", "")
-    leaf = (F.when(pid % 4 == 0, F.concat(F.lit("valeursfoncieres-"), year, F.lit(".txt.zip")))
+    tok = D.ARCHIVE_TOKEN
+    leaf = (F.when(pid % 4 == 0, F.concat(F.lit(f"{tok}-"), year, F.lit(".txt.zip")))
             .when(pid % 4 == 1, F.concat(F.lit("ValeursFoncieres-"), year, F.lit(".zip")))
             .when(pid % 4 == 2, F.concat(F.lit("notice-"), pid.cast("string"), F.lit(".pdf")))
-            .otherwise(F.concat(F.lit("valeursfoncieres-"), pid.cast("string"), F.lit(".zip"))))
+            .otherwise(F.concat(F.lit(f"{tok}-"), pid.cast("string"), F.lit(".zip"))))
     return F.concat(base, F.lit("/"), leaf)
 
 
@@ -193,7 +194,7 @@ def _catalog(spark, sf_dir) -> DataFrame:
 
 
 def _items(spark, sf_dir):
-    return manifest_filter(_catalog(spark, sf_dir), ".zip", "valeursfoncieres")
+    return manifest_filter(_catalog(spark, sf_dir), ".zip", D.ARCHIVE_TOKEN)
 
 
 def _landed(spark, sf_dir, mode: str) -> DataFrame:
@@ -245,12 +246,12 @@ def _bronze_with(replace: dict[str, str]) -> str:
     return f"WITH bronze AS (\n{BRONZE_SQL}\n)\nSELECT {cols} FROM bronze"
 
 
-_ITEM_URL = ("regexp_replace(url, '[?#].*$', '') || '/' || CASE WHEN page_id % 4 = 0 THEN 'valeursfoncieres-' || "
+_ITEM_URL = ("regexp_replace(url, '[?#].*$', '') || '/' || CASE WHEN page_id % 4 = 0 THEN '" + D.ARCHIVE_TOKEN + "-' || "
              "CAST(2015 + page_id % 11 AS VARCHAR) || '.txt.zip' WHEN page_id % 4 = 1 THEN 'ValeursFoncieres-' || "
              "CAST(2015 + page_id % 11 AS VARCHAR) || '.zip' WHEN page_id % 4 = 2 THEN 'notice-' || "
-             "CAST(page_id AS VARCHAR) || '.pdf' ELSE 'valeursfoncieres-' || CAST(page_id AS VARCHAR) || '.zip' END")
+             "CAST(page_id AS VARCHAR) || '.pdf' ELSE '" + D.ARCHIVE_TOKEN + "-' || CAST(page_id AS VARCHAR) || '.zip' END")
 ITEMS_SQL = (f"SELECT url, string_split(url, '/')[-1] AS name FROM (SELECT {_ITEM_URL} AS url FROM pages) p "
-             "WHERE url LIKE '%.zip' AND url LIKE '%valeursfoncieres%'")
+             "WHERE url LIKE '%.zip' AND url LIKE '%" + D.ARCHIVE_TOKEN + "%'")
 _YEAR = "NULLIF(regexp_extract(name, '20[0-9]{2}', 0), '')"
 LANDED_SQL = {
     "casefold": "SELECT upper(substring(name, 1, length(name) - 4)) AS name FROM items WHERE length(url) % 3 = 0",

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ..domain import ARCHIVE_TOKEN
+
 CATALOG_SCHEMA = StructType([
     StructField("resources", ArrayType(StructType([StructField("url", StringType())]))),
 ])
@@ -18,7 +20,7 @@ def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     return spark.read.schema(CATALOG_SCHEMA).option("multiLine", multi_line).json(path)
 
 
-def manifest_filter(catalog: DataFrame, suffix: str = ".zip", contains: str = "valeursfoncieres") -> DataFrame:
+def manifest_filter(catalog: DataFrame, suffix: str = ".zip", contains: str = ARCHIVE_TOKEN) -> DataFrame:
     """Resource URLs ending with ``suffix`` and containing ``contains`` -> (url, name)."""
     items = catalog.select(F.explode("resources").alias("r")).select(F.col("r.url").alias("url"))
     items = items.filter(F.col("url").endswith(suffix) & F.col("url").contains(contains))
