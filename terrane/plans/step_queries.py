@@ -137,7 +137,8 @@ def q_surrogate_key(spark, sf_dir):
 
 
 def q_date_key(spark, sf_dir):
-    s = silver_of(spark, sf_dir).select("date_mutation").distinct()
+    """Integer keys of the distinct sale dates (NULL in, NULL out is unit-tested)."""
+    s = silver_of(spark, sf_dir).select("date_mutation").filter(F.col("date_mutation").isNotNull()).distinct()
     return s.select("date_mutation", date_key("date_mutation").alias("date_key"))
 
 
@@ -243,7 +244,7 @@ SQL = {
         + " AS geo_key FROM (SELECT DISTINCT commune, code_postal, code_departement FROM silver) g"),
     "date_key": O.with_ctes(
         "SELECT date_mutation, CAST(year(date_mutation) * 10000 + month(date_mutation) * 100 + day(date_mutation) "
-        "AS INTEGER) AS date_key FROM (SELECT DISTINCT date_mutation FROM silver) d"),
+        "AS INTEGER) AS date_key FROM (SELECT DISTINCT date_mutation FROM silver WHERE date_mutation IS NOT NULL) d"),
     "rank_within_key": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),
     "rank_within_key_split": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),
     "rank_within_window": O.with_ctes(f"SELECT {_clean_sel}, raw_code, lot_rank FROM ranked", upto="ranked"),

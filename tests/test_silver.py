@@ -141,3 +141,11 @@ def test_initcap_breaks_on_punctuation_not_apostrophe(spark):
     df = spark.createDataFrame([("sol-bâti. été",), ("vente en l'état",), (None,)], ["t"])
     got = [r.x for r in df.select(initcap_words("t").alias("x")).collect()]
     assert got == ["Sol-Bâti. Été", "Vente En L'état", None]
+
+
+def test_date_key_and_null(spark):
+    import datetime as dt
+
+    from terrane.functions.scalars import date_key
+    df = spark.createDataFrame([(dt.date(2021, 3, 15),), (None,)], "d date")
+    assert [r.k for r in df.select(date_key("d").alias("k")).collect()] == [20210315, None]
