@@ -28,8 +28,13 @@ BINARY_FILE_SCHEMA = StructType([
 
 def load_new_files(spark: SparkSession, src_dir: str, table_dir: str, checkpoint_dir: str,
                    columns: Sequence[str], glob: str = "*.txt", sep: str = "|",
-                   max_files_per_batch: int | None = None) -> None:
-    """Load every not-yet-loaded ``glob`` file under ``src_dir`` into ``table_dir``."""
+                   max_files_per_batch: int | None = 1000) -> None:
+    """Load every not-yet-loaded ``glob`` file under ``src_dir`` into ``table_dir``.
+
+    ``availableNow`` drains everything present at start in micro-batches of at
+    most ``max_files_per_batch`` files, so the driver never holds more than one
+    batch's file list.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
