@@ -1,10 +1,13 @@
 """Incremental loads on plain parquet: high-water mark, keyed upsert, versioned tables.
 
 A table is a folder of immutable versions ``<root>/v=<n>/`` plus a commit log
-``<root>/_versions/`` (JSON, one row per commit).  A write never touches the
-version being read, so a job can read version n and write n+1 in one plan; a
+``<root>/_versions/`` holding one small marker file per committed version.  The
+marker is written only after Spark has committed the version's files, so a
 failed or retried write leaves the log untouched and readers keep seeing the
-last committed version.
+last committed version; a write never touches the version being read, so a job
+can read version n and write n+1 in one plan.  The log is metadata: it is
+listed and written on the driver through ``pyarrow.fs`` (local, HDFS, S3, GCS),
+without Spark jobs.
 """
 
 from __future__ import annotations
@@ -13,10 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-LOG_SCHEMA = StructType([StructField("version", LongType()), StructField("path", StringType())])
-
 
 def newer_than_target(df: DataFrame, target: DataFrame, col: str, lookback_days: int = 0,
                       load_all_if_empty: bool = True) -> DataFrame:
@@ -54,14 +53,26 @@ def _log_path(root: str) -> str:
     return root.rstrip("/") + "/_versions"
 
 
+def _log_fs(root: str):
+    from ..sources.archive import _fs
+    return _fs(_log_path(root))
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
-    """Last committed version number, or None for a new table (one tiny read)."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).json(_log_path(root))
-    except Exception:  # noqa: BLE001 - missing folder means no version yet
-        return None
-    row = log.agg(F.max("version").alias("v")).collect()[0]
-    return row.v
+    """Last committed version number, or None for a new table (a listing of the log)."""
+    from pyarrow import fs as pafs
+    fs, path = _log_fs(root)
+    infos = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    versions = [int(i.base_name.split(".")[0]) for i in infos
+                if i.type == pafs.FileType.File and i.base_name.endswith(".commit")]
+    return max(versions) if versions else None
+
+
+def _commit(root: str, version: int, path: str) -> None:
+    fs, log = _log_fs(root)
+    fs.create_dir(log, recursive=True)
+    with fs.open_output_stream(f"{log}/{version:020d}.commit") as out:
+        out.write(path.encode("utf-8"))
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
@@ -80,7 +91,7 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    spark.createDataFrame([(v, path)], LOG_SCHEMA).coalesce(1).write.mode("append").json(_log_path(root))
+    _commit(root, v, path)
     return v
 
 

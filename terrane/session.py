@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
+    "spark.scheduler.mode": "FAIR",
 }
 
 
