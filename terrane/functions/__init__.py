@@ -1,6 +1,6 @@
 """Scalar and aggregate column helpers."""
 
-from .measures import count_distinct, count_if, exact_avg, exact_sum, flag_sum, median, rows
+from .measures import avg_ratio, count_distinct, count_if, exact_avg, exact_sum, flag_sum, median, rows
 from .scalars import (
     content_hash,
     date_key,
@@ -17,7 +17,7 @@ from .scalars import (
 )
 
 __all__ = [
-    "content_hash", "count_distinct", "count_if", "date_key", "exact_avg", "exact_sum",
+    "avg_ratio", "content_hash", "count_distinct", "count_if", "date_key", "exact_avg", "exact_sum",
     "first_match", "flag_sum", "initcap_words", "median", "month_start", "null_if_token",
     "parse_date", "parse_decimal", "parse_int", "pct_change", "rows", "safe_ratio",
     "surrogate_key",

@@ -35,6 +35,12 @@ def exact_avg(c: ColumnOrName, scale: int | None = None) -> Column:
     return F.sum(x).cast("double") / F.count(x)
 
 
+def avg_ratio(num: ColumnOrName, den: ColumnOrName, scale: int = 6) -> Column:
+    """``AVG(num / NULLIF(den, 0))``, each ratio kept exactly to ``scale`` decimals."""
+    from .scalars import safe_ratio
+    return exact_avg(safe_ratio(num, den), scale)
+
+
 def median(c: ColumnOrName) -> Column:
     """Exact interpolated median in double precision."""
     return F.median(col(c).cast("double"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import domain as D
-from ..functions.measures import count_distinct, exact_avg, exact_sum, rows
+from ..functions.measures import avg_ratio, count_distinct, exact_avg, exact_sum, rows
 from ..functions.scalars import month_start, safe_ratio
 from ..operators.aggregates import aggregate, top_groups
 from ..operators.windows import pct_change
@@ -19,6 +19,10 @@ def _ratio():
     return safe_ratio(PRICE, "surface_reelle_bati")
 
 
+def _avg_ratio():
+    return avg_ratio(PRICE, "surface_reelle_bati", RATIO_SCALE)
+
+
 def source_rows(table: DataFrame) -> int:
     """Rows of a written source table (a footer read for parquet): bounds every group."""
     return table.count()
@@ -35,7 +39,7 @@ def global_kpis(silver: DataFrame) -> DataFrame:
         F.max("date_mutation").alias("date_derniere_transaction"),
         exact_sum(PRICE).alias("volume_financier_total"),
         exact_avg(PRICE).alias("prix_moyen_france"),
-        exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen_france"),
+        _avg_ratio().alias("prix_m2_moyen_france"),
     ], medians={"prix_median_france": PRICE}, row_bound=source_rows(silver)).select(
         "total_transactions", "nb_communes", "nb_departements", "date_premiere_transaction",
         "date_derniere_transaction", "volume_financier_total", "prix_moyen_france", "prix_median_france",
@@ -48,7 +52,7 @@ def yoy_change(silver: DataFrame) -> DataFrame:
     annual = aggregate(s, [F.year("date_mutation").alias("annee"), "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-        exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
+        _avg_ratio().alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
     ], medians={"prix_median": PRICE}, row_bound=source_rows(silver))
     out = pct_change(annual, {"prix_moyen": "variation_prix_pct", "nb_transactions": "variation_volume_pct"},
@@ -72,7 +76,7 @@ def avg_ratio_by_group(silver: DataFrame) -> DataFrame:
     s = silver.filter((F.col("surface_reelle_bati") > 0) & F.col(PRICE).isNotNull())
     return aggregate(s, ["commune", "code_postal", "type_local"], [
         rows().alias("nb_transactions"),
-        exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
+        _avg_ratio().alias("prix_m2_moyen"),
     ])
 
 
@@ -82,7 +86,7 @@ def region_benchmark(silver: DataFrame) -> DataFrame:
     out = aggregate(s, ["code_departement", "type_local"], [
         rows().alias("nb_transactions"),
         exact_avg(PRICE).alias("prix_moyen"),
-        exact_avg(_ratio(), RATIO_SCALE).alias("prix_m2_moyen"),
+        _avg_ratio().alias("prix_m2_moyen"),
         exact_sum(PRICE).alias("volume_financier"),
     ], medians={"prix_median": PRICE}, row_bound=source_rows(silver))
     return out.select("code_departement", "type_local", "nb_transactions", "prix_moyen", "prix_median",

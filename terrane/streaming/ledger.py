@@ -28,28 +28,33 @@ BINARY_FILE_SCHEMA = StructType([
 
 def load_new_files(spark: SparkSession, src_dir: str, table_dir: str, checkpoint_dir: str,
                    columns: Sequence[str], glob: str = "*.txt", sep: str = "|",
-                   max_files_per_batch: int | None = 1000) -> None:
+                   max_files_per_batch: int | None = 1000) -> int:
     """Load every not-yet-loaded ``glob`` file under ``src_dir`` into ``table_dir``.
 
     ``availableNow`` drains everything present at start in micro-batches of at
     most ``max_files_per_batch`` files, so the driver never holds more than one
-    batch's file list.
+    batch's file list.  Returns the number of files loaded by this run (0 when
+    nothing new was there).
     """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     files = reader.load(src_dir).select("path")
 
+    loaded = [0]
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r.path for r in batch.collect()]  # this batch's new files (a listing)
         if not paths:
             return
+        loaded[0] += len(paths)
         rows = delimited_scan(spark, paths, columns, sep=sep)
         rows.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{BATCH_DIR}={batch_id}")
 
     q = (files.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return loaded[0]
 
 
 def read_loaded(spark: SparkSession, table_dir: str, columns: Sequence[str]) -> DataFrame:

@@ -45,8 +45,8 @@ def test_ledger_loads_each_file_once(spark):
     src, table, ckpt = (scratch_dir(spark, n) for n in ("t-src", "t-table", "t-ckpt"))
     cols = ["No disposition", "Commune"]
     _write(src, "f1.txt", "No disposition|Commune\n1|A\n2|B\n")
-    load_new_files(spark, src, table, ckpt, cols)
-    load_new_files(spark, src, table, ckpt, cols)
+    assert load_new_files(spark, src, table, ckpt, cols) == 1
+    assert load_new_files(spark, src, table, ckpt, cols) == 0
     assert read_loaded(spark, table, cols).count() == 2
     _write(src, "f2.txt", "Commune|No disposition\nC|3\n")
     load_new_files(spark, src, table, ckpt, cols)
