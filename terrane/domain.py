@@ -168,9 +168,6 @@ HASH_FIELDS = [
     "nombre_pieces_principales",
 ]
 
-# Rank key of a silver row (coalesced parts are marked).
-RANK_KEYS = ["no_disposition", "identifiant_document", "type_local", "surface_reelle_bati"]
-
 
 def bronze_schema() -> StructType:
     """All-string raw schema bound by name."""

@@ -8,7 +8,6 @@ which is the situation in unit tests and the local bench.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,9 +68,3 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
-
-
-def ensure_local_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
