@@ -154,3 +154,25 @@ def test_hot_group_medians_match_percentile(spark, silver_df, monkeypatch):
     monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 3)
     kpi = gold.global_kpis(s).collect()[0].prix_median_france
     assert kpi == s.agg(F.median(F.col("valeur_fonciere").cast("double"))).collect()[0][0]
+
+
+def test_hot_median_path_with_expression_keys(spark, silver_df, seed, monkeypatch):
+    import random
+
+    from terrane.operators import aggregates
+    random.seed(3)
+    rows = [srow(i, f"202{i % 3}-0{1 + i % 9}-1{i % 10}", random.randint(1000, 1100),
+                 commune=("paris" if i % 4 else "lyon"), typ=("maison" if i % 3 else None)) for i in range(300)]
+    s = silver_df(rows)
+    f, g, cal = star.fact(s), star.dim_geography(s, seed), star.calendar(spark)
+
+    def run():
+        return {
+            "yoy": sorted(tuple(r) for r in gold.yoy_change(s).collect()),
+            "month": sorted(tuple(r) for r in star.agg_month(f, cal).collect()),
+            "region": sorted(tuple(r) for r in star.agg_region_year(f, g, cal).collect()),
+        }
+    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 10_000_000)
+    plain = run()
+    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 5)
+    assert run() == plain

@@ -149,3 +149,12 @@ def test_date_key_and_null(spark):
     from terrane.functions.scalars import date_key
     df = spark.createDataFrame([(dt.date(2021, 3, 15),), (None,)], "d date")
     assert [r.k for r in df.select(date_key("d").alias("k")).collect()] == [20210315, None]
+
+
+def test_silver_build_same_with_forced_salting(src_df):
+    rows = [raw_row(no_disposition=str(i % 2), identifiant_document=str(i % 5), valeur_fonciere=str(1000 + i % 37),
+                    commune=f"c{i % 3}", type_local=MAISON if i % 2 else None, date_mutation="2021-01-0" + str(1 + i % 9))
+            for i in range(300)]
+    plain = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=None).collect())
+    salted = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=3).collect())
+    assert plain == salted and len(plain) > 0
