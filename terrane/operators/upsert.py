@@ -150,7 +150,7 @@ def merge_partitions(updates: DataFrame, path: str, key: str | Sequence[str], pa
         return spark.read.parquet(path)
     _rebalanced(updates.select(*current.columns), partition_col).write.mode("overwrite") \
         .partitionBy(partition_col).parquet(f"{root}/batch")
-    batch = spark.read.parquet(f"{root}/batch")
+    batch = spark.read.schema(current.schema).parquet(f"{root}/batch")  # may be empty
     touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
     if not touched:
         return current

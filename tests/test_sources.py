@@ -77,3 +77,32 @@ def test_seed_keeps_codes_as_text(spark):
     rows = {r.code_departement: r.region for r in read_seed(spark, d).collect()}
     assert rows == {"01": "Auvergne-Rhône-Alpes", "2A": "Corse"}
     assert len(D.BRONZE_COLUMNS) == 43
+
+
+def test_run_refresh_end_to_end(spark):
+    from terrane.plans.runner import run_refresh
+    from terrane.plans.star import calendar
+    zips, root = scratch_dir(spark, "t-refresh-zips"), scratch_dir(spark, "t-refresh")
+    os.makedirs(local_path(zips), exist_ok=True)
+    header = "|".join(D.BRONZE_COLUMNS)
+    idx = {c: i for i, c in enumerate(D.BRONZE_COLUMNS)}
+
+    def line(disp, doc, date, price, typ, commune):
+        f = [""] * len(D.BRONZE_COLUMNS)
+        vals = {"No disposition": disp, "Identifiant de document": doc, "Date mutation": date,
+                "Nature mutation": "Vente", "Valeur fonciere": price, "Type local": typ, "Commune": commune,
+                "Code postal": "75001", "Code departement": "75", "Surface reelle bati": "50"}
+        for k, v in vals.items():
+            f[idx[k]] = v
+        return "|".join(f)
+    with zipfile.ZipFile(os.path.join(local_path(zips), "valeursfoncieres-2021.txt.zip"), "w") as z:
+        z.writestr("ValeursFoncieres-2021.txt", "\n".join([header] + [
+            line("1", f"d{i}", f"2021-0{1 + i % 6}-15", f"{100000 + i},00", "Maison", "PARIS") for i in range(30)]) + "\n")
+    seed = spark.createDataFrame([("75", "Paris", "Île-de-France")], ["code_departement", "nom_departement", "region"])
+    cal = calendar(spark)
+    first = run_refresh(spark, zips, root, seed, cal).collect()[0]
+    assert first.total_count == 48 and first.fail_count == 0
+    again = run_refresh(spark, zips, root, seed, cal).collect()[0]
+    assert again.total_count == 48
+    silver = spark.read.parquet(root + "/silver")
+    assert silver.count() == 30
