@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import rows
 from ..functions.scalars import ColumnOrName, col
+from ..session import setting
 
 
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
@@ -25,30 +26,32 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
     ``row_bound`` (an upper bound of the input rows, e.g. the count of the written
     source table) skips that machinery when no group can be that large.
     """
-    if medians and row_bound is not None and row_bound <= MEDIAN_TASK_VALUES:
+    limit = setting(df.sparkSession, "medianTaskValues", MEDIAN_TASK_VALUES) if medians else 0
+    if medians and row_bound is not None and row_bound <= limit:
         plain = [F.median(col(v).cast("double")).alias(m) for m, v in medians.items()]
         out = df.groupBy(*[col(k) for k in keys]).agg(*measures, *plain) if keys else df.agg(*measures, *plain)
     elif medians:
-        out = _aggregate_with_medians(df, keys, measures, medians)
+        out = _aggregate_with_medians(df, keys, measures, medians, limit)
     else:
         out = df.groupBy(*[col(k) for k in keys]).agg(*measures) if keys else df.agg(*measures)
     return out.filter(having) if having is not None else out
 
 
 def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
-                            medians: dict[str, ColumnOrName]) -> DataFrame:
+                            medians: dict[str, ColumnOrName], limit: int) -> DataFrame:
     from .joins import null_safe_join
     if not keys:
         # One group holding every row: always the distributed median (scalar subqueries).
         out = df.agg(*measures)
-        return out.select("*", *[grouped_median(df, [], v, m).scalar().alias(m) for m, v in medians.items()])
+        return out.select("*", *[grouped_median(df, [], v, m, task_values=limit).scalar().alias(m)
+                                 for m, v in medians.items()])
     exprs = [k for k in keys if not isinstance(k, str)]
     keyed = df.select("*", *exprs) if exprs else df
     added = iter(keyed.columns[len(df.columns):])
     names = [k if isinstance(k, str) else next(added) for k in keys]
     values = {m: col(v) for m, v in medians.items()}
     # Row counts bound the values per group.
-    hot = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > MEDIAN_TASK_VALUES)
+    hot = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
            .select(*names, F.lit(True).alias("__hot")))
     tagged = null_safe_join(keyed, F.broadcast(hot), names, "left")
     cold = F.col("__hot").isNull()
@@ -56,7 +59,7 @@ def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measure
                                                   for m, v in values.items()])
     hot_rows = tagged.filter(F.col("__hot"))
     for m, v in values.items():
-        hm = grouped_median(hot_rows, names, v, "__hm")  # one row per hot group: bounded
+        hm = grouped_median(hot_rows, names, v, "__hm", task_values=limit)  # one row per hot group: bounded
         out = (null_safe_join(out, F.broadcast(hm), names, "left")
                .withColumn(m, F.coalesce(F.col(m), F.col("__hm"))).drop("__hm"))
     return out

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast-hint ``df`` only if it holds at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it is cheap for
     seeds and small dimension tables.
     """
+    if max_rows is None:
+        from ..session import setting
+        max_rows = setting(df.sparkSession, "broadcastRows", DEFAULT_BROADCAST_ROWS)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -37,7 +40,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def lookup(df: DataFrame, seed: DataFrame, on: str | Sequence[str],
-           defaults: Mapping[str, Column] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
+           defaults: Mapping[str, Column] | None = None, max_rows: int | None = None,
            checked: bool = True) -> DataFrame:
     """Left join to a reference table; unmatched attributes take ``defaults``."""
     right = checked_broadcast(seed, max_rows) if checked else seed

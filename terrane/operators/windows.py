@@ -19,8 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
+from ..session import setting
 from .joins import null_safe_join
 
+AUTO = "auto"  # threshold from the session (terrane.hotKeyRows) or HOT_KEY_ROWS
+
 # Keys above this many rows are split; also the target rows per salt.
 HOT_KEY_ROWS = 2_000_000
 _HEX8 = 4294967296  # 16 ** 8
@@ -36,7 +39,7 @@ def _materialize(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Co
 
 def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
                     name: str = "rank", spread: ColumnOrName | None = None,
-                    hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+                    hot_threshold: int | str | None = AUTO) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY [spread,] order)``, ascending, NULLs first.
 
     ``order`` should make the order total inside each key, otherwise tied rows are
@@ -44,6 +47,7 @@ def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     least 8 digits) that leads the order and lets hot keys be split; without it, or
     with ``hot_threshold=None``, one plain window is used.
     """
+    hot_threshold = resolve_hot_threshold(df, hot_threshold)
     full_order = ([spread] if spread is not None else []) + list(order)
     base, kn, on = _materialize(df, keys, full_order)
     helpers = kn + on
@@ -79,8 +83,14 @@ def row_code(cols: Sequence[ColumnOrName]) -> Column:
     return F.concat_ws("|", *parts)
 
 
+def resolve_hot_threshold(df: DataFrame, hot_threshold: int | str | None) -> int | None:
+    if hot_threshold == AUTO:
+        return setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
+    return hot_threshold
+
+
 def rank_distinct_rows(df: DataFrame, keys: Sequence[ColumnOrName], code: ColumnOrName, name: str = "rank",
-                       hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+                       hot_threshold: int | str | None = AUTO) -> DataFrame:
     """``SELECT DISTINCT`` then ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY md5(code), code)``.
 
     ``code`` must encode the row injectively (``row_code``): identical rows have
@@ -90,6 +100,7 @@ def rank_distinct_rows(df: DataFrame, keys: Sequence[ColumnOrName], code: Column
     split into hash-range salts as in ``rank_within_key`` (salt sizes counted as
     distinct codes).
     """
+    hot_threshold = resolve_hot_threshold(df, hot_threshold)
     kn = [f"__k{i}" for i in range(len(keys))]
     base = df.select("*", *[col(k).alias(n) for k, n in zip(keys, kn)], col(code).alias("__code"))
     base = base.withColumn("__h", F.md5(F.col("__code")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import domain as D
 from ..functions.scalars import content_hash, parse_date, parse_decimal, parse_int, safe_ratio
 from ..operators.clean import min_price_min_surface_rules, positive_filter, rename, validate_by_category
-from ..operators.windows import HOT_KEY_ROWS, keep_first_per_key, rank_distinct_rows, row_code
+from ..operators.windows import AUTO, keep_first_per_key, rank_distinct_rows, resolve_hot_threshold, row_code
 
 RAW_CODE = "raw_code"
 SRC_COLUMNS = list(D.RENAME_MAP.values())
@@ -85,7 +85,7 @@ def mutation_id(rank_col: str = "lot_rank") -> Column:
 
 def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool = False,
              date_formats: Sequence[str] = D.DATE_FORMATS, restrict_to_new_keys: bool = True,
-             lookback_days: int = 0, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+             lookback_days: int = 0, hot_threshold: int | str | None = AUTO) -> DataFrame:
     """Silver rows newer than the current table's high-water mark (the incremental run).
 
     Ranking still sees every raw row of a key, as a full build does.  With
@@ -117,7 +117,7 @@ def _raw_rank_key() -> list[Column]:
 
 def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
                 date_formats: Sequence[str] = D.DATE_FORMATS, first_only: bool = False,
-                hot_threshold: int | None = HOT_KEY_ROWS, row_bound: int | None = None) -> DataFrame:
+                hot_threshold: int | str | None = AUTO, row_bound: int | None = None) -> DataFrame:
     """distinct -> clean -> lot rank -> price and rule filters -> id and unit price.
 
     The DISTINCT and the lot rank share one shuffle (``rank_distinct_rows``).
@@ -125,6 +125,7 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
     src = bronze_or_src if already_staged else staging(bronze_or_src)
+    hot_threshold = resolve_hot_threshold(src, hot_threshold)
     if hot_threshold is not None and (row_bound if row_bound is not None else src.count()) <= hot_threshold:
         # No key can exceed the threshold: skip the hot-key pass.  For a parquet
         # raw table the count reads file footers only; ``row_bound`` supplies it
@@ -147,7 +148,7 @@ PARTITION_COL = "mois_mutation"
 
 def incremental_build(bronze_or_src: DataFrame, path: str, already_staged: bool = False,
                       restrict_to_new_keys: bool = True, lookback_days: int = 0,
-                      hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+                      hot_threshold: int | str | None = AUTO) -> DataFrame:
     """Create the silver table at ``path`` (partitioned by sale month), or merge the
     rows newer than its high-water mark, rewriting only the months they touch.
 

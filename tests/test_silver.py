@@ -158,3 +158,19 @@ def test_silver_build_same_with_forced_salting(src_df):
     plain = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=None).collect())
     salted = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=3).collect())
     assert plain == salted and len(plain) > 0
+
+
+def test_session_knobs_force_the_split_paths(spark, src_df):
+    from terrane.plans import gold
+    rows = [raw_row(no_disposition="1", identifiant_document=str(i % 4), valeur_fonciere=str(1000 + i),
+                    commune=f"c{i % 3}", type_local=MAISON, date_mutation="2021-02-03") for i in range(120)]
+    plain = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=None).collect())
+    med_plain = sorted(tuple(r) for r in gold.avg_median_by_group(_silver(src_df, rows)).collect())
+    spark.conf.set("terrane.hotKeyRows", "2")
+    spark.conf.set("terrane.medianTaskValues", "2")
+    try:
+        assert sorted(tuple(r) for r in _silver(src_df, rows).collect()) == plain
+        assert sorted(tuple(r) for r in gold.avg_median_by_group(_silver(src_df, rows)).collect()) == med_plain
+    finally:
+        spark.conf.unset("terrane.hotKeyRows")
+        spark.conf.unset("terrane.medianTaskValues")
