@@ -131,8 +131,9 @@ def q_archive_scan(spark, sf_dir):
 
 
 def q_archive_lines(spark, sf_dir):
+    """Every text line extracted from the archives (one header line per archive)."""
     zips, landed = _make_archives(spark, sf_dir)
-    return archive_scan(spark, zips, landed, ".txt")
+    return archive_scan(spark, zips, landed, ".txt").select("line")
 
 
 def q_landing_check(spark, sf_dir):
@@ -276,7 +277,11 @@ def _diff_sql(mode: str) -> str:
             f"FROM items i LEFT JOIN keys k ON {ikey} = k.k")
 
 
+_LINE = "concat_ws('|', " + ", ".join(f"COALESCE(\"{c}\", '')" for c in COLS) + ")"
+
 SQL = {
+    "archive_lines": (f"WITH bronze AS (\n{BRONZE_SQL}\n)\nSELECT {_LINE} AS line FROM bronze\n"
+                      f"UNION ALL SELECT {O._sql_str('|'.join(COLS))} AS line FROM range({FILE_PARTS})"),
     "delimited_scan": _bronze_with({}),
     "match_by_name": _bronze_with({"Surface terrain": "CASE WHEN CAST(\"No disposition\" AS INTEGER) % 2 = 0 "
                                                       "THEN NULL ELSE \"Surface terrain\" END"}),

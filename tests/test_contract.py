@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"archive_lines", "landing_check"}
+ROWS_ONLY = {"landing_check"}
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
