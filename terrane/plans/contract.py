@@ -66,7 +66,11 @@ def sql_side(statements: dict[str, str]) -> dict[str, str]:
         con.execute(f"CREATE TABLE {name} ({cols})")
     out = {}
     for key, sql in statements.items():
-        described = con.execute(f"DESCRIBE {sql}").fetchall()
+        try:
+            described = con.execute(f"DESCRIBE {sql}").fetchall()
+        except Exception:  # noqa: BLE001 - keep the statement as written
+            out[key] = sql
+            continue
         parts, changed = [], False
         for row in described:
             col, typ = row[0], row[1]
