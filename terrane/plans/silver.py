@@ -91,7 +91,10 @@ def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool
     Ranking still sees every raw row of a key, as a full build does.  With
     ``restrict_to_new_keys`` only the lot keys that received a row past the mark
     are ranked: the window partitions on the key, so their ranks are unchanged
-    while the rest of the raw table is neither shuffled nor sorted.
+    while the rest of the raw table is neither shuffled nor sorted.  This pays
+    off when the new keys are few enough for AQE to broadcast them (a monthly
+    increment); for an increment touching most keys the semi-join would shuffle
+    the whole raw table, and ``restrict_to_new_keys=False`` is the cheaper plan.
     """
     from ..operators.joins import null_safe_join
     from ..operators.upsert import newer_than_target
