@@ -91,21 +91,29 @@ def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool
     Ranking still sees every raw row of a key, as a full build does.  With
     ``restrict_to_new_keys`` only the lot keys that received a row past the mark
     are ranked: the window partitions on the key, so their ranks are unchanged
-    while the rest of the raw table is neither shuffled nor sorted.  This pays
-    off when the new keys are few enough for AQE to broadcast them (a monthly
-    increment); for an increment touching most keys the semi-join would shuffle
-    the whole raw table, and ``restrict_to_new_keys=False`` is the cheaper plan.
+    while the rest of the raw table is neither shuffled nor sorted.  The new keys
+    are written once (the probe reads five raw columns) and counted: within
+    ``terrane.broadcastRows`` they are broadcast to a map-side semi-join; beyond it
+    every key is ranked, since a shuffled semi-join would cost more than it saves.
     """
-    from ..operators.joins import null_safe_join
+    from ..operators.joins import DEFAULT_BROADCAST_ROWS, null_safe_join
     from ..operators.upsert import newer_than_target
+    from ..session import scratch_dir, setting
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     bound = src.count()  # the raw table: a footer read; bounds any restriction of it
     if restrict_to_new_keys:
+        spark = src.sparkSession
         kn = [f"__nk{i}" for i in range(4)]
         key_cols = [k.alias(n) for k, n in zip(_raw_rank_key(), kn)]
         probe = src.select(*key_cols, parse_date("date_mutation", date_formats).alias("date_mutation"))
-        keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct()
-        src = null_safe_join(src.select("*", *key_cols), keys, kn, "left_semi").drop(*kn)
+        keys_path = scratch_dir(spark, "silver-new-keys")
+        newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct() \
+            .write.mode("overwrite").parquet(keys_path)
+        keys = spark.read.parquet(keys_path)
+        if keys.count() <= setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS):
+            # Proven small: a map-side semi-join, the raw table is never shuffled for it.
+            src = null_safe_join(src.select("*", *key_cols), F.broadcast(keys), kn, "left_semi").drop(*kn)
+        # Otherwise rank every key: a shuffled semi-join would cost more than it saves.
     rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold,
                        row_bound=bound)
     return newer_than_target(rows, current, "date_mutation", lookback_days)
