@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import count_if, rows
 
-PASS, WARN, FAIL = "pass", "warn", "fail"
+PASS, WARN, FAIL, ERROR = "pass", "warn", "fail", "error"
 
 
 @dataclass(frozen=True)
@@ -43,33 +43,69 @@ def _scoped(df: DataFrame, where: str | None) -> DataFrame:
     return df.filter(F.expr(where)) if where else df
 
 
+def _not_null_part(tables: dict[str, DataFrame], table: str, where: str | None, group: list[Check]) -> DataFrame:
+    df = _scoped(tables[table], where)
+    agg = df.agg(*[count_if(F.col(c.column).isNull()).alias(f"__f{i}") for i, c in enumerate(group)])
+    unpivot = F.explode(F.array(*[F.struct(*_row(c, F.col(f"__f{i}"))) for i, c in enumerate(group)]))
+    return agg.select(unpivot.alias("r")).select("r.*")
+
+
+def _single_part(tables: dict[str, DataFrame], c: Check) -> DataFrame:
+    if c.test == "unique":
+        df = _scoped(tables[c.table], c.where)
+        dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(rows().alias("__n"))
+               .filter(F.col("__n") > 1))
+        return dup.agg(rows().alias("__f")).select(*_row(c, F.col("__f")))
+    if c.test == "relationships":
+        child = _scoped(tables[c.table], c.where).select(F.col(c.column).alias("__k")).filter(F.col("__k").isNotNull())
+        parent = tables[c.to_table].select(F.col(c.to_column).alias("__k")).distinct()
+        orphans = child.join(parent, "__k", "left_anti")
+        return orphans.agg(rows().alias("__f")).select(*_row(c, F.col("__f")))
+    raise ValueError(f"unknown test {c.test!r}")
+
+
+def _error_rows(spark, checks: list[Check]) -> DataFrame:
+    """Checks that could not be planned (missing table or column): status ``error``."""
+    data = [(c.table, c.column, c.test, c.severity, None) for c in checks]
+    return spark.createDataFrame(data, "table_name string, column_name string, test string, severity string, "
+                                       "failures bigint")
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate ``checks`` against ``tables``; one row per check."""
+    """Evaluate ``checks`` against ``tables``; one row per check.
+
+    A check that cannot be planned (unknown table or column) is reported with
+    status ``error`` and NULL failures instead of failing the whole report.
+    """
+    from pyspark.errors import AnalysisException
     parts: list[DataFrame] = []
+    broken: list[Check] = []
     not_null: OrderedDict[tuple[str, str | None], list[Check]] = OrderedDict()
     for c in checks:
         if c.test == "not_null":
             not_null.setdefault((c.table, c.where), []).append(c)
     for (table, where), group in not_null.items():
-        df = _scoped(tables[table], where)
-        agg = df.agg(*[count_if(F.col(c.column).isNull()).alias(f"__f{i}") for i, c in enumerate(group)])
-        unpivot = F.explode(F.array(*[F.struct(*_row(c, F.col(f"__f{i}"))) for i, c in enumerate(group)]))
-        parts.append(agg.select(unpivot.alias("r")).select("r.*"))
+        try:
+            parts.append(_not_null_part(tables, table, where, group))
+        except (AnalysisException, KeyError):
+            # Plan the group's checks one by one so only the broken ones are errors.
+            for c in group:
+                try:
+                    parts.append(_not_null_part(tables, table, where, [c]))
+                except (AnalysisException, KeyError):
+                    broken.append(c)
     for c in checks:
-        if c.test == "unique":
-            df = _scoped(tables[c.table], c.where)
-            dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(rows().alias("__n"))
-                   .filter(F.col("__n") > 1))
-            parts.append(dup.agg(rows().alias("__f")).select(*_row(c, F.col("__f"))))
-        elif c.test == "relationships":
-            child = _scoped(tables[c.table], c.where).select(F.col(c.column).alias("__k")).filter(F.col("__k").isNotNull())
-            parent = tables[c.to_table].select(F.col(c.to_column).alias("__k")).distinct()
-            orphans = child.join(parent, "__k", "left_anti")
-            parts.append(orphans.agg(rows().alias("__f")).select(*_row(c, F.col("__f"))))
-        elif c.test != "not_null":
-            raise ValueError(f"unknown test {c.test!r}")
+        if c.test == "not_null":
+            continue
+        try:
+            parts.append(_single_part(tables, c))
+        except (AnalysisException, KeyError):
+            broken.append(c)
+    if broken:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(_error_rows(spark, broken))
     out = union_all(parts)
-    status = (F.when(F.col("failures") == 0, F.lit(PASS))
+    status = (F.when(F.col("failures").isNull(), F.lit(ERROR)).when(F.col("failures") == 0, F.lit(PASS))
               .when(F.col("severity") == "warn", F.lit(WARN)).otherwise(F.lit(FAIL)))
     return out.withColumn("status", status)
 

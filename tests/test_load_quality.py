@@ -81,3 +81,14 @@ def test_merge_partitions_rewrites_only_touched_months(spark):
     assert sorted((r.id, r.v) for r in out.collect()) == [("a", 1), ("b", 9), ("c", 1)]
     assert sorted(glob.glob(os.path.join(local_path(path), "m=2021-01-01", "*.parquet"))) == jan
     assert [os.path.getmtime(f) for f in jan] == before
+
+
+def test_unplannable_check_is_an_error_row(spark):
+    t = {"t": spark.createDataFrame([("a", 1)], "k string, x int")}
+    checks = [Check("t", "k", "not_null"), Check("t", "missing", "not_null"), Check("t", "nope", "unique"),
+              Check("gone", "k", "not_null")]
+    rep = {(r.table_name, r.column_name, r.test): r.status for r in run_checks(t, checks).collect()}
+    assert rep == {("t", "k", "not_null"): "pass", ("t", "missing", "not_null"): "error",
+                   ("t", "nope", "unique"): "error", ("gone", "k", "not_null"): "error"}
+    s = summarize(run_checks(t, checks)).collect()[0]
+    assert (s.pass_count, s.warn_count, s.fail_count, s.total_count) == (1, 0, 0, 4)
