@@ -106,11 +106,15 @@ def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool
         kn = [f"__nk{i}" for i in range(4)]
         key_cols = [k.alias(n) for k, n in zip(_raw_rank_key(), kn)]
         probe = src.select(*key_cols, parse_date("date_mutation", date_formats).alias("date_mutation"))
-        keys_path = scratch_dir(spark, "silver-new-keys")
-        newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct() \
-            .write.mode("overwrite").parquet(keys_path)
-        keys = spark.read.parquet(keys_path)
-        if keys.count() <= setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS):
+        keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct()
+        limit = setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS)
+        small = bound <= limit  # never more keys than raw rows
+        if not small:
+            keys_path = scratch_dir(spark, "silver-new-keys")
+            keys.write.mode("overwrite").parquet(keys_path)
+            keys = spark.read.parquet(keys_path)
+            small = keys.count() <= limit
+        if small:
             # Proven small: a map-side semi-join, the raw table is never shuffled for it.
             src = null_safe_join(src.select("*", *key_cols), F.broadcast(keys), kn, "left_semi").drop(*kn)
         # Otherwise rank every key: a shuffled semi-join would cost more than it saves.
