@@ -69,8 +69,8 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
                 threads: int = 4) -> DataFrame:
     """One refresh of the whole model, in the order of the source's monthly run.
 
-    1. unzip new ``.txt`` members of the archives (one task per archive) and check
-       that something is landed;
+    1. unzip the ``.txt`` members of archives not landed yet (manifest diff on the
+       case-folded names, one task per archive) and check that something is landed;
     2. load each landed file once into the raw table (streaming ledger, by name);
     3. incremental silver: rank keys with new rows, merge rows past the mark into
        the month-partitioned silver table;
@@ -81,12 +81,22 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     """
     from .. import domain as D
     from ..operators.quality import Check, run_checks, summarize
-    from ..sources.archive import extract_archives, require_landed
+    from pyspark.sql import functions as F
+
+    from ..sources.archive import extract_archives, list_files, require_landed
+    from ..sources.manifest import PENDING, manifest_diff
     from ..streaming.ledger import load_new_files, read_loaded
     from . import silver as S
     base = root.rstrip("/")
     landed, raw, ledger = f"{base}/landed", f"{base}/raw", f"{base}/_ledger"
-    extract_archives(spark, archive_dir, landed, ".txt")
+    leaf = F.element_at(F.split("path", "/"), -1).alias("name")
+    archives = list_files(spark, archive_dir, "*.zip").select("path", leaf)
+    try:
+        already = list_files(spark, landed, "*.txt").select(leaf)
+    except Exception:  # noqa: BLE001 - nothing landed yet
+        already = spark.createDataFrame([], "name string")
+    pending = manifest_diff(archives, already, "casefold").filter(F.col("status") == PENDING)
+    extract_archives(spark, archive_dir, landed, ".txt", archives=pending)
     require_landed(spark, landed, ".txt")
     load_new_files(spark, landed, raw, ledger, D.BRONZE_COLUMNS, glob="*.txt")
     bronze = read_loaded(spark, raw, D.BRONZE_COLUMNS)

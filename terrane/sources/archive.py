@@ -69,13 +69,15 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def extract_archives(spark: SparkSession, path: str, out_dir: str, member_suffix: str = ".txt",
-                     archive_glob: str = "*.zip") -> DataFrame:
+                     archive_glob: str = "*.zip", archives: DataFrame | None = None) -> DataFrame:
     """Extract the ``member_suffix`` members of every archive under ``path`` to ``out_dir``.
 
-    Returns the extraction log (archive, member, path, bytes).  The extraction runs
-    once, inside the job that writes that log next to the extracted files.
+    ``archives`` (a DataFrame with a ``path`` column) restricts the work to some
+    archives, e.g. those a manifest diff marked pending.  Returns the extraction
+    log (archive, member, path, bytes).  The extraction runs once, inside the job
+    that writes that log next to the extracted files.
     """
-    listing = list_files(spark, path, archive_glob).select("path")
+    listing = (archives if archives is not None else list_files(spark, path, archive_glob)).select("path")
     n = max(1, listing.count())  # number of archives: one task each
     log = listing.repartition(n, "path").mapInPandas(_extract_batches(out_dir, member_suffix), EXTRACT_SCHEMA)
     log_dir = out_dir.rstrip("/") + "/_extract_log"

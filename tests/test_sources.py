@@ -102,7 +102,10 @@ def test_run_refresh_end_to_end(spark):
     cal = calendar(spark)
     first = run_refresh(spark, zips, root, seed, cal).collect()[0]
     assert first.total_count == 48 and first.fail_count == 0
+    landed_file = os.path.join(local_path(root), "landed", "ValeursFoncieres-2021.txt")
+    stamp = os.path.getmtime(landed_file)
     again = run_refresh(spark, zips, root, seed, cal).collect()[0]
+    assert os.path.getmtime(landed_file) == stamp  # the landed archive is not extracted again
     assert again.total_count == 48
     silver = spark.read.parquet(root + "/silver")
     assert silver.count() == 30
