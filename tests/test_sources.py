@@ -109,3 +109,11 @@ def test_run_refresh_end_to_end(spark):
     assert again.total_count == 48
     silver = spark.read.parquet(root + "/silver")
     assert silver.count() == 30
+
+
+def test_year_mode_without_year_is_never_skipped(spark):
+    items = spark.createDataFrame([("u1", "valeursfoncieres-notice.zip"), ("u2", "valeursfoncieres-2023.zip")],
+                                  ["url", "name"])
+    landed = spark.createDataFrame([("copy-of-x2023y.txt",), ("notice.txt",)], ["name"])
+    st = {r.name: r.status for r in manifest_diff(items, landed, "year").collect()}
+    assert st == {"valeursfoncieres-notice.zip": "pending", "valeursfoncieres-2023.zip": "skipped"}
