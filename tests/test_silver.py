@@ -174,3 +174,19 @@ def test_session_knobs_force_the_split_paths(spark, src_df):
     finally:
         spark.conf.unset("terrane.hotKeyRows")
         spark.conf.unset("terrane.medianTaskValues")
+
+
+def test_incremental_lookback_adds_late_rows_once(spark, src_df):
+    from terrane.session import scratch_dir
+    first = [raw_row(no_disposition="1", identifiant_document=f"d{i}", valeur_fonciere="5000", type_local=MAISON,
+                     date_mutation=f"2021-01-{i:02d}") for i in range(1, 11)]
+    late = raw_row(no_disposition="1", identifiant_document="late", valeur_fonciere="7000", type_local=MAISON,
+                   date_mutation="2021-01-09")
+    strict_root, lookback_root = scratch_dir(spark, "t-strict"), scratch_dir(spark, "t-lookback")
+    for root in (strict_root, lookback_root):
+        silver.incremental_build(src_df(first), root, already_staged=True)
+    strict = silver.incremental_build(src_df(first + [late]), strict_root, already_staged=True)
+    assert "late" not in {r.identifiant_document for r in strict.collect()}
+    back = silver.incremental_build(src_df(first + [late]), lookback_root, already_staged=True, lookback_days=5)
+    docs = [r.identifiant_document for r in back.collect()]
+    assert "late" in docs and len(docs) == 11 and len(set(docs)) == 11
