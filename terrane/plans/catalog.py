@@ -20,7 +20,11 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 def materialized(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
     """``build()`` written once per (application, name, source), then read back."""
-    key = (spark.sparkContext.applicationId, name, source)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        app = spark.conf.get("spark.app.id", "session")
+    key = (app, name, source)
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_dir(spark, name)

@@ -34,10 +34,12 @@ def spread_input(df: DataFrame) -> DataFrame:
     after it would then run on one core.  With many input files (the normal case
     at scale) the scan already has enough splits and nothing is added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _s(c: Column) -> Column:

@@ -43,7 +43,11 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; set one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): use the conf only
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        return conf_dir or tempfile.mkdtemp(prefix="terrane-ckpt-")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
