@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, kd_shards, packing, pii, quality, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -25,9 +25,75 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    return quality.judge(quality.describe(documents, model))
+
+
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")).where("bad IS NOT NULL")
+    return url_rules.judge(pages, url_rules.mine(pages, labels), URL_RULES)
+
+
+SHARDS = 16
+
+
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 1
+    dimensions = {"source": kd_shards.text_position(F.col("source")), "lang": kd_shards.text_position(F.col("lang")),
+                  "size": F.log2(size), "doc_id": F.col("doc_id")}
+    return kd_shards.shard_documents(documents, dimensions, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), only=~out)
+    return toxicity.score(documents, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("sentences").alias("n_offending"), F.transform("sentences", lambda s: s["start"]).alias("offending_starts"))
+
+
+def tokenizer_path(spark: SparkSession) -> str:
+    """Vocabulary file of the packing query: ``terrane.tokenizerPath``, else the installed public one."""
+    path = spark.conf.get("terrane.tokenizerPath", None)
+    if path:
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(spark))
+
+
+def pii_key(spark: SparkSession) -> str:
+    """Key of the pseudonyms: ``terrane.piiKey`` of the session; the default is for tests only."""
+    return spark.conf.get("terrane.piiKey", "terrane test key")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), pii_key(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
+    "op5_url_rules": op5_url_rules,
+    "op6_kd_shards": op6_kd_shards,
+    "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
