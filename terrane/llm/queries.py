@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kd_shards, packing, pii, quality, simhash, toxicity, url_rules
+from . import decontaminate, kd_shards, packing, pii, quality, simhash, suffix_dedup, toxicity, url_rules, warc_revisit
 from .common import table
+from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,46 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("matches", lambda m: m["n_words"])), F.lit(0).cast("long")).alias("longest_match"))
 
 
+def warc_records(pages: DataFrame) -> DataFrame:
+    """Two records per page: its full response, and a later revisit of the URL in another spelling.
+
+    Fixed rules on page_id vary validators, dates and headers, so that every outcome occurs.
+    """
+    p = F.col("page_id")
+    at = F.lit(1700000000) + p * 60
+    tag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
+    stamp = F.concat(F.lit("t"), p.cast("string"))
+    no_headers = F.lit(None).cast("string")
+    answer = F.map_filter(F.create_map(
+        F.lit("ETag"), F.when(p % 7 == 0, no_headers).when(p % 5 == 0, F.concat(F.lit("W/"), tag)).otherwise(tag),
+        F.lit("Last-Modified"), F.when(p % 3 == 0, no_headers).otherwise(stamp),
+        F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.octet_length("html").cast("string"),
+        F.lit("Cache-Control"), F.lit("max-age=60")), lambda _, v: v.isNotNull())
+    not_modified = F.map_filter(F.create_map(
+        F.lit("etag"), F.when(p % 13 == 0, F.lit('"stale"')).otherwise(tag),
+        F.lit("LAST-MODIFIED"), F.when(p % 2 == 0, no_headers).otherwise(stamp),
+        F.lit("Content-Length"), F.lit("0"), F.lit("cache-control"), F.lit("max-age=3600"),
+        F.lit("Date"), F.concat(F.lit("d"), p.cast("string"))), lambda _, v: v.isNotNull())
+    spelt = (F.when(p % 4 == 0, F.regexp_replace("url", "^https?://", "http://www."))
+             .when(p % 4 == 1, F.concat("url", F.lit("#again")))
+             .when(p % 4 == 2, F.regexp_replace("url", "^https:", "http:")).otherwise(F.col("url")))
+    later = at + F.when(p % 11 == 0, -3600).otherwise(86400)
+    responses = pages.select((p * 2).alias("record_id"), F.lit("response").alias("warc_type"), F.col("url").alias("uri"),
+                             F.timestamp_seconds(at).alias("date"), answer.alias("headers"), F.col("html").alias("payload"))
+    revisits = pages.select((p * 2 + 1).alias("record_id"), F.lit("revisit").alias("warc_type"), spelt.alias("uri"),
+                            F.timestamp_seconds(later).alias("date"), not_modified.alias("headers"), F.lit(None).cast("string").alias("payload"))
+    return responses.unionByName(revisits)
+
+
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve_revisits(warc_records(table(spark, sf_dir, "pages")))
+    listed = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return found.select(
+        ((F.col("record_id") - 1) / 2).cast("long").alias("page_id"), "canonical_url", "outcome",
+        (F.col("response_id") / 2).cast("long").alias("response_page_id"), "status", listed.alias("headers"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.md5("payload").alias("payload_md5"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -76,6 +117,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("other_doc_id")
+
+
 def pii_key(spark: SparkSession) -> str:
     """Key of the pseudonyms: ``terrane.piiKey`` of the session; the default is for tests only."""
     return spark.conf.get("terrane.piiKey", "terrane test key")
@@ -87,13 +132,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc_revisits": op2_warc_revisits,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op5_url_rules": op5_url_rules,
     "op6_kd_shards": op6_kd_shards,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,10 @@ p = sigmoid(b + sum of the weights of its words' features), a document
 P = 1 - prod(1 - p) over its sentences, and weights and b are fitted to the
 document labels through P.  The sentences with a high p are the offending ones.
 A word's features are the word and its first three, four and five letters, so
-inflected forms of a rude stem are met without having been seen.
+inflected forms of a rude stem are met without having been seen.  Sentences of
+fewer than ``MIN_WORDS`` words are taken together with the next ones and those of
+more than ``MAX_WORDS`` are cut, so a text of a thousand one-word sentences is not
+a thousand chances; a word counts once in a sentence.
 
 The fit uses a bounded sample (``PER_CLASS``); scoring covers every sentence of
 every document in Arrow batches, without a shuffle.
@@ -37,6 +40,7 @@ THRESHOLD = 0.3
 SENTENCE_THRESHOLD = 0.2
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
+MIN_WORDS, MAX_WORDS = 8, 40
 _CACHE = 1 << 19
 
 SCHEMA = "doc_id long, score double, sentences array<struct<start:int,length:int,score:double>>"
@@ -52,6 +56,34 @@ def word_features(word: str) -> list[int]:
     return sorted({h(f) % BUCKETS for f in [word] + ["^" + word[:n] for n in (3, 4, 5) if len(word) >= n]})
 
 
+def instances(text: str | None) -> Iterator[tuple[int, int, set[str]]]:
+    """(start, end, distinct words) of the sentences of a text, each of about MIN_WORDS to MAX_WORDS words."""
+    start, end, words, n = 0, 0, set(), 0
+    for m in _SENTENCE.finditer(text or ""):
+        found = _WORD.findall(m.group().lower())
+        if not found:
+            continue
+        if len(found) > MAX_WORDS:
+            if words:
+                yield start, end, words
+            places = list(_WORD.finditer(m.group()))
+            for i in range(0, len(places), MAX_WORDS):
+                part = places[i:i + MAX_WORDS]
+                yield m.start() + part[0].start(), m.start() + part[-1].end(), {w.group().lower() for w in part}
+            words, n = set(), 0
+            continue
+        if not words:
+            start = m.start()
+        words.update(found)
+        n += len(found)
+        end = m.end()
+        if n >= MIN_WORDS:
+            yield start, end, words
+            words, n = set(), 0
+    if words:
+        yield start, end, words
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -76,16 +108,14 @@ class Model:
     def sentences(self, text: str | None) -> tuple[list[tuple[int, int]], np.ndarray]:
         """(start, length) and probability of every sentence that has a word."""
         cache, word, spans, logits = self._cache, self.word, [], []
-        for m in _SENTENCE.finditer(text or ""):
-            words = _WORD.findall(m.group().lower())
-            if words:
-                total = self.bias
-                for w in words:
-                    got = cache.get(w)
-                    total += word(w) if got is None else got
-                logits.append(total)
-                spans.append(m.span())
-        return [(a, b - a) for a, b in spans], sigmoid(np.array(logits))
+        for start, end, words in instances(text):
+            total = self.bias
+            for w in words:
+                got = cache.get(w)
+                total += word(w) if got is None else got
+            logits.append(total)
+            spans.append((start, end - start))
+        return spans, sigmoid(np.array(logits))
 
 
 def noisy_or(p: np.ndarray) -> float:
@@ -96,8 +126,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = {"doc_id": [], "y": [], "weight": [], "sizes": [], "features": []}
         for doc_id, y, weight, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "weight", "text"))):
-            bags = [sorted({f for w in _WORD.findall(s.lower()) for f in word_features(w)}) for s in _SENTENCE.findall(text)]
-            bags = [b for b in bags if b]
+            bags = [[f for w in sorted(words) for f in word_features(w)] for _, _, words in instances(text)]
             out["doc_id"].append(doc_id)
             out["y"].append(y)
             out["weight"].append(weight)
@@ -108,7 +137,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_bags(docs: list[tuple[int, float, np.ndarray, np.ndarray]], steps: int = 150, rate: float = 0.1,
-             l2: float = 1e-4, least: int = 3) -> Model:
+             l2: float = 5e-5, least: int = 8) -> Model:
     """Fit to (label, weight, sentence sizes, features) of the sampled documents.
 
     Features of fewer than ``least`` documents keep weight zero.
