@@ -4,65 +4,95 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import rows
 from ..functions.scalars import ColumnOrName, col
-from ..session import setting
+from .joins import null_safe_join
+
+# Ranks around the middle that are looked at exactly, by the values of the group: all of a
+# small group, two hundredths of a middling one, two thousandths of a large one.  Ten times
+# the error that the quantile sketch may have.
+_ACCURACY = 10_000
+_QUANTILES = [0.0, 0.49, 0.499, 0.501, 0.51, 1.0]
+_SMALL, _MIDDLING = 1_000, 100_000
 
 
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
-              having: Column | None = None, medians: dict[str, ColumnOrName] | None = None,
-              row_bound: int | None = None) -> DataFrame:
+              having: Column | None = None, medians: dict[str, ColumnOrName] | None = None) -> DataFrame:
     """GROUP BY keys (columns or aliased expressions) with optional HAVING.
 
     ``having`` may reference the output names of ``measures``.  An empty ``keys``
     gives the one-row global aggregate.  ``medians`` maps output names to value
-    columns whose exact median is added without ever gathering one group's values
-    in one task: groups holding more than ``MEDIAN_TASK_VALUES`` values (found by a
-    partial-aggregated count; at most rows / MEDIAN_TASK_VALUES of them, broadcast)
-    are left out of Spark's ``percentile`` and answered by ``grouped_median``.
-    ``row_bound`` (an upper bound of the input rows, e.g. the count of the written
-    source table) skips that machinery when no group can be that large.
+    columns whose exact median (NULLs ignored, interpolated as ``percentile`` does) is
+    added without gathering a group's values in one task:
+
+    1. the aggregation that computes the measures also keeps a mergeable quantile sketch
+       per group, which brackets the median;
+    2. a second scan counts the values below the bracket and each value inside it, both
+       combined before the shuffle, and a running count finds the middle ranks.
+
+    The bracket narrows with the size of the group, so what a task orders for one group is a
+    fraction of a hundredth of it.  One plan for every input: two scans, whatever the skew.
     """
-    limit = setting(df.sparkSession, "medianTaskValues", MEDIAN_TASK_VALUES) if medians else 0
-    if medians and row_bound is not None and row_bound <= limit:
-        plain = [F.median(col(v).cast("double")).alias(m) for m, v in medians.items()]
-        out = df.groupBy(*[col(k) for k in keys]).agg(*measures, *plain) if keys else df.agg(*measures, *plain)
-    elif medians:
-        out = _aggregate_with_medians(df, keys, measures, medians, limit)
+    if medians:
+        out = _aggregate_with_medians(df, keys, measures, medians)
     else:
         out = df.groupBy(*[col(k) for k in keys]).agg(*measures) if keys else df.agg(*measures)
     return out.filter(having) if having is not None else out
 
 
 def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
-                            medians: dict[str, ColumnOrName], limit: int) -> DataFrame:
-    from .joins import null_safe_join
-    if not keys:
-        # One group holding every row: always the distributed median (scalar subqueries).
-        out = df.agg(*measures)
-        return out.select("*", *[grouped_median(df, [], v, m, task_values=limit).scalar().alias(m)
-                                 for m, v in medians.items()])
+                            medians: dict[str, ColumnOrName]) -> DataFrame:
     exprs = [k for k in keys if not isinstance(k, str)]
     keyed = df.select("*", *exprs) if exprs else df
     added = iter(keyed.columns[len(df.columns):])
     names = [k if isinstance(k, str) else next(added) for k in keys]
-    values = {m: col(v) for m, v in medians.items()}
-    # Row counts bound the values per group.
-    hot = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-           .select(*names, F.lit(True).alias("__hot")))
-    tagged = null_safe_join(keyed, F.broadcast(hot), names, "left")
-    cold = F.col("__hot").isNull()
-    out = tagged.groupBy(*names).agg(*measures, *[F.median(F.when(cold, v.cast("double"))).alias(m)
-                                                  for m, v in values.items()])
-    hot_rows = tagged.filter(F.col("__hot"))
+    values = {m: col(v).cast("double") for m, v in medians.items()}
+    sketch = lambda m: F.percentile_approx(values[m], _QUANTILES, _ACCURACY).alias(f"__q_{m}")
+    extra = [c for m in medians for c in (sketch(m), F.count(values[m]).alias(f"__n_{m}"))]
+    if names:
+        out = keyed.groupBy(*names).agg(*measures, *extra)
+        for m, v in values.items():
+            out = _with_median(keyed, out, names, m, v)
+        return out
+    # One group of all rows, under a key that isn't folded to a constant, so the join stays an equi-join.
+    one = "__all"
+    keyed = keyed.withColumn(one, F.pmod(F.hash(*values.values()), F.lit(1)))
+    out = keyed.groupBy(one).agg(*measures, *extra)
     for m, v in values.items():
-        hm = grouped_median(hot_rows, names, v, "__hm", task_values=limit)  # one row per hot group: bounded
-        out = (null_safe_join(out, F.broadcast(hm), names, "left")
-               .withColumn(m, F.coalesce(F.col(m), F.col("__hm"))).drop("__hm"))
-    return out
+        out = _with_median(keyed, out, [one], m, v)
+    # No row at all still gives one: the aggregate of nothing.
+    none = df.limit(0).agg(*measures, *[F.lit(None).cast("double").alias(m) for m in medians])
+    both = out.drop(one).withColumn(one, F.lit(1)).unionByName(none.withColumn(one, F.lit(0)))
+    picked = both.agg(F.max_by(F.struct(*[F.col(c) for c in none.columns]), one).alias("__row"))
+    return picked.select("__row.*")
+
+
+def _with_median(keyed: DataFrame, groups: DataFrame, names: Sequence[str], name: str, value: Column) -> DataFrame:
+    """``groups`` (with the sketch and count of ``name``) with the exact median added in their stead."""
+    q, n = F.col(f"__q_{name}"), F.col(f"__n_{name}")
+    low = F.when(n <= _SMALL, q[0]).when(n <= _MIDDLING, q[1]).otherwise(q[2])
+    high = F.when(n <= _SMALL, q[5]).when(n <= _MIDDLING, q[4]).otherwise(q[3])
+    carried = [c for c in groups.columns if c not in names and c != f"__q_{name}"]
+    bracket = groups.select(*names, F.struct(*[F.col(f"`{c}`") for c in carried]).alias("__row"), low.alias("__low"), high.alias("__high"))
+    v = F.col("__v")
+    joined = null_safe_join(keyed.select(*names, value.alias("__v")), bracket, names, "inner").filter(v.isNull() | (v <= F.col("__high")))
+    # Values below the bracket are only counted; a NULL counts nothing and keeps a group of NULLs.
+    counted = joined.groupBy(*names, F.when(v >= F.col("__low"), v).alias("__x")).agg(
+        F.count("__v").alias("__c"), F.first("__row").alias("__row"))
+    until = F.sum("__c").over(Window.partitionBy(*names).orderBy(F.col("__x").asc_nulls_first()))
+    ranked = counted.select(*names, "__x", "__row", (until - F.col("__c")).alias("__s"), until.alias("__e"))
+    total = F.col("__row").getField(f"__n_{name}")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__s") <= rank) & (rank < F.col("__e")), F.col("__x")))
+
+    lo, hi = at(F.floor((total - 1) / 2)), at(F.ceil((total - 1) / 2))
+    found = ranked.groupBy(*names).agg(F.first("__row").alias("__row"), lo.alias("__lo"), hi.alias("__hi"))
+    median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(F.lit(0.5) * F.col("__lo") + F.lit(0.5) * F.col("__hi"))
+    return found.select(*names, *[F.col("__row").getField(c).alias(c) for c in carried if c != f"__n_{name}"], median.alias(name))
 
 
 def top_groups(df: DataFrame, keys: Sequence[str], measure: Column, measure_name: str,
@@ -80,70 +110,7 @@ def top_groups(df: DataFrame, keys: Sequence[str], measure: Column, measure_name
     return agg.orderBy(*order).limit(k)
 
 
-# Distinct values one task may rank for a single group; groups above it are cut
-# into value ranges at approximate quantiles (exactness does not depend on them).
-MEDIAN_TASK_VALUES = 1_000_000
-MEDIAN_RANGES = 256
-
-
-def grouped_median(df: DataFrame, keys: Sequence[ColumnOrName], value: ColumnOrName, name: str = "median",
-                   task_values: int = MEDIAN_TASK_VALUES, ranges: int = MEDIAN_RANGES) -> DataFrame:
-    """Exact interpolated median of ``value`` per group (NULLs ignored), skew-safe.
-
-    1. A histogram (group, value) -> count: the shuffle is on both, so a hot group
-       spreads over many tasks and repeated values collapse.
-    2. Groups with more than ``task_values`` distinct values get ``ranges``
-       order-preserving value ranges, cut at approximate quantiles; the boundary
-       table has one row per such group (at most distinct_values / task_values).
-    3. Running counts per (group, range) by a window, shifted by the counts of the
-       lower ranges (a table of at most #hot groups x ``ranges`` rows).
-    4. The rows holding the middle rank(s) give the median, interpolated as
-       Spark's ``percentile`` does: ``0.5 * lo + 0.5 * hi``.
-    Returns ``keys + [name]``; with no keys, one row.
-    """
-    from pyspark.sql import Window
-    from .joins import null_safe_join
-
-    key_cols = [col(k) for k in keys] or [F.lit(0)]
-    kn = [f"__g{i}" for i in range(len(key_cols))]
-    base = df.select(*[k.alias(n) for k, n in zip(key_cols, kn)], col(value).cast("double").alias("__v"))
-    hist = base.filter(F.col("__v").isNotNull()).groupBy(*kn, "__v").agg(F.count(F.lit(1)).alias("__c"))
-
-    distinct_per_group = hist.groupBy(*kn).agg(F.count(F.lit(1)).alias("__d"))
-    hot = distinct_per_group.filter(F.col("__d") > task_values).select(*kn)
-    qs = [i / ranges for i in range(1, ranges)]
-    bounds = (null_safe_join(hist, F.broadcast(hot), kn, "left_semi").groupBy(*kn)
-              .agg(F.percentile_approx("__v", qs, 10_000).alias("__b")))
-    tagged = null_safe_join(hist, F.broadcast(bounds), kn, "left")
-    tagged = tagged.withColumn("__r", F.when(F.col("__b").isNull(), F.lit(0))
-                               .otherwise(F.size(F.filter("__b", lambda b: b < F.col("__v"))))).drop("__b")
-
-    # Lower-range offsets and totals of split groups (bounded table, broadcast).
-    per_range = (null_safe_join(tagged, F.broadcast(hot), kn, "left_semi")
-                 .groupBy(*kn, "__r").agg(F.sum("__c").alias("__rc")))
-    per_range = (per_range
-                 .withColumn("__off", F.sum("__rc").over(Window.partitionBy(*kn).orderBy("__r")) - F.col("__rc"))
-                 .withColumn("__tot", F.sum("__rc").over(Window.partitionBy(*kn)))
-                 .drop("__rc"))
-
-    w = Window.partitionBy(*kn, "__r").orderBy("__v")
-    run = (tagged.withColumn("__cum", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("__rtot", F.sum("__c").over(Window.partitionBy(*kn, "__r"))))
-    run = null_safe_join(run, F.broadcast(per_range), kn + ["__r"], "left")
-    n = F.coalesce(F.col("__tot"), F.col("__rtot"))
-    before = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__cum") - F.col("__c")
-    lo, hi = F.floor((n - 1) / 2), F.ceil((n - 1) / 2)
-    run = run.select(*kn, "__v", before.alias("__s"), (before + F.col("__c")).alias("__e"),
-                     lo.alias("__lo"), hi.alias("__hi"))
-    has_lo = (F.col("__s") <= F.col("__lo")) & (F.col("__lo") < F.col("__e"))
-    has_hi = (F.col("__s") <= F.col("__hi")) & (F.col("__hi") < F.col("__e"))
-    picked = run.filter(has_lo | has_hi).groupBy(*kn).agg(
-        F.max(F.when(has_lo, F.col("__v"))).alias("__vlo"), F.max(F.when(has_hi, F.col("__v"))).alias("__vhi"),
-        F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
-    med = F.when(F.col("__lo") == F.col("__hi"), F.col("__vlo")).otherwise(
-        F.lit(0.5) * F.col("__vlo") + F.lit(0.5) * F.col("__vhi"))
-    out = picked.select(*kn, med.alias(name))
-    if not keys:
-        return out.select(name)
-    names = [k if isinstance(k, str) else f"__g{i}" for i, k in enumerate(keys)]
-    return out.select(*[F.col(n).alias(a) for n, a in zip(kn, names)], name)
+def grouped_median(df: DataFrame, keys: Sequence[ColumnOrName], value: ColumnOrName, name: str = "median") -> DataFrame:
+    """Exact interpolated median of ``value`` per group that has one (NULLs ignored); with no keys, one row."""
+    out = aggregate(df, keys, [], medians={name: value})
+    return out.filter(F.col(name).isNotNull()) if keys else out

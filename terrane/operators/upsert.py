@@ -12,10 +12,17 @@ without Spark jobs.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .joins import null_safe_join
+
 
 def newer_than_target(df: DataFrame, target: DataFrame, col: str, lookback_days: int = 0,
                       load_all_if_empty: bool = True) -> DataFrame:
@@ -68,11 +75,11 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return max(versions) if versions else None
 
 
-def _commit(root: str, version: int, path: str) -> None:
+def _commit(root: str, version: int, content: str) -> None:
     fs, log = _log_fs(root)
     fs.create_dir(log, recursive=True)
     with fs.open_output_stream(f"{log}/{version:020d}.commit") as out:
-        out.write(path.encode("utf-8"))
+        out.write(content.encode("utf-8"))
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
@@ -126,50 +133,108 @@ def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str],
     return upsert_table(delta, root, key, partition_by)
 
 
+PART = "__part"  # folder column of a partitioned table: the partition value as text
+
 
-def merge_partitions(updates: DataFrame, path: str, key: str | Sequence[str], partition_col: str,
-                     staging_root: str) -> DataFrame:
-    """Keyed upsert into a partitioned parquet table, rewriting only touched partitions.
+def _manifest(root: str) -> dict | None:
+    """Schema and the folder of every partition value in the last committed version; None for a new table.
 
-    ``updates`` carries ``partition_col`` and the key must determine it (a matching
-    row always lives in the same partition), e.g. a month derived from a date that
-    is part of the key's hash.  The batch is computed once and staged under
-    ``staging_root``; only the partitions it touches are read from the table,
-    merged, staged and swapped in with dynamic partition overwrite; every other
-    partition is left as it is.  The list of touched partition values (a handful
-    of months) is the only thing the driver sees.
+    Only a missing or empty log means a new table; every other error is raised.
+    """
+    from pyarrow import fs as pafs
+    fs, log = _log_fs(root)
+    infos = fs.get_file_info(pafs.FileSelector(log, allow_not_found=True))
+    names = sorted(i.base_name for i in infos if i.type == pafs.FileType.File and i.base_name.endswith(".commit"))
+    if not names:
+        return None
+    with fs.open_input_stream(f"{log}/{names[-1]}") as f:
+        return json.loads(f.read())
+
+
+def _folders(root: str, folder: str) -> dict[str, str]:
+    """Partition value -> folder (relative to ``root``) of what one write has left under ``folder``."""
+    from ..sources.archive import _fs
+    from pyarrow import fs as pafs
+    fs, path = _fs(f"{root.rstrip('/')}/{folder}")
+    infos = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    return {unquote(i.base_name.split("=", 1)[1]): f"{folder}/{i.base_name}" for i in infos
+            if i.type == pafs.FileType.Directory and i.base_name.startswith(PART + "=")}
+
+
+def read_partitions(spark: SparkSession, root: str, values: Sequence[str] | None = None) -> DataFrame:
+    """The committed rows of a partitioned table, or of some of its partition values."""
+    manifest = _manifest(root)
+    if manifest is None:
+        raise FileNotFoundError(f"no committed version under {root}")
+    return _read_parts(spark, root, manifest, values)
+
+
+def _read_parts(spark: SparkSession, root: str, manifest: dict, values: Sequence[str] | None = None) -> DataFrame:
+    schema = StructType.fromJson(manifest["schema"])
+    paths = [f"{root.rstrip('/')}/{manifest['parts'][v]}" for v in (manifest["parts"] if values is None else values)
+             if v in manifest["parts"]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], partition_col: str,
+                     delete_keys: DataFrame | None = None) -> DataFrame:
+    """Keyed upsert into a partitioned parquet table, rewriting only the touched partitions.
+
+    The key must determine ``partition_col`` (a matching row always lives in the same
+    partition), e.g. a month derived from a date that is part of the key's hash.
+    ``delete_keys`` replaces whole groups instead: every stored row whose columns match one
+    of its rows (NULLs match) is removed, wherever it lies, before the updates go in.
+
+    The batch is computed and written once, the touched partitions are merged into a new
+    folder, and one marker commits the new list of folders: readers see all of the merge or
+    nothing of it, and a failed run leaves the table as it was.  The driver sees only
+    the partition values.
     """
     spark = updates.sparkSession
-    root = staging_root.rstrip("/")
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        current = None
-    if current is None:
-        _rebalanced(updates, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.parquet(path)
-    _rebalanced(updates.select(*current.columns), partition_col).write.mode("overwrite") \
-        .partitionBy(partition_col).parquet(f"{root}/batch")
-    batch = spark.read.schema(current.schema).parquet(f"{root}/batch")  # may be empty
-    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    if not touched:
-        return current
-    part = F.col(partition_col)
-    values = [t for t in touched if t is not None]
-    cond = part.isin(*values) if values else F.lit(False)
-    if len(values) < len(touched):
-        cond = cond | part.isNull()
-    merged = upsert(current.filter(cond), batch.select(*current.columns), key)
-    _rebalanced(merged, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(f"{root}/merged")
-    (spark.read.parquet(f"{root}/merged").select(*current.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return spark.read.parquet(path)
-
-
-def _rebalanced(df: DataFrame, partition_col: str) -> DataFrame:
-    """Cluster rows by the output partition before a partitioned write (few, full files).
-
-    ``REBALANCE`` lets AQE split a partition value that is too large for one task and
-    merge small ones, so a hot month never lands whole in one writer.
+    manifest = _manifest(root)
+    base, version = root.rstrip("/"), (current_version(spark, root) or 0) + 1
+    attempt = uuid.uuid4().hex[:12]  # a failed run's folders are never read
+    staged, merged = f"_stage/{version}-{attempt}", f"data/{version}-{attempt}"
+    columns = updates.columns if manifest is None else [f["name"] for f in manifest["schema"]["fields"]]
+    _write_parts(updates.select(*columns), partition_col, f"{base}/{merged if manifest is None else staged}")
+    if manifest is None:
+        manifest = {"schema": updates.schema.jsonValue(), "parts": _folders(root, merged)}
+    else:
+        batch = spark.read.schema(StructType.fromJson(manifest["schema"]))
+        fresh = _folders(root, staged)
+        touched = set(fresh)
+        current = _read_parts(spark, root, manifest)
+        if delete_keys is not None:
+            hit = null_safe_join(current.select(*delete_keys.columns, _part(partition_col)), delete_keys, delete_keys.columns, "left_semi")
+            touched |= {_folder_value(r[0]) for r in hit.select(PART).distinct().collect()}
+        if not touched:
+            return current
+        rows = batch.parquet(*[f"{base}/{f}" for f in fresh.values()]) if fresh else spark.createDataFrame([], current.schema)
+        old = _read_parts(spark, root, manifest, sorted(touched))
+        if delete_keys is not None:
+            kept = null_safe_join(old, delete_keys, delete_keys.columns, "left_anti").unionByName(rows)
+        else:
+            kept = upsert(old, rows, key)
+        _write_parts(kept, partition_col, f"{base}/{merged}")
+        parts = {v: f for v, f in manifest["parts"].items() if v not in touched}
+        manifest = {"schema": manifest["schema"], "parts": parts | _folders(root, merged)}
+    _commit(root, version, json.dumps(manifest))
+    return _read_parts(spark, root, manifest)
+
+
+def _part(partition_col: str):
+    return F.col(partition_col).cast("string").alias(PART)
+
+
+def _folder_value(value: str | None) -> str:
+    """A partition value as its folder is named."""
+    return value or "__HIVE_DEFAULT_PARTITION__"
+
+
+def _write_parts(df: DataFrame, partition_col: str, path: str) -> None:
+    """Rows clustered by partition value and written to one folder each (few, full files).
+
+    ``REBALANCE`` lets AQE split a value that is too large for one task and merge small
+    ones, so a hot month never lands whole in one writer.
     """
-    return df.hint("rebalance", partition_col)
+    df.select("*", _part(partition_col)).hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)

@@ -3,12 +3,14 @@
 ``rank_within_key`` numbers the rows of each key in a total order.  A plain
 window puts every row of a key into one task.  When the order starts with a
 uniformly spread hex hash (``spread``, e.g. an MD5 of the row), keys holding
-more than ``hot_threshold`` rows are cut into order-preserving hash ranges
+more than about ``hot_threshold`` rows are cut into order-preserving hash ranges
 ("salts"): each salt is numbered by its own window task and shifted by the row
-counts of the lower salts of its key.  The hot-key and salt tables hold at most
-2 * rows / hot_threshold entries, so they are broadcast.  Everything is
-deterministic (no partition ids), so recomputation after an executor loss gives
-the same numbers.
+counts of the lower salts of its key.
+
+Heavy keys are found in a sample whose rate follows the threshold, so that a key
+at the threshold is met about ``HOT_SAMPLE`` times; the near-unique keys are not
+shuffled for it.  The same plan runs for every input.  A heavy key that a sample
+missed would only make one task larger; the numbers never depend on the salts.
 """
 
 from __future__ import annotations
@@ -19,16 +21,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
-from ..session import setting
-from .joins import null_safe_join
-
-AUTO = "auto"  # threshold from the session (terrane.hotKeyRows) or HOT_KEY_ROWS
+from ..session import scratch_dir, setting
+from .joins import DEFAULT_BROADCAST_ROWS, null_safe_join
 
 # Keys above this many rows are split; also the target rows per salt.
 HOT_KEY_ROWS = 2_000_000
+HOT_SAMPLE = 2000
 _HEX8 = 4294967296  # 16 ** 8
 
 
+def _threshold(df: DataFrame, hot_threshold: int | None) -> int:
+    return max(1, hot_threshold if hot_threshold is not None else setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS))
+
+
+def _salted(base: DataFrame, keys: DataFrame, kn: Sequence[str], hash_col: str, threshold: int) -> tuple[DataFrame, bool]:
+    """``base`` with ``__s`` (salts of its key, NULL if it isn't heavy) and ``__salt``; whether the salts are few.
+
+    ``keys`` holds the key columns ``kn`` of every row.  The heavy keys are written once
+    and counted: few of them are broadcast, many are joined by shuffle, after which the
+    rows are dealt anew by key and salt.
+    """
+    spark = base.sparkSession
+    rate = min(1.0, HOT_SAMPLE / threshold)
+    seen = keys.sample(rate, seed=17) if rate < 1 else keys
+    least = threshold * rate / 2 if rate < 1 else threshold
+    hot = seen.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least).select(
+        *kn, F.ceil(F.col("__n") / F.lit(rate * threshold)).cast("long").alias("__s"))
+    path = scratch_dir(spark, "hot-keys")
+    hot.write.parquet(path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    few = (hot.agg(F.sum("__s")).first()[0] or 0) <= setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS)
+    tagged = null_safe_join(base, F.broadcast(hot) if few else hot, kn, "left")
+    h8 = F.conv(F.substring(F.col(hash_col), 1, 8), 16, 10).cast("long")
+    tagged = tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
+                               .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
+    return (tagged if few else tagged.repartition(*kn, "__salt")), few
+
+
+def _shifted(ranked: DataFrame, counts: DataFrame, kn: Sequence[str], name: str, few: bool) -> DataFrame:
+    """``__r`` plus the rows (``__c``) of the lower salts of a heavy key, as ``name``."""
+    before = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt")) - F.col("__c")).drop("__c")
+    out = null_safe_join(ranked, F.broadcast(before) if few else before, [*kn, "__salt"], "left")
+    return out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
+
+
 def _materialize(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]):
     kn = [f"__k{i}" for i in range(len(keys))]
     on = [f"__o{i}" for i in range(len(order))]
@@ -39,41 +75,25 @@ def _materialize(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Co
 
 def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
                     name: str = "rank", spread: ColumnOrName | None = None,
-                    hot_threshold: int | str | None = AUTO) -> DataFrame:
+                    hot_threshold: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY [spread,] order)``, ascending, NULLs first.
 
     ``order`` should make the order total inside each key, otherwise tied rows are
     numbered arbitrarily (as in SQL).  ``spread`` is a lower-case hex string (at
-    least 8 digits) that leads the order and lets hot keys be split; without it, or
-    with ``hot_threshold=None``, one plain window is used.
+    least 8 digits) that leads the order and lets heavy keys be split; without it one
+    plain window is used, which suits keys known to be small.
     """
-    hot_threshold = resolve_hot_threshold(df, hot_threshold)
     full_order = ([spread] if spread is not None else []) + list(order)
     base, kn, on = _materialize(df, keys, full_order)
     helpers = kn + on
     sort = [F.col(c).asc_nulls_first() for c in on]
-    if spread is None or hot_threshold is None:
+    if spread is None:
         w = Window.partitionBy(*kn).orderBy(*sort)
         return base.withColumn(name, F.row_number().over(w)).drop(*helpers)
-
-    t = max(int(hot_threshold), 1)
-    # Hot keys with their number of salts; partial aggregation absorbs hot keys.
-    # At most rows / t keys qualify: a bounded table, broadcast.
-    hot = (base.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > t)
-           .select(*kn, F.ceil(F.col("__n") / F.lit(t)).cast("long").alias("__s")))
-    tagged = null_safe_join(base, F.broadcast(hot), kn, "left")
-    h8 = F.conv(F.substring(F.col(on[0]), 1, 8), 16, 10).cast("long")
-    tagged = tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
-                               .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
+    tagged, few = _salted(base, base.select(*kn), kn, on[0], _threshold(df, hot_threshold))
     local = tagged.withColumn("__r", F.row_number().over(Window.partitionBy(*kn, "__salt").orderBy(*sort)))
-    # Rows per (hot key, salt) and the rows of the lower salts: <= 2 * rows / t entries.
-    counts = (tagged.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt")
-              .agg(F.count(F.lit(1)).alias("__c")))
-    counts = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt"))
-                               - F.col("__c")).drop("__c")
-    out = null_safe_join(local, F.broadcast(counts), kn + ["__salt"], "left")
-    out = out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
-    return out.drop(*helpers, "__s", "__salt", "__r", "__off")
+    counts = tagged.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt").agg(F.count(F.lit(1)).alias("__c"))
+    return _shifted(local, counts, kn, name, few).drop(*helpers, "__s", "__salt", "__r", "__off")
 
 
 def row_code(cols: Sequence[ColumnOrName]) -> Column:
@@ -83,54 +103,26 @@ def row_code(cols: Sequence[ColumnOrName]) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def resolve_hot_threshold(df: DataFrame, hot_threshold: int | str | None) -> int | None:
-    if hot_threshold == AUTO:
-        return setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
-    return hot_threshold
-
-
 def rank_distinct_rows(df: DataFrame, keys: Sequence[ColumnOrName], code: ColumnOrName, name: str = "rank",
-                       hot_threshold: int | str | None = AUTO) -> DataFrame:
+                       hot_threshold: int | None = None) -> DataFrame:
     """``SELECT DISTINCT`` then ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY md5(code), code)``.
 
     ``code`` must encode the row injectively (``row_code``): identical rows have
     identical codes, so after one shuffle on the key they are adjacent in the sort;
     the first of each run is kept and numbered with ``dense_rank``.  No separate
-    DISTINCT shuffle is needed.  Keys with more than ``hot_threshold`` raw rows are
-    split into hash-range salts as in ``rank_within_key`` (salt sizes counted as
-    distinct codes).
+    DISTINCT shuffle is needed.  Heavy keys are split into hash-range salts as in
+    ``rank_within_key`` (salt sizes counted as distinct codes).
     """
-    hot_threshold = resolve_hot_threshold(df, hot_threshold)
     kn = [f"__k{i}" for i in range(len(keys))]
-    base = df.select("*", *[col(k).alias(n) for k, n in zip(keys, kn)], col(code).alias("__code"))
-    base = base.withColumn("__h", F.md5(F.col("__code")))
-    order = [F.col("__h").asc(), F.col("__code").asc()]
-    if hot_threshold is None:
-        salted = base.withColumn("__salt", F.lit(0).cast("long")).withColumn("__s", F.lit(None).cast("long"))
-    else:
-        t = max(int(hot_threshold), 1)
-        # Raw row counts bound the distinct counts: enough to find the hot keys.
-        hot = (df.select(*[col(k).alias(n) for k, n in zip(keys, kn)]).groupBy(*kn)
-               .agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > t)
-               .select(*kn, F.ceil(F.col("__n") / F.lit(t)).cast("long").alias("__s")))
-        salted = null_safe_join(base, F.broadcast(hot), kn, "left")  # <= rows / t entries
-        h8 = F.conv(F.substring(F.col("__h"), 1, 8), 16, 10).cast("long")
-        salted = salted.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
-                                   .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
-    w = Window.partitionBy(*kn, "__salt").orderBy(*order)
+    named = [col(k).alias(n) for k, n in zip(keys, kn)]
+    base = df.select("*", *named, col(code).alias("__code")).withColumn("__h", F.md5(F.col("__code")))
+    salted, few = _salted(base, df.select(*named), kn, "__h", _threshold(df, hot_threshold))
+    w = Window.partitionBy(*kn, "__salt").orderBy(F.col("__h").asc(), F.col("__code").asc())
     ranked = (salted.withColumn("__r", F.dense_rank().over(w))
               .withColumn("__dup", F.coalesce(F.lag("__code", 1).over(w) == F.col("__code"), F.lit(False)))
               .filter(~F.col("__dup")))
-    if hot_threshold is None:
-        out = ranked.withColumn(name, F.col("__r").cast("int"))
-    else:
-        counts = (salted.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt")
-                  .agg(F.count_distinct("__code").alias("__c")))
-        counts = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt"))
-                                   - F.col("__c")).drop("__c")
-        out = null_safe_join(ranked, F.broadcast(counts), kn + ["__salt"], "left")
-        out = out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
-    return out.drop(*kn, "__code", "__h", "__s", "__salt", "__r", "__dup", "__off")
+    counts = salted.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt").agg(F.count_distinct("__code").alias("__c"))
+    return _shifted(ranked, counts, kn, name, few).drop(*kn, "__code", "__h", "__s", "__salt", "__r", "__dup", "__off")
 
 
 def keep_first_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]) -> DataFrame:

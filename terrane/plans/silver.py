@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import domain as D
 from ..functions.scalars import content_hash, parse_date, parse_decimal, parse_int, safe_ratio
 from ..operators.clean import min_price_min_surface_rules, positive_filter, rename, validate_by_category
-from ..operators.windows import AUTO, keep_first_per_key, rank_distinct_rows, resolve_hot_threshold, row_code
+from ..operators.windows import keep_first_per_key, rank_distinct_rows, row_code
 
 RAW_CODE = "raw_code"
 SRC_COLUMNS = list(D.RENAME_MAP.values())
@@ -83,44 +83,48 @@ def mutation_id(rank_col: str = "lot_rank") -> Column:
     return content_hash(D.HASH_FIELDS, tail=[rank_col])
 
 
+def open_keys(src: DataFrame, current: DataFrame, date_formats: Sequence[str] = D.DATE_FORMATS,
+              lookback_days: int = 0) -> DataFrame:
+    """Lot keys (named as in silver) of the raw rows past the high-water mark, reopened by ``lookback_days``.
+
+    Written once: the probe reads the key and date columns, and the size of the written
+    table tells Spark whether the semi-join with the raw rows can be a broadcast.
+    """
+    from ..operators.upsert import newer_than_target
+    from ..session import scratch_dir
+    spark = src.sparkSession
+    probe = src.select(*[k.alias(n) for k, n in zip(_raw_rank_key(), KEY_COLUMNS)],
+                       parse_date("date_mutation", date_formats).alias("date_mutation"))
+    path = scratch_dir(spark, "silver-open-keys")
+    keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*KEY_COLUMNS).distinct()
+    keys.write.parquet(path)
+    return spark.read.schema(keys.schema).parquet(path)
+
+
+def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame) -> DataFrame:
+    """The rows whose lot key is among ``keys``."""
+    from ..operators.joins import null_safe_join
+    named = [f"__nk{i}" for i in range(len(KEY_COLUMNS))]
+    wanted = keys.select(*[F.col(c).alias(n) for c, n in zip(KEY_COLUMNS, named)])
+    return null_safe_join(rows.select("*", *[k.alias(n) for k, n in zip(key, named)]), wanted, named, "left_semi").drop(*named)
+
+
 def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool = False,
              date_formats: Sequence[str] = D.DATE_FORMATS, restrict_to_new_keys: bool = True,
-             lookback_days: int = 0, hot_threshold: int | str | None = AUTO) -> DataFrame:
+             hot_threshold: int | None = None) -> DataFrame:
     """Silver rows newer than the current table's high-water mark (the incremental run).
 
     Ranking still sees every raw row of a key, as a full build does.  With
-    ``restrict_to_new_keys`` only the lot keys that received a row past the mark
-    are ranked: the window partitions on the key, so their ranks are unchanged
-    while the rest of the raw table is neither shuffled nor sorted.  The new keys
-    are written once (the probe reads five raw columns) and counted: within
-    ``terrane.broadcastRows`` they are broadcast to a map-side semi-join; beyond it
-    every key is ranked, since a shuffled semi-join would cost more than it saves.
+    ``restrict_to_new_keys`` only the lot keys that received a row past the mark are
+    ranked: the window partitions on the key, so their ranks are unchanged while
+    the rest of the raw table is neither shuffled nor sorted.
     """
-    from ..operators.joins import DEFAULT_BROADCAST_ROWS, null_safe_join
     from ..operators.upsert import newer_than_target
-    from ..session import scratch_dir, setting
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
-    bound = src.count()  # the raw table: a footer read; bounds any restriction of it
     if restrict_to_new_keys:
-        spark = src.sparkSession
-        kn = [f"__nk{i}" for i in range(4)]
-        key_cols = [k.alias(n) for k, n in zip(_raw_rank_key(), kn)]
-        probe = src.select(*key_cols, parse_date("date_mutation", date_formats).alias("date_mutation"))
-        keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*kn).distinct()
-        limit = setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS)
-        small = bound <= limit  # never more keys than raw rows
-        if not small:
-            keys_path = scratch_dir(spark, "silver-new-keys")
-            keys.write.mode("overwrite").parquet(keys_path)
-            keys = spark.read.parquet(keys_path)
-            small = keys.count() <= limit
-        if small:
-            # Proven small: a map-side semi-join, the raw table is never shuffled for it.
-            src = null_safe_join(src.select("*", *key_cols), F.broadcast(keys), kn, "left_semi").drop(*kn)
-        # Otherwise rank every key: a shuffled semi-join would cost more than it saves.
-    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold,
-                       row_bound=bound)
-    return newer_than_target(rows, current, "date_mutation", lookback_days)
+        src = _of_keys(src, _raw_rank_key(), open_keys(src, current, date_formats))
+    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold)
+    return newer_than_target(rows, current, "date_mutation")
 
 
 def _raw_rank_key() -> list[Column]:
@@ -132,7 +136,7 @@ def _raw_rank_key() -> list[Column]:
 
 def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
                 date_formats: Sequence[str] = D.DATE_FORMATS, first_only: bool = False,
-                hot_threshold: int | str | None = AUTO, row_bound: int | None = None) -> DataFrame:
+                hot_threshold: int | None = None) -> DataFrame:
     """distinct -> clean -> lot rank -> price and rule filters -> id and unit price.
 
     The DISTINCT and the lot rank share one shuffle (``rank_distinct_rows``).
@@ -140,12 +144,6 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
     src = bronze_or_src if already_staged else staging(bronze_or_src)
-    hot_threshold = resolve_hot_threshold(src, hot_threshold)
-    if hot_threshold is not None and (row_bound if row_bound is not None else src.count()) <= hot_threshold:
-        # No key can exceed the threshold: skip the hot-key pass.  For a parquet
-        # raw table the count reads file footers only; ``row_bound`` supplies it
-        # when the input is derived (e.g. restricted to some keys).
-        hot_threshold = None
     cleaned = clean_projection(src.select(*SRC_COLUMNS), date_formats)
     if first_only:
         ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
@@ -159,30 +157,35 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
 
 
 PARTITION_COL = "mois_mutation"
+# The lot key in silver terms: document, disposition, type ('' for NULL) and built surface as text ('' for NULL).
+KEY_COLUMNS = ["cle_document", "cle_disposition", "cle_type", "cle_surface"]
 
 
 def incremental_build(bronze_or_src: DataFrame, path: str, already_staged: bool = False,
                       restrict_to_new_keys: bool = True, lookback_days: int = 0,
-                      hot_threshold: int | str | None = AUTO) -> DataFrame:
-    """Create the silver table at ``path`` (partitioned by sale month), or merge the
-    rows newer than its high-water mark, rewriting only the months they touch.
-
-    The month is safe as partition: ``mutation_id`` hashes the date, so a matching
-    row always sits in the same month.  Returns the silver columns.
+                      hot_threshold: int | None = None) -> DataFrame:
+    """Create the silver table at ``path`` (partitioned by sale month), or merge into it.
+
+    Strict mode (``lookback_days=0``) adds the rows newer than the high-water mark.  With
+    a lookback, every lot key that has a raw row inside the reopened days is replaced
+    as a whole: a late row shifts the ranks of its key, and with them the ids, so the
+    key's stored rows are deleted and all its rows inserted anew, in whatever months they
+    lie.  Only touched months are rewritten.  Returns the silver columns.
     """
-    from ..operators.upsert import merge_partitions
-    from ..session import scratch_dir
+    from ..operators.upsert import current_version, merge_partitions, read_partitions
     spark = bronze_or_src.sparkSession
     month = F.trunc(F.col("date_mutation"), "month").alias(PARTITION_COL)
-    try:
-        current = spark.read.parquet(path).drop(PARTITION_COL)
-    except Exception:  # noqa: BLE001 - first build
-        current = None
-    if current is None:
-        rows = silver_rows(bronze_or_src, already_staged, hot_threshold=hot_threshold)
+    key = [k.alias(n) for k, n in zip(rank_key(), KEY_COLUMNS)]
+    if current_version(spark, path) is None:
+        rows, gone = silver_rows(bronze_or_src, already_staged, hot_threshold=hot_threshold), None
     else:
-        rows = new_rows(bronze_or_src, current, already_staged, restrict_to_new_keys=restrict_to_new_keys,
-                        lookback_days=lookback_days, hot_threshold=hot_threshold)
-    out = merge_partitions(rows.select("*", month), path, "mutation_id", PARTITION_COL,
-                           scratch_dir(spark, "silver-merge-stage"))
+        current = read_partitions(spark, path)
+        if lookback_days:
+            src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
+            gone = open_keys(src, current, lookback_days=lookback_days)
+            rows = silver_rows(_of_keys(src, _raw_rank_key(), gone), already_staged=True, hot_threshold=hot_threshold)
+        else:
+            rows, gone = new_rows(bronze_or_src, current, already_staged, restrict_to_new_keys=restrict_to_new_keys,
+                                  hot_threshold=hot_threshold), None
+    out = merge_partitions(rows.select("*", *key, month), path, "mutation_id", PARTITION_COL, gone)
     return out.select(*D.SILVER_COLUMNS)

@@ -149,9 +149,6 @@ def _price_measures() -> list[Column]:
 MEDIANS = {"prix_median": PRICE}
 
 
-def source_rows(table: DataFrame) -> int:
-    """Rows of the written fact table (a footer read for parquet): bounds every group."""
-    return table.count()
 PRICE_COLUMNS = ["nb_transactions", "nb_ventes", "volume_financier", "prix_moyen", "prix_median"]
 
 
@@ -169,7 +166,7 @@ def agg_year(fact_df: DataFrame, cal: DataFrame) -> DataFrame:
         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
         count_distinct("geo_key").alias("nb_communes_actives"),
-    ], medians=MEDIANS, row_bound=source_rows(fact_df))
+    ], medians=MEDIANS)
     out = pct_change(base, {"prix_moyen": "variation_prix_yoy_pct",
                             "nb_transactions": "variation_volume_yoy_pct",
                             "volume_financier": "variation_volume_financier_yoy_pct"},
@@ -191,7 +188,7 @@ def agg_month(fact_df: DataFrame, cal: DataFrame) -> DataFrame:
         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
         flag_sum("est_bien_bati").alias("nb_biens_batis"),
-    ], medians=MEDIANS, row_bound=source_rows(fact_df))
+    ], medians=MEDIANS)
     return out.select("type_bien_key", "date_mois_key", "mois", "annee", "trimestre_num", "trimestre_libelle",
                       "mois_num", "mois_nom", "semestre", *PRICE_COLUMNS, "prix_m2_moyen", "surface_moyenne",
                       "nb_biens_batis")
@@ -208,7 +205,7 @@ def agg_region_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame) -> DataF
     f = f.join(g, "geo_key", "inner")
     base = aggregate(f, ["code_departement", "nom_departement", "region", "type_bien_key", "annee"],
                      _price_measures() + [exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen")],
-                     medians=MEDIANS, row_bound=source_rows(fact_df))
+                     medians=MEDIANS)
     out = pct_change(base, {"prix_moyen": "variation_prix_yoy_pct", "nb_transactions": "variation_volume_yoy_pct"},
                      ["code_departement", "type_bien_key"], "annee")
     return out.select("code_departement", "nom_departement", "region", "type_bien_key", "annee", *PRICE_COLUMNS,
@@ -230,7 +227,7 @@ def agg_geo_year(fact_df: DataFrame, geo: DataFrame, cal: DataFrame,
         F.max(PRICE).alias("prix_max"),
         exact_avg("prix_metre_carre", RATIO_SCALE).alias("prix_m2_moyen"),
         exact_avg("surface_reelle_bati").alias("surface_moyenne"),
-    ], having=F.col("nb_transactions") >= min_count, medians=MEDIANS, row_bound=source_rows(fact_df))
+    ], having=F.col("nb_transactions") >= min_count, medians=MEDIANS)
     g = geo.select("geo_key", "commune", "code_postal", "code_departement", "nom_departement", "region")
     out = base.join(g, "geo_key", "inner")
     return out.select("geo_key", "commune", "code_postal", "code_departement", "nom_departement", "region",

@@ -14,7 +14,7 @@ from ..functions.scalars import (
 )
 from ..functions.measures import count_if, rows
 from ..operators.clean import positive_filter, validate_by_category
-from ..operators.windows import AUTO, keep_first_per_key, rank_distinct_rows, rank_within_key
+from ..operators.windows import keep_first_per_key, rank_distinct_rows, rank_within_key
 from . import oracle as O
 from . import silver
 from .queries import bronze_of, silver_of
@@ -28,7 +28,7 @@ def _cleaned(spark, sf_dir, keep_raw=True):
     return silver.clean_projection(_staged(spark, sf_dir).distinct(), keep_raw=keep_raw)
 
 
-def _ranked(spark, sf_dir, hot_threshold=AUTO):
+def _ranked(spark, sf_dir, hot_threshold=None):
     return rank_distinct_rows(silver.clean_projection(_staged(spark, sf_dir)), silver.rank_key(), silver.RAW_CODE,
                               "lot_rank", hot_threshold)
 

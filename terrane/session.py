@@ -8,6 +8,7 @@ which is the situation in unit tests and the local bench.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,21 +43,27 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set one only if unset."""
+    """The shared checkpoint folder named by the session.
+
+    Only a session on the local machine (tests, the bench) may do without one and gets
+    a private folder; on a cluster each executor would write to a disk of its own, so a
+    missing ``spark.checkpoint.dir`` is an error there.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): use the conf only
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        return conf_dir or tempfile.mkdtemp(prefix="terrane-ckpt-")
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return conf_dir
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    # Unset (tests, local bench): fall back to a private local folder.
-    local = tempfile.mkdtemp(prefix="terrane-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not current:
+        if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
+        current = tempfile.mkdtemp(prefix="terrane-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -68,19 +68,78 @@ def test_merge_partitions_rewrites_only_touched_months(spark):
     import glob
     import os
 
-    from terrane.operators.upsert import merge_partitions
+    from terrane.operators.upsert import merge_partitions, read_partitions
     from terrane.session import local_path
     path = scratch_dir(spark, "t-merge")
     rows = [("a", dt.date(2021, 1, 5), 1), ("b", dt.date(2021, 2, 5), 1)]
     df = _df(spark, rows).withColumn("m", F.trunc("d", "month"))
-    merge_partitions(df, path, "id", "m", scratch_dir(spark, "t-stage"))
-    jan = sorted(glob.glob(os.path.join(local_path(path), "m=2021-01-01", "*.parquet")))
+    merge_partitions(df, path, "id", "m")
+    jan = sorted(glob.glob(os.path.join(local_path(path), "data", "*", "__part=2021-01-01", "*.parquet")))
     before = [os.path.getmtime(f) for f in jan]
     upd = _df(spark, [("b", dt.date(2021, 2, 5), 9), ("c", dt.date(2021, 2, 7), 1)]).withColumn("m", F.trunc("d", "month"))
-    out = merge_partitions(upd, path, "id", "m", scratch_dir(spark, "t-stage"))
+    out = merge_partitions(upd, path, "id", "m")
     assert sorted((r.id, r.v) for r in out.collect()) == [("a", 1), ("b", 9), ("c", 1)]
-    assert sorted(glob.glob(os.path.join(local_path(path), "m=2021-01-01", "*.parquet"))) == jan
+    assert sorted(glob.glob(os.path.join(local_path(path), "data", "*", "__part=2021-01-01", "*.parquet"))) == jan and jan
     assert [os.path.getmtime(f) for f in jan] == before
+    none = _df(spark, [("d", None, 4)]).withColumn("m", F.trunc("d", "month"))
+    merge_partitions(none, path, "id", "m")
+    assert sorted((r.id, r.v) for r in read_partitions(spark, path).collect()) == [("a", 1), ("b", 9), ("c", 1), ("d", 4)]
+
+
+def test_an_unreadable_file_stops_the_merge_and_leaves_the_table(spark):
+    import glob
+    import os
+
+    import pytest
+
+    from terrane.operators.upsert import current_version, merge_partitions, read_partitions
+    from terrane.session import local_path
+    path = scratch_dir(spark, "t-broken")
+    df = _df(spark, [(f"k{i}", dt.date(2021, 1 + i % 3, 5), i) for i in range(9)]).withColumn("m", F.trunc("d", "month"))
+    merge_partitions(df, path, "id", "m")
+    broken = glob.glob(os.path.join(local_path(path), "data", "*", "__part=2021-02-01", "*.parquet"))[0]
+    good = open(broken, "rb").read()
+    with open(broken, "wb") as f:
+        f.write(b"no parquet")
+    upd = _df(spark, [("k1", dt.date(2021, 2, 5), 100)]).withColumn("m", F.trunc("d", "month"))
+    with pytest.raises(Exception):
+        merge_partitions(upd, path, "id", "m")
+    assert current_version(spark, path) == 1
+    with open(broken, "wb") as f:
+        f.write(good)
+    for crc in glob.glob(os.path.join(os.path.dirname(broken), ".*.crc")):
+        os.remove(crc)
+    assert read_partitions(spark, path).count() == 9
+    assert merge_partitions(upd, path, "id", "m").count() == 9
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from terrane import session
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, self.conf = Context(master), self
+
+        def get(self, name, default=None):
+            return default
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_root(Session(master))
+    for master in ("local", "local[4]", "local[*]"):
+        assert session.checkpoint_root(Session(master))
 
 
 def test_unplannable_check_is_an_error_row(spark):
