@@ -26,9 +26,9 @@ UPDATES_FROM = "1999-01-01"
 
 def _tables(spark, sf_dir, checks):
     """The tables under test, each written once per session (checks read built tables)."""
-    build = builders(silver_of(spark, sf_dir), seed_from_tables(spark, sf_dir), calendar_of(spark))
+    build = builders(silver_of(spark, sf_dir), seed_from_tables(spark, sf_dir), calendar_of(spark, sf_dir))
     written = {"silver_mutation_f": lambda: silver_of(spark, sf_dir), "fact_mutations": lambda: fact_of(spark, sf_dir),
-               "dim_geography": lambda: geo_of(spark, sf_dir), "dim_date": lambda: calendar_of(spark)}
+               "dim_geography": lambda: geo_of(spark, sf_dir), "dim_date": lambda: calendar_of(spark, sf_dir)}
     names = sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table})
     return {n: written[n]() if n in written else materialized(spark, n, sf_dir, build[n]) for n in names}
 
@@ -92,6 +92,25 @@ def _silver_incremental(restrict: bool):
     return q
 
 
+LATE_DAYS = 120
+
+
+def _shared_documents(b):
+    """The raw lines with forty orders to a document, so that lots share their key."""
+    doc = (F.col("`Identifiant de document`").cast("long") / 40).cast("long").cast("string")
+    return b.withColumn("Identifiant de document", doc)
+
+
+def q_silver_incremental_lookback(spark, sf_dir):
+    """A load, then the rest with a lookback: a third of the last months' lines come late, into keys that exist."""
+    b = _shared_documents(bronze_of(spark, sf_dir))
+    d = parse_date(F.col("`Date mutation`"), D.DATE_FORMATS)
+    late = (d > F.date_sub(F.lit(TARGET_END).cast("date"), LATE_DAYS // 2)) & (F.col("`Reference document`").cast("long") % 3 == 0)
+    root = scratch_dir(spark, "silver-lookback")
+    silver.incremental_build(_first_load(b).filter(~F.coalesce(late, F.lit(False))), root)
+    return silver.incremental_build(b, root, lookback_days=LATE_DAYS)
+
+
 def q_full_refresh(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     root = scratch_dir(spark, "volume-mensuel")
@@ -111,6 +130,7 @@ QUERIES = {
     "full_refresh": q_full_refresh,
     "silver_incremental": _silver_incremental(True),
     "silver_incremental_all_keys": _silver_incremental(False),
+    "silver_incremental_lookback": q_silver_incremental_lookback,
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -189,3 +209,18 @@ _INCR = ("WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in
          f"UNION ALL SELECT {_SILVER_COLS} FROM fresh")
 SQL["silver_incremental"] = _INCR
 SQL["silver_incremental_all_keys"] = _INCR
+
+_SHARED = ("SELECT * REPLACE (CAST(CAST(\"Identifiant de document\" AS BIGINT) // 40 AS VARCHAR) AS \"Identifiant de document\") FROM ("
+           + BRONZE_SQL + ") b")
+_DAY = O.PARSE_DATE.format(c='"Date mutation"')
+_EARLY = (f"SELECT * FROM ({_SHARED}) b WHERE ({_DAY} <= DATE '{TARGET_END}' OR {_DAY} IS NULL) AND NOT COALESCE("
+          f"{_DAY} > DATE '{TARGET_END}' - {LATE_DAYS // 2} AND CAST(\"Reference document\" AS BIGINT) % 3 = 0, FALSE)")
+_LOT = ("COALESCE(identifiant_document, chr(0)) || chr(1) || COALESCE(no_disposition, chr(0)) || chr(1) || COALESCE(type_local, '') || chr(1) "
+        "|| COALESCE(CAST(surface_reelle_bati AS VARCHAR), '')")
+# Keys with a raw line in the reopened days take all their rows from a rebuild, the others keep theirs.
+SQL["silver_incremental_lookback"] = (
+    "WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in O.silver_chain("s1_", _EARLY) + O.silver_chain("s2_", _SHARED))
+    + f",\nreopened AS (SELECT DISTINCT {_LOT} AS lot FROM s2_cleaned WHERE date_mutation >= "
+      f"(SELECT MAX(date_mutation) FROM s1_silver) - {LATE_DAYS})\n"
+      f"SELECT {_SILVER_COLS} FROM s1_silver WHERE {_LOT} NOT IN (SELECT lot FROM reopened) "
+      f"UNION ALL SELECT {_SILVER_COLS} FROM s2_silver WHERE {_LOT} IN (SELECT lot FROM reopened)")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import gold, silver, star
 from .catalog import materialized
-from .tables import TABLE_CALENDAR, bronze_from_tables, seed_from_tables
+from .tables import bronze_from_tables, seed_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,9 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, "silver", sf_dir, lambda: silver.silver_rows(bronze_of(spark, sf_dir)))
 
 
-def calendar_of(spark: SparkSession) -> DataFrame:
-    return star.calendar(spark, *TABLE_CALENDAR)
+def calendar_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar from the first to the last sale date, written once per session."""
+    return materialized(spark, "dim_date", sf_dir, lambda: star.calendar_of_dates(silver_of(spark, sf_dir)))
 
 
 def fact_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def q_silver_build(spark, sf_dir):
 
 
 def q_calendar_dim(spark, sf_dir):
-    return calendar_of(spark)
+    return calendar_of(spark, sf_dir)
 
 
 def q_dim_geo(spark, sf_dir):
@@ -72,7 +73,7 @@ def q_fact_build(spark, sf_dir):
 
 
 def _star_inputs(spark, sf_dir):
-    return fact_of(spark, sf_dir), geo_of(spark, sf_dir), calendar_of(spark)
+    return fact_of(spark, sf_dir), geo_of(spark, sf_dir), calendar_of(spark, sf_dir)
 
 
 def q_agg_year(spark, sf_dir):

@@ -75,15 +75,16 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     3. incremental silver: rank keys with new rows, merge rows past the mark into
        the month-partitioned silver table;
     4. rebuild gold, dimensions, fact and aggregates layer by layer;
-    5. run the declared data tests and return their summary (pass / warn / fail).
+    5. run the declared data tests, write their report and summary (pass / warn / fail),
+       and fail the run if a test of severity error has failed.
     Everything lives under ``root`` (a shared folder); rerunning with nothing new
     loads nothing and leaves silver unchanged.
     """
     from .. import domain as D
-    from ..operators.quality import Check, run_checks, summarize
+    from ..operators.quality import Check, raise_on_failure, run_checks, summarize
     from pyspark.sql import functions as F
 
-    from ..sources.archive import extract_archives, list_files, require_landed
+    from ..sources.archive import extract_archives, extraction_log, list_files, require_landed
     from ..sources.manifest import PENDING, manifest_diff
     from ..streaming.ledger import load_new_files, read_loaded
     from . import silver as S
@@ -91,10 +92,7 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     landed, raw, ledger = f"{base}/landed", f"{base}/raw", f"{base}/_ledger"
     leaf = F.element_at(F.split("path", "/"), -1).alias("name")
     archives = list_files(spark, archive_dir, "*.zip").select("path", leaf)
-    try:
-        already = list_files(spark, landed, "*.txt").select(leaf)
-    except Exception:  # noqa: BLE001 - nothing landed yet
-        already = spark.createDataFrame([], "name string")
+    already = extraction_log(spark, landed).select("name")
     pending = manifest_diff(archives, already, "casefold").filter(F.col("status") == PENDING)
     extract_archives(spark, archive_dir, landed, ".txt", archives=pending)
     require_landed(spark, landed, ".txt")
@@ -104,4 +102,7 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     tables = build_model(spark, silver_df, seed, calendar, f"{base}/model", threads)
     checks = [Check(t, c, test, sev, where) for t, c, test, sev, where in D.DATA_TESTS]
     checks += [Check(t, c, "relationships", "warn", None, pt, pc) for t, c, pt, pc in D.RELATIONSHIP_TESTS]
-    return summarize(run_checks(tables, checks))
+    report = full_refresh(run_checks(tables, checks), f"{base}/quality_report")
+    summary = full_refresh(summarize(report), f"{base}/quality_summary")
+    raise_on_failure(report)
+    return summary

@@ -26,7 +26,6 @@ from . import oracle as O
 from .queries import bronze_of, silver_of
 from .tables import BRONZE_SQL, SEED_SQL, load, seed_from_tables
 
-FILE_PARTS = 4
 COLS = D.BRONZE_COLUMNS
 
 
@@ -34,10 +33,12 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def write_delimited(df: DataFrame, path: str, parts: int = FILE_PARTS, mode: str = "overwrite") -> None:
-    """Pipe-delimited files with a header line, NULL as an empty field."""
-    (df.repartition(parts).write.mode(mode).option("header", True).option("sep", "|")
-     .option("quote", '"').option("escape", '"').csv(path))
+def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> None:
+    """Pipe-delimited files with a header line, NULL as an empty field: as many files as the input has splits."""
+    writer = df.write.mode(mode)
+    if by:
+        writer = writer.partitionBy(by)
+    writer.option("header", True).option("sep", "|").option("quote", '"').option("escape", '"').csv(path)
 
 
 def _disposition(n: int):
@@ -81,7 +82,7 @@ def _ragged_lines(b: DataFrame) -> DataFrame:
 def q_tolerant_load(spark, sf_dir):
     path = scratch_dir(spark, "bronze-ragged")
     # A single text column named after the header line; no quoting, no other separator.
-    (_ragged_lines(bronze_of(spark, sf_dir)).repartition(FILE_PARTS).write.mode("overwrite")
+    (_ragged_lines(bronze_of(spark, sf_dir)).write.mode("overwrite")
      .option("header", True).option("sep", "\t").option("quote", "").csv(path))
     return delimited_scan(spark, path, COLS, glob="*.csv")
 
@@ -99,7 +100,8 @@ def _zip_parts(out_dir: str):
             made = []
             for uri in pdf["path"]:
                 in_fs, in_path = _fs(uri)
-                stem = posixpath.basename(in_path).split(".")[0]
+                part = posixpath.basename(posixpath.dirname(in_path)).split("=")[-1]
+                stem = part + "-" + posixpath.basename(in_path).split(".")[0]
                 target = posixpath.join(out_root, f"{D.ARCHIVE_TOKEN}-{stem}.txt.zip")
                 with out_fs.open_output_stream(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
                     with in_fs.open_input_stream(in_path) as src, zf.open(f"ValeursFoncieres-{stem}.txt", "w") as dst:
@@ -115,11 +117,12 @@ def _zip_parts(out_dir: str):
 
 
 def _make_archives(spark, sf_dir) -> tuple[str, str]:
+    """An archive for each text file of the raw lines; the files are written by disposition."""
     files = scratch_dir(spark, "bronze-text")
     zips = scratch_dir(spark, "archives")
-    write_delimited(bronze_of(spark, sf_dir), files)
-    parts = list_files(spark, files, "*.csv").select("path")
-    parts.repartition(FILE_PARTS, "path").mapInPandas(_zip_parts(zips), ZIP_SCHEMA).write.mode("overwrite") \
+    write_delimited(bronze_of(spark, sf_dir).withColumn("part", _q("No disposition")), files, by="part")
+    parts = list_files(spark, [files], "*.csv").select("path")
+    parts.repartition(max(1, parts.count())).mapInPandas(_zip_parts(zips), ZIP_SCHEMA).write.mode("overwrite") \
         .json(zips.rstrip("/") + "/_zip_log")
     return zips, scratch_dir(spark, "landed")
 
@@ -131,15 +134,17 @@ def q_archive_scan(spark, sf_dir):
 
 
 def q_archive_lines(spark, sf_dir):
-    """Every text line extracted from the archives (one header line per archive)."""
+    """Every text line extracted from the archives, without the header line of each."""
     zips, landed = _make_archives(spark, sf_dir)
-    return archive_scan(spark, zips, landed, ".txt").select("line")
+    return archive_scan(spark, zips, landed, ".txt").select("line").filter(F.col("line") != "|".join(COLS))
 
 
 def q_landing_check(spark, sf_dir):
+    """Rows landed per disposition, from the counts of every landed file (a header line each)."""
     zips, landed = _make_archives(spark, sf_dir)
     extract_archives(spark, zips, landed, ".txt")
-    return landing_check(spark, landed, ".txt")
+    part = F.regexp_extract("name", "^ValeursFoncieres-([0-9]+)-", 1).alias("part")
+    return landing_check(spark, landed, ".txt").groupBy(part).agg((F.sum("lines") - F.count(F.lit(1))).alias("landed_rows"))
 
 
 # ------------------------------------------------------------------ ledger
@@ -280,8 +285,9 @@ def _diff_sql(mode: str) -> str:
 _LINE = "concat_ws('|', " + ", ".join(f"COALESCE(\"{c}\", '')" for c in COLS) + ")"
 
 SQL = {
-    "archive_lines": (f"WITH bronze AS (\n{BRONZE_SQL}\n)\nSELECT {_LINE} AS line FROM bronze\n"
-                      f"UNION ALL SELECT {O._sql_str('|'.join(COLS))} AS line FROM range({FILE_PARTS})"),
+    "archive_lines": f"WITH bronze AS (\n{BRONZE_SQL}\n)\nSELECT {_LINE} AS line FROM bronze",
+    "landing_check": (f"WITH bronze AS (\n{BRONZE_SQL}\n)\nSELECT \"No disposition\" AS part, COUNT(*) AS landed_rows FROM bronze "
+                      "GROUP BY 1"),
     "delimited_scan": _bronze_with({}),
     "match_by_name": _bronze_with({"Surface terrain": "CASE WHEN CAST(\"No disposition\" AS INTEGER) % 2 = 0 "
                                                       "THEN NULL ELSE \"Surface terrain\" END"}),

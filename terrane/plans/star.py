@@ -25,9 +25,19 @@ def calendar(spark: SparkSession, start: str = D.CALENDAR_START, end: str = D.CA
     weekend day under the ``IN (6, 7)`` test); ``1`` numbers 1 = Monday ... 7 = Sunday.
     Its size is fixed by the span, so it is safe to broadcast.
     """
+    bounds = spark.range(1).select(F.to_date(F.lit(start)).alias("first_day"), F.to_date(F.lit(end)).alias("last_day"))
+    return calendar_between(bounds, week_start)
+
+
+def calendar_of_dates(dates: DataFrame, column: str = "date_mutation", week_start: int = 0) -> DataFrame:
+    """The calendar from the first to the last date of a column (no rows if it has no date)."""
+    return calendar_between(dates.agg(F.min(column).alias("first_day"), F.max(column).alias("last_day")), week_start)
+
+
+def calendar_between(bounds: DataFrame, week_start: int = 0) -> DataFrame:
+    """The calendar of a one-row span (first_day, last_day)."""
     d = F.col("date_complete")
-    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
-                                                      F.expr("INTERVAL 1 DAY"))).alias("date_complete"))
+    days = bounds.select(F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))).alias("date_complete"))
     dow = (F.dayofweek(d) - 1) if week_start == 0 else (F.weekday(d) + 1)
     q = F.quarter(d)
     return days.select(

@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 from .. import domain as D
 
-# Calendar span used with these tables (shipping dates run 1995-2001).
-TABLE_CALENDAR = ("1995-01-01", "2001-12-31")
-# Regions present in the department seed; nations elsewhere take the defaults.
-SEED_REGIONS = ("AFRICA", "AMERICA", "EUROPE")
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -77,7 +72,9 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Code postal": F.when(k % 59 == 0, F.lit(None)).otherwise(
             F.concat(nat2, F.lpad(_s(F.col("l_suppkey") % 1000), 3, "0"))),
         "Commune": F.when(k % 61 == 0, F.lit(None)).otherwise(F.upper(F.col("s_name"))),
-        "Code departement": F.when(k % 67 == 0, F.lit(None)).otherwise(nat2),
+        # Every thirteenth supplier lies in a three-digit department that the seed doesn't know.
+        "Code departement": (F.when(k % 67 == 0, F.lit(None))
+                             .when(F.col("l_suppkey") % 13 == 0, F.concat(F.lit("9"), nat2)).otherwise(nat2)),
         "Type local": (F.when(pk % 11 == 0, F.lit("Terrain à bâtir"))
                        .when(ptype == 0, F.lit("Maison"))
                        .when(ptype == 1, F.lit("Appartement"))
@@ -98,9 +95,8 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Department seed: nations of three regions (code, name, region)."""
-    nation = load(spark, sf_dir, "nation")
-    region = load(spark, sf_dir, "region").filter(F.col("r_name").isin(*SEED_REGIONS))
+    """Department seed: every nation with its region (code, name, region)."""
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
     return (nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
             .select(F.lpad(_s(F.col("n_nationkey")), 2, "0").alias("code_departement"),
                     F.col("n_name").alias("nom_departement"), F.col("r_name").alias("region")))
@@ -125,7 +121,8 @@ def _bronze_sql() -> str:
         "Code postal": ("CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE lpad(CAST(s_nationkey AS VARCHAR), 2, '0') "
                         "|| lpad(CAST(l_suppkey % 1000 AS VARCHAR), 3, '0') END"),
         "Commune": "CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE upper(s_name) END",
-        "Code departement": "CASE WHEN l_orderkey % 67 = 0 THEN NULL ELSE lpad(CAST(s_nationkey AS VARCHAR), 2, '0') END",
+        "Code departement": ("CASE WHEN l_orderkey % 67 = 0 THEN NULL WHEN l_suppkey % 13 = 0 THEN '9' || "
+                             "lpad(CAST(s_nationkey AS VARCHAR), 2, '0') ELSE lpad(CAST(s_nationkey AS VARCHAR), 2, '0') END"),
         "Type local": ("CASE WHEN l_partkey % 11 = 0 THEN 'Terrain à bâtir' WHEN l_partkey % 5 = 0 THEN 'Maison' "
                        "WHEN l_partkey % 5 = 1 THEN 'Appartement' "
                        "WHEN l_partkey % 5 = 2 THEN (CASE WHEN l_partkey % 2 = 0 THEN 'DÉPENDANCE' ELSE 'Dépendance' END) "
@@ -147,5 +144,4 @@ def _bronze_sql() -> str:
 BRONZE_SQL = _bronze_sql()
 
 SEED_SQL = ("SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code_departement, n_name AS nom_departement, "
-            "r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey "
-            "WHERE r_name IN (" + ", ".join(_sql_str(r) for r in SEED_REGIONS) + ")")
+            "r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")

@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.scalars import null_if_token
 from .archive import _fs, list_files
 
+MAX_HEADER = 1 << 20  # bytes read to find a file's first line
 HEADER_SCHEMA = StructType([StructField("path", StringType()), StructField("header", StringType())])
 
 
@@ -32,6 +33,8 @@ def _read_headers(encoding: str):
                 with fs.open_input_stream(p) as f:
                     head = b""
                     while b"\n" not in head:
+                        if len(head) > MAX_HEADER:
+                            raise ValueError(f"{uri}: no line end in its first {MAX_HEADER} bytes")
                         block = f.read(1 << 16)
                         if not block:
                             break
@@ -50,20 +53,17 @@ def _split_header(header: str, sep: str, quote: str) -> list[str]:
 def file_headers(spark: SparkSession, paths: Sequence[str] | str, glob: str | None = None,
                  encoding: str = "utf-8") -> DataFrame:
     """(path, header line) of every file, read on executors."""
-    listing = None
-    for p in [paths] if isinstance(paths, str) else paths:
-        lst = list_files(spark, p, glob).select("path")
-        listing = lst if listing is None else listing.unionByName(lst)
-    return listing.mapInPandas(_read_headers(encoding), HEADER_SCHEMA)
+    return list_files(spark, paths, glob).select("path").mapInPandas(_read_headers(encoding), HEADER_SCHEMA)
 
 
 def read_by_header(spark: SparkSession, files: Sequence[str], header: list[str], columns: Sequence[str],
                    sep: str = "|", quote: str = '"', encoding: str = "UTF-8",
-                   null_tokens: Sequence[str] = ("", "NULL", "null")) -> DataFrame:
-    """Read files sharing one header; project onto ``columns`` by case-insensitive name."""
+                   null_tokens: Sequence[str] = ("", "NULL", "null"), glob: str | None = None) -> DataFrame:
+    """Read files (or folders of files) sharing one header; project onto ``columns`` by case-insensitive name."""
     names = [f"__c{i}" for i in range(len(header))]
     schema = StructType([StructField(n, StringType(), True) for n in names])
-    df = (spark.read.schema(schema)
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    df = (reader.schema(schema)
           .option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
           .option("encoding", encoding).option("mode", "PERMISSIVE").option("enforceSchema", True)
           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
@@ -84,15 +84,22 @@ def delimited_scan(spark: SparkSession, paths: Sequence[str] | str, columns: Seq
                    null_tokens: Sequence[str] = ("", "NULL", "null")) -> DataFrame:
     """All rows of the delimited files under ``paths``, bound to ``columns`` by name.
 
-    The driver only sees the distinct header lines with their file lists (a file
-    listing); the rows are read by Spark's CSV reader, splittable per file.
+    The headers are read on the executors and written once; the driver sees the distinct
+    ones.  Files of one layout (the usual case) are read by their folders; with several
+    layouts each is read by the paths of its files, which Spark's reader lists there anyway.
     """
-    headers = file_headers(spark, paths, glob).groupBy("header").agg(F.collect_list("path").alias("files"))
-    groups = headers.collect()  # one row per distinct header: bounded by the number of files
+    from ..session import scratch_dir
+    roots = [paths] if isinstance(paths, str) else list(paths)
+    seen = scratch_dir(spark, "headers")
+    file_headers(spark, roots, glob).write.parquet(seen)
+    headers = spark.read.schema(HEADER_SCHEMA).parquet(seen)
+    layouts = [r.header for r in headers.select("header").distinct().collect()]
     out = None
-    for g in groups:
-        part = read_by_header(spark, g.files, _split_header(g.header, sep, quote), columns, sep, quote,
-                              encoding, null_tokens)
+    for h in layouts:
+        one = len(layouts) == 1
+        files = roots if one else [r.path for r in headers.filter(F.col("header") == h).select("path").collect()]
+        part = read_by_header(spark, files, _split_header(h, sep, quote), columns, sep, quote, encoding, null_tokens,
+                              glob if one else None)
         out = part if out is None else out.unionByName(part)
     if out is None:
         schema = StructType([StructField(c, StringType(), True) for c in columns])

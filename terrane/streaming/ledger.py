@@ -28,7 +28,7 @@ BINARY_FILE_SCHEMA = StructType([
 
 def load_new_files(spark: SparkSession, src_dir: str, table_dir: str, checkpoint_dir: str,
                    columns: Sequence[str], glob: str = "*.txt", sep: str = "|",
-                   max_files_per_batch: int | None = 1000) -> int:
+                   max_files_per_batch: int = 1000) -> int:
     """Load every not-yet-loaded ``glob`` file under ``src_dir`` into ``table_dir``.
 
     ``availableNow`` drains everything present at start in micro-batches of at
@@ -36,15 +36,13 @@ def load_new_files(spark: SparkSession, src_dir: str, table_dir: str, checkpoint
     batch's file list.  Returns the number of files loaded by this run (0 when
     nothing new was there).
     """
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    files = reader.load(src_dir).select("path")
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
+             .option("maxFilesPerTrigger", max_files_per_batch).load(src_dir).select("path"))
 
     loaded = [0]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.collect()]  # this batch's new files (a listing)
+        paths = [r.path for r in batch.collect()]  # at most max_files_per_batch
         if not paths:
             return
         loaded[0] += len(paths)

@@ -3,9 +3,11 @@
 import os
 import zipfile
 
+import pytest
+
 from terrane import domain as D
 from terrane.session import local_path, scratch_dir
-from terrane.sources.archive import extract_archives, landing_check
+from terrane.sources.archive import extract_archives, extraction_log, landing_check
 from terrane.sources.delimited import delimited_scan
 from terrane.sources.manifest import manifest_diff, manifest_filter, manifest_summary
 from terrane.sources.seed import read_seed
@@ -38,7 +40,70 @@ def test_archive_scan_keeps_only_txt_members(spark):
         z.writestr("notice.pdf", b"%PDF")
     log = extract_archives(spark, zips, out, ".txt").collect()
     assert [r.member for r in log] == ["ValeursFoncieres-2024.txt"]
-    assert landing_check(spark, out, ".txt").collect()[0].landed_files == 1
+    assert [tuple(r) for r in landing_check(spark, out, ".txt").collect()] == [("ValeursFoncieres-2024.txt", 27, 2)]
+
+
+def _zip(folder, name, members):
+    os.makedirs(local_path(folder), exist_ok=True)
+    with zipfile.ZipFile(os.path.join(local_path(folder), name), "w") as z:
+        for m, text in members.items():
+            z.writestr(m, text)
+
+
+def test_a_damaged_archive_lands_nothing_and_a_rerun_mends_it(spark):
+    zips, out = scratch_dir(spark, "t-torn"), scratch_dir(spark, "t-torn-out")
+    text = "No disposition|Commune\n" + "".join(f"{i}|{i * 7919 % 10007}\n" for i in range(20000))
+    _zip(zips, "a.zip", {"data.txt": text})
+    file = os.path.join(local_path(zips), "a.zip")
+    whole = open(file, "rb").read()
+    for crc in (f for f in os.listdir(local_path(zips)) if f.endswith(".crc")):
+        os.remove(os.path.join(local_path(zips), crc))
+    with open(file, "wb") as f:
+        f.write(whole[:200] + bytes([whole[200] ^ 255]) + whole[201:])
+    with pytest.raises(Exception):
+        extract_archives(spark, zips, out, ".txt")
+    assert not [f for f in os.listdir(local_path(out)) if f.endswith(".txt") or f.startswith("_attempt")]
+    assert extraction_log(spark, out).count() == 0
+    with open(file, "wb") as f:
+        f.write(whole)
+    assert extract_archives(spark, zips, out, ".txt").count() == 1
+    landed = os.path.join(local_path(out), "data.txt")
+    assert open(landed).read() == text
+    stamp = os.path.getmtime(landed)
+    assert extract_archives(spark, zips, out, ".txt").count() == 1 and os.path.getmtime(landed) == stamp
+
+
+def test_members_of_one_name_are_refused(spark):
+    zips, out = scratch_dir(spark, "t-clash"), scratch_dir(spark, "t-clash-out")
+    _zip(zips, "a.zip", {"x/data.txt": "h\n1\n"})
+    _zip(zips, "b.zip", {"y/data.txt": "h\n2\n"})
+    with pytest.raises(ValueError, match="data.txt"):
+        extract_archives(spark, zips, out, ".txt")
+    assert not os.path.isdir(local_path(out)) or not [f for f in os.listdir(local_path(out)) if f.endswith(".txt")]
+    one = scratch_dir(spark, "t-clash-one")
+    _zip(one, "a.zip", {"x/data.txt": "h\n1\n"})
+    extract_archives(spark, one, out, ".txt")
+    other = scratch_dir(spark, "t-clash-other")
+    _zip(other, "c.zip", {"data.txt": "h\n3\n"})
+    with pytest.raises(ValueError, match="data.txt"):
+        extract_archives(spark, other, out, ".txt")
+
+
+def test_header_reads_are_bounded(spark):
+    d = scratch_dir(spark, "t-noline")
+    _write(d, "a.txt", "x" * (3 << 20))
+    with pytest.raises(Exception, match="no line end"):
+        delimited_scan(spark, d, ["x"], glob="*.txt").collect()
+
+
+def test_a_thousand_files_in_one_batch(spark):
+    src, table, ckpt = (scratch_dir(spark, n) for n in ("t-many", "t-many-table", "t-many-ckpt"))
+    cols = ["No disposition", "Commune"]
+    for i in range(1000):
+        _write(src, f"f{i}.txt", f"No disposition|Commune\n{i}|c{i}\n" if i % 10 else f"Commune|No disposition\nc{i}|{i}\n")
+    assert load_new_files(spark, src, table, ckpt, cols) == 1000
+    assert sorted(int(r[0]) for r in read_loaded(spark, table, cols).collect()) == list(range(1000))
+    assert all(r[1] == f"c{r[0]}" for r in read_loaded(spark, table, cols).collect())
 
 
 def test_ledger_loads_each_file_once(spark):
