@@ -70,3 +70,24 @@ def test_every_oracle_query_matches_duckdb_at_sf0001(spark):
         if sorted(df.columns) != sorted(dcols) or canon(df.columns, df.collect()) != canon(dcols, cur.fetchall()):
             bad.append(name)
     assert bad == []
+
+
+def test_the_core_works_without_the_training_package():
+    """Neither terrane.llm nor corpus_pipeline is needed; any other import error is raised."""
+    import subprocess
+    import sys
+    code = """
+import sys
+gone = {gone!r}
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if any(name == g or name.startswith(g + '.') for g in gone):
+            raise ModuleNotFoundError(f'No module named {{name!r}}', name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+print(len([n for n in e.queries() if n.startswith('op') or n == 'pipeline']), len(e.queries()) > 60)
+"""
+    def run(*gone):
+        return subprocess.run([sys.executable, "-c", code.format(gone=gone)], capture_output=True, text=True, cwd=E.__file__.rsplit("/", 1)[0])
+    assert run("terrane.llm", "corpus_pipeline").stdout.split() == ["0", "True"]
+    assert "numpy" in run("numpy").stderr or run("numpy").returncode == 0

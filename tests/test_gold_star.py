@@ -172,7 +172,8 @@ def test_hot_median_path_with_expression_keys(spark, silver_df, seed, monkeypatc
             "month": sorted(tuple(r) for r in star.agg_month(f, cal).collect()),
             "region": sorted(tuple(r) for r in star.agg_region_year(f, g, cal).collect()),
         }
-    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 10_000_000)
+    monkeypatch.setattr(aggregates, "_SMALL", 10_000_000)
     plain = run()
-    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 5)
+    monkeypatch.setattr(aggregates, "_SMALL", 1)  # the narrowest brackets for groups of any size
+    monkeypatch.setattr(aggregates, "_MIDDLING", 2)
     assert run() == plain
