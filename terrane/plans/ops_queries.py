@@ -12,7 +12,8 @@ from . import gold
 from . import oracle as O
 from .catalog import materialized
 from .model import builders
-from . import silver
+from . import silver, star
+from .runner import BI_TABLES, export_bi
 from ..functions.scalars import parse_date
 from .queries import bronze_of, calendar_of, fact_of, geo_of, silver_of
 from .tables import BRONZE_SQL
@@ -111,6 +112,16 @@ def q_silver_incremental_lookback(spark, sf_dir):
     return silver.incremental_build(b, root, lookback_days=LATE_DAYS)
 
 
+def q_bi_export(spark, sf_dir):
+    """Rows of every table exported for the dashboards, as written."""
+    geo, fact, cal, s = geo_of(spark, sf_dir), fact_of(spark, sf_dir), calendar_of(spark, sf_dir), silver_of(spark, sf_dir)
+    built = {n: b() for n, b in builders(s, seed_from_tables(spark, sf_dir), cal).items() if n not in
+             ("silver_mutation_f", "fact_mutations", "dim_geography") and not n.startswith("agg_")}
+    built |= {"dim_geography": geo, "agg_annuel_type_bien": star.agg_year(fact, cal), "agg_mensuel_type_bien": star.agg_month(fact, cal),
+              "agg_departement_type_bien": star.agg_region_year(fact, geo, cal), "agg_commune_type_bien": star.agg_geo_year(fact, geo, cal)}
+    return export_bi(built, scratch_dir(spark, "bi-export")).select("table_name", "row_count")
+
+
 def q_full_refresh(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     root = scratch_dir(spark, "volume-mensuel")
@@ -131,6 +142,7 @@ QUERIES = {
     "silver_incremental": _silver_incremental(True),
     "silver_incremental_all_keys": _silver_incremental(False),
     "silver_incremental_lookback": q_silver_incremental_lookback,
+    "bi_export": q_bi_export,
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -224,3 +236,11 @@ SQL["silver_incremental_lookback"] = (
       f"(SELECT MAX(date_mutation) FROM s1_silver) - {LATE_DAYS})\n"
       f"SELECT {_SILVER_COLS} FROM s1_silver WHERE {_LOT} NOT IN (SELECT lot FROM reopened) "
       f"UNION ALL SELECT {_SILVER_COLS} FROM s2_silver WHERE {_LOT} IN (SELECT lot FROM reopened)")
+
+_BI_SQL = TABLE_SQL | {
+    "repartition_types": O.GOLD["type_distribution"], "surface_vs_prix": O.GOLD["price_by_bin"],
+    "agg_annuel_type_bien": O.STAR["agg_year"], "agg_mensuel_type_bien": O.STAR["agg_month"],
+    "agg_departement_type_bien": O.STAR["agg_region_year"], "agg_commune_type_bien": O.STAR["agg_geo_year"],
+}
+SQL["bi_export"] = "\nUNION ALL\n".join(
+    f"SELECT {O._sql_str(n)} AS table_name, COUNT(*) AS row_count FROM (\n{_BI_SQL[n]}\n) t" for n in BI_TABLES)

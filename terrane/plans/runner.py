@@ -11,7 +11,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.quality import union_all
 from ..operators.upsert import full_refresh, read_table
 from . import gold, star
 
@@ -65,6 +67,29 @@ def read_model(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
     return {n: read_table(spark, f"{root.rstrip('/')}/{n}") for n in names}
 
 
+# The pre-aggregated tables that a dashboard imports; the fact table and silver stay behind.
+BI_TABLES = [*GOLD, "dim_date", "dim_geography", "dim_type_bien", "dim_nature_mutation", "agg_annuel_type_bien",
+             "agg_mensuel_type_bien", "agg_departement_type_bien", "agg_commune_type_bien"]
+
+
+def export_bi(tables: dict[str, DataFrame], out_dir: str, names: list[str] | None = None) -> DataFrame:
+    """Write the tables that a dashboard imports to ``out_dir``; one row per table: table_name, row_count, bytes.
+
+    Each is a folder of few, full parquet files; nothing passes through the driver.
+    """
+    base = out_dir.rstrip("/")
+    report = []
+    for name in names or BI_TABLES:
+        spark = tables[name].sparkSession
+        path = f"{base}/{name}"
+        tables[name].hint("rebalance").write.mode("overwrite").parquet(path)
+        written = spark.read.schema(tables[name].schema).parquet(path)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        report.append(written.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")).join(
+            files.agg(F.lit(name).alias("table_name"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")), "table_name"))
+    return union_all(report)
+
+
 def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFrame, calendar: DataFrame,
                 threads: int = 4) -> DataFrame:
     """One refresh of the whole model, in the order of the source's monthly run.
@@ -82,7 +107,6 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     """
     from .. import domain as D
     from ..operators.quality import Check, raise_on_failure, run_checks, summarize
-    from pyspark.sql import functions as F
 
     from ..sources.archive import extract_archives, extraction_log, list_files, require_landed
     from ..sources.manifest import PENDING, manifest_diff

@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,7 +71,40 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Remove the scratch folders made inside the block when it ends, but those taken out of the list it gives.
+
+    For a writer that has read all it needs from them, e.g. a stage whose result is
+    written.  One thread at a time.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            remove_scratch(path)
+
+
+def remove_scratch(path: str) -> None:
+    """Delete a scratch folder that nothing reads any more, if it is there."""
+    from pyarrow import fs as pafs
+
+    from .sources.archive import _fs
+    fs, local = _fs(path)
+    if fs.get_file_info(local).type == pafs.FileType.Directory:
+        fs.delete_dir(local)
 
 
 def local_path(path: str) -> str:

@@ -151,3 +151,15 @@ def test_unplannable_check_is_an_error_row(spark):
                    ("t", "nope", "unique"): "error", ("gone", "k", "not_null"): "error"}
     s = summarize(run_checks(t, checks)).collect()[0]
     assert (s.pass_count, s.warn_count, s.fail_count, s.total_count) == (1, 0, 0, 4)
+
+
+def test_scratch_folders_of_a_scope_are_removed(spark):
+    import os
+
+    from terrane.session import local_path, scratch_scope
+    with scratch_scope() as made:
+        gone, kept = scratch_dir(spark, "t-gone"), scratch_dir(spark, "t-kept")
+        spark.range(3).write.parquet(gone)
+        spark.read.parquet(gone).write.parquet(kept)
+        made.remove(kept)
+    assert not os.path.exists(local_path(gone)) and spark.read.parquet(kept).count() == 3
