@@ -12,8 +12,9 @@ passes the validation of the original.
 What is permuted, and what stays:
 
 - card (13 to 19 digits, Luhn): all but the first digit; the check digit is computed anew
-- phone: the national number of +1 numbers (area and exchange codes keep to 2-9);
-  for other ``+`` numbers the digits after the first two
+- phone: the national number of +1 numbers, with the +1 or without (then area and exchange
+  codes must begin with 2-9; these digits keep to 2-9 or 0-1); for other ``+`` numbers the
+  digits after the first two
 - ssn: area, group and serial within their valid ranges
 - ip: four octets; the first stays within 1-223 (other first octets stay)
 - date (yyyy-mm-dd, and d/m/yyyy or d.m.yyyy, 1800 to 2199): the day number, so a date
@@ -41,8 +42,8 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "phone": (r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
-              r"|(?<![0-9+])\+1[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9])"),
+    "phone": (r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+              r"|(?:1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4})(?![0-9])"),
     "world_phone": r"(?<![0-9+])\+[2-9][0-9]{1,2}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])(?!\.[0-9])",
@@ -88,14 +89,18 @@ def _bigints(*values) -> Column:
 
 
 def _permuted_digits(digits: Column, tweak: Column, key: str, lead: tuple[int, ...] = ()) -> Column:
-    """A digit string permuted among those of its length; at the places ``lead`` digits stay within 2-9."""
+    """A digit string permuted among those of its length; at the places ``lead`` digits keep to 2-9 or to 0-1."""
 
-    def low(i: Column) -> Column:
-        return F.when(i.isin(*lead), 2).otherwise(0) if lead else F.lit(0)
+    def low(d: Column, i: Column) -> Column:
+        return F.when(i.isin(*lead) & (d >= 2), 2).otherwise(0).cast("bigint") if lead else F.lit(0).cast("bigint")
 
-    values = F.transform(_chars(digits), lambda c, i: c.cast("bigint") - low(i))
-    radices = F.transform(values, lambda _, i: (F.lit(10) - low(i)).cast("bigint"))
-    return F.array_join(F.transform(feistel(values, radices, tweak, key), lambda x, i: (x + low(i)).cast("string")), "")
+    def radix(d: Column, i: Column) -> Column:
+        return F.when(i.isin(*lead), F.when(d >= 2, 8).otherwise(2)).otherwise(10).cast("bigint") if lead else F.lit(10).cast("bigint")
+
+    def of(d: Column) -> Column:
+        new = feistel(F.transform(d, lambda x, i: x - low(x, i)), F.transform(d, radix), tweak, key)
+        return F.array_join(F.zip_with(new, F.transform(d, low), lambda x, y: (x + y).cast("string")), "")
+    return _let(F.transform(_chars(digits), lambda c: c.cast("bigint")), of)
 
 
 def _refilled(template: Column, digits: Column) -> Column:
