@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import decontaminate, packing, pii, simhash, toxicity
-from terrane.llm.common import stored, table
+from terrane.llm.common import table, written
 from terrane.llm.queries import pii_key, tokenizer_path
+from terrane.session import remove_scratch, scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; what a stage wrote for itself goes when its result is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope() as made:
+            docs, path = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            made.remove(path)
+        if last:
+            remove_scratch(last)
+        last = path
     return docs
