@@ -147,11 +147,12 @@ def test_hot_group_medians_match_percentile(spark, silver_df, monkeypatch):
     s = silver_df(rows)
     ref = {(r.commune, r.code_postal, r.type_local): r.m for r in s.groupBy("commune", "code_postal", "type_local")
            .agg(F.median(F.col("valeur_fonciere").cast("double")).alias("m")).collect()}
-    for threshold in (3, 10_000_000):
-        monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", threshold)
+    for small, middling in ((1, 2), (1, 10_000_000), (10_000_000, 10_000_000)):  # each bracket width for groups of any size
+        monkeypatch.setattr(aggregates, "_SMALL", small)
+        monkeypatch.setattr(aggregates, "_MIDDLING", middling)
         got = {(r.commune, r.code_postal, r.type_local): r.prix_median for r in gold.avg_median_by_group(s).collect()}
         assert got == ref
-    monkeypatch.setattr(aggregates, "MEDIAN_TASK_VALUES", 3)
+    monkeypatch.setattr(aggregates, "_SMALL", 1)
     kpi = gold.global_kpis(s).collect()[0].prix_median_france
     assert kpi == s.agg(F.median(F.col("valeur_fonciere").cast("double"))).collect()[0][0]
 
