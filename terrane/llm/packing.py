@@ -22,8 +22,11 @@ as different documents; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,16 +42,22 @@ GROUP_ITEMS = 1 << 16
 NEARLY_FULL = 2040
 FAN = 8
 RECEIVERS = 256
-_CACHE = 1 << 19
+_CACHE = 1 << 20
 
-_WORD_ENDS = b" \n"
+# Latin letters that keep their form under NFC and are one pre-token together, then any run of ASCII punctuation
+# (without the apostrophe, which may begin a pre-token of its own): the chunks that need no full pre-tokenisation.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer drops white space before it splits, so a text's ids are the
-    concatenation of its words' ids; each word is encoded once while it is kept.
+    concatenation of its chunks' ids, and a chunk is encoded once while it is kept.
+    ASCII letters are lower-cased beforehand, as the tokenizer does, unless the text may
+    hold a special token.  A plain word and its tail of punctuation are two pre-tokens; the
+    tokenizer's model encodes them directly, after the tokenizer's byte mapping.  Every
+    other chunk goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,19 +65,50 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        letters = [chr(c) for c in range(0xC0, 0x100) if _PLAIN.fullmatch(chr(c))]
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.mapped = str.maketrans({c: split(c)[0][0] for c in letters})
+
+    def _ids(self, chunk: bytes) -> bytes:
+        ids = self.known.get(chunk)
+        if ids is None:
+            if chunk[-1] in b".," and chunk[:-1].isalpha():
+                ids = self._ids(chunk[:-1]) + self._ids(chunk[-1:])
+            else:
+                ids = self._encoded(chunk.decode())
+            self.known[chunk] = ids
+        return ids
+
+    def _encoded(self, s: str) -> bytes:
+        tokenize = self.model.tokenize
+        if s.isalpha() and s.isascii():
+            found = [t.id for t in tokenize(s.lower())]
+        elif plain := _PLAIN.fullmatch(s):
+            word, tail = plain.groups()
+            found = [t.id for t in tokenize(word.lower().translate(self.mapped))] + ([t.id for t in tokenize(tail)] if tail else [])
+        else:
+            found = self.tokenizer.encode(s, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def text(self, t: bytes) -> bytes:
+        chunks = (t if b"<|" in t else t.lower()).split()
+        out = list(map(self.known.get, chunks))
+        for i, ids in enumerate(out):
+            if ids is None:
+                out[i] = self._ids(chunks[i])
+        return b"".join(out)
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
-        if len(self.known) > _CACHE:
+        if len(self.known) > _CACHE:  # bounded memory; chunks are encoded again when needed
             self.known = {}
-        known = self.known
-        split = [t.split() if t else () for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        return [self.text(t) if t else b"" for t in texts]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -76,7 +116,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for ids, texts in rows_of(batches):
             out = []
             for doc_id, coded in zip(ids, encoder.batch(texts)):
