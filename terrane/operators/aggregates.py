@@ -11,12 +11,11 @@ from ..functions.measures import rows
 from ..functions.scalars import ColumnOrName, col
 from .joins import null_safe_join
 
-# Ranks around the middle that are looked at exactly, by the values of the group: all of a
-# small group, two hundredths of a middling one, two thousandths of a large one.  Ten times
-# the error that the quantile sketch may have.
-_ACCURACY = 10_000
-_QUANTILES = [0.0, 0.49, 0.499, 0.501, 0.51, 1.0]
-_SMALL, _MIDDLING = 1_000, 100_000
+# Ranks around the middle that are looked at exactly: all of a group of up to _SMALL values, two
+# hundredths of a larger one, ten times the error that the quantile sketch may have.
+_ACCURACY = 1_000
+_QUANTILES = [0.0, 0.49, 0.51, 1.0]
+_SMALL = 1_000
 
 
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
@@ -33,8 +32,8 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
     2. a second scan counts the values below the bracket and each value inside it, both
        combined before the shuffle, and a running count finds the middle ranks.
 
-    The bracket narrows with the size of the group, so what a task orders for one group is a
-    fraction of a hundredth of it.  One plan for every input: two scans, whatever the skew.
+    What a task orders for one group is two hundredths of its values, and each value once.  One
+    plan for every input: two scans, whatever the skew.
     """
     if medians:
         out = _aggregate_with_medians(df, keys, measures, medians)
@@ -73,8 +72,7 @@ def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measure
 def _with_median(keyed: DataFrame, groups: DataFrame, names: Sequence[str], name: str, value: Column) -> DataFrame:
     """``groups`` (with the sketch and count of ``name``) with the exact median added in their stead."""
     q, n = F.col(f"__q_{name}"), F.col(f"__n_{name}")
-    low = F.when(n <= _SMALL, q[0]).when(n <= _MIDDLING, q[1]).otherwise(q[2])
-    high = F.when(n <= _SMALL, q[5]).when(n <= _MIDDLING, q[4]).otherwise(q[3])
+    low, high = F.when(n <= _SMALL, q[0]).otherwise(q[1]), F.when(n <= _SMALL, q[3]).otherwise(q[2])
     carried = [c for c in groups.columns if c not in names and c != f"__q_{name}"]
     bracket = groups.select(*names, F.struct(*[F.col(f"`{c}`") for c in carried]).alias("__row"), low.alias("__low"), high.alias("__high"))
     v = F.col("__v")

@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
 from ..session import scratch_dir, setting
-from .joins import DEFAULT_BROADCAST_ROWS, null_safe_join
+from .joins import null_safe_join
 
 # Keys above this many rows are split; also the target rows per salt.
 HOT_KEY_ROWS = 2_000_000
 HOT_SAMPLE = 2000
+HOT_KEY_LIST = 10_000
 _HEX8 = 4294967296  # 16 ** 8
 
 
@@ -37,9 +38,9 @@ def _threshold(df: DataFrame, hot_threshold: int | None) -> int:
 def _salted(base: DataFrame, keys: DataFrame, kn: Sequence[str], hash_col: str, threshold: int) -> tuple[DataFrame, bool]:
     """``base`` with ``__s`` (salts of its key, NULL if it isn't heavy) and ``__salt``; whether the salts are few.
 
-    ``keys`` holds the key columns ``kn`` of every row.  The heavy keys are written once
-    and counted: few of them are broadcast, many are joined by shuffle, after which the
-    rows are dealt anew by key and salt.
+    ``keys`` holds the key columns ``kn`` of every row.  Up to ``HOT_KEY_LIST`` heavy keys
+    are listed and broadcast; more are written and joined by shuffle, after which the rows
+    are dealt anew by key and salt.
     """
     spark = base.sparkSession
     rate = min(1.0, HOT_SAMPLE / threshold)
@@ -47,10 +48,17 @@ def _salted(base: DataFrame, keys: DataFrame, kn: Sequence[str], hash_col: str,
     least = threshold * rate / 2 if rate < 1 else threshold
     hot = seen.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least).select(
         *kn, F.ceil(F.col("__n") / F.lit(rate * threshold)).cast("long").alias("__s"))
-    path = scratch_dir(spark, "hot-keys")
-    hot.write.parquet(path)
-    hot = spark.read.schema(hot.schema).parquet(path)
-    few = (hot.agg(F.sum("__s")).first()[0] or 0) <= setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS)
+    limit = setting(spark, "hotKeyList", HOT_KEY_LIST)
+    found = hot.limit(limit + 1).collect()  # bounded by the list's length
+    few = len(found) <= limit
+    if not found:
+        hot = hot.limit(0)  # known to be empty: Spark drops the joins with it
+    elif few:
+        hot = spark.createDataFrame(found, hot.schema)
+    else:
+        path = scratch_dir(spark, "hot-keys")
+        hot.write.parquet(path)
+        hot = spark.read.schema(hot.schema).parquet(path)
     tagged = null_safe_join(base, F.broadcast(hot) if few else hot, kn, "left")
     h8 = F.conv(F.substring(F.col(hash_col), 1, 8), 16, 10).cast("long")
     tagged = tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))

@@ -147,9 +147,8 @@ def test_hot_group_medians_match_percentile(spark, silver_df, monkeypatch):
     s = silver_df(rows)
     ref = {(r.commune, r.code_postal, r.type_local): r.m for r in s.groupBy("commune", "code_postal", "type_local")
            .agg(F.median(F.col("valeur_fonciere").cast("double")).alias("m")).collect()}
-    for small, middling in ((1, 2), (1, 10_000_000), (10_000_000, 10_000_000)):  # each bracket width for groups of any size
+    for small in (1, 10_000_000):  # each bracket width for groups of any size
         monkeypatch.setattr(aggregates, "_SMALL", small)
-        monkeypatch.setattr(aggregates, "_MIDDLING", middling)
         got = {(r.commune, r.code_postal, r.type_local): r.prix_median for r in gold.avg_median_by_group(s).collect()}
         assert got == ref
     monkeypatch.setattr(aggregates, "_SMALL", 1)
@@ -176,5 +175,4 @@ def test_hot_median_path_with_expression_keys(spark, silver_df, seed, monkeypatc
     monkeypatch.setattr(aggregates, "_SMALL", 10_000_000)
     plain = run()
     monkeypatch.setattr(aggregates, "_SMALL", 1)  # the narrowest brackets for groups of any size
-    monkeypatch.setattr(aggregates, "_MIDDLING", 2)
     assert run() == plain

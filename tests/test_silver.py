@@ -166,7 +166,7 @@ def test_session_knobs_force_the_split_paths(spark, src_df):
                     commune=f"c{i % 3}", type_local=MAISON, date_mutation="2021-02-03") for i in range(120)]
     plain = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=None).collect())
     med_plain = sorted(tuple(r) for r in gold.avg_median_by_group(_silver(src_df, rows)).collect())
-    for knobs in ({"terrane.hotKeyRows": "2"}, {"terrane.hotKeyRows": "2", "terrane.broadcastRows": "0"}):
+    for knobs in ({"terrane.hotKeyRows": "2"}, {"terrane.hotKeyRows": "2", "terrane.hotKeyList": "0"}):
         for k, v in knobs.items():
             spark.conf.set(k, v)
         try:  # heavy keys split, with their salts broadcast and joined by shuffle
