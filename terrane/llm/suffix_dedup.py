@@ -46,6 +46,7 @@ from .common import id_text, stored, utf8
 MIN_WORDS = 50
 SEED = 12
 CHUNK_WORDS = 1 << 19
+SALTS = 8
 _CACHE = 1 << 19
 _P = np.uint64(0x9E3779B97F4A7C15)
 _POSITION = np.uint64((1 << 24) - 1)
@@ -217,8 +218,11 @@ def repeated_neighbours(rows: DataFrame, name: str) -> DataFrame:
 
 
 def window_hashes(documents: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
-    """One row per window of the ``wanted`` suffixes (uid, first, n): uid, doc_id, first, n = 1, key (window hash), ctx = 0."""
-    by_text = wanted.groupBy("uid").agg(F.collect_list(F.struct("first", "n")).alias("runs"))  # at most a text's windows
+    """One row per window of the ``wanted`` suffixes (uid, runs of (first, n)): uid, doc_id, first, n = 1, key (window hash), ctx = 0.
+
+    Equal rows (repeated documents) ask for a window once; each of their texts gives it.
+    """
+    by_text = wanted.groupBy("uid").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a text's windows
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for columns, texts in _chunks(batches, ("uid", "doc_id", "runs")):
@@ -246,10 +250,13 @@ def repeated_passages(documents: DataFrame, min_words: int = MIN_WORDS, seed: in
     shares a part of it; the document itself if only that repeats it)."""
     kept = stored(suffixes(documents, min_words, seed), "suffix-kept")
     same = stored(repeated_neighbours(kept, "suffix-sorted"), "suffix-same")
-    ends = same.where("NOT same_ctx").select(F.col("key").alias("_key")).distinct()
-    wanted = same.join(ends, F.col("key") == F.col("_key"), "left_semi")
-    # Equal rows (repeated documents) ask for a window once; each of their texts gives it.
-    windows = window_hashes(documents, wanted.select("uid", "first", "n").distinct(), min_words)
+    # A text may hold one seed thousands of times and a third of the texts may share it: a row per text and seed, salted.
+    ends = same.where("NOT same_ctx").select(F.col("key").alias("_key")).distinct().withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    by_seed = same.groupBy("uid", "key").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
+    salt = F.pmod("uid", F.lit(SALTS))
+    wanted = by_seed.join(ends, (F.col("key") == F.col("_key")) & (salt == F.col("_salt")), "left_semi")
+    windows = window_hashes(documents, wanted, min_words)
     again = repeated_neighbours(windows, "suffix-windows")
     runs = same.where("same_ctx").unionByName(again.withColumn("same_ctx", F.lit(True))).select(
         "uid", "doc_id", F.col("first").alias("a"), (F.col("first") + F.col("n") - 1 + min_words).alias("b"), "other_doc_id")
