@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PART_ROWS = 10_000
+NULL_SALTS = 4096
 # What a 304 answer may update (fixed values).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -89,8 +90,12 @@ def resolve_revisits(records: DataFrame, permitted: Sequence[str] = PERMITTED, p
         "record_id", "key", F.col("headers").alias("own"), F.lit(None).cast("long").alias("response_id"))
     full = records.where("warc_type = 'response'").select(
         F.col("record_id").cast("long").alias("_id"), F.struct("payload", F.map_entries(names).alias("h")).alias("f")).groupBy("_id").agg(
-        F.min("f").alias("f")).select("_id", F.col("f.payload").alias("_payload"), F.map_from_entries("f.h").alias("_headers"))
-    joined = placed.unionByName(undated).join(full, F.col("response_id") == F.col("_id"), "left")
+        F.min("f").alias("f")).select("_id", F.col("f.payload").alias("_payload"), F.map_from_entries("f.h").alias("_headers"),
+                                      F.lit(0).alias("_salt"))
+    # Revisits without a response meet nothing; the salt keeps their NULL ids from meeting in one task.
+    salt = F.when(F.col("response_id").isNull(), F.pmod("record_id", F.lit(NULL_SALTS))).otherwise(0).cast("int")
+    joined = placed.unionByName(undated).withColumn("_own_salt", salt).join(
+        full, (F.col("response_id") == F.col("_id")) & (F.col("_own_salt") == F.col("_salt")), "left")
     tag = lambda h: F.regexp_replace(F.try_element_at(h, F.lit("etag")), "^W/", "")
     changed = lambda h: F.try_element_at(h, F.lit("last-modified"))
     own, base = F.col("own"), F.col("_headers")
