@@ -265,7 +265,9 @@ def one_per_class(documents: DataFrame, size: int = SHINGLE, max_bits: int = MAX
     kept = stored(kept, "simhash-kept")
     columns = documents.columns
     n = free_name(documents, "_kept_rows")
-    joined = documents.join(kept.withColumnRenamed("n", n), documents["doc_id"].cast("long").eqNullSafe(F.col(name)), "inner")
+    # Both sides grow with the documents: a shuffled merge join at every size.
+    joined = documents.join(kept.withColumnRenamed("n", n).hint("merge"),
+                            documents["doc_id"].cast("long").eqNullSafe(F.col(name)), "inner")
     if not kept.where("n > 1").take(1):
         return joined.select(*[documents[c] for c in columns])
     # Repeated ids are rare: only their rows are grouped, by id and class.
