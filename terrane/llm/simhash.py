@@ -229,21 +229,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """(fp, component_id, root) of every distinct fingerprint of ``prints`` (doc_id, fp).
+
+    ``root`` is a fingerprint of the class and tells classes apart that have the same component_id.
+    """
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-prints")
     roots = components(links(nodes.select("fp"), max_bits, group_limit))
     joined = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     names = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return joined.join(names, "root").select("fp", "component_id")
+    return joined.join(names, "root").select("fp", "component_id", "root")
+
+
+def _classified(documents: DataFrame, size: int, max_bits: int, group_limit: int) -> DataFrame:
+    """One row per document row: doc_id, fp, component_id, root."""
+    prints = stored(id_text(documents).select("doc_id", fingerprint(F.col("text"), size).alias("fp")), "simhash-docs")
+    found = classes(prints, max_bits, group_limit).withColumnRenamed("fp", "_fp")
+    return prints.join(found, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "root")
 
 
 def near_duplicates(documents: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS,
                     group_limit: int = GROUP_LIMIT) -> DataFrame:
     """One row per document row: doc_id, fp (signed fingerprint), component_id (smallest doc_id reachable)."""
-    prints = stored(id_text(documents).select("doc_id", fingerprint(F.col("text"), size).alias("fp")), "simhash-docs")
-    found = classes(prints, max_bits, group_limit).withColumnRenamed("fp", "_fp")
-    return prints.join(found, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    return _classified(documents, size, max_bits, group_limit).select("doc_id", "fp", "component_id")
 
 
 def hex16(fp: Column) -> Column:
@@ -257,8 +265,9 @@ def one_per_class(documents: DataFrame, size: int = SHINGLE, max_bits: int = MAX
     Rows that repeat that doc_id within the class count as its copies: one stays.
     A class whose rows all lack an id keeps one row.
     """
-    found = near_duplicates(documents, size, max_bits, group_limit)
+    found = _classified(documents, size, max_bits, group_limit)
     name = free_name(documents, "_kept_id")
+    own_id = documents["doc_id"].cast("long")
     names_class = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(names_class).alias("names")).where("names").select(
         F.col("doc_id").alias(name), "n")
@@ -266,16 +275,16 @@ def one_per_class(documents: DataFrame, size: int = SHINGLE, max_bits: int = MAX
     columns = documents.columns
     n = free_name(documents, "_kept_rows")
     # Both sides grow with the documents: a shuffled merge join at every size.
-    joined = documents.join(kept.withColumnRenamed("n", n).hint("merge"),
-                            documents["doc_id"].cast("long").eqNullSafe(F.col(name)), "inner")
-    if not kept.where("n > 1").take(1):
+    joined = documents.join(kept.withColumnRenamed("n", n).hint("merge"), own_id == F.col(name), "inner")
+    several, nameless = kept.where("n > 1").take(1), kept.where(F.col(name).isNull()).take(1)
+    if not several and not nameless:
         return joined.select(*[documents[c] for c in columns])
-    # Repeated ids are rare: only their rows are grouped, by id and class.
+    # Ids that are repeated or missing don't tell rows apart: of each class that such an id names, the rows of one fingerprint do.
+    again = joined.where(F.col(n) > 1).select(*[documents[c] for c in columns], name)
+    if nameless:
+        again = again.unionByName(documents.where(own_id.isNull()).withColumn(name, F.lit(None).cast("long")))
     fp = free_name(documents, "_kept_fp")
-    again = joined.where(F.col(n) > 1).withColumn(fp, fingerprint(F.col("text"), size))
-    by = found.where(names_class).select(
-        F.col("fp").alias(fp + "f"), F.col("doc_id").alias(fp + "i")).distinct()
-    again = again.join(by, (F.col(fp) == F.col(fp + "f")) & documents["doc_id"].cast("long").eqNullSafe(F.col(fp + "i")))
-    again = again.dropDuplicates([name])
-    return joined.where(F.col(n) == 1).select(*[documents[c] for c in columns]).unionByName(
-        again.select(*[documents[c] for c in columns]))
+    again = again.withColumn(fp, fingerprint(F.col("text"), size)).dropDuplicates([name, fp])
+    by = found.where(names_class).groupBy("root", F.col("doc_id").alias(fp + "i")).agg(F.min("fp").alias(fp + "f")).drop("root")
+    again = again.join(by, (F.col(fp) == F.col(fp + "f")) & F.col(name).eqNullSafe(F.col(fp + "i")))
+    return joined.where(F.col(n) == 1).select(*[documents[c] for c in columns]).unionByName(again.select(*columns))

@@ -95,6 +95,20 @@ def test_one_row_per_class_stays(spark):
         [(2, "a b c d e"), (1, "quite another text stands here"), (7, "alone in the world it is"), (None, "no id at all here"), (8, "")], key=str)
 
 
+def test_classes_under_one_id_or_none_each_keep_a_row(spark):
+    docs = [(None, "no id at all here"), (None, "no id at all here"), (None, "nor has this other text an id"), (None, ""),
+            (2, "a b c d e"), (2, "quite another text stands here"), (2, "quite another text stands here"),
+            (3, "a text of two ids it is"), (None, "a text of two ids it is"), (3, "the third text is of three"), (1, "the third text is of three")]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(docs)], "doc_id long, text string, root long")
+    left = simhash.one_per_class(df)
+    assert left.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(None, "no id at all here"), (None, "nor has this other text an id"), (None, ""), (2, "a b c d e"),
+         (2, "quite another text stands here"), (3, "a text of two ids it is"), (1, "the third text is of three")], key=str)
+    alone = simhash.one_per_class(df.where("doc_id IS NULL AND text = ''"))
+    assert [(r.doc_id, r.text) for r in alone.collect()] == [(None, "")]
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert simhash.one_per_class(spark.createDataFrame([], "doc_id long, text string")).where(F.lit(True)).count() == 0
