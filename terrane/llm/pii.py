@@ -19,7 +19,7 @@ What is permuted, and what stays:
 - ip: four octets; the first stays within 1-223 (other first octets stay)
 - date (yyyy-mm-dd, and d/m/yyyy or d.m.yyyy, 1800 to 2199): the day number, so a date
   is linked across formats; the format and padding stay
-- iban (mod 97): the account's digits; letters stay, check digits are computed anew
+- iban (the length of its country, mod 97): the account's digits; letters stay, check digits are computed anew
 - email: letters and digits before the @, per domain, whatever their case; the domain stays
 
 Everything is DataFrame expressions; nothing is shuffled.
@@ -37,10 +37,28 @@ from pyspark.sql import functions as F
 from .common import free_name, id_text
 
 ROUNDS = 8
+# Countries of the IBAN registry by the length of their IBANs.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    """An alternative per length, so that a following word is never taken in; countries outside the registry have any length."""
+    def of(n: int) -> str:
+        groups, rest = divmod(n - 4, 4)
+        return f"(?:{IBAN_COUNTRIES[n].replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+    known = "|".join(of(n) for n in IBAN_COUNTRIES)
+    others = f"(?!{'|'.join(' '.join(IBAN_COUNTRIES.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{others})(?![A-Za-z0-9])"
+
+
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "phone": (r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
               r"|(?:1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4})(?![0-9])"),

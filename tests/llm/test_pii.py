@@ -85,6 +85,37 @@ def test_every_kind_is_replaced_within_its_format_and_stays_valid(spark):
             assert shape(new.split("@")[0]) == shape(old.split("@")[0]) and new.split("@")[1] == old.split("@")[1]
 
 
+def test_an_iban_ends_by_the_length_of_its_country(spark):
+    """One IBAN of each registered length (with the check digits that fit), spaced and compact, before words and numbers."""
+    ibans = ["ES9121000418450200051332", "AT611904300234573201", "BE68539007547034", "PL61109010140000071219812874"]
+    for n, countries in pii.IBAN_COUNTRIES.items():
+        body = "".join(str((i * 7 + n) % 10) for i in range(n - 4))
+        country = countries.split()[0]
+        ibans.append(f"{country}{98 - mod97(country + '00' + body):02d}{body}")
+    assert all(mod97(i) == 1 for i in ibans)
+    texts, old = [], []
+    for iban in ibans:
+        for form in (iban, " ".join(iban[i:i + 4] for i in range(0, len(iban), 4))):
+            for after in (" EUR 500", " 2024", " A", " BIC", ", then", " DE89370400440532013000"):
+                texts.append(f"to {form}{after}")
+                old.append((form, after))
+    for (form, after), row in zip(old, run(spark, texts)):
+        new = row.pseudonyms[0]
+        assert row.kinds[0] == "iban" and mod97(new) == 1 and new != form and shape(new) == shape(form) and new[:2] == form[:2], form + after
+        assert row.text.startswith(f"to {new}")
+        if "DE89" in after:
+            assert list(row.kinds) == ["iban"] * 2 and "DE89370400440532013000" not in row.text
+        else:
+            assert row.text == f"to {new}{after}"
+
+
+def test_ibans_of_countries_outside_the_registry_are_still_met(spark):
+    body = "00060000069512345678 901"
+    iban = f"AO{98 - mod97('AO00' + body):02d}{body}".replace(" ", "")
+    row, = run(spark, [f"an {iban}, then"])
+    assert list(row.kinds) == ["iban"] and mod97(row.pseudonyms[0]) == 1 and iban not in row.text
+
+
 def test_what_is_not_valid_stays(spark):
     texts = ["4337166598464398", "2021-02-30", "31/04/2020", "256.1.1.1", "1.2.3.4.5", "000-12-3456", "DE88370400440532013000",
              "12345678901234567890123", "version 2.0", "152-055-8590", "a@b", "@", None, "", "1700-01-01"]
