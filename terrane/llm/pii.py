@@ -18,7 +18,9 @@ What is permuted, and what stays:
 - ssn: area, group and serial within their valid ranges
 - ip: four octets; the first stays within 1-223 (other first octets stay)
 - date (yyyy-mm-dd, and d/m/yyyy or d.m.yyyy, 1800 to 2199): the day number, so a date
-  is linked across formats; the format and padding stay
+  is linked across formats; the format and padding stay.  A slash date that cannot be
+  day-first is read as m/d/yyyy and written back month-first; one that can be either is
+  read day-first
 - iban (the length of its country, mod 97): the account's digits; letters stay, check digits are computed anew
 - email: letters and digits before the @, per domain, whatever their case; the domain stays
 
@@ -197,12 +199,22 @@ def _iso_date(m: Column, key: str) -> Column:
 
 def _day_date(m: Column, key: str) -> Column:
     part = F.split(m, r"[./]")
-    date = F.concat_ws("-", part[2], F.lpad(part[1], 2, "0"), F.lpad(part[0], 2, "0")).try_cast("date")
     padded = (F.length(part[0]) == 2) & (F.length(part[1]) == 2)
-    sep = F.when(F.contains(m, F.lit("/")), F.lit("/")).otherwise(F.lit("."))
-    return _let(_moved_day(date, key), lambda d: F.concat(
-        F.when(padded, F.date_format(d, "dd")).otherwise(F.dayofmonth(d).cast("string")), sep,
-        F.when(padded, F.date_format(d, "MM")).otherwise(F.month(d).cast("string")), sep, F.date_format(d, "yyyy")))
+    slash = F.contains(m, F.lit("/"))
+    sep = F.when(slash, F.lit("/")).otherwise(F.lit("."))
+
+    def date(day: Column, month: Column) -> Column:
+        return F.concat_ws("-", part[2], F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
+
+    def of(day_first: Column) -> Column:
+        swapped = slash & day_first.isNull()
+
+        def put(d: Column) -> Column:
+            day = F.when(padded, F.date_format(d, "dd")).otherwise(F.dayofmonth(d).cast("string"))
+            month = F.when(padded, F.date_format(d, "MM")).otherwise(F.month(d).cast("string"))
+            return F.concat(F.when(swapped, month).otherwise(day), sep, F.when(swapped, day).otherwise(month), sep, F.date_format(d, "yyyy"))
+        return _let(_moved_day(F.when(swapped, date(part[1], part[0])).otherwise(day_first), key), put)
+    return _let(date(part[0], part[1]), of)
 
 
 def _iban(m: Column, key: str) -> Column:

@@ -116,6 +116,18 @@ def test_ibans_of_countries_outside_the_registry_are_still_met(spark):
     assert list(row.kinds) == ["iban"] and mod97(row.pseudonyms[0]) == 1 and iban not in row.text
 
 
+def test_slash_dates_that_cannot_be_day_first_are_month_first(spark):
+    a, b, c, d = run(spark, ["due 12/25/2020 or 2020-12-25", "2/29/2020 29/2/2020", "03/04/2021 2021-04-03",
+                             "25/25/2020 2/30/2020 12.25.2020 12/25/1799"])
+    y, m, day = a.pseudonyms[1].split("-")
+    assert list(a.kinds) == ["day_date", "iso_date"] and a.pseudonyms[0] == f"{m}/{day}/{y}" and "12/25/2020" not in a.text
+    x = [p.split("/") for p in b.pseudonyms]
+    assert list(b.kinds) == ["day_date"] * 2 and x[0] == [x[1][1], x[1][0], x[1][2]]
+    y, m, day = c.pseudonyms[1].split("-")
+    assert c.pseudonyms[0] == f"{day}/{m}/{y}"
+    assert list(d.kinds) == [] and d.text == "25/25/2020 2/30/2020 12.25.2020 12/25/1799"
+
+
 def test_what_is_not_valid_stays(spark):
     texts = ["4337166598464398", "2021-02-30", "31/04/2020", "256.1.1.1", "1.2.3.4.5", "000-12-3456", "DE88370400440532013000",
              "12345678901234567890123", "version 2.0", "152-055-8590", "a@b", "@", None, "", "1700-01-01"]
