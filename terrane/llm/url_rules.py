@@ -3,8 +3,10 @@
 A URL is a set of tokens: host labels and their hyphenated parts, path words,
 file extension, parameter names and whether it has a fragment.  FP-growth mines
 the token sets of all labelled pages together with their label; rules "tokens
-imply bad" that reach a minimum support and confidence remain, without those that
-have a part of their tokens as an equally confident rule.  Each rule is entered
+imply bad" that reach a minimum support, count and confidence remain, if so many bad
+pages are no chance at the labelled pages' rate of bad ones (Chernoff bound of the
+binomial tail, times the number of token sets looked at, at most ``ALPHA``), without
+those that have a part of their tokens as an equally confident rule.  Each rule is entered
 in an inverted index under its rarest token; a URL meets only the rules entered
 under one of its tokens, and a rule matches if the URL has all its tokens.
 
@@ -21,6 +23,7 @@ pages nothing is mined; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 
@@ -32,6 +35,8 @@ from .common import stored
 
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
+MIN_COUNT = 5  # bad pages of a rule, however few pages are labelled
+ALPHA = 0.05  # chance that any rule is there although no token says anything about the label
 BAD = "label:bad"
 
 
@@ -67,7 +72,14 @@ def tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(parts))
 
 
-def mine(pages: DataFrame, bad: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def tail_bound(n: Column, share: Column, rate: float) -> Column:
+    """Logarithm of the Chernoff bound on the chance of ``share`` or more bad ones of ``n`` at the rate ``rate``."""
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    return F.when(share > rate, -n * (share * F.log(share / rate) + rest)).otherwise(0.0)
+
+
+def mine(pages: DataFrame, bad: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         min_count: int = MIN_COUNT, alpha: float = ALPHA) -> DataFrame:
     """Rules (tokens, confidence, support, entry) from ``pages`` (url, page_id) and ``bad`` (page_id, bad boolean).
 
     ``entry`` is the rule's rarest token among the labelled pages, under which it is indexed.
@@ -76,11 +88,16 @@ def mine(pages: DataFrame, bad: DataFrame, min_support: float = MIN_SUPPORT, min
     known = pages.select("page_id", tokens(F.col("url")).alias("tokens")).join(bad, "page_id").where(F.size("tokens") > 0)
     known = stored(known.select("tokens", "bad"), "url-labelled")
     empty = "tokens array<string>, confidence double, support double, entry string"
-    if not known.take(1):
+    total, n_bad = known.agg(F.count("*"), F.count_if("bad")).first()
+    if n_bad < max(min_count, 1):
         return spark.createDataFrame([], empty)
+    min_support = max(min_support, (min_count - 0.5) / total)
     items = known.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
+    looked_at = model.freqItemsets.where(~F.array_contains("items", BAD)).count()
+    n_pages = F.round(F.col("support") * total / F.col("confidence"))
+    chance = tail_bound(n_pages, F.col("confidence"), n_bad / total) + math.log(max(looked_at, 1))
+    rules = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (chance <= math.log(alpha))).select(
         F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     rules = stored(rules, "url-mined")
     # A rule is idle if a rule on a part of its tokens is at least as confident: found under the shorter rule's tokens.

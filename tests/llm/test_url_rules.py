@@ -80,5 +80,18 @@ def test_mined_rules_against_all_token_sets(spark, tables):
         assert (r.verdict == "block") == hit and (r.mined_rule is not None) == hit
 
 
+def test_labels_that_say_nothing_about_the_url_give_no_rule(spark):
+    """Rare token sets that are bad by chance block nothing; a token that does say something still does."""
+    rnd = random.Random(5)
+    urls = [f"http://{rnd.choice(['m', 'www', 'blog'])}.{rnd.choice('abcdefghijklmnop')}x.info/{rnd.choice(['en', 'de'])}/{rnd.choice('klmnopqrst')}"
+            for _ in range(600)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    chance = [(i, rnd.random() < 0.26) for i in range(len(urls))]
+    label = lambda rows: spark.createDataFrame(rows, "page_id long, bad boolean")
+    assert url_rules.mine(pages, label(chance)).count() == 0
+    told = [(i, b or ".ax." in urls[i]) for i, b in chance]
+    assert [tuple(r.tokens) for r in url_rules.mine(pages, label(told)).collect()] == [("host:ax",)]
+
+
 def test_empty_tables(spark, tables):
     assert op5_url_rules(spark, tables([], [])).count() == 0
