@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kd_shards, packing, pii, quality, simhash, suffix_dedup, toxicity, url_rules, warc_revisit
+from . import byte_bpe, decontaminate, kd_shards, packing, pii, quality, simhash, suffix_dedup, toxicity, url_rules, warc_revisit
 from .common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -113,6 +113,14 @@ def tokenizer_path(spark: SparkSession) -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer(spark: SparkSession) -> tuple[str, str]:
+    """Vocabulary file and pattern of the byte-level query: ``terrane.bytePairPath``, else the installed public one."""
+    import public_tokenizers
+
+    return (spark.conf.get("terrane.bytePairPath", None) or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+            public_tokenizers.PATTERN)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
@@ -130,6 +138,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(table(spark, sf_dir, "documents"), pii_key(spark))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = byte_tokenizer(spark)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return byte_bpe.decode(encoded, path, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_revisits": op2_warc_revisits,
@@ -141,4 +156,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
+    "op12_byte_bpe": op12_byte_bpe,
 }
