@@ -73,5 +73,56 @@ again AS (SELECT doc_id, s FROM windows WHERE key IN (SELECT key FROM windows GR
 islands AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM (
                 SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS new FROM again))
 SELECT doc_id, CAST(min(s) AS BIGINT) AS start_word, CAST(max(s) + 50 - min(s) AS BIGINT) AS n_words FROM islands GROUP BY doc_id, island
+""",
+    "op11_divergence": r"""
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT id, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+rates AS (SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+                 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (coalesce(n.n, 0) + z.v) AS p
+          FROM sources AS s JOIN kept AS k USING (lang) JOIN sizes AS z USING (lang)
+          LEFT JOIN n ON n.lang = s.lang AND n.source = s.source
+          LEFT JOIN counts AS c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+langs AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 1)) // (sum(sum(c)) OVER (PARTITION BY lang) + any_value(v)) AS q
+          FROM rates JOIN sizes USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM rates AS a JOIN rates AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every_pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+               FROM sources AS a JOIN sources AS b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pairs AS p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+          FROM rates JOIN langs USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+           FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+""",
+    "op13_collocations": r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang,
+                     string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+parts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM docs)),
+grams AS (SELECT lang, k, array_to_string(w[p:p + k - 1], ' ') AS phrase
+          FROM parts, (VALUES (1), (2), (3), (4)) AS sizes(k), unnest(generate_series(1, len(w) - k + 1)) AS s(p) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT c.lang, c.k, c.phrase, c.a, c.w, cut, l.f AS l, r.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (l.f + r.f) AS score
+         FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM candidates) AS c
+         JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+         JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(w[p:p + s - 1], ' ') AS phrase, max(a) AS most
+           FROM (SELECT *, unnest(generate_series(1, k - s + 1)) AS p FROM (SELECT *, unnest(generate_series(2, k - 1)) AS s FROM candidates WHERE k > 2))
+           GROUP BY ALL),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+           FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """,
 }

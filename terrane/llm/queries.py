@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, kd_shards, packing, pii, quality, simhash, suffix_dedup, toxicity, url_rules, warc_revisit
+from . import byte_bpe, collocations, decontaminate, divergence, kd_shards, packing, pii, quality, simhash, suffix_dedup, toxicity, url_rules, warc_revisit
 from .common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -113,6 +113,10 @@ def tokenizer_path(spark: SparkSession) -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def byte_tokenizer(spark: SparkSession) -> tuple[str, str]:
     """Vocabulary file and pattern of the byte-level query: ``terrane.bytePairPath``, else the installed public one."""
     import public_tokenizers
@@ -145,6 +149,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents")).withColumn("rank", F.col("rank").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_revisits": op2_warc_revisits,
@@ -156,5 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
+    "op11_divergence": op11_divergence,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_collocations": op13_collocations,
 }
