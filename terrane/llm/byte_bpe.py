@@ -27,6 +27,7 @@ columns are ignored.  Ids outside the vocabulary make decoding fail.
 from __future__ import annotations
 
 import base64
+import struct
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -41,8 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import id_text, rows_of
 
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that may be broadcast
-_WORDS = 1 << 19  # matches whose ids are remembered
-_PAIRS = 1 << 20
+_WORDS = 1 << 17  # matches whose ids are remembered
+_PAIRS = 1 << 18
 _WORD_CHARS = 64
 _LONG = 1 << 20
 
@@ -100,8 +101,8 @@ class Codec:
             raise ValueError("a byte-level vocabulary must hold every byte")
         self.split = Splitter(pattern, newer_characters() if newer is None else newer)
         self.shorter: dict[int, int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, array] = {}
+        self.fits: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -124,13 +125,14 @@ class Codec:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens as they are side by side (``left`` -1: the token alone)."""
-        known = self.fits.get((left, right))
+        pair = (left << 32) + right
+        known = self.fits.get(pair)
         if known is None:
             if len(self.fits) >= _PAIRS:
                 self.fits.clear()
             first = self.token[left] if left >= 0 else b""
             known = self.merged(first + self.token[right]) == ([left, right] if left >= 0 else [right])
-            self.fits[left, right] = known
+            self.fits[pair] = known
         return known
 
     def next_shorter(self, token: int) -> int:
@@ -177,18 +179,20 @@ class Codec:
                 token = self.next_shorter(token)
         return out
 
-    def encode(self, text: str) -> array:
-        out, words = array("I"), self.words
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, as little-endian unsigned 32-bit integers."""
+        out, words = bytearray(), self.words
         for match in self.split(text):
             ids = words.get(match)
             if ids is None:
-                ids = self.encode_match(match.encode("utf-8"))
+                found = self.encode_match(match.encode("utf-8"))
+                ids = struct.pack(f"<{len(found)}I", *found)
                 if len(match) <= _WORD_CHARS:
                     if len(words) >= _WORDS:
                         words.clear()
                     words[match] = ids
             out += ids
-        return out
+        return bytes(out)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -211,10 +215,10 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*shared.value)
         for doc_ids, texts in rows_of(batches):
-            ids = [codec.encode(t.decode("utf-8", "replace")) if t else array("I") for t in texts]
+            ids = [codec.encode(t.decode("utf-8", "replace")) if t else b"" for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([np.array(x, "<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "n_tokens", "ids"])
+                [pa.array(doc_ids, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                ["doc_id", "n_tokens", "ids"])
 
     return id_text(documents).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
