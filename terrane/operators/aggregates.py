@@ -9,15 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import rows
 from ..functions.scalars import ColumnOrName, col
+from ..session import scratch_dir
 from .joins import null_safe_join
 
-# Ranks around the middle that are looked at exactly: all of a group of up to _SMALL values, two
-# hundredths of a larger one, ten times the error that the quantile sketch may have.
-_ACCURACY = 1_000
-_QUANTILES = [0.0, 0.49, 0.51, 1.0]
-_SMALL = 1_000
-
-
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
               having: Column | None = None, medians: dict[str, ColumnOrName] | None = None) -> DataFrame:
     """GROUP BY keys (columns or aliased expressions) with optional HAVING.
@@ -25,15 +19,15 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
     ``having`` may reference the output names of ``measures``.  An empty ``keys``
     gives the one-row global aggregate.  ``medians`` maps output names to value
     columns whose exact median (NULLs ignored, interpolated as ``percentile`` does) is
-    added without gathering a group's values in one task:
+    added without gathering or ordering a group's values in one task:
 
-    1. the aggregation that computes the measures also keeps a mergeable quantile sketch
-       per group, which brackets the median;
-    2. a second scan counts the values below the bracket and each value inside it, both
-       combined before the shuffle, and a running count finds the middle ranks.
+    1. one scan of the source, each row once for the measures and once for each median, groups
+       the measures by key and counts every (key, value); both combine before the shuffle.
+       The counted values are range-partitioned by (key, value) and written with their partition;
+    2. the counts of a key's partitions, one row each, tell in which of them its middle ranks
+       lie; only there are values put in order, and a task orders part of one partition.
 
-    What a task orders for one group is two hundredths of its values, and each value once.  One
-    plan for every input: two scans, whatever the skew.
+    The source is never joined, and the plan is the same for every input.
     """
     if medians:
         out = _aggregate_with_medians(df, keys, measures, medians)
@@ -44,53 +38,65 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
 
 def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
                             medians: dict[str, ColumnOrName]) -> DataFrame:
+    spark = df.sparkSession
     exprs = [k for k in keys if not isinstance(k, str)]
     keyed = df.select("*", *exprs) if exprs else df
     added = iter(keyed.columns[len(df.columns):])
     names = [k if isinstance(k, str) else next(added) for k in keys]
-    values = {m: col(v).cast("double") for m, v in medians.items()}
-    sketch = lambda m: F.percentile_approx(values[m], _QUANTILES, _ACCURACY).alias(f"__q_{m}")
-    extra = [c for m in medians for c in (sketch(m), F.count(values[m]).alias(f"__n_{m}"))]
+    # No keys: all rows are one group, under a key of its own.
+    kn = [f"__k{i}" for i in range(len(names))] or ["__k0"]
+    own = [F.col(f"`{n}`").alias(k) for n, k in zip(names, kn)] or [F.lit(0).alias(kn[0])]
+    t, x = F.col("__t"), F.col("__x")
+    rows_of = keyed.select("*", *own, F.array(*[col(v).cast("double") for v in medians.values()]).alias("__v"),
+                           F.explode(F.sequence(F.lit(0), F.lit(len(medians)))).alias("__t"))
+    # Kind 0 carries the measures' columns, kind i the i-th median's value.
+    split = rows_of.select(*kn, "__t", F.get("__v", t - 1).alias("__x"), *[F.when(t == 0, F.col(f"`{c}`")).alias(c) for c in keyed.columns])
+    counted = split.where((t == 0) | x.isNotNull()).groupBy(*kn, "__t", "__x").agg(*measures, F.count(F.lit(1)).alias("__c"))
+    path = scratch_dir(spark, "value-counts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counted.repartitionByRange(parts, "__t", *kn, "__x").withColumn("__p", F.spark_partition_id())
+    ranged.write.parquet(path)
+    written = spark.read.schema(ranged.schema).parquet(path)
+
+    outputs = [c for c in counted.columns if c not in (*kn, "__t", "__x", "__c")]
+    out = written.where(t == 0).select(*kn, *[F.col(f"`{c}`") for c in outputs])
+    for i, name in enumerate(medians, 1):
+        out = null_safe_join(out, _middles(written.where(t == i).select(*kn, "__x", "__c", "__p"), kn, name), kn, "left")
     if names:
-        out = keyed.groupBy(*names).agg(*measures, *extra)
-        for m, v in values.items():
-            out = _with_median(keyed, out, names, m, v)
-        return out
-    # One group of all rows, under a key that isn't folded to a constant, so the join stays an equi-join.
-    one = "__all"
-    keyed = keyed.withColumn(one, F.pmod(F.hash(*values.values()), F.lit(1)))
-    out = keyed.groupBy(one).agg(*measures, *extra)
-    for m, v in values.items():
-        out = _with_median(keyed, out, [one], m, v)
+        return out.select(*[F.col(k).alias(n) for k, n in zip(kn, names)], *outputs, *medians)
     # No row at all still gives one: the aggregate of nothing.
     none = df.limit(0).agg(*measures, *[F.lit(None).cast("double").alias(m) for m in medians])
-    both = out.drop(one).withColumn(one, F.lit(1)).unionByName(none.withColumn(one, F.lit(0)))
-    picked = both.agg(F.max_by(F.struct(*[F.col(c) for c in none.columns]), one).alias("__row"))
+    both = out.select(*outputs, *medians, F.lit(1).alias("__some")).unionByName(none.withColumn("__some", F.lit(0)))
+    picked = both.agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in none.columns]), "__some").alias("__row"))
     return picked.select("__row.*")
 
 
-def _with_median(keyed: DataFrame, groups: DataFrame, names: Sequence[str], name: str, value: Column) -> DataFrame:
-    """``groups`` (with the sketch and count of ``name``) with the exact median added in their stead."""
-    q, n = F.col(f"__q_{name}"), F.col(f"__n_{name}")
-    low, high = F.when(n <= _SMALL, q[0]).otherwise(q[1]), F.when(n <= _SMALL, q[3]).otherwise(q[2])
-    carried = [c for c in groups.columns if c not in names and c != f"__q_{name}"]
-    bracket = groups.select(*names, F.struct(*[F.col(f"`{c}`") for c in carried]).alias("__row"), low.alias("__low"), high.alias("__high"))
-    v = F.col("__v")
-    joined = null_safe_join(keyed.select(*names, value.alias("__v")), bracket, names, "inner").filter(v.isNull() | (v <= F.col("__high")))
-    # Values below the bracket are only counted; a NULL counts nothing and keeps a group of NULLs.
-    counted = joined.groupBy(*names, F.when(v >= F.col("__low"), v).alias("__x")).agg(
-        F.count("__v").alias("__c"), F.first("__row").alias("__row"))
-    until = F.sum("__c").over(Window.partitionBy(*names).orderBy(F.col("__x").asc_nulls_first()))
-    ranked = counted.select(*names, "__x", "__row", (until - F.col("__c")).alias("__s"), until.alias("__e"))
-    total = F.col("__row").getField(f"__n_{name}")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("__s") <= rank) & (rank < F.col("__e")), F.col("__x")))
-
-    lo, hi = at(F.floor((total - 1) / 2)), at(F.ceil((total - 1) / 2))
-    found = ranked.groupBy(*names).agg(F.first("__row").alias("__row"), lo.alias("__lo"), hi.alias("__hi"))
-    median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(F.lit(0.5) * F.col("__lo") + F.lit(0.5) * F.col("__hi"))
-    return found.select(*names, *[F.col("__row").getField(c).alias(c) for c in carried if c != f"__n_{name}"], median.alias(name))
+def _middles(values: DataFrame, kn: Sequence[str], name: str) -> DataFrame:
+    """Per key ``kn`` the median, as ``name``, of values ``__x`` that occur ``__c`` times and lie in range partition ``__p``."""
+    sizes = values.groupBy(*kn, "__p").agg(F.sum("__c").alias("__n"))
+    spans = sizes.groupBy(*kn).agg(F.array_sort(F.collect_list(F.struct("__p", "__n"))).alias("__s"), F.sum("__n").alias("__all"))
+    first, last = F.shiftright(F.col("__all") - 1, 1), F.shiftright("__all", 1)
+    ranks = spans.withColumn("__lo", first).withColumn("__hi", last)
+
+    def step(seen: Column, span: Column) -> Column:
+        at = seen["at"]
+        holds = (at <= F.col("__hi")) & (at + span["__n"] > F.col("__lo"))
+        return F.struct((at + span["__n"]).alias("at"), F.when(holds, F.array_append(seen["hit"], F.struct(
+            span["__p"].alias("p"), at.alias("before")))).otherwise(seen["hit"]).alias("hit"))
+
+    none = F.array().cast("array<struct<p:int,before:bigint>>")
+    found = F.aggregate("__s", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("hit")), step)["hit"]
+    wanted = ranks.select(*kn, "__lo", "__hi", F.inline(found)).withColumnRenamed("p", "__p")
+    near = null_safe_join(values, wanted, [*kn, "__p"], "inner")
+    until = F.col("before") + F.sum("__c").over(Window.partitionBy(*kn, "__p").orderBy("__x"))
+    ranked = near.select(*kn, "__x", "__lo", "__hi", (until - F.col("__c")).alias("__from"), until.alias("__to"))
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col("__from") <= F.col(rank)) & (F.col(rank) < F.col("__to")), F.col("__x")))
+
+    both = ranked.groupBy(*kn).agg(at("__lo").alias("__a"), at("__hi").alias("__b"))
+    return both.select(*kn, F.when(F.col("__a") == F.col("__b"), F.col("__a")).otherwise(
+        F.lit(0.5) * F.col("__a") + F.lit(0.5) * F.col("__b")).alias(name))
 
 
 def top_groups(df: DataFrame, keys: Sequence[str], measure: Column, measure_name: str,

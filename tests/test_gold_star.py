@@ -1,6 +1,7 @@
 """Gold and star datasets on small hand-made silver tables."""
 
 import datetime as dt
+from contextlib import contextmanager
 from decimal import Decimal
 
 import pytest
@@ -21,6 +22,16 @@ SILVER_SCHEMA = StructType([
 ])
 
 
+@contextmanager
+def partitions(spark, n):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def srow(i, date, price, commune="paris", cp="75001", dep="75", typ="maison", surface=50, nature="vente"):
     d = dt.date.fromisoformat(date) if date else None
     ppm = price / surface if surface else None
@@ -135,31 +146,28 @@ def test_model_builds_every_table(silver_df, seed, spark):
     assert {c for c, *_ in D.DATA_TESTS} <= set(t)
 
 
-def test_hot_group_medians_match_percentile(spark, silver_df, monkeypatch):
+def test_hot_group_medians_match_percentile(spark, silver_df):
     import random
 
     from pyspark.sql import functions as F
 
-    from terrane.operators import aggregates
     random.seed(7)
     rows = [srow(i, "2021-03-01", random.randint(1000, 1200)) for i in range(400)]
     rows += [srow(1000 + i, "2021-03-01", random.randint(1000, 9000), commune=f"c{i % 9}") for i in range(90)]
     s = silver_df(rows)
     ref = {(r.commune, r.code_postal, r.type_local): r.m for r in s.groupBy("commune", "code_postal", "type_local")
            .agg(F.median(F.col("valeur_fonciere").cast("double")).alias("m")).collect()}
-    for small in (1, 10_000_000):  # each bracket width for groups of any size
-        monkeypatch.setattr(aggregates, "_SMALL", small)
-        got = {(r.commune, r.code_postal, r.type_local): r.prix_median for r in gold.avg_median_by_group(s).collect()}
+    for parts in (1, 30):  # groups inside one range of values, and across many
+        with partitions(spark, parts):
+            got = {(r.commune, r.code_postal, r.type_local): r.prix_median for r in gold.avg_median_by_group(s).collect()}
         assert got == ref
-    monkeypatch.setattr(aggregates, "_SMALL", 1)
     kpi = gold.global_kpis(s).collect()[0].prix_median_france
     assert kpi == s.agg(F.median(F.col("valeur_fonciere").cast("double"))).collect()[0][0]
 
 
-def test_hot_median_path_with_expression_keys(spark, silver_df, seed, monkeypatch):
+def test_hot_median_path_with_expression_keys(spark, silver_df, seed):
     import random
 
-    from terrane.operators import aggregates
     random.seed(3)
     rows = [srow(i, f"202{i % 3}-0{1 + i % 9}-1{i % 10}", random.randint(1000, 1100),
                  commune=("paris" if i % 4 else "lyon"), typ=("maison" if i % 3 else None)) for i in range(300)]
@@ -172,7 +180,7 @@ def test_hot_median_path_with_expression_keys(spark, silver_df, seed, monkeypatc
             "month": sorted(tuple(r) for r in star.agg_month(f, cal).collect()),
             "region": sorted(tuple(r) for r in star.agg_region_year(f, g, cal).collect()),
         }
-    monkeypatch.setattr(aggregates, "_SMALL", 10_000_000)
-    plain = run()
-    monkeypatch.setattr(aggregates, "_SMALL", 1)  # the narrowest brackets for groups of any size
-    assert run() == plain
+    with partitions(spark, 1):
+        plain = run()
+    with partitions(spark, 30):
+        assert run() == plain
