@@ -7,10 +7,13 @@ more than about ``hot_threshold`` rows are cut into order-preserving hash ranges
 ("salts"): each salt is numbered by its own window task and shifted by the row
 counts of the lower salts of its key.
 
-Heavy keys are found in a sample whose rate follows the threshold, so that a key
-at the threshold is met about ``HOT_SAMPLE`` times; the near-unique keys are not
-shuffled for it.  The same plan runs for every input.  A heavy key that a sample
-missed would only make one task larger; the numbers never depend on the salts.
+Heavy keys are found by a mergeable frequent-items sketch of the key hashes, over a
+sample whose rate follows the threshold, so that a key at the threshold is met about
+``HOT_SAMPLE`` times; the near-unique keys are not shuffled for it.  It is part of the
+query's plan: building the plan runs nothing.  The sketch lists at most ``HOT_KEY_LIST``
+keys, so the list is broadcast.  The same plan runs for every input.  A heavy key that the
+sketch missed, or one too many in the list, only makes a task larger or smaller; the
+numbers never depend on the salts.
 """
 
 from __future__ import annotations
@@ -21,13 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, col, pct_change as _pct
-from ..session import scratch_dir, setting
+from ..session import setting
 from .joins import null_safe_join
 
 # Keys above this many rows are split; also the target rows per salt.
 HOT_KEY_ROWS = 2_000_000
 HOT_SAMPLE = 2000
 HOT_KEY_LIST = 10_000
+_TRACKED = 1_000_000  # keys that the sketch keeps counters of at most
 _HEX8 = 4294967296  # 16 ** 8
 
 
@@ -35,41 +39,32 @@ def _threshold(df: DataFrame, hot_threshold: int | None) -> int:
     return max(1, hot_threshold if hot_threshold is not None else setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS))
 
 
-def _salted(base: DataFrame, keys: DataFrame, kn: Sequence[str], hash_col: str, threshold: int) -> tuple[DataFrame, bool]:
-    """``base`` with ``__s`` (salts of its key, NULL if it isn't heavy) and ``__salt``; whether the salts are few.
+def _salted(base: DataFrame, keys: DataFrame, kn: Sequence[str], hash_col: str, threshold: int) -> DataFrame:
+    """``base`` with ``__s`` (salts of its key, NULL if it isn't heavy) and ``__salt``.
 
-    ``keys`` holds the key columns ``kn`` of every row.  Up to ``HOT_KEY_LIST`` heavy keys
-    are listed and broadcast; more are written and joined by shuffle, after which the rows
-    are dealt anew by key and salt.
+    ``keys`` holds the key columns ``kn`` of every row.  Keys are listed by hash; two keys of one
+    hash are split alike.
     """
-    spark = base.sparkSession
     rate = min(1.0, HOT_SAMPLE / threshold)
     seen = keys.sample(rate, seed=17) if rate < 1 else keys
     least = threshold * rate / 2 if rate < 1 else threshold
-    hot = seen.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least).select(
-        *kn, F.ceil(F.col("__n") / F.lit(rate * threshold)).cast("long").alias("__s"))
-    limit = setting(spark, "hotKeyList", HOT_KEY_LIST)
-    found = hot.limit(limit + 1).collect()  # bounded by the list's length
-    few = len(found) <= limit
-    if not found:
-        hot = hot.limit(0)  # known to be empty: Spark drops the joins with it
-    elif few:
-        hot = spark.createDataFrame(found, hot.schema)
-    else:
-        path = scratch_dir(spark, "hot-keys")
-        hot.write.parquet(path)
-        hot = spark.read.schema(hot.schema).parquet(path)
-    tagged = null_safe_join(base, F.broadcast(hot) if few else hot, kn, "left")
+    limit = max(1, min(setting(base.sparkSession, "hotKeyList", HOT_KEY_LIST), _TRACKED))
+    sketch = seen.agg(F.call_function("approx_top_k", F.xxhash64(*kn), F.lit(limit), F.lit(_TRACKED)).alias("__top"))
+    hot = sketch.select(F.inline("__top")).where(F.col("count") > least).select(
+        F.col("item").alias("__hot"), F.ceil(F.col("count") / F.lit(rate * threshold)).cast("long").alias("__s"))
+    tagged = base.join(F.broadcast(hot), F.xxhash64(*kn) == F.col("__hot"), "left").drop("__hot")
     h8 = F.conv(F.substring(F.col(hash_col), 1, 8), 16, 10).cast("long")
-    tagged = tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
-                               .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
-    return (tagged if few else tagged.repartition(*kn, "__salt")), few
+    return tagged.withColumn("__salt", F.when(F.col("__s").isNull(), F.lit(0))
+                             .otherwise(F.floor(h8 * F.col("__s") / F.lit(_HEX8))).cast("long"))
 
 
-def _shifted(ranked: DataFrame, counts: DataFrame, kn: Sequence[str], name: str, few: bool) -> DataFrame:
-    """``__r`` plus the rows (``__c``) of the lower salts of a heavy key, as ``name``."""
+def _shifted(ranked: DataFrame, counts: DataFrame, kn: Sequence[str], name: str) -> DataFrame:
+    """``__r`` plus the rows (``__c``) of the lower salts of a heavy key, as ``name``.
+
+    ``counts`` has a row per heavy key and salt, at most the listed keys plus the rows over the threshold.
+    """
     before = counts.withColumn("__off", F.sum("__c").over(Window.partitionBy(*kn).orderBy("__salt")) - F.col("__c")).drop("__c")
-    out = null_safe_join(ranked, F.broadcast(before) if few else before, [*kn, "__salt"], "left")
+    out = null_safe_join(ranked, F.broadcast(before), [*kn, "__salt"], "left")
     return out.withColumn(name, (F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
 
 
@@ -98,10 +93,10 @@ def rank_within_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     if spread is None:
         w = Window.partitionBy(*kn).orderBy(*sort)
         return base.withColumn(name, F.row_number().over(w)).drop(*helpers)
-    tagged, few = _salted(base, base.select(*kn), kn, on[0], _threshold(df, hot_threshold))
+    tagged = _salted(base, base.select(*kn), kn, on[0], _threshold(df, hot_threshold))
     local = tagged.withColumn("__r", F.row_number().over(Window.partitionBy(*kn, "__salt").orderBy(*sort)))
     counts = tagged.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt").agg(F.count(F.lit(1)).alias("__c"))
-    return _shifted(local, counts, kn, name, few).drop(*helpers, "__s", "__salt", "__r", "__off")
+    return _shifted(local, counts, kn, name).drop(*helpers, "__s", "__salt", "__r", "__off")
 
 
 def row_code(cols: Sequence[ColumnOrName]) -> Column:
@@ -124,13 +119,13 @@ def rank_distinct_rows(df: DataFrame, keys: Sequence[ColumnOrName], code: Column
     kn = [f"__k{i}" for i in range(len(keys))]
     named = [col(k).alias(n) for k, n in zip(keys, kn)]
     base = df.select("*", *named, col(code).alias("__code")).withColumn("__h", F.md5(F.col("__code")))
-    salted, few = _salted(base, df.select(*named), kn, "__h", _threshold(df, hot_threshold))
+    salted = _salted(base, df.select(*named), kn, "__h", _threshold(df, hot_threshold))
     w = Window.partitionBy(*kn, "__salt").orderBy(F.col("__h").asc(), F.col("__code").asc())
     ranked = (salted.withColumn("__r", F.dense_rank().over(w))
               .withColumn("__dup", F.coalesce(F.lag("__code", 1).over(w) == F.col("__code"), F.lit(False)))
               .filter(~F.col("__dup")))
     counts = salted.filter(F.col("__s").isNotNull()).groupBy(*kn, "__salt").agg(F.count_distinct("__code").alias("__c"))
-    return _shifted(ranked, counts, kn, name, few).drop(*kn, "__code", "__h", "__s", "__salt", "__r", "__dup", "__off")
+    return _shifted(ranked, counts, kn, name).drop(*kn, "__code", "__h", "__s", "__salt", "__r", "__dup", "__off")
 
 
 def keep_first_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName]) -> DataFrame:

@@ -166,7 +166,7 @@ def test_session_knobs_force_the_split_paths(spark, src_df):
                     commune=f"c{i % 3}", type_local=MAISON, date_mutation="2021-02-03") for i in range(120)]
     plain = sorted(tuple(r) for r in _silver(src_df, rows, hot_threshold=None).collect())
     med_plain = sorted(tuple(r) for r in gold.avg_median_by_group(_silver(src_df, rows)).collect())
-    for knobs in ({"terrane.hotKeyRows": "2"}, {"terrane.hotKeyRows": "2", "terrane.hotKeyList": "0"}):
+    for knobs in ({"terrane.hotKeyRows": "2"}, {"terrane.hotKeyRows": "2", "terrane.hotKeyList": "1"}):
         for k, v in knobs.items():
             spark.conf.set(k, v)
         try:  # heavy keys split, with their salts broadcast and joined by shuffle
@@ -207,3 +207,16 @@ def test_lookback_replaces_reopened_keys_without_duplicates(spark, src_df):
     assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in silver.silver_rows(src_df(old + late), True).collect())
     again = silver.incremental_build(src_df(old + late), root, already_staged=True, lookback_days=30)
     assert again.count() == 9
+
+
+def test_building_the_plan_runs_no_job(spark, src_df):
+    from terrane.operators.windows import rank_within_key
+    df = src_df([raw_row(identifiant_document=f"d{i % 3}", valeur_fonciere=str(i)) for i in range(60)])
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "")
+    try:
+        silver.silver_rows(df, already_staged=True, hot_threshold=5)
+        rank_within_key(df, ["identifiant_document"], ["valeur_fonciere"], spread=F.md5("valeur_fonciere"), hot_threshold=5)
+        assert sc.statusTracker().getJobIdsForGroup("plan-only") == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
