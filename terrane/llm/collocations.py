@@ -47,8 +47,8 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 COVERED = 80  # percent of a phrase's places inside one longer candidate that drop it
-_FLUSH = 1 << 20
-_SLICE = 8 << 20
+_FLUSH = 1 << 19  # counts that a task holds before it hands them on
+_SLICE = 2 << 20  # bytes of text whose positions advance together
 # Lower-cased letters; every piece border a line feed, every word border a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _RUNS = re.compile(rb" *\n[ \n]*|  +")
@@ -214,8 +214,9 @@ def _level(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_by
         return None
     while block is not None:
         following = next(blocks, None)
-        found = stored(_pass(rest, k, block, joined, following is None), f"phrases-{k}")
+        found = _pass(rest, k, block, joined, following is None)
         if following is not None:
+            found = stored(found, f"seen-{k}")
             rest, joined = found.where("text IS NOT NULL").select("lang", "text", "seen"), True
             found = found.where("text IS NULL")
         counted.append(found.select("lang", "a", "b", "n"))
@@ -223,8 +224,8 @@ def _level(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_by
     rows = counted[0]
     for more in counted[1:]:
         rows = rows.unionByName(more)
-    total = rows.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    # Frequent rows only meet the list again, through plain equi-joins.
+    total = stored(rows.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{k}")
+    # Only what is frequent meets the list again, through plain equi-joins.
     name = listed.select("lang", F.col("ordinal").alias("a"), "phrase")
     frequent = total.where("b IS NULL").drop("b").join(name, ["lang", "a"]).select("lang", "phrase", F.col("n").alias("f"))
     second = listed.select("lang", F.col("ordinal").alias("b"), F.substring_index("phrase", " ", -1).alias("word"))
