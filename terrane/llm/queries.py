@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,8 +135,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_key(spark: SparkSession) -> str:
-    """Key of the pseudonyms: ``terrane.piiKey`` of the session; the default is for tests only."""
-    return spark.conf.get("terrane.piiKey", "terrane test key")
+    """Key of the pseudonyms: ``terrane.piiSecret`` of the session.  Without it pseudonyms can be undone by anyone, so that is said."""
+    key = spark.conf.get("terrane.piiSecret", None)
+    if not key:
+        warnings.warn("terrane.piiSecret is not set: pseudonyms are made with the public test key", stacklevel=2)
+    return key or "terrane test key"
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,11 @@
 import datetime as dt
 import hashlib
+import random
 import re
 
+import pytest
+import regex
+
 from pyspark.sql import functions as F
 
 from terrane.llm import pii
@@ -152,7 +156,7 @@ def test_the_network_can_be_undone_and_is_a_permutation(spark):
     radices, got = [7, 3, 5], set()
     rows = [(a, b, c) for a in range(7) for b in range(3) for c in range(5)]
     df = spark.createDataFrame([(list(r),) for r in rows], "v array<bigint>")
-    new = df.select("v", pii.feistel(F.col("v"), F.array(*[F.lit(r).cast("bigint") for r in radices]), F.lit("t"), KEY).alias("p"))
+    new = df.select("v", pii.feistel(F.col("v"), F.array(*[F.lit(r).cast("bigint") for r in radices]), F.lit("t"), F.lit(KEY)).alias("p"))
     for r in new.collect():
         assert feistel(r.v, radices, "t", KEY) == list(r.p) and feistel(r.p, radices, "t", KEY, back=True) == list(r.v)
         got.add(tuple(r.p))
@@ -175,3 +179,102 @@ def test_plan_runs_no_python(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = pii.pseudonyms(df, KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def brute(text):
+    """(start, end, kind) by trying every place of the text, and validating by other code."""
+    any_at, whole = regex.compile(pii.ANY), {k: regex.compile(p) for k, p in pii.PATTERNS.items()}
+    found, at = [], 0
+    while at < len(text):
+        m = any_at.match(text, at)
+        kind = next((k for k, p in whole.items() if p.fullmatch(m.group())), None) if m else None
+        ok, s = kind is not None, m.group() if m else ""
+        digits = re.sub("[^0-9]", "", s)
+        if kind == "card":
+            ok = luhn(s)
+        elif kind == "world_phone":
+            ok = 8 <= len(digits) <= 15
+        elif kind == "iban":
+            compact = re.sub("[ -]", "", s).upper()
+            ok = 15 <= len(compact) <= 34 and mod97(compact) == 1
+        elif kind in ("iso_date", "day_date"):
+            p = [int(x) for x in re.split("[./-]", s)]
+            orders = [p] if kind == "iso_date" else [[p[2], p[1], p[0]]] + ([[p[2], p[0], p[1]]] if "/" in s else [])
+            ok = any(1800 <= y <= 2199 and 1 <= mo <= 12 and 1 <= d <= 31 and calendar(y, mo, d) for y, mo, d in orders)
+        if ok:
+            found.append((at, m.end(), kind))
+            at = m.end()
+        else:
+            at += 1
+    return found
+
+
+def calendar(y, m, d):
+    try:
+        return bool(dt.date(y, m, d))
+    except ValueError:
+        return False
+
+
+def test_finder_against_every_place(spark):
+    rnd = random.Random(4)
+    values = [v for vs in CASES.values() for v in vs] + [
+        "PO42", "US12", "BE68", "1234", "0000", "99", "x", "12/25/2020", "31/31/2020", "1990/03/05", "4111.1111.1111.1111", "de89-3704-0044-0532-0130-00",
+        "jürgen@example.org", "Жук.1@x.org", "é", "+", "-", ".", "@", "4111 1111 1111 1112", "\n"]
+    texts = ["".join(rnd.choice(values) + rnd.choice([" ", " ", " ", "", "-", ", ", ". "]) for _ in range(rnd.randrange(1, 9))) for _ in range(700)]
+    texts += ["PO42 4111 1111 1111 1111", "US12 4111 1111 1111 1111 x", "1234 1234 1234 4111 1111 1111 1111 1", "BE68 4111 1111 1111 1111",
+              "4111 1111 1111 1111 4111 1111 1111 1111", "8.8.8.8.8 8.8.8.8"]
+    met = set()
+    for text, row in zip(texts, run(spark, texts)):
+        want, rebuilt, last = brute(text), "", 0
+        assert list(row.kinds) == [k for _, _, k in want], text
+        for (a, b, kind), new in zip(want, row.pseudonyms):
+            rebuilt, last = rebuilt + text[last:a] + new, b
+            met.add(kind)
+        assert row.text == rebuilt + text[last:], text
+    assert met == set(pii.PATTERNS)
+
+
+def test_every_kind_behind_tokens_that_begin_like_another(spark):
+    values = [(k, v) for k, vs in CASES.items() for v in vs]
+    before = ["PO42 ", "US12 ", "BE68 ", "1234 ", "DE89 3704 ", "+ ", "12/ ", "a@b "]
+    texts = [f"{p}{v} x" for _, v in values for p in before]
+    for (kind, value, text), row in zip(((k, v, t) for (k, v), t in zip([x for x in values for _ in before], texts)), run(spark, texts)):
+        if kind != "phone" or not text.startswith(("1234", "+ ")):  # a number before a phone number may be its country code
+            assert kind in list(row.kinds) and value not in row.text, text
+
+
+def test_different_dates_get_different_pseudonyms_in_every_format(spark):
+    days = [dt.date(1800, 1, 1) + dt.timedelta(days=i) for i in range(0, 146097, 7)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    moved = [r[0] for r in df.select(pii._moved_day(F.col("d"), F.lit(KEY))).collect()]
+    assert len(set(moved)) == len(days) and all((a.day > 12) == (b.day > 12) for a, b in zip(days, moved))
+    assert min(moved).year >= 1800 and max(moved).year <= 2199
+    # As text: m/d/yyyy and d/m/yyyy never meet, as what cannot be day-first stays so.
+    some = days[::40]
+    texts = [f"{d.month}/{d.day}/{d.year}" for d in some if d.day > 12] + [f"{d.day}/{d.month}/{d.year}" for d in some]
+    new = [r.pseudonyms[0] for r in run(spark, texts)]
+    assert len(set(new)) == len(set(texts))
+
+
+def test_all_dates_of_the_cycle_are_permuted(spark):
+    n = spark.range(146097).select(pii._moved_day(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")), F.lit(KEY)).alias("d"))
+    row = n.agg(F.count_distinct("d"), F.min("d"), F.max("d")).first()
+    assert tuple(row) == (146097, dt.date(1800, 1, 1), dt.date(2199, 12, 31))
+
+
+def test_local_parts_of_other_alphabets(spark):
+    a, b, c, d = run(spark, ["jürgen@example.org", "Jürgen@example.org", "жук@x.org 漢字@x.org", "ſþ@x.org"])
+    new = a.pseudonyms[0].split("@")[0]
+    assert len(new) == 6 and "ü" != new[1] and new.isalpha() and b.pseudonyms[0].split("@")[0] == new[0].upper() + new[1:]
+    assert all(0x430 <= ord(x) < 0x450 for x in c.pseudonyms[0].split("@")[0]) and len(c.pseudonyms) == 2
+    assert list(d.kinds) == ["email"]
+
+
+def test_the_key_is_required_and_in_no_plan(spark):
+    df = spark.createDataFrame([(1, "8.8.8.8")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonyms(df, "")
+    out = pii.pseudonyms(df, "very hidden words")
+    out.collect()
+    assert "very hidden" not in out._jdf.queryExecution().toString()
