@@ -77,10 +77,9 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
-        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")).where("bad IS NOT NULL")
-    return url_rules.judge(pages, url_rules.mine(pages, labels), URL_RULES)
+    pages = table(spark, sf_dir, "pages")
+    rules = url_rules.mine(url_rules.page_labels(pages, URL_RULES))
+    return url_rules.judge(pages.select("page_id", "url"), rules, URL_RULES)
 
 
 SHARDS = 16

@@ -1,7 +1,10 @@
 """URL filtering by association rules over URL tokens.
 
 A URL is a set of tokens: host labels and their hyphenated parts, path words,
-file extension, parameter names and whether it has a fragment.  FP-growth mines
+file extension, parameter names and whether it has a fragment.  A page's label says
+something about the page itself (``page_labels``): the verdict of a fixed rule that fits its
+URL, else whether what its html shows fails the base rules of text (fewer than
+``MIN_WORDS`` words, or more than a symbol to ``WORDS_A_SYMBOL`` words).  FP-growth mines
 the token sets of all labelled pages together with their label; rules "tokens
 imply bad" that reach a minimum support, count and confidence remain, if so many bad
 pages are no chance at the labelled pages' rate of bad ones (Chernoff bound of the
@@ -17,8 +20,10 @@ Distinct URLs are matched once.  Everything is DataFrame operations and Spark
 ML's FP-growth.
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path, no
-token and the verdict allow; repeated rows each get their row; without labelled
-pages nothing is mined; an empty table gives no rows; other columns are ignored.
+token and the verdict allow; a NULL html shows no word; repeated rows each get their row and
+count as pages of their own; without labelled pages nothing is mined; URLs and pages of any
+length are read whole; ties between rules that match go by name; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +43,10 @@ MIN_CONFIDENCE = 0.6
 MIN_COUNT = 5  # bad pages of a rule, however few pages are labelled
 ALPHA = 0.05  # chance that any rule is there although no token says anything about the label
 BAD = "label:bad"
+MIN_WORDS = 50
+WORDS_A_SYMBOL = 10
+_HIDDEN = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
+_SYMBOLS = "#*$%&|<>"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -72,20 +81,32 @@ def tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(parts))
 
 
+def page_labels(pages: DataFrame, fixed: Sequence[tuple[str, str]], min_words: int = MIN_WORDS,
+                words_a_symbol: int = WORDS_A_SYMBOL) -> DataFrame:
+    """(page_id, url, bad) of every page row (page_id, url, html); see the module."""
+    host, path = host_and_path(F.col("url"))
+    shown = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), _HIDDEN, " ")
+    rows = pages.select("page_id", "url", fixed_rule(host, path, fixed)["verdict"].alias("told"), shown.alias("shown"))
+    words = F.size(F.filter(F.split("shown", "[ \t\n\x0b\f\r]+"), lambda w: w != ""))
+    symbols = F.length("shown") - F.length(F.translate("shown", _SYMBOLS, ""))
+    return rows.select("page_id", "url", F.coalesce(
+        F.col("told") == "block", (words < min_words) | (symbols * words_a_symbol > words)).alias("bad"))
+
+
 def tail_bound(n: Column, share: Column, rate: float) -> Column:
     """Logarithm of the Chernoff bound on the chance of ``share`` or more bad ones of ``n`` at the rate ``rate``."""
     rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     return F.when(share > rate, -n * (share * F.log(share / rate) + rest)).otherwise(0.0)
 
 
-def mine(pages: DataFrame, bad: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
          min_count: int = MIN_COUNT, alpha: float = ALPHA) -> DataFrame:
-    """Rules (tokens, confidence, support, entry) from ``pages`` (url, page_id) and ``bad`` (page_id, bad boolean).
+    """Rules (tokens, confidence, support, entry) from the rows (url, bad) of ``labelled``.
 
     ``entry`` is the rule's rarest token among the labelled pages, under which it is indexed.
     """
-    spark = pages.sparkSession
-    known = pages.select("page_id", tokens(F.col("url")).alias("tokens")).join(bad, "page_id").where(F.size("tokens") > 0)
+    spark = labelled.sparkSession
+    known = labelled.select(tokens(F.col("url")).alias("tokens"), "bad").where(F.size("tokens") > 0)
     known = stored(known.select("tokens", "bad"), "url-labelled")
     empty = "tokens array<string>, confidence double, support double, entry string"
     total, n_bad = known.agg(F.count("*"), F.count_if("bad")).first()
