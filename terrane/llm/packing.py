@@ -1,7 +1,8 @@
 """Hierarchical best-fit packing of tokenised documents.
 
 Documents are tokenised in Arrow batches and cut only where they are longer than
-a sequence.  Pieces are dealt by hash into groups of a bounded number; each group
+a sequence.  Pieces are numbered as they are written and dealt by a hash of that number
+into groups of a bounded number of pieces, repeated rows as any others; each group
 is packed best-fit in order of falling length.  Nearly full bins are emitted.
 Underfull bins become items of the next round: groups merge in a tree of
 ``FAN`` children, and the bins that still may join others are packed best-fit
@@ -33,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from .common import id_text, rows_of, stored
 
@@ -70,6 +72,11 @@ class Encoder:
         letters = [chr(c) for c in range(0xC0, 0x100) if _PLAIN.fullmatch(chr(c))]
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.mapped = str.maketrans({c: split(c)[0][0] for c in letters})
+        # The shortcuts below hold for vocabularies that fold case, map bytes to one character and drop white space.
+        for probe in ("Ab\u00c9c,", "a  b\n\tc", "X.y!?", "stra\u00dfe"):
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            if list(struct.unpack(f"<{len(whole)}I", self.text(probe.encode()))) != whole:
+                raise ValueError(f"{path} isn't a vocabulary that this operator's shortcuts fit")
 
     def _ids(self, chunk: bytes) -> bytes:
         ids = self.known.get(chunk)
@@ -169,27 +176,27 @@ def _passed_on(fills: np.ndarray, capacity: int, nearly_full: int, receivers: in
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, nearly_full: int = NEARLY_FULL,
          fan: int = FAN, receivers: int = RECEIVERS) -> DataFrame:
-    """``items`` (with a column length of 1 to ``capacity``) with sequence_id and offset added."""
-    columns = items.columns
+    """``items`` (with a column length of 1 to ``capacity``, and none called sequence_id or offset) with these two added."""
+    # An item travels as one struct, so its columns may have any names.  Its number is written with it: a hash of the number
+    # deals even equal rows to different groups, and deals them alike when a task is run again.
+    items = stored(items.select(F.struct(*[F.col(f"`{c}`") for c in items.columns]).alias("item"), F.col("length").cast("long").alias("length"),
+                                F.monotonically_increasing_id().alias("number")), "packing-items")
     whole = items.where(F.col("length") == capacity)
     part = items.where(F.col("length") < capacity)
     n = part.count()
     groups = max(1, -(-n // group_items))
-    schema = part.schema
-    columns_of = [f.name for f in schema]
 
     def local(key, table):
-        group = key[0].as_py()
         bins, offsets, fills = best_fit(table.column("length").to_numpy(), capacity)
         go = _passed_on(fills, capacity, nearly_full, receivers)
-        out = table.select(columns_of)
-        for name, values in (("bin", bins + (group << 32)), ("offset", offsets), ("fill", fills[bins])):
+        out = table.select(["item"])
+        for name, values in (("bin", bins + (key[0].as_py() << 32)), ("offset", offsets), ("fill", fills[bins])):
             out = out.append_column(name, pa.array(values, pa.int64()))
         return out.append_column("go", pa.array(go[bins]))
 
-    spread = F.pmod(F.xxhash64(*[c for c in columns if c != "length"]), F.lit(groups)).alias("group")
-    packed = part.select("*", spread).repartition(F.col("group")).groupBy("group").applyInArrow(
-        local, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", bin long, offset long, fill long, go boolean")
+    schema = StructType([items.schema["item"], *(StructField(c, LongType()) for c in ("bin", "offset", "fill")), StructField("go", BooleanType())])
+    spread = F.pmod(F.xxhash64("number"), F.lit(groups)).alias("group")
+    packed = part.select("item", "length", spread).repartition(F.col("group")).groupBy("group").applyInArrow(local, schema)
     packed = stored(packed, "packing-local")
 
     # Later rounds: bins as items, a bounded number from each group.
@@ -224,14 +231,14 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
     if moves is not None:
         moved = moves.select(F.col("bin").alias("_bin"), F.col("root").alias("_root"), F.col("shift").alias("_shift"))
         packed = packed.join(moved, F.col("bin") == F.col("_bin"), "left").select(
-            *columns, F.coalesce("_root", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("_shift", F.lit(0))).alias("offset"))
+            "item", F.coalesce("_root", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("_shift", F.lit(0))).alias("offset"))
     else:
-        packed = packed.select(*columns, F.col("bin").alias("sequence_id"), "offset")
+        packed = packed.select("item", F.col("bin").alias("sequence_id"), "offset")
     # Whole sequences take negative numbers.
-    alone = whole.select(*columns, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return packed.unionByName(alone)
+    alone = whole.select("item", (-F.col("number") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.unionByName(alone).select("item.*", "sequence_id", "offset")
 
 
 def pack_documents(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, **options) -> DataFrame:
     """Every piece of every document with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(stored(pieces(documents, tokenizer_path, capacity), "packing-pieces"), capacity, **options)
+    return pack(pieces(documents, tokenizer_path, capacity), capacity, **options)

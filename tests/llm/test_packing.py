@@ -85,3 +85,17 @@ def test_only_large_items_and_empty_table(spark):
     rows = packing.pack(items, capacity=100, group_items=50, nearly_full=99, fan=2, receivers=4).collect()
     assert len(rows) == 502 and assert_packed(rows, 100) == 501
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_repeated_rows_and_clashing_names_spread_over_groups(spark):
+    items = spark.createDataFrame([(7, "same", 60, "g", 1, 2, True)] * 3000, "doc_id long, bin string, length long, group string, fill int, number int, go boolean")
+    rows = packing.pack(items, capacity=100, group_items=300).collect()
+    assert len(rows) == 3000 and rows[0].__fields__ == [*items.columns, "sequence_id", "offset"]
+    assert assert_packed(rows, 100) == 3000
+    assert len({r.sequence_id >> 32 for r in rows}) == 10  # no group holds all copies
+
+
+def test_a_vocabulary_that_the_shortcuts_do_not_fit_is_refused():
+    import pytest
+    with pytest.raises(ValueError, match="shortcuts"):
+        packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
