@@ -9,12 +9,13 @@ median.  Rows of that bin (for instance all rows of one hot source) are ordered
 by the hash, so equal values are split as finely as the median asks and no group
 is moved as a whole.  Nothing but one row per node and bin is ever gathered.
 
-The median divides a node's bytes by the leaves of its two sides, so any number
-of leaves works; ``leaves_for`` gives the number for a target size.
+Every level uses a hash of its own, so a value of any weight is spread over as many
+leaves as its bytes ask for.  The median divides a node's bytes by the leaves of its two
+sides, so any number of leaves works; ``leaves_for`` gives the number for a target size.
 
 Defined results: a NULL text has size 1 and crc32 0; a NULL in a dimension lies
-at its low end; repeated rows are separate rows; an empty table gives no rows;
-columns other than the dimensions are ignored.
+at its low end; repeated rows are separate rows; a long text counts by its bytes and is
+never cut; an empty table gives no rows; columns other than the dimensions are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from .common import stored
 
 BINS = 4096
-SLOT_ROWS = 2000
 
 
 def text_position(c: Column) -> Column:
@@ -58,8 +58,12 @@ def _crossing(histogram: DataFrame, bin_col: str, need: Column) -> DataFrame:
     return run.where(F.col("until") >= need).groupBy("node").agg(F.min(F.struct(bin_col, (F.col("until") - F.col("w")).alias("before"))).alias("x"))
 
 
-def _split(rows: DataFrame, dims: int, extents: list[float]) -> DataFrame:
-    """One level: every node with more than one leaf is divided in two."""
+def _split(rows: DataFrame, dims: int, extents: list[float], level: int) -> DataFrame:
+    """One level: every node with more than one leaf is divided in two.
+
+    Each level orders ties by a hash of its own, so what an earlier level has cut is cut as finely again.
+    """
+    tie = F.pmod(F.xxhash64("tie", F.lit(level)), F.lit(BINS)).cast("int")
     stats = rows.where("quota > 1").groupBy("node", "quota").agg(
         F.sum("size").alias("total"), *[f(f"d{i}").alias(f"{n}{i}") for i in range(dims) for f, n in ((F.min, "lo"), (F.max, "hi"))])
     widths = F.array(*[F.coalesce((F.col(f"hi{i}") - F.col(f"lo{i}")) / F.lit(extents[i] or 1.0), F.lit(0.0)) for i in range(dims)])
@@ -73,7 +77,7 @@ def _split(rows: DataFrame, dims: int, extents: list[float]) -> DataFrame:
     at = F.get(F.array(*[F.col(f"d{i}") for i in range(dims)]), F.col("dim"))
     place = F.when(F.col("hi") > F.col("lo"), F.floor((at - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)).otherwise(F.lit(0))
     placed = rows.join(F.broadcast(cut), "node").withColumn("bin", F.coalesce(F.least(place, F.lit(BINS - 1)), F.lit(-1)).cast("int")).withColumn(
-        "tie_bin", F.pmod("tie", F.lit(BINS)).cast("int"))
+        "tie_bin", tie)
     first = _crossing(placed.groupBy("node", "need", "bin").agg(F.sum("size").alias("w")), "bin", F.col("need")).select(
         "node", F.col("x.bin").alias("cut_bin"), F.col("x.before").alias("before"))
     first = stored(first, "kd-bin")
@@ -87,9 +91,8 @@ def _split(rows: DataFrame, dims: int, extents: list[float]) -> DataFrame:
     final = stored(first.join(mine, "node").select("node", "cut_bin", "cut_tie", "last_left"), "kd-final")
     both = rows.join(F.broadcast(cut.select("node", "leaves", "dim", "lo", "hi")), "node", "left").join(F.broadcast(final), "node", "left")
     bin_now = F.coalesce(F.least(place, F.lit(BINS - 1)), F.lit(-1))
-    tie_now = F.pmod("tie", F.lit(BINS))
     right = (bin_now > F.col("cut_bin")) | ((bin_now == F.col("cut_bin")) & (
-        (tie_now > F.col("cut_tie")) | ((tie_now == F.col("cut_tie")) & ~F.col("last_left"))))
+        (tie > F.col("cut_tie")) | ((tie == F.col("cut_tie")) & ~F.col("last_left"))))
     left_leaves = F.floor(F.col("quota") / 2).cast("int")
     split = F.col("leaves").isNotNull()
     return both.select(*[c for c in rows.columns if c not in ("node", "quota")],
@@ -101,19 +104,19 @@ def kd_tree(rows: DataFrame, dims: int, leaves: int) -> DataFrame:
     """``rows`` of ``points`` with the leaf (0 .. leaves - 1) of each as column node."""
     now = stored(rows.withColumn("node", F.lit(0)).withColumn("quota", F.lit(leaves)), "kd-level")
     bounds = now.agg(*[(F.max(f"d{i}") - F.min(f"d{i}")).alias(f"e{i}") for i in range(dims)]).first()
-    for _ in range(math.ceil(math.log2(leaves)) if leaves > 1 else 0):
-        now = stored(_split(now, dims, [float(x or 0.0) for x in bounds]), "kd-level")
+    for level in range(math.ceil(math.log2(leaves)) if leaves > 1 else 0):
+        now = stored(_split(now, dims, [float(x or 0.0) for x in bounds], level), "kd-level")
     return now.drop("quota")
 
 
-def with_slots(rows: DataFrame, shard: str, order: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def with_slots(rows: DataFrame, shard: str, order: str, parts: int | None = None) -> DataFrame:
     """``rows`` with a gapless slot from 0 in each shard.
 
-    Rows are numbered inside parts of about ``slot_rows`` rows and shifted by the rows of
-    the parts before, so no task sorts a whole shard.
+    Rows are numbered inside parts and shifted by the rows of the parts before.  There are about as
+    many parts as a part has rows (the square root of all), so a task sorts neither a whole shard nor
+    more than that many sizes of parts.
     """
-    n = rows.count()
-    parts = max(1, math.ceil(n / slot_rows))
+    parts = parts or max(1, math.ceil(math.sqrt(rows.count())))
     part = rows.withColumn("part", F.pmod(F.xxhash64(order), F.lit(parts)))
     sizes = part.groupBy(shard, "part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(W.partitionBy(shard).orderBy("part")) - F.col("n")).drop("n")
