@@ -8,16 +8,20 @@ must agree: ETags by weak comparison if both records have one, else
 Last-Modified.  The resolved record has the response's payload and its headers,
 updated by the permitted headers of the revisit; header names ignore case.
 
-The as-of join is a window over rows without payloads.  A URL with more than
-``part_rows`` records is divided into time parts; within a part the window finds
-the latest response, and the parts before hand on their last one, so a hot URL is
-spread over many tasks.  Payloads are joined afterwards, by record_id.
+The as-of join runs on a timeline without payloads: one row per URL and date with the
+greatest response of that date, so records of one moment count once.  The timeline is
+range-partitioned by (URL, date) into parts of equal numbers of rows.  Within a part a
+window finds the latest response, and the parts before hand on their last one, so a hot
+URL is spread over many tasks, however its dates lie.  Revisits look up their date, and
+those with a response then join its payload by record_id; the others skip that join.  Both
+are plain equi-joins with a unique side, which Spark splits where a key is hot.
 
 Defined results: outcome is resolved, no_earlier_response, no_validator or
 validator_mismatch; only resolved rows have a payload and headers.  A NULL URI or
 date gives no_earlier_response, NULL headers count as none; repeated revisits
 each get their row, repeated response ids count as one response (its smallest
-payload); an empty table gives no rows; other columns are ignored.
+payload); a response without a record_id is never met; long payloads and URLs are kept whole;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PART_ROWS = 10_000
-NULL_SALTS = 4096
+from .common import stored
+
 # What a 304 answer may update (fixed values).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -55,24 +59,23 @@ def lower_names(headers: Column) -> Column:
         F.transform(F.filter(entries, lambda e: e["k"] == n), lambda e: e["v"]), ", ")))
 
 
-def as_of(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """``rows`` (key, at as long, candidate as struct or NULL) with column latest: the greatest candidate of the
-    greatest earlier ``at`` of the key.  Candidates must begin with their ``at``."""
-    extent = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).select(
-        F.col("key").alias("_key"), "lo", "hi", F.ceil(F.col("n") / part_rows).cast("long").alias("parts"))
-    share = (F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1)
-    placed = rows.join(extent, F.col("key") == F.col("_key")).withColumn(
-        "part", F.least(F.floor(share * F.col("parts")), F.col("parts") - 1)).drop("_key", "lo", "hi", "parts")
-    last = placed.groupBy("key", "part").agg(F.max("candidate").alias("last")).withColumn("handed_on", F.max("last").over(
-        W.partitionBy("key").orderBy("part").rowsBetween(W.unboundedPreceding, -1))).select(
-        F.col("key").alias("_key"), F.col("part").alias("_part"), "handed_on")
-    earlier = F.max("candidate").over(W.partitionBy("key", "part").orderBy("at").rangeBetween(W.unboundedPreceding, -1))
-    inside = placed.withColumn("inside", earlier)
-    return inside.join(last, (F.col("key") == F.col("_key")) & (F.col("part") == F.col("_part"))).withColumn(
-        "latest", F.coalesce("inside", "handed_on")).drop("_key", "_part", "part", "inside", "handed_on")
-
-
-def resolve_revisits(records: DataFrame, permitted: Sequence[str] = PERMITTED, part_rows: int = PART_ROWS) -> DataFrame:
+def as_of(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """(key, at, latest) of every different (key, at) of ``rows`` (key, at, candidate as struct or NULL).
+
+    ``latest`` is the greatest candidate of the greatest earlier ``at`` of the key that has one.
+    Candidates must begin with their ``at``.  ``parts``: range partitions, as many as the session's shuffles have.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moments = rows.groupBy("key", "at").agg(F.max("candidate").alias("candidate"))
+    line = stored(moments.repartitionByRange(parts, "key", "at").withColumn("part", F.spark_partition_id()), "timeline")
+    handed = line.groupBy("key", "part").agg(F.max("candidate").alias("last")).withColumn("handed_on", F.max("last").over(
+        W.partitionBy("key").orderBy("part").rowsBetween(W.unboundedPreceding, -1))).select("key", "part", "handed_on")
+    earlier = F.max("candidate").over(W.partitionBy("key", "part").orderBy("at").rowsBetween(W.unboundedPreceding, -1))
+    inside = line.withColumn("inside", earlier)
+    return inside.join(handed, ["key", "part"]).select("key", "at", F.coalesce("inside", "handed_on").alias("latest"))
+
+
+def resolve_revisits(records: DataFrame, permitted: Sequence[str] = PERMITTED, parts: int | None = None) -> DataFrame:
     """One row per revisit of ``records`` (record_id, warc_type, uri, date timestamp, headers map, payload).
 
     Returns record_id, canonical_url, outcome, response_id, status, headers, payload.
@@ -82,20 +85,21 @@ def resolve_revisits(records: DataFrame, permitted: Sequence[str] = PERMITTED, p
                           F.unix_micros(F.col("date").cast("timestamp")).alias("at"), names.alias("headers"))
     response = F.col("warc_type") == "response"
     dated = rows.where("key IS NOT NULL AND at IS NOT NULL AND warc_type IN ('response', 'revisit')").select(
-        "key", "at", F.when(~response, F.col("record_id")).alias("record_id"), response.alias("is_response"),
-        F.when(~response, F.col("headers")).alias("own"),
-        F.when(response, F.struct("at", "record_id")).alias("candidate"))
-    placed = as_of(dated, part_rows).where("NOT is_response").select("record_id", "key", "own", F.col("latest.record_id").alias("response_id"))
-    undated = rows.where("(key IS NULL OR at IS NULL) AND warc_type = 'revisit'").select(
-        "record_id", "key", F.col("headers").alias("own"), F.lit(None).cast("long").alias("response_id"))
+        "key", "at", F.when(response, F.struct("at", "record_id")).alias("candidate"))
+    line = as_of(dated, parts)
+    asked = rows.where("warc_type = 'revisit'").select("record_id", "key", "at", F.col("headers").alias("own"))
+    found = asked.where("key IS NOT NULL AND at IS NOT NULL").join(line, ["key", "at"]).select(
+        "record_id", "key", "own", F.col("latest.record_id").alias("response_id"))
+    undated = asked.where("key IS NULL OR at IS NULL").select("record_id", "key", "own", F.lit(None).cast("long").alias("response_id"))
     full = records.where("warc_type = 'response'").select(
-        F.col("record_id").cast("long").alias("_id"), F.struct("payload", F.map_entries(names).alias("h")).alias("f")).groupBy("_id").agg(
-        F.min("f").alias("f")).select("_id", F.col("f.payload").alias("_payload"), F.map_from_entries("f.h").alias("_headers"),
-                                      F.lit(0).alias("_salt"))
-    # Revisits without a response meet nothing; the salt keeps their NULL ids from meeting in one task.
-    salt = F.when(F.col("response_id").isNull(), F.pmod("record_id", F.lit(NULL_SALTS))).otherwise(0).cast("int")
-    joined = placed.unionByName(undated).withColumn("_own_salt", salt).join(
-        full, (F.col("response_id") == F.col("_id")) & (F.col("_own_salt") == F.col("_salt")), "left")
+        F.col("record_id").cast("long").alias("response_id"), F.struct("payload", F.map_entries(names).alias("h")).alias("f")).groupBy(
+        "response_id").agg(F.min("f").alias("f")).select("response_id", F.col("f.payload").alias("_payload"),
+                                                         F.map_from_entries("f.h").alias("_headers"))
+    found = stored(found.unionByName(undated), "revisits")
+    met = found.where("response_id IS NOT NULL").join(full, "response_id")
+    unmet = found.where("response_id IS NULL").withColumn("_payload", F.lit(None).cast("string")).withColumn(
+        "_headers", F.lit(None).cast("map<string,string>"))
+    joined = met.unionByName(unmet)
     tag = lambda h: F.regexp_replace(F.try_element_at(h, F.lit("etag")), "^W/", "")
     changed = lambda h: F.try_element_at(h, F.lit("last-modified"))
     own, base = F.col("own"), F.col("_headers")

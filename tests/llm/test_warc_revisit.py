@@ -43,6 +43,15 @@ def test_headers_and_outcomes(spark):
     assert got[13].payload == "c2" and got[13].headers == {"last-modified": "n", "etag": "e"}
 
 
+def test_hot_moment_and_hot_response(spark):
+    """Most records at one moment of one URL, and most revisits of one response, beside dates far apart."""
+    rows = [(i, "revisit", "http://hot.com/", at(50), {"ETag": "1"}, None) for i in range(2000)]
+    rows += [(5000 + i, "response", "http://hot.com/", at(50), {"ETag": "1"}, f"q{i}") for i in range(50)]
+    rows += [(6000, "response", "http://hot.com/", at(-10 ** 8), {"ETag": "1"}, "first"), (6001, "revisit", "http://hot.com/", at(10 ** 8), {"ETag": "1"}, None)]
+    got = resolve(spark, rows, parts=7)
+    assert len(got) == 2001 and {got[i].payload for i in range(2000)} == {"first"} and got[6001].payload == "q49"
+
+
 def test_hot_url_in_time_parts_against_brute_force(spark):
     rnd = random.Random(12)
     rows = []
@@ -51,11 +60,11 @@ def test_hot_url_in_time_parts_against_brute_force(spark):
         kind = "response" if rnd.random() < 0.3 else "revisit"
         rows.append((i, kind, url, at(rnd.randrange(200)), {"ETag": "1"}, f"p{i}" if kind == "response" else None))
     rows += [(10_000, "revisit", "http://hot.com/", at(500), {"ETag": "1"}, None)] * 3
-    got = resolve(spark, rows, part_rows=20)
+    got = resolve(spark, rows, parts=20)
     for i, kind, url, when, _, _ in rows:
         if kind == "revisit":
             before = [(r[3], r[0]) for r in rows if r[1] == "response" and r[2] == url and r[3] < when]
             assert got[i].response_id == (max(before)[1] if before else None)
     df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
-    assert wr.resolve_revisits(df, part_rows=20).count() == sum(r[1] == "revisit" for r in rows)
+    assert wr.resolve_revisits(df, parts=20).count() == sum(r[1] == "revisit" for r in rows)
     assert wr.resolve_revisits(df.limit(0)).count() == 0
