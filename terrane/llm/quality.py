@@ -3,7 +3,7 @@
 A text is described by the shares of its hashed words and of its hashed
 character trigrams (over its UTF-8 bytes, case kept).  A logistic regression on
 these shares is fitted to a bounded sample of the labelled quality rows
-(``PER_CLASS`` of each label), its scores are calibrated to probabilities on
+(``PER_CLASS`` of each label, of each document its ``FEATURES`` most frequent features), its scores are calibrated to probabilities on
 rows it was not fitted to (Platt scaling), and every document is scored in Arrow
 batches.  A document is kept if it passes the base rules and its probability of
 good quality reaches the fixed ``THRESHOLD``.
@@ -30,6 +30,7 @@ from .common import SPACES, id_text, rows_of
 from .training import adam, labelled_sample, segment_sums, sigmoid
 
 PER_CLASS = 1500
+FEATURES = 1 << 13  # of a sampled document, its most frequent ones: at most 8 bytes each go to the driver
 BUCKETS = 1 << 16  # for words, and as many for trigrams
 THRESHOLD = 0.5
 MIN_WORDS = 50
@@ -126,6 +127,8 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = np.array(words.bucket, np.int64)[w] if len(w) else w
             t = trigrams(raw)
             i, n = np.unique(np.concatenate((b, t)), return_counts=True)
+            top = np.sort(np.argsort(-n, kind="stable")[:FEATURES])
+            i, n = i[top], n[top]
             index.append(i.astype(np.int32).tobytes())
             share.append((n / np.where(i < BUCKETS, max(1, len(b)), max(1, len(t)))).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), batch.column("weight"),
@@ -134,8 +137,11 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(rows: list[tuple[int, float, np.ndarray, np.ndarray]], steps: int = 120, rate: float = 0.05, l2: float = 1e-4) -> Model:
-    """Logistic regression on four fifths of the rows (label, weight, buckets, shares), Platt scaling on the last fifth."""
-    if len({r[0] for r in rows}) < 2 or len(rows) < 20:
+    """Logistic regression on four fifths of the rows (label, weight, buckets, shares), Platt scaling on the last fifth.
+
+    Rows of both classes are fitted, however few.
+    """
+    if len({r[0] for r in rows}) < 2:
         return CONSTANT
     y = np.array([r[0] for r in rows], float)
     weight = np.array([r[1] for r in rows])
@@ -147,7 +153,10 @@ def fit(rows: list[tuple[int, float, np.ndarray, np.ndarray]], steps: int = 120,
     scale = 1 / np.sqrt(mean + 1e-5)  # rare buckets count for as much as frequent ones
     value = share * scale[at]
     fold = np.arange(len(rows)) % 5 == 4
-    use = np.where(fold, 0, weight)
+    if len({*y[fold]}) < 2 or len({*y[~fold]}) < 2:  # a part without one of the classes says nothing: both steps take all rows
+        fold[:] = True
+    both = fold.all()
+    use = np.where(fold & ~both, 0, weight)
     use = use / use.sum()
 
     def logits(x: np.ndarray) -> np.ndarray:
