@@ -3,8 +3,8 @@
 A text is cut by the tokenizer's pattern; every match is encoded on its own.  A match
 that is a token is that token.  Any other match is encoded without replaying merges:
 
-- its bytes, read backwards as Latin-1, run through one Aho-Corasick automaton of all
-  reversed tokens, which gives the longest token that begins at each byte;
+- its bytes, read as Latin-1, are looked up in one pyahocorasick trie of all tokens, which
+  gives the longest token that begins at a byte; it is asked only where a token may begin;
 - from the left the longest token is taken that is *compatible* with the token before
   it; where none is, a shorter one is tried, and then the token before it is given up.
   A place given up once is never entered again, so the work is linear;
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import base64
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -42,8 +41,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import id_text, rows_of
 
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that may be broadcast
-_WORDS = 1 << 17  # matches whose ids are remembered
-_PAIRS = 1 << 18
+_WORDS = 1 << 18  # matches whose ids are remembered
+_PAIRS = 1 << 19
 _WORD_CHARS = 64
 _LONG = 1 << 20
 
@@ -84,8 +83,17 @@ class Splitter:
             r"\p{N}+", r"[\p{N}--[NEWER]]+").replace(r"[^\s\p{L}\p{N}||NEWER]", r"(?:[^\s\p{L}\p{N}]|[NEWER])")
         self.careful = regex.compile(careful.replace("NEWER", newer), regex.V1) if newer else self.plain
 
+    def _may_hold_newer(self, text: str) -> bool:
+        if self.newer is None or text.isascii():
+            return False
+        try:
+            text.encode("latin-1")  # no character of Latin-1 is newer
+            return False
+        except UnicodeEncodeError:
+            return self.newer.search(text) is not None
+
     def __call__(self, text: str) -> Iterator[str]:
-        pattern = self.careful if self.newer and not text.isascii() and self.newer.search(text) else self.plain
+        pattern = self.careful if self._may_hold_newer(text) else self.plain
         if len(text) <= _LONG:
             return pattern.findall(text)
         return (m.group() for m in pattern.finditer(text))  # never all matches of a long text at once
@@ -97,6 +105,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, newer: str | None = None):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.sizes = {i: len(t) for t, i in ranks.items()}
+        self.most = max(map(len, ranks))
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary must hold every byte")
         self.split = Splitter(pattern, newer_characters() if newer is None else newer)
@@ -105,23 +115,26 @@ class Codec:
         self.words: dict[str, bytes] = {}
 
     @cached_property
-    def automaton(self) -> ahocorasick.Automaton:
-        found = ahocorasick.Automaton()
-        for t, i in self.ranks.items():
-            found.add_word(t[::-1].decode("latin-1"), (len(t), i))
-        found.make_automaton()
+    def trie(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for t in self.ranks:
+            found.add_word(t.decode("latin-1"))
         return found
 
     def merged(self, data: bytes) -> list[int]:
         """Ids by the merges: the adjacent pair of the least rank first, the leftmost of equals."""
+        ranks, none = self.ranks, 1 << 62
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranked = [(self.ranks[p + q], i) for i, (p, q) in enumerate(zip(parts, parts[1:])) if p + q in self.ranks]
-            if not ranked:
-                break
-            _, i = min(ranked)
+        pairs = [ranks.get(data[i:i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+        return [ranks[p] for p in parts]
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens as they are side by side (``left`` -1: the token alone)."""
@@ -144,40 +157,40 @@ class Codec:
             self.shorter[token] = found
         return found
 
-    def longest(self, data: bytes) -> array:
-        """The longest token that begins at each byte."""
-        n = len(data)
-        length, token = array("l", bytes(8 * n)), array("l", bytes(8 * n))
-        for end, (size, i) in self.automaton.iter(data[::-1].decode("latin-1")):
-            start = n - 1 - end
-            if size > length[start]:
-                length[start], token[start] = size, i
+    def longest(self, text: str, data: bytes, at: int) -> int:
+        """The longest token that begins at a byte."""
+        size, ranks = self.trie.longest_prefix(text[at:at + self.most]), self.ranks
+        while (token := ranks.get(data[at:at + size])) is None:  # the trie also holds the tokens' prefixes
+            size -= 1
         return token
 
-    def encode_match(self, data: bytes) -> array:
+    def encode_match(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
-            return array("I", [whole])
-        longest, n = self.longest(data), len(data)
-        out, given_up = array("I"), bytearray(n + 1)
-        at, token = 0, longest[0]
-        while at < n:
-            last = out[-1] if out else -1
+            return [whole]
+        text, n, sizes, fits = data.decode("latin-1"), len(data), self.sizes, self.fits
+        out, given_up = [], bytearray(n + 1)
+        at, last, token = 0, -1, self.longest(text, data, 0)
+        while True:
             while token >= 0:
-                end = at + len(self.token[token])
-                if not given_up[end] and self.compatible(last, token):
-                    break
+                end = at + sizes[token]
+                if not given_up[end]:
+                    ok = fits.get((last << 32) + token)
+                    if self.compatible(last, token) if ok is None else ok:
+                        break
                 token = self.next_shorter(token)
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                if end == n:
+                    return out
+                at, last = end, token
+                token = self.longest(text, data, at)
             else:
                 given_up[at] = 1
                 token = out.pop()
-                at -= len(self.token[token])
+                at -= sizes[token]
+                last = out[-1] if out else -1
                 token = self.next_shorter(token)
-        return out
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as little-endian unsigned 32-bit integers."""
