@@ -8,6 +8,11 @@ last committed version; a write never touches the version being read, so a job
 can read version n and write n+1 in one plan.  The log is metadata: it is
 listed and written on the driver through ``pyarrow.fs`` (local, HDFS, S3, GCS),
 without Spark jobs.
+
+A table for keyed upserts is laid out in buckets of a hash of its key (``upsert_table``),
+or by a column that the key determines (``merge_partitions``): one folder per bucket or
+value, and one marker that lists the folders in force.  A batch reads and rewrites only the
+folders its keys belong to; all others keep their files.
 """
 
 from __future__ import annotations
@@ -17,12 +22,15 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import remove_scratch
 from .joins import null_safe_join
 
+BUCKETS = 64  # of a new table for keyed upserts
+
 
 def newer_than_target(df: DataFrame, target: DataFrame, col: str, lookback_days: int = 0,
                       load_all_if_empty: bool = True) -> DataFrame:
@@ -76,9 +84,18 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def _commit(root: str, version: int, content: str) -> None:
+    """Write the marker of ``version``; fails if another run has committed that number meanwhile."""
+    from pyarrow import fs as pafs
     fs, log = _log_fs(root)
     fs.create_dir(log, recursive=True)
-    with fs.open_output_stream(f"{log}/{version:020d}.commit") as out:
+    marker = f"{log}/{version:020d}.commit"
+    if isinstance(fs, pafs.LocalFileSystem):
+        with open(marker, "x", encoding="utf-8") as out:  # exclusive where the file system can do it
+            out.write(content)
+        return
+    if fs.get_file_info(marker).type != pafs.FileType.NotFound:
+        raise FileExistsError(f"version {version} of {root} was committed by another run")
+    with fs.open_output_stream(marker) as out:
         out.write(content.encode("utf-8"))
 
 
@@ -112,25 +129,50 @@ def full_refresh(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(version_path(root, v))
 
 
-def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str],
-                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Merge ``updates`` into the table at ``root`` (created if absent) by ``key``."""
-    spark = updates.sparkSession
-    if current_version(spark, root) is None:
-        return full_refresh(updates, root, partition_by)
-    merged = upsert(read_table(spark, root), updates, key)
-    v = write_version(merged, root, partition_by)
-    return spark.read.parquet(version_path(root, v))
+def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Merge ``updates`` (one row per key) into the bucketed table at ``root`` (created if absent) by ``key``.
+
+    The number of buckets is fixed when the table is created.  Only the buckets of the batch's
+    keys are read and rewritten.  There the batch, whose written size Spark knows, is broadcast to
+    the old rows if it is small; else both are shuffled, but no row of another bucket is.
+    """
+    manifest = _manifest(root)
+    n = buckets if manifest is None else manifest["buckets"]
+    keys = [key] if isinstance(key, str) else list(key)
+    return merge_partitions(updates, root, keys, F.pmod(F.xxhash64(*keys), F.lit(n)), extra={"buckets": n})
 
 
 def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str], mark_col: str,
-                     lookback_days: int = 0, partition_by: Sequence[str] = ()) -> DataFrame:
-    """High-water-mark filter against the current table, then keyed upsert."""
+                     lookback_days: int = 0, buckets: int = BUCKETS) -> DataFrame:
+    """High-water-mark filter against the current bucketed table, then keyed upsert."""
     spark = candidates.sparkSession
-    if current_version(spark, root) is None:
-        return full_refresh(candidates, root, partition_by)
-    delta = newer_than_target(candidates, read_table(spark, root), mark_col, lookback_days)
-    return upsert_table(delta, root, key, partition_by)
+    if current_version(spark, root) is not None:
+        candidates = newer_than_target(candidates, read_partitions(spark, root), mark_col, lookback_days)
+    return upsert_table(candidates, root, key, buckets)
+
+
+def vacuum(root: str) -> list[str]:
+    """Remove the folders under ``root`` that the last commit doesn't name; returns them.
+
+    For tables of ``upsert_table`` and ``merge_partitions``, when no reader of an older version and no
+    other writer is at work.
+    """
+    from pyarrow import fs as pafs
+
+    from ..sources.archive import _fs
+    manifest = _manifest(root)
+    if manifest is None:
+        return []
+    used = set(manifest["parts"].values())
+    fs, base = _fs(root.rstrip("/"))
+    gone = []
+    for top in ("data", "_stage"):
+        for info in fs.get_file_info(pafs.FileSelector(f"{base}/{top}", allow_not_found=True, recursive=True)):
+            name = info.path[len(base):].lstrip("/")
+            if info.type == pafs.FileType.Directory and name.count("/") == 2 and name not in used:
+                fs.delete_dir(info.path)
+                gone.append(name)
+    return sorted(gone)
 
 
 PART = "__part"  # folder column of a partitioned table: the partition value as text
@@ -176,12 +218,13 @@ def _read_parts(spark: SparkSession, root: str, manifest: dict, values: Sequence
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], partition_col: str,
-                     delete_keys: DataFrame | None = None) -> DataFrame:
+def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], partition_col: str | Column,
+                     delete_keys: DataFrame | None = None, extra: dict | None = None) -> DataFrame:
     """Keyed upsert into a partitioned parquet table, rewriting only the touched partitions.
 
-    The key must determine ``partition_col`` (a matching row always lives in the same
-    partition), e.g. a month derived from a date that is part of the key's hash.
+    The key must determine ``partition_col``, a column or an expression (a matching row always
+    lives in the same partition), e.g. a month derived from a date that is part of the key's hash.
+    ``extra`` is kept in the commits.
     ``delete_keys`` replaces whole groups instead: every stored row whose columns match one
     of its rows (NULLs match) is removed, wherever it lies, before the updates go in.
 
@@ -198,7 +241,7 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
     columns = updates.columns if manifest is None else [f["name"] for f in manifest["schema"]["fields"]]
     _write_parts(updates.select(*columns), partition_col, f"{base}/{merged if manifest is None else staged}")
     if manifest is None:
-        manifest = {"schema": updates.schema.jsonValue(), "parts": _folders(root, merged)}
+        manifest = {"schema": updates.schema.jsonValue(), "parts": _folders(root, merged)} | (extra or {})
     else:
         batch = spark.read.schema(StructType.fromJson(manifest["schema"]))
         fresh = _folders(root, staged)
@@ -217,13 +260,15 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
             kept = upsert(old, rows, key)
         _write_parts(kept, partition_col, f"{base}/{merged}")
         parts = {v: f for v, f in manifest["parts"].items() if v not in touched}
-        manifest = {"schema": manifest["schema"], "parts": parts | _folders(root, merged)}
+        manifest = manifest | {"parts": parts | _folders(root, merged)}
     _commit(root, version, json.dumps(manifest))
+    remove_scratch(f"{base}/{staged}")
     return _read_parts(spark, root, manifest)
 
 
-def _part(partition_col: str):
-    return F.col(partition_col).cast("string").alias(PART)
+def _part(partition_col: str | Column) -> Column:
+    value = F.col(partition_col) if isinstance(partition_col, str) else partition_col
+    return value.cast("string").alias(PART)
 
 
 def _folder_value(value: str | None) -> str:
@@ -231,7 +276,7 @@ def _folder_value(value: str | None) -> str:
     return value or "__HIVE_DEFAULT_PARTITION__"
 
 
-def _write_parts(df: DataFrame, partition_col: str, path: str) -> None:
+def _write_parts(df: DataFrame, partition_col: str | Column, path: str) -> None:
     """Rows clustered by partition value and written to one folder each (few, full files).
 
     ``REBALANCE`` lets AQE split a value that is too large for one task and merge small

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import domain as D
 from ..operators.quality import Check, run_checks, summarize
-from ..operators.upsert import full_refresh, newer_than_target, upsert_table, write_version
+from ..operators.upsert import full_refresh, newer_than_target, upsert_table
 from ..session import scratch_dir
 from . import gold
 from . import oracle as O
@@ -74,7 +74,7 @@ def _stale_target(s):
 def q_incremental_upsert(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     root = scratch_dir(spark, "silver-upsert")
-    write_version(_stale_target(s), root)
+    upsert_table(_stale_target(s), root, "mutation_id")
     updates = s.filter(F.col("date_mutation") >= F.lit(UPDATES_FROM).cast("date"))
     return upsert_table(updates, root, "mutation_id")
 

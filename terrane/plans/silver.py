@@ -102,11 +102,17 @@ def open_keys(src: DataFrame, current: DataFrame, date_formats: Sequence[str] =
 
 
 def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame) -> DataFrame:
-    """The rows whose lot key is among ``keys``."""
-    from ..operators.joins import null_safe_join
+    """The rows whose lot key is among ``keys``: a Bloom filter in the scan, then the exact semi-join.
+
+    If the keys are too many to broadcast, the semi-join shuffles the rows that passed the filter,
+    in proportion to the batch and not to the raw table.
+    """
+    from ..operators.joins import may_be_among, null_safe_join
     named = [f"__nk{i}" for i in range(len(KEY_COLUMNS))]
     wanted = keys.select(*[F.col(c).alias(n) for c, n in zip(KEY_COLUMNS, named)])
-    return null_safe_join(rows.select("*", *[k.alias(n) for k, n in zip(key, named)]), wanted, named, "left_semi").drop(*named)
+    own = rows.select("*", *[k.alias(n) for k, n in zip(key, named)])
+    own = own.where(may_be_among([F.col(n) for n in named], wanted, named))
+    return null_safe_join(own, wanted, named, "left_semi").drop(*named)
 
 
 def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool = False,

@@ -9,7 +9,7 @@ from .. import domain as D
 from ..functions.measures import count_distinct, count_if, exact_avg, exact_sum, flag_sum, rows
 from ..functions.scalars import date_key, first_match, initcap_words, month_start, surrogate_key
 from ..operators.aggregates import aggregate
-from ..operators.joins import lookup
+from ..operators.joins import checked_broadcast, lookup
 from ..operators.windows import pct_change
 
 PRICE = "valeur_fonciere"
@@ -163,8 +163,8 @@ PRICE_COLUMNS = ["nb_transactions", "nb_ventes", "volume_financier", "prix_moyen
 
 
 def _with_calendar(fact_df: DataFrame, cal: DataFrame, cols: list[str]) -> DataFrame:
-    # The calendar is bounded by its span: broadcast, no shuffle of the fact.
-    return fact_df.join(F.broadcast(cal.select("date_key", *cols)), "date_key", "inner")
+    # A calendar of an ordinary span is broadcast, without a shuffle of the fact; one stretched by an outlying date isn't.
+    return fact_df.join(checked_broadcast(cal.select("date_key", *cols)), "date_key", "inner")
 
 
 def agg_year(fact_df: DataFrame, cal: DataFrame) -> DataFrame:

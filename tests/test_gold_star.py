@@ -184,3 +184,14 @@ def test_hot_median_path_with_expression_keys(spark, silver_df, seed):
         plain = run()
     with partitions(spark, 30):
         assert run() == plain
+
+
+def test_a_calendar_stretched_by_an_outlying_date_is_not_broadcast(spark, silver_df):
+    s = silver_df([srow(i, d, 1000 + i) for i, d in enumerate(["0001-01-03", "2021-03-01", "2021-04-01", "9999-12-31"])])
+    f, cal = star.fact(s), star.calendar_of_dates(s)
+    assert cal.count() > 3_000_000
+    out = star._with_calendar(f, cal, ["annee"])
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.annee for r in out.select("annee").collect()) == [1, 2021, 2021, 9999]
+    assert "strategy=broadcast" in star._with_calendar(f, star.calendar(spark), ["annee"])._jdf.queryExecution().optimizedPlan().toString()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators.quality import Check, run_checks, summarize
 from terrane.operators.upsert import (
-    current_version, incremental_load, newer_than_target, read_table, upsert, upsert_table,
+    current_version, incremental_load, newer_than_target, read_partitions, upsert, upsert_table, vacuum,
 )
 from terrane.session import scratch_dir
 
@@ -55,13 +55,63 @@ def test_versioned_upsert_is_idempotent(spark):
     assert current_version(spark, root) == 3
 
 
+def _files(root):
+    import glob
+    import os
+
+    from terrane.operators.upsert import _manifest
+    from terrane.session import local_path
+    return {v: sorted(glob.glob(os.path.join(local_path(root), f, "*.parquet"))) for v, f in _manifest(root)["parts"].items()}
+
+
+def test_an_upsert_rewrites_only_the_buckets_of_its_keys(spark):
+    root = scratch_dir(spark, "t-buckets")
+    rows = [(f"k{i}", dt.date(2021, 1, 1), i) for i in range(300)]
+    upsert_table(_df(spark, rows), root, "id", buckets=16)
+    before = _files(root)
+    assert len(before) == 16
+    upd = _df(spark, [("k7", dt.date(2022, 1, 1), -7), ("new", dt.date(2022, 1, 1), 1), (None, None, 0)])
+    touched = {str(r[0]) for r in upd.select(F.pmod(F.xxhash64("id"), F.lit(16))).collect()}
+    out = {r.id: r.v for r in upsert_table(upd, root, "id", buckets=4).collect()}  # the table's own number of buckets counts
+    assert out == {f"k{i}": i for i in range(300)} | {"k7": -7, "new": 1, None: 0}
+    after = _files(root)
+    assert {v for v in after if after[v] != before[v]} == touched and len(touched) < 4
+    gone = vacuum(root)
+    assert len(gone) == len(touched) and _files(root) == after and vacuum(root) == []
+    assert read_partitions(spark, root).count() == 302
+
+
+def test_two_writers_of_one_version_do_not_lose_a_commit(spark):
+    import pytest
+
+    from terrane.operators.upsert import _commit
+    root = scratch_dir(spark, "t-race")
+    upsert_table(_df(spark, [("a", None, 1)]), root, "id")
+    with pytest.raises(FileExistsError):
+        _commit(root, 1, "{}")
+    assert [r.id for r in read_partitions(spark, root).collect()] == ["a"]
+
+
+def test_bloom_filter_passes_every_key_and_few_others(spark):
+    from terrane.operators.joins import may_be_among
+    keys = spark.createDataFrame([(f"k{i}", None if i % 5 == 0 else i) for i in range(2000)], "a string, b int")
+    rows = spark.createDataFrame([(f"k{i}", None if i % 5 == 0 else i) for i in range(20_000)], "a string, b int")
+    own = [F.col("a"), F.col("b")]
+    passed = rows.where(may_be_among(own, keys, ["a", "b"])).collect()
+    met = {(r.a, r.b) for r in passed}
+    assert {(r.a, r.b) for r in keys.collect()} <= met and len(met) < 2100
+    tight = rows.where(may_be_among(own, keys, ["a", "b"], bits=256)).count()  # a full filter only lets more pass
+    assert tight > 15_000
+    assert rows.where(may_be_among(own, keys.limit(0), ["a", "b"])).count() == 0
+
+
 def test_incremental_load_only_adds_newer(spark):
     root = scratch_dir(spark, "t-incr")
     incremental_load(_df(spark, [("a", dt.date(2021, 1, 5), 1)]), root, "id", "d")
     batch = _df(spark, [("old", dt.date(2021, 1, 1), 1), ("eq", dt.date(2021, 1, 5), 1), ("new", dt.date(2021, 1, 6), 1)])
     out = incremental_load(batch, root, "id", "d")
     assert {r.id for r in out.collect()} == {"a", "new"}
-    assert read_table(spark, root).filter(F.col("id") == "new").count() == 1
+    assert read_partitions(spark, root).filter(F.col("id") == "new").count() == 1
 
 
 def test_merge_partitions_rewrites_only_touched_months(spark):
