@@ -18,10 +18,10 @@ from .. import domain as D
 from ..operators.joins import lookup
 from ..session import scratch_dir
 from ..sources.archive import _fs, archive_scan, extract_archives, landing_check, list_files
-from ..sources.delimited import delimited_scan
+from ..sources.delimited import checked_lines, delimited_scan, rejected
 from ..sources.manifest import manifest_diff, manifest_filter, manifest_summary, read_catalog
 from ..sources.seed import read_seed
-from ..streaming.ledger import load_new_files, read_loaded
+from ..streaming.ledger import load_new_files, read_history, read_loaded
 from . import oracle as O
 from .queries import bronze_of, silver_of
 from .tables import BRONZE_SQL, SEED_SQL, load, seed_from_tables
@@ -87,6 +87,47 @@ def q_tolerant_load(spark, sf_dir):
     return delimited_scan(spark, path, COLS, glob="*.csv")
 
 
+def _bad_lines(b: DataFrame) -> DataFrame:
+    """(part, document, text) of one raw line per row; disposition 3 has bytes that are no UTF-8, 5 a quote that stays open."""
+    line = F.concat_ws("|", *[F.coalesce(_q(c), F.lit("")) for c in COLS])
+    spoilt = _q("Identifiant de document").cast("int") % 7 == 0
+    line = (F.when(_disposition(3) & spoilt, F.concat(line, F.lit("caf"), F.unhex(F.lit("E9FF")).cast("string")))
+            .when(_disposition(5) & spoilt, F.concat(line, F.lit('"x'))).otherwise(line))
+    return b.select(_q("No disposition").alias("part"), _q("Identifiant de document").cast("int").alias("document"), line.alias("text"))
+
+
+def _write_bad_lines(spark, sf_dir, path: str, only=None) -> None:
+    """A file per disposition, headed by its columns, its lines by document."""
+    lines = _bad_lines(bronze_of(spark, sf_dir))
+    lines = lines if only is None else lines.where(only)
+    heads = lines.select("part", F.lit(-1).alias("document"), F.lit("|".join(COLS)).alias("text")).distinct()
+    rows = lines.unionByName(heads).repartition("part").sortWithinPartitions("part", "document")
+    rows.select("part", "text").write.mode("append").partitionBy("part").text(path)
+
+
+_PART = r"/part=([0-9]+)/"
+
+
+def q_load_rejects(spark, sf_dir):
+    """The refused lines of files with injected bad lines: disposition, line number in its file, reason."""
+    path = scratch_dir(spark, "bronze-bad")
+    _write_bad_lines(spark, sf_dir, path)
+    found = rejected(checked_lines(spark, path, COLS, glob="*.txt"))
+    return found.select(F.regexp_extract("file", _PART, 1).alias("part"), "line", "reason")
+
+
+def q_load_history(spark, sf_dir):
+    """The load history after two drops of such files, with a rerun that finds nothing new in between."""
+    src, table, ckpt, log = (scratch_dir(spark, n) for n in ("history-src", "history-table", "history-ckpt", "history-log"))
+    first = F.col("part").cast("int") <= 4
+    for only in (first, None, ~first):
+        if only is not None:
+            _write_bad_lines(spark, sf_dir, src, only)
+        load_new_files(spark, src, table, ckpt, COLS, history_dir=log)
+    loaded = read_history(spark, log)
+    return loaded.select(F.regexp_extract("file", _PART, 1).alias("part"), "status", "rows_loaded", "rows_rejected")
+
+
 # ------------------------------------------------------------------ archives
 ZIP_SCHEMA = StructType([StructField("archive", StringType())])
 
@@ -231,6 +272,8 @@ QUERIES = {
     "delimited_scan": q_delimited_scan,
     "match_by_name": q_match_by_name,
     "tolerant_load": q_tolerant_load,
+    "load_rejects": q_load_rejects,
+    "load_history": q_load_history,
     "archive_scan": q_archive_scan,
     "archive_lines": q_archive_lines,
     "landing_check": q_landing_check,
@@ -282,6 +325,12 @@ def _diff_sql(mode: str) -> str:
             f"FROM items i LEFT JOIN keys k ON {ikey} = k.k")
 
 
+_SPOILT = 'CAST("Identifiant de document" AS INTEGER) % 7 = 0 AND "No disposition" IN (\'3\', \'5\')'
+_BAD_LINES = f"""WITH bronze AS (
+{BRONZE_SQL}
+), lines AS (SELECT "No disposition" AS part, {_SPOILT} AS bad,
+             1 + row_number() OVER (PARTITION BY "No disposition" ORDER BY CAST("Identifiant de document" AS INTEGER)) AS line FROM bronze)
+"""
 _LINE = "concat_ws('|', " + ", ".join(f"COALESCE(\"{c}\", '')" for c in COLS) + ")"
 
 SQL = {
@@ -294,6 +343,9 @@ SQL = {
     "tolerant_load": _bronze_with({
         **{c: "CASE WHEN \"No disposition\" = '1' THEN NULL ELSE \"" + c + "\" END" for c in COLS[-3:]},
         "Commune": "CASE WHEN \"No disposition\" = '4' THEN \"Commune\" || ' | quai' ELSE \"Commune\" END"}),
+    "load_rejects": _BAD_LINES + "SELECT part, line, CASE part WHEN '3' THEN 'invalid_utf8' ELSE 'open_quote' END AS reason FROM lines WHERE bad",
+    "load_history": _BAD_LINES + ("SELECT part, CASE WHEN count(*) FILTER (bad) > 0 THEN 'partially_loaded' ELSE 'loaded' END AS status, "
+                                  "count(*) FILTER (NOT bad) AS rows_loaded, count(*) FILTER (bad) AS rows_rejected FROM lines GROUP BY part"),
     "archive_scan": _bronze_with({}),
     "load_ledger": _bronze_with({}),
     "seed_lookup": O.with_ctes(

@@ -93,11 +93,14 @@ def _land(zf, info, out_fs, target: str) -> None:
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """File listing (path, length) of one or several folders or files, without reading contents."""
+    """File listing (path, length, file) of one or several folders or files, without reading contents.
+
+    ``file`` is the path as ``_metadata.file_path`` of any reader spells it.
+    """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path if isinstance(path, str) else list(path)).select("path", "length")
+    return reader.load(path if isinstance(path, str) else list(path)).select("path", "length", F.col("_metadata.file_path").alias("file"))
 
 
 def extraction_log(spark: SparkSession, out_dir: str) -> DataFrame:
