@@ -10,7 +10,8 @@ fewer than ``MIN_WORDS`` words are taken together with the next ones and those o
 more than ``MAX_WORDS`` are cut, so a text of a thousand one-word sentences is not
 a thousand chances; a word counts once in a sentence.
 
-The fit uses a bounded sample (``PER_CLASS``); scoring covers every sentence of
+The fit uses a bounded sample (``PER_CLASS`` documents of each label, of a long one the
+sentences of the smallest hashes with ``FEATURES`` features together); scoring covers every sentence of
 every document in Arrow batches, without a shuffle.
 
 Defined results: NULL and empty texts, and texts without a word, score 0; a text
@@ -41,6 +42,8 @@ SENTENCE_THRESHOLD = 0.2
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 MIN_WORDS, MAX_WORDS = 8, 40
+FEATURES = 1 << 14  # of a sampled document, in whole sentences: at most 4 bytes each go to the driver
+BIAS = -4.0  # where the fit of the bias begins
 _CACHE = 1 << 19
 
 SCHEMA = "doc_id long, score double, sentences array<struct<start:int,length:int,score:double>>"
@@ -126,7 +129,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = {"doc_id": [], "y": [], "weight": [], "sizes": [], "features": []}
         for doc_id, y, weight, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "weight", "text"))):
-            bags = [[f for w in sorted(words) for f in word_features(w)] for _, _, words in instances(text)]
+            bags = bounded([[f for w in sorted(words) for f in word_features(w)] for _, _, words in instances(text)])
             out["doc_id"].append(doc_id)
             out["y"].append(y)
             out["weight"].append(weight)
@@ -136,46 +139,72 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["weight"], pa.float64()), pa.array(out["sizes"], pa.binary()), pa.array(out["features"], pa.binary())], names=list(out))
 
 
+def bounded(bags: list[list[int]], limit: int | None = None) -> list[list[int]]:
+    """The sentences of a document that the fit sees: all, or those of the smallest hashes with ``FEATURES`` features together."""
+    limit = limit or FEATURES
+    if sum(map(len, bags)) <= limit:
+        return bags
+    kept, room = [], limit
+    for _, i in sorted((xxhash.xxh64_intdigest(str(b)), i) for i, b in enumerate(bags)):
+        if len(bags[i]) > room:
+            break
+        kept.append(i)
+        room -= len(bags[i])
+    return [bags[i] for i in sorted(kept)]
+
+
+class Bags:
+    """The sampled documents (label, weight, sentence sizes, features) as arrays, with the loss of the noisy-or model.
+
+    Features of fewer than ``least`` documents are left out: their weights stay zero.
+    """
+
+    def __init__(self, docs: list[tuple[int, float, np.ndarray, np.ndarray]], least: int):
+        self.y = np.array([d[0] for d in docs], float)
+        self.weight = np.array([d[1] for d in docs]) / sum(d[1] for d in docs)
+        n_sentences = np.array([len(d[2]) for d in docs])
+        self.first_sentence = np.cumsum(n_sentences) - n_sentences
+        self.doc_of = np.repeat(np.arange(len(docs), dtype=np.int32), n_sentences)
+        seen = np.zeros(BUCKETS, np.int32)
+        for d in docs:
+            seen[np.unique(d[3])] += 1
+        self.buckets = np.flatnonzero(seen >= least)
+        place = np.cumsum(seen >= least, dtype=np.int32) - 1
+        features = np.concatenate([d[3] for d in docs])
+        keep = seen[features] >= least
+        sizes = np.concatenate([d[2] for d in docs])
+        self.sentence_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[keep]
+        self.features = place[features[keep]]
+        self.starts = np.searchsorted(self.sentence_of, np.arange(len(sizes)))
+
+    def sentences(self, x: np.ndarray) -> np.ndarray:
+        """Probability of every sentence; the last of ``x`` is the bias over ``BIAS``."""
+        return sigmoid(segment_sums(x[:-1][self.features], self.starts) + x[-1] + BIAS)
+
+    def gradient(self, x: np.ndarray, l1: float = 0.0) -> np.ndarray:
+        """Of the mean negative log-likelihood of the labels, and of ``l1`` times the weights' size."""
+        p = self.sentences(x)
+        q = np.exp(segment_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), self.first_sentence))
+        pull = np.where(self.y == 1, -q / np.maximum(1 - q, 1e-9), 1.0) * self.weight
+        gz = pull[self.doc_of] * p
+        g = np.bincount(self.features, weights=gz[self.sentence_of], minlength=len(self.buckets)) + l1 * np.sign(x[:-1])
+        return np.append(g, gz.sum())
+
+
 def fit_bags(docs: list[tuple[int, float, np.ndarray, np.ndarray]], steps: int = 150, rate: float = 0.1,
-             l2: float = 5e-5, least: int = 8) -> Model:
+             l1: float = 3e-4, least: int = 8) -> Model:
     """Fit to (label, weight, sentence sizes, features) of the sampled documents.
 
-    Features of fewer than ``least`` documents keep weight zero.
+    The absolute penalty keeps words that only happen to stand in toxic documents at zero.
     """
     docs = [d for d in docs if len(d[2])]
     if len({d[0] for d in docs}) < 2:
         return Model(np.zeros(BUCKETS), -40.0)
-    y = np.array([d[0] for d in docs], float)
-    weight = np.array([d[1] for d in docs])
-    sizes = np.concatenate([d[2] for d in docs]).astype(np.int64)
-    features = np.concatenate([d[3] for d in docs])
-    n_sentences = np.array([len(d[2]) for d in docs])
-    first_sentence = np.cumsum(n_sentences) - n_sentences
-    doc_of = np.repeat(np.arange(len(docs)), n_sentences)
-    seen = np.zeros(BUCKETS, np.int64)
-    for d in docs:
-        seen[np.unique(d[3])] += 1
-    local, features = np.unique(np.where(seen[features] >= least, features, -1), return_inverse=True)
-    frozen = local < 0
-    starts = np.cumsum(sizes) - sizes
-    sentence_of = np.repeat(np.arange(len(sizes)), sizes)
-    total = weight.sum()
-
-    def gradient(x: np.ndarray) -> np.ndarray:
-        z = segment_sums(x[:-1][features], starts) + x[-1] - 4.0
-        p = sigmoid(z)
-        log_q = segment_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first_sentence)
-        q = np.exp(log_q)
-        pull = np.where(y == 1, -q / np.maximum(1 - q, 1e-9), 1.0) * weight / total
-        gz = pull[doc_of] * p
-        g = np.bincount(features, weights=gz[sentence_of], minlength=len(local)) + l2 * x[:-1]
-        g[frozen] = 0
-        return np.append(g, gz.sum())
-
-    x = adam(gradient, len(local) + 1, steps, rate)
+    bags = Bags(docs, least)
+    x = adam(lambda w: bags.gradient(w, l1), len(bags.buckets) + 1, steps, rate)
     weights = np.zeros(BUCKETS)
-    weights[local[~frozen]] = x[:-1][~frozen]
-    return Model(weights, float(x[-1] - 4.0))
+    weights[bags.buckets] = x[:-1]
+    return Model(weights, float(x[-1] + BIAS))
 
 
 def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, only: Column | None = None) -> Model:

@@ -3,7 +3,7 @@
 The classifiers are fitted on a bounded sample of labelled rows (``per_class``
 rows of each label, those with the smallest hash of their doc_id).  Features are
 computed on the executors; the driver gets at most ``2 * per_class`` sparse
-rows of bounded width and fits a linear model on them.  Everything else (the
+rows of bounded width (each classifier's ``FEATURES``) and fits a linear model on them.  Everything else (the
 scoring) covers all rows.
 """
 

@@ -1,8 +1,10 @@
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from terrane.llm import quality, toxicity
@@ -106,3 +108,74 @@ def test_no_labels_and_edge_texts(spark):
     assert toxicity.score(df, toxicity.train(df, nulls)).count() == len(rows)
     assert quality.describe(df, quality.train(df, nulls)).count() == len(rows)
     assert toxicity.score(df.limit(0), model).count() == 0 and quality.describe(df.limit(0), quality.CONSTANT).count() == 0
+
+
+def test_noisy_or_loss_and_gradient_against_plain_loops():
+    rnd = random.Random(6)
+    docs = []
+    for _ in range(12):
+        sizes = [rnd.randrange(0, 4) for _ in range(rnd.randrange(1, 5))]
+        docs.append((rnd.randrange(2), rnd.choice([1.0, 2.5]), np.array(sizes, np.int32), np.array([rnd.randrange(6) * 1000 for _ in range(sum(sizes))], np.int32)))
+    docs[0], docs[1] = (0, *docs[0][1:]), (1, *docs[1][1:])
+    bags = toxicity.Bags(docs, 1)
+    x = np.array([rnd.uniform(-1, 1) for _ in range(len(bags.buckets) + 1)])
+    weight = dict(zip(bags.buckets.tolist(), x))
+
+    def loss(weight, bias):
+        total = 0.0
+        for y, w, sizes, features in docs:
+            keep, at = 1.0, 0
+            for n in sizes:
+                z = bias + toxicity.BIAS + sum(weight[f] for f in features[at:at + n].tolist())
+                keep *= 1 - 1 / (1 + math.exp(-z))
+                at += n
+            total -= w * math.log(1 - keep if y else keep)
+        return total / sum(d[1] for d in docs)
+
+    got = bags.gradient(x)
+    for i, f in enumerate([*bags.buckets.tolist(), None]):
+        lo, hi = ({**weight, f: weight.get(f, 0) + d} if f is not None else weight for d in (-1e-5, 1e-5))
+        by = (loss(hi, x[-1] + (1e-5 if f is None else 0)) - loss(lo, x[-1] - (1e-5 if f is None else 0))) / 2e-5
+        assert abs(by - got[i]) < 1e-6
+
+
+def test_toxicity_scores_against_plain_loops(spark):
+    rnd = np.random.default_rng(1)
+    model = toxicity.Model(rnd.normal(0, 1, toxicity.BUCKETS), -2.0)
+    texts = [None, "", "One two. Three!", "a b c d e f g h. i j", "wort " * 100, "x. y. z. " * 30]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        keep = 1.0
+        for _, _, words in toxicity.instances(text):
+            keep *= 1 - 1 / (1 + math.exp(-(model.bias + sum(model.weights[f] for w in words for f in toxicity.word_features(w)))))
+        assert abs(got[i].score - (1 - keep)) < 1e-9
+
+
+def test_long_documents_send_a_bounded_number_of_features():
+    bags = [[i, i + 1, i + 2] for i in range(1000)]
+    some = toxicity.bounded(bags, 100)
+    assert len(some) == 33 and all(b in bags for b in some) and toxicity.bounded(bags, 100) == some and toxicity.bounded(bags) == bags
+
+
+def test_quality_probability_and_verdict_against_plain_loops(spark):
+    rnd = np.random.default_rng(2)
+    model = quality.Model(rnd.normal(0, 3, 2 * quality.BUCKETS), 0.2, 1.5, -0.1)
+    texts = [None, "", "ab", "one two three " * 30, " ".join(f"w{i}" for i in range(80)), "é ü " * 60]
+    rows = quality.judge(quality.describe(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)).collect()
+    for r in rows:
+        raw = (texts[r.doc_id] or "").encode()
+        words, three = raw.split(), quality.trigrams(raw)
+        w = sum(model.weights[xxhash.xxh32_intdigest(x) % quality.BUCKETS] for x in words) / len(words) if words else 0.0
+        t = sum(model.weights[x] for x in three) / len(three) if len(three) else 0.0
+        p = 1 / (1 + math.exp(-(1.5 * (w + t + 0.2) - 0.1)))
+        assert abs(r.quality - p) < 1e-9
+        failed = len(words) < 50 or 100 * r.n_repeat_words > 50 * len(words)
+        assert r.base_failed == failed and r.kept == (not failed and p >= quality.THRESHOLD)
+
+
+def test_a_few_labelled_rows_are_fitted(spark):
+    good, bad = "fine words all along " * 20, "zork ## zork " * 20
+    df = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    got = {r.doc_id: r.quality for r in quality.describe(df, quality.train(df, labels)).collect()}
+    assert min(got[i] for i in (1, 3, 5, 7)) > max(got[i] for i in (0, 2, 4, 6))
