@@ -163,11 +163,11 @@ def transducer(strings: Iterable[bytes]) -> dict[str, bytes]:
     return _arrays(n, src, sym, dst, np.array(out, np.int64), accept)
 
 
-def numbered(strings: DataFrame, key: str, value: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def numbered(strings: DataFrame, key: str, value: str, shard_bytes: int = SHARD_BYTES, across: bool = False) -> DataFrame:
     """(key, value, part, seq, place, ordinal) of distinct (key, value) rows, ordinals from 0 along each key's order.
 
-    The rows are range-sorted; each sorted part is cut into shards (part, seq) of one key and a
-    bounded number of bytes.  Only the shards' sizes are summed up along a key.  NULLs don't occur.
+    ``across`` numbers on from key to key.  The rows are range-sorted; each sorted part is cut into shards
+    (part, seq) of one key and a bounded number of bytes.  Only the shards' sizes are summed up.  NULLs don't occur.
     """
     total = strings.agg(F.sum(F.octet_length(value) + 32)).first()[0] or 0
     parts = max(1, -(-total // (4 * shard_bytes)))
@@ -195,7 +195,7 @@ def numbered(strings: DataFrame, key: str, value: str, shard_bytes: int = SHARD_
 
     rows = stored(ordered.mapInArrow(cut, schema), "numbered")
     sizes = rows.groupBy(key, "part", "seq").agg(F.count("*").alias("n"))
-    along = Window.partitionBy(key).orderBy("part", "seq")  # one row a shard
+    along = (Window.partitionBy() if across else Window.partitionBy(key)).orderBy("part", "seq")  # one row a shard
     offsets = sizes.select("part", "seq", (F.sum("n").over(along) - F.col("n")).alias("offset"))
     return stored(rows.join(offsets, ["part", "seq"]).select(
         key, value, "part", "seq", "place", (F.col("offset") + F.col("place")).alias("ordinal")), "ordinals")

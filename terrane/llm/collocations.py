@@ -70,7 +70,7 @@ def pieces(documents: DataFrame) -> DataFrame:
                                                   pa.array([tidy[i] for i in keep], pa.binary())], ["lang", "text"])
 
     rows = documents.select(F.coalesce(F.col("`lang`").cast("string"), F.lit("und")).alias("lang"), F.col("`text`").cast("string").alias("text"))
-    return stored(rows.where("text IS NOT NULL").mapInArrow(run, "lang string, text binary"), "pieces")
+    return stored(rows.where("text IS NOT NULL").mapInArrow(run, "lang string, text binary"), "pieces", "zstd")
 
 
 def _slices(batch: pa.RecordBatch, limit: int = _SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -128,7 +128,7 @@ def _block(shared) -> automata.Block:
     return automata.Block(shared.value)
 
 
-def _look_up(lang: str, words: Words, k: int, block: automata.Block, seen: np.ndarray, counts: dict) -> None:
+def _look_up(lang: str, words: Words, k: int, block: automata.Block, seen: np.ndarray, counts: list) -> None:
     """Put the ordinal of every ``k``-word candidate of the block into ``seen``, and count its accepting states."""
     at, start, end = words.phrases(k)
     for automaton, index, state, _ in block.accepted(lang, words.data, start, end):
@@ -137,7 +137,7 @@ def _look_up(lang: str, words: Words, k: int, block: automata.Block, seen: np.nd
         n = np.bincount(state, minlength=len(automaton.accept))
         hit = np.flatnonzero(n)
         ordinals = automaton.offset + automaton.accept[hit].astype(np.int64)
-        counts[lang].append((ordinals, np.full(len(hit), -1, np.int64), n[hit]))
+        counts.append((ordinals, np.full(len(hit), -1, np.int64), n[hit]))
 
 
 def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,23 +155,24 @@ def _pass(texts: DataFrame, k: int, block: list[tuple], joined: bool, last: bool
     """One pass of a block of k-word tries.
 
     ``texts`` has a column ``seen`` (ordinals by word, as bytes) if other blocks came before.  The
-    last block's pass gives (lang, a, b, n): candidate a's places with b NULL, and the places of a followed
-    a word later by b.  Another gives the texts with what was seen, and its counts as rows without text.
+    last block's pass gives (a, b, n): candidate a's places with b NULL, and the places of a followed a word
+    later by b; ordinals run across the languages.  Another gives the texts with what was seen, and its
+    counts as rows without text.
     """
     shared = texts.sparkSession.sparkContext.broadcast(block)
-    schema = "lang string, a long, b long, n long" if last else "lang string, text binary, seen binary, a long, b long, n long"
+    schema = "a long, b long, n long" if last else "lang string, text binary, seen binary, a long, b long, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = _block(shared)
-        held: dict[str, list] = defaultdict(list)
+        held: list[tuple] = []
         size = 0
 
         def flushed():
-            for lang, found in held.items():
-                a, b, n = _merged(found)
-                rows = {"lang": pa.array([lang] * len(a), pa.string()), "text": pa.nulls(len(a), pa.binary()),
+            if held:
+                a, b, n = _merged(held)
+                rows = {"lang": pa.nulls(len(a), pa.string()), "text": pa.nulls(len(a), pa.binary()),
                         "seen": pa.nulls(len(a), pa.binary()), "a": pa.array(a), "b": pa.array(b, mask=b < 0), "n": pa.array(n)}
-                names = ["lang", "a", "b", "n"] if last else list(rows)
+                names = ["a", "b", "n"] if last else list(rows)
                 yield pa.RecordBatch.from_arrays([rows[x] for x in names], names)
             held.clear()
 
@@ -187,8 +188,8 @@ def _pass(texts: DataFrame, k: int, block: list[tuple], joined: bool, last: bool
                     _look_up(lang, words, k, tries, seen, held)
                     if last:
                         at = np.flatnonzero((seen[:-1] >= 0) & (seen[1:] >= 0) & (words.left[:-1] > 1))
-                        held[lang].append(_merged([(seen[at], seen[at + 1], np.ones(len(at), np.int64))]))
-                        size += len(held[lang][-1][0])
+                        held.append(_merged([(seen[at], seen[at + 1], np.ones(len(at), np.int64))]))
+                        size += len(held[-1][0])
                     else:
                         docs = np.flatnonzero(np.isin(words.end, np.cumsum([len(own[i]) + 1 for i in rows]) - 1)) + 1
                         kept = [x.tobytes() for x in np.split(seen, docs[:-1])]
@@ -206,7 +207,7 @@ def _pass(texts: DataFrame, k: int, block: list[tuple], joined: bool, last: bool
 
 def _level(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_bytes: int, block_bytes: int):
     """(lang, phrase, ordinal, n) of the candidates of k words, and (lang, phrase) of those of k + 1."""
-    listed = automata.numbered(candidates, "lang", "phrase", shard_bytes)
+    listed = automata.numbered(candidates, "lang", "phrase", shard_bytes, across=True)
     shards = automata.automata(listed, "lang", "phrase", automata.trie)
     rest, counted, joined, blocks = texts, [], False, automata.blocks(shards, "lang", block_bytes)
     block = next(blocks, None)
@@ -219,17 +220,17 @@ def _level(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_by
             found = stored(found, f"seen-{k}")
             rest, joined = found.where("text IS NOT NULL").select("lang", "text", "seen"), True
             found = found.where("text IS NULL")
-        counted.append(found.select("lang", "a", "b", "n"))
+        counted.append(found.select("a", "b", "n"))
         block = following
     rows = counted[0]
     for more in counted[1:]:
         rows = rows.unionByName(more)
-    total = stored(rows.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{k}")
+    total = stored(rows.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{k}")
     # Only what is frequent meets the list again, through plain equi-joins.
     name = listed.select("lang", F.col("ordinal").alias("a"), "phrase")
-    frequent = total.where("b IS NULL").drop("b").join(name, ["lang", "a"]).select("lang", "phrase", F.col("n").alias("f"))
-    second = listed.select("lang", F.col("ordinal").alias("b"), F.substring_index("phrase", " ", -1).alias("word"))
-    longer = total.where("b IS NOT NULL").join(name, ["lang", "a"]).join(second, ["lang", "b"]).select(
+    frequent = total.where("b IS NULL").drop("b").join(name, "a").select("lang", "phrase", F.col("n").alias("f"))
+    second = listed.select(F.col("ordinal").alias("b"), F.substring_index("phrase", " ", -1).alias("word"))
+    longer = total.where("b IS NOT NULL").join(name, "a").join(second, "b").select(
         "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"))
     return stored(frequent, f"frequent-{k}"), stored(longer, f"candidates-{k + 1}")
 

@@ -19,21 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """``df`` written once into the shared checkpoint folder and read back, and the folder."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table that every executor can read again, so a lost
     executor costs its own tasks only.
     """
-    return written(df, name)[0]
+    return written(df, name, compression)[0]
 
 
 def free_name(df: DataFrame, name: str) -> str:

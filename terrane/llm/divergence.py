@@ -42,8 +42,8 @@ MIN_DOCUMENTS = 3
 TOP = 200
 CHUNK = 4096  # ordinals of a block of terms
 SOURCES = 64  # sources of a block, on average
-_FLUSH = 1 << 19  # counts that a task holds before it hands them on
-_SLICE = 8 << 20
+_FLUSH = 1 << 20  # counts that a task holds before it hands them on
+_SLICE = 4 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _INSIDE = np.zeros(256, bool)

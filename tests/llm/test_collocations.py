@@ -52,7 +52,7 @@ def test_against_brute_force_in_one_and_many_blocks(spark):
     rows = corpus()
     want = brute(rows)
     assert len(want) > 40 and len({r[0] for r in want}) >= 4
-    for options in ({}, {"shard_bytes": 300, "block_bytes": 20_000}):
+    for options in ({}, {"shard_bytes": 1500, "block_bytes": 60_000}):
         got = collocations.mine(frame(spark, rows).repartition(4), **options)
         assert sorted(map(tuple, got.collect())) == want
 

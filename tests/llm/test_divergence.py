@@ -51,7 +51,7 @@ def test_against_brute_force_in_one_and_many_blocks(spark):
     rows = corpus()
     want = brute(rows)
     assert {r[2] for r in want} == {"pair", "term"} and ("fr", "a", "pair", "b", 0, 1) in want
-    for options in ({}, {"shard_bytes": 100, "block_bytes": 3000, "chunk": 3, "sources": 2}):
+    for options in ({}, {"shard_bytes": 300, "block_bytes": 15_000, "chunk": 3, "sources": 2}):
         got = divergence.audit(frame(spark, rows).repartition(5), **options)
         assert sorted(map(tuple, got.collect())) == want
 
