@@ -38,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near duplicates stays: the one of the smallest doc_id, of equal ids of the smallest row hash.
+    """One row of each class of near duplicates stays: the one of the smallest doc_id.  Of rows that repeat that id in the class, any one.
 
     NULL, empty and wordless texts have fingerprint zero and are one class; repeated rows are of one class, so
     one stays; a class whose rows all lack an id keeps one of them.
