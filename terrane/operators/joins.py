@@ -51,12 +51,13 @@ def lookup(df: DataFrame, seed: DataFrame, on: str | Sequence[str],
 
 
 BLOOM_BITS = 1 << 23  # one megabyte
-BLOOM_HASHES = 4
+BLOOM_HASHES = 1  # a condition in a scan computes the key anew for every use, which costs more than what more bits keep out
 
 
-def _bloom_places(cols: Sequence[Column], bits: int, hashes: int) -> list[Column]:
-    first, second = F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
-    return [F.pmod(F.shiftright(first, 8) + i * F.shiftright(second, 8), F.lit(bits)) for i in range(hashes)]
+def _bloom_places(key_hash: Column, bits: int, hashes: int) -> list[Column]:
+    """Places of a key from the two halves of its hash."""
+    low = key_hash.bitwiseAND(F.lit(0xFFFFFFFF))
+    return [F.pmod(low + i * F.shiftright(key_hash, 32) if i else low, F.lit(bits)) for i in range(hashes)]
 
 
 def may_be_among(cols: Sequence[Column], keys: DataFrame, key_cols: Sequence[str], bits: int = BLOOM_BITS,
@@ -68,14 +69,15 @@ def may_be_among(cols: Sequence[Column], keys: DataFrame, key_cols: Sequence[str
     can't match never leave the task that reads them.  More keys than the bits can tell apart only let
     more rows pass.
     """
-    at = F.explode(F.array(*_bloom_places([F.col(c) for c in key_cols], bits, hashes)))
-    words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
+    hashed = keys.select(F.xxhash64(*key_cols).alias("h"))
+    words = hashed.select(F.explode(F.array(*_bloom_places(F.col("h"), bits, hashes))).alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("b"))
     every = keys.sparkSession.range(bits // 64).select(F.col("id").alias("w")).join(words, "w", "left")
     filled = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0)).alias("b")))),
                                    lambda x: x["b"]).alias("bits")).scalar()
     cond = None
-    for p in _bloom_places(cols, bits, hashes):
-        one = F.call_function("shiftright", F.get(filled, F.shiftright(p, 6).cast("int")), (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+    for p in _bloom_places(F.xxhash64(*cols), bits, hashes):
+        word, bit = F.get(filled, F.shiftright(p, 6).cast("int")), (p % 64).cast("int")
+        one = F.call_function("shiftright", word, bit).bitwiseAND(F.lit(1)) == 1
         cond = one if cond is None else cond & one
     return cond

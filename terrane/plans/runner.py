@@ -102,6 +102,8 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     4. rebuild gold, dimensions, fact and aggregates layer by layer;
     5. run the declared data tests, write their report and summary (pass / warn / fail),
        and fail the run if a test of severity error has failed.
+    Written beside the tables: what was found and skipped by name (``ingest_items``) and in numbers
+    (``ingest_summary``), and the rows loaded and refused of every file (``load_history``).
     Everything lives under ``root`` (a shared folder); rerunning with nothing new
     loads nothing and leaves silver unchanged.
     """
@@ -109,7 +111,7 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     from ..operators.quality import Check, raise_on_failure, run_checks, summarize
 
     from ..sources.archive import extract_archives, extraction_log, list_files, require_landed
-    from ..sources.manifest import PENDING, manifest_diff
+    from ..sources.manifest import PENDING, manifest_diff, manifest_summary
     from ..streaming.ledger import load_new_files, read_loaded
     from . import silver as S
     base = root.rstrip("/")
@@ -117,10 +119,12 @@ def run_refresh(spark: SparkSession, archive_dir: str, root: str, seed: DataFram
     leaf = F.element_at(F.split("path", "/"), -1).alias("name")
     archives = list_files(spark, archive_dir, "*.zip").select("path", leaf)
     already = extraction_log(spark, landed).select("name")
-    pending = manifest_diff(archives, already, "casefold").filter(F.col("status") == PENDING)
+    items = full_refresh(manifest_diff(archives, already, "casefold"), f"{base}/ingest_items")  # the names beside the counts
+    full_refresh(manifest_summary(items), f"{base}/ingest_summary")
+    pending = items.filter(F.col("status") == PENDING)
     extract_archives(spark, archive_dir, landed, ".txt", archives=pending)
     require_landed(spark, landed, ".txt")
-    load_new_files(spark, landed, raw, ledger, D.BRONZE_COLUMNS, glob="*.txt")
+    load_new_files(spark, landed, raw, ledger, D.BRONZE_COLUMNS, glob="*.txt", history_dir=f"{base}/load_history")
     bronze = read_loaded(spark, raw, D.BRONZE_COLUMNS)
     silver_df = S.incremental_build(bronze, f"{base}/silver")
     tables = build_model(spark, silver_df, seed, calendar, f"{base}/model", threads)

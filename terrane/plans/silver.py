@@ -105,14 +105,18 @@ def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame) -> DataFra
     """The rows whose lot key is among ``keys``: a Bloom filter in the scan, then the exact semi-join.
 
     If the keys are too many to broadcast, the semi-join shuffles the rows that passed the filter,
-    in proportion to the batch and not to the raw table.
+    in proportion to the batch and not to the raw table.  The rows are written, so that what looks for
+    heavy keys among them and what ranks them read the batch and not the raw table again.
     """
     from ..operators.joins import may_be_among, null_safe_join
+    from ..session import scratch_dir
     named = [f"__nk{i}" for i in range(len(KEY_COLUMNS))]
     wanted = keys.select(*[F.col(c).alias(n) for c, n in zip(KEY_COLUMNS, named)])
     own = rows.select("*", *[k.alias(n) for k, n in zip(key, named)])
     own = own.where(may_be_among([F.col(n) for n in named], wanted, named))
-    return null_safe_join(own, wanted, named, "left_semi").drop(*named)
+    path = scratch_dir(rows.sparkSession, "silver-batch")
+    null_safe_join(own, wanted, named, "left_semi").drop(*named).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool = False,
