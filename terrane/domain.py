@@ -6,7 +6,6 @@ another domain plugs in its own values.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StringType, StructField, StructType
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — must equal the source pipeline's for identical results.
@@ -80,9 +79,6 @@ RENAME_MAP = {
 # Token every archive of the dataset carries in its name (catalog filter).
 ARCHIVE_TOKEN = "valeursfoncieres"
 
-# Raw-file null tokens (besides empty fields).
-NULL_TOKENS = ("", "NULL", "null")
-
 # Accepted date text formats, tried in order.
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy")
 
@@ -169,11 +165,6 @@ HASH_FIELDS = [
 ]
 
 
-def bronze_schema() -> StructType:
-    """All-string raw schema bound by name."""
-    return StructType([StructField(c, StringType(), True) for c in BRONZE_COLUMNS])
-
-
 # ---------------------------------------------------------------------------
 # FIXED VALUES — the declared data tests: (table, column, test, severity, where).
 # ---------------------------------------------------------------------------

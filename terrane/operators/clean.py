@@ -1,13 +1,13 @@
-"""Projection and filter operators (rename, null tokens, validity rules)."""
+"""Projection and filter operators (rename, validity rules)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ColumnOrName, col, null_if_token
+from ..functions.scalars import ColumnOrName, col
 
 
 def quoted(name: str) -> Column:
@@ -20,15 +20,6 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.select(*[quoted(src).alias(dst) for src, dst in mapping.items()])
 
 
-def nullify_tokens(df: DataFrame, columns: Iterable[str] | None = None,
-                   tokens: Sequence[str] = ("", "NULL", "null")) -> DataFrame:
-    """Trim text columns and turn null tokens into NULL."""
-    names = list(columns) if columns is not None else df.columns
-    keep = set(names)
-    return df.select(*[null_if_token(quoted(c), tokens).alias(c) if c in keep else quoted(c)
-                       for c in df.columns])
-
-
 def positive_filter(df: DataFrame, c: ColumnOrName) -> DataFrame:
     """Keep rows whose value is present and strictly positive."""
     x = col(c)

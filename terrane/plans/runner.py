@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import union_all
-from ..operators.upsert import full_refresh, read_table
+from ..operators.upsert import full_refresh
 from . import gold, star
 
 GOLD = {
@@ -63,10 +63,6 @@ def build_model(spark: SparkSession, silver: DataFrame, seed: DataFrame, calenda
     return out
 
 
-def read_model(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {n: read_table(spark, f"{root.rstrip('/')}/{n}") for n in names}
-
-
 # The pre-aggregated tables that a dashboard imports; the fact table and silver stay behind.
 BI_TABLES = [*GOLD, "dim_date", "dim_geography", "dim_type_bien", "dim_nature_mutation", "agg_annuel_type_bien",
              "agg_mensuel_type_bien", "agg_departement_type_bien", "agg_commune_type_bien"]

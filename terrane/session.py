@@ -119,9 +119,8 @@ def local_path(path: str) -> str:
 def setting(spark: SparkSession, name: str, default: int) -> int:
     """Integer knob ``terrane.<name>`` from the session conf, else ``default``.
 
-    Knobs: ``hotKeyRows`` (rows above which a lot key is split), ``medianTaskValues``
-    (values above which a median group is split), ``broadcastRows`` (largest seed
-    broadcast after a size check).
+    Knobs: ``hotKeyRows`` (rows above which a lot key is split), ``hotKeyList`` (keys that
+    are split at most), ``broadcastRows`` (largest seed or calendar broadcast after a size check).
     """
     value = spark.conf.get(f"terrane.{name}", None)
     return int(value) if value not in (None, "") else default
