@@ -43,8 +43,16 @@ def parse_int(c: ColumnOrName) -> Column:
 
 
 def parse_date(c: ColumnOrName, formats: Sequence[str] = ("yyyy-MM-dd", "dd/MM/yyyy")) -> Column:
-    """First format that parses wins; impossible dates give NULL."""
-    return F.coalesce(*[F.try_to_date(col(c), f) for f in formats])
+    """First format that parses wins; impossible dates give NULL.
+
+    A format is tried only where the text has its separators: a failed parse costs an exception.
+    """
+    def tried(f: str) -> Column:
+        parsed = F.try_to_date(col(c), f)
+        for mark in sorted(set(f) & set("-/.")):
+            parsed = F.when(F.contains(col(c).cast("string"), F.lit(mark)), parsed)
+        return parsed
+    return F.coalesce(*[tried(f) for f in formats])
 
 
 def initcap_words(c: ColumnOrName, delimiters: str = INITCAP_DELIMITERS) -> Column:

@@ -28,6 +28,6 @@ def materialized(spark: SparkSession, name: str, source: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_dir(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)

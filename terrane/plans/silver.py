@@ -28,8 +28,14 @@ def clean_projection(src: DataFrame, date_formats: Sequence[str] = D.DATE_FORMAT
     ``keep_raw`` adds ``raw_code``, an injective encoding of the raw row: it tells
     distinct raw rows apart and gives the lot rank a total order.
     """
+    raw = [row_code(SRC_COLUMNS).alias(RAW_CODE)] if keep_raw else []
+    return src.select(*clean_columns(date_formats, scale), *raw)
+
+
+def clean_columns(date_formats: Sequence[str] = D.DATE_FORMATS, scale: int = 0) -> list[Column]:
+    """The cleaned columns, from staging's."""
     c = F.col
-    cleaned = [
+    return [
         c("no_disposition"),
         c("identifiant_document"),
         parse_date("date_mutation", date_formats).alias("date_mutation"),
@@ -43,8 +49,6 @@ def clean_projection(src: DataFrame, date_formats: Sequence[str] = D.DATE_FORMAT
         c("nombre_pieces_principales"),
         parse_int("surface_terrain").alias("surface_terrain"),
     ]
-    raw = [row_code(SRC_COLUMNS).alias(RAW_CODE)] if keep_raw else []
-    return src.select(*cleaned, *raw)
 
 
 def rank_key() -> list[Column]:
@@ -153,12 +157,14 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     ``first_only`` keeps only rank 1 per key (the de-duplication the documentation
     describes) instead of keeping every lot with its rank (what the SQL does).
     """
-    src = bronze_or_src if already_staged else staging(bronze_or_src)
-    cleaned = clean_projection(src.select(*SRC_COLUMNS), date_formats)
+    src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     if first_only:
+        cleaned = clean_projection(src, date_formats)
         ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
     else:
-        ranked = rank_distinct_rows(cleaned, rank_key(), RAW_CODE, "lot_rank", hot_threshold)
+        # The raw columns are shuffled, which are narrower than the cleaned ones with their code.
+        ranked = rank_distinct_rows(src, _raw_rank_key(), row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
+                                    project=clean_columns(date_formats))
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
     valid = validate_by_category(valid, "type_local", rules, default)

@@ -220,3 +220,19 @@ def test_building_the_plan_runs_no_job(spark, src_df):
         assert sc.statusTracker().getJobIdsForGroup("plan-only") == []
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_only_raw_columns_are_shuffled_to_be_ranked(spark, src_df):
+    df = src_df([raw_row(identifiant_document=str(i), no_disposition="1", valeur_fonciere="5000") for i in range(3)])
+    plan = silver.silver_rows(df, already_staged=True)._jdf.queryExecution().optimizedPlan().toString()
+    main = plan.split("RepartitionByExpression", 1)[1].split("Join LeftOuter", 1)
+    assert "RepartitionByExpression [__p" in plan
+    assert "__code" not in main[0] and "__h" not in main[0] and "cle_" not in main[0]
+
+
+def test_a_format_is_tried_only_where_its_separators_are(spark):
+    df = spark.createDataFrame([("15/03/2021",), ("2021-03-15",), ("15.03.2021",), ("",), (None,)], ["d"])
+    got = [str(r.p) if r.p else None for r in df.select(parse_date("d").alias("p")).collect()]
+    assert got == ["2021-03-15", "2021-03-15", None, None, None]
+    plan = df.select(parse_date("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "when contains(d" in plan.lower()
