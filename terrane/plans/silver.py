@@ -63,10 +63,10 @@ def rank_key() -> list[Column]:
             F.coalesce(F.col("surface_reelle_bati").cast("string"), F.lit(""))]
 
 
-def rank_order() -> list[Column]:
+def rank_order() -> list[Column | str]:
     """Total order inside a key: MD5 of the raw-row code (uniform, so hot keys can be
     split into hash ranges), then the code itself."""
-    return [F.md5(F.col(RAW_CODE)), F.col(RAW_CODE)]
+    return [F.md5(F.col(RAW_CODE)), RAW_CODE]
 
 
 def validity_rules() -> tuple[list, Column]:
@@ -160,7 +160,7 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     if first_only:
         cleaned = clean_projection(src, date_formats)
-        ranked = keep_first_per_key(cleaned, rank_key(), rank_order()).withColumn("lot_rank", F.lit(1))
+        ranked = keep_first_per_key(cleaned, ["identifiant_document", "no_disposition", *rank_key()[2:]], rank_order()).withColumn("lot_rank", F.lit(1))
     else:
         # The raw columns are shuffled, which are narrower than the cleaned ones with their code.
         ranked = rank_distinct_rows(src, _raw_rank_key(), row_code(SRC_COLUMNS), "lot_rank", hot_threshold,

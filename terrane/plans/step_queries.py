@@ -160,7 +160,7 @@ def q_rank_within_window(spark, sf_dir):
 
 
 def q_keep_first_per_key(spark, sf_dir):
-    k = keep_first_per_key(_cleaned(spark, sf_dir), silver.rank_key(), silver.rank_order())
+    k = keep_first_per_key(_cleaned(spark, sf_dir), ["identifiant_document", "no_disposition", *silver.rank_key()[2:]], silver.rank_order())
     return k.select(*CLEAN_COLS, "raw_code")
 
 

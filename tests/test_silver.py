@@ -236,3 +236,13 @@ def test_a_format_is_tried_only_where_its_separators_are(spark):
     assert got == ["2021-03-15", "2021-03-15", None, None, None]
     plan = df.select(parse_date("d"))._jdf.queryExecution().optimizedPlan().toString()
     assert "when contains(d" in plan.lower()
+
+
+def test_first_per_key_carries_no_column_twice(spark):
+    from terrane.operators.windows import keep_first_per_key
+    df = spark.createDataFrame([("a", "2", 1.0), ("a", "1", 2.0), (None, "3", 3.0), (None, "3", 2.5)], "k string, o string, v double")
+    first = keep_first_per_key(df, ["k"], ["o"])
+    assert first.columns == ["k", "o", "v"]
+    assert sorted(map(tuple, first.collect()), key=str) == sorted([("a", "1", 2.0), (None, "3", 2.5)], key=str)
+    carried = first._jdf.queryExecution().optimizedPlan().toString().split("min(struct(", 1)[1].split(")")[0]
+    assert ", k," not in carried and ", o," not in carried
