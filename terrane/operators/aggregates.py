@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import rows
 from ..functions.scalars import ColumnOrName, col
-from ..session import scratch_dir
+from ..session import scratch_dir, setting, task_count
 from .joins import null_safe_join
 
+# Groups above about this many rows have their values counted and ordered in ranges; smaller ones are gathered.
+GROUP_ROWS = 20_000
+GROUP_SAMPLE = 200  # rows of such a group in the sample that finds it
+
+
 def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
               having: Column | None = None, medians: dict[str, ColumnOrName] | None = None) -> DataFrame:
     """GROUP BY keys (columns or aliased expressions) with optional HAVING.
@@ -19,15 +24,18 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
     ``having`` may reference the output names of ``measures``.  An empty ``keys``
     gives the one-row global aggregate.  ``medians`` maps output names to value
     columns whose exact median (NULLs ignored, interpolated as ``percentile`` does) is
-    added without gathering or ordering a group's values in one task:
-
-    1. one scan of the source, each row once for the measures and once for each median, groups
-       the measures by key and counts every (key, value); both combine before the shuffle.
-       The counted values are range-partitioned by (key, value) and written with their partition;
-    2. the counts of a key's partitions, one row each, tell in which of them its middle ranks
-       lie; only there are values put in order, and a task orders part of one partition.
-
-    The source is never joined, and the plan is the same for every input.
+    added without gathering or ordering a large group's values in one task:
+
+    1. a written sample of the keys' hashes tells which groups may have more than about
+       ``GROUP_ROWS`` rows (knob ``groupRows``), and how many rows there are;
+    2. the rows of all other groups, with only the columns needed, are shuffled once by key, and
+       a task computes the measures and medians of its groups;
+    3. the measures of the large groups combine before their shuffle, and so do the counts of
+       every (group, value), which are range-partitioned and written with their partition.  The counts
+       of a group's partitions tell in which of them its middle ranks lie; only there are values
+       put in order, and a task orders part of one partition.
+
+    Which way a group takes does not change its row.
     """
     if medians:
         out = _aggregate_with_medians(df, keys, measures, medians)
@@ -38,7 +46,6 @@ def aggregate(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Co
 
 def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measures: Sequence[Column],
                             medians: dict[str, ColumnOrName]) -> DataFrame:
-    spark = df.sparkSession
     exprs = [k for k in keys if not isinstance(k, str)]
     keyed = df.select("*", *exprs) if exprs else df
     added = iter(keyed.columns[len(df.columns):])
@@ -46,33 +53,70 @@ def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measure
     # No keys: all rows are one group, under a key of its own.
     kn = [f"__k{i}" for i in range(len(names))] or ["__k0"]
     own = [F.col(f"`{n}`").alias(k) for n, k in zip(names, kn)] or [F.lit(0).alias(kn[0])]
-    t, x = F.col("__t"), F.col("__x")
-    rows_of = keyed.select("*", *own, F.array(*[col(v).cast("double") for v in medians.values()]).alias("__v"),
-                           F.explode(F.sequence(F.lit(0), F.lit(len(medians)))).alias("__t"))
-    # Kind 0 carries the measures' columns, kind i the i-th median's value.
-    split = rows_of.select(*kn, "__t", F.get("__v", t - 1).alias("__x"), *[F.when(t == 0, F.col(f"`{c}`")).alias(c) for c in keyed.columns])
-    counted = split.where((t == 0) | x.isNotNull()).groupBy(*kn, "__t", "__x").agg(*measures, F.count(F.lit(1)).alias("__c"))
+    values = {name: col(v).cast("double") for name, v in medians.items()}
+    rows_of = keyed.select("*", *own)
+    if not names:
+        out = _large_groups(rows_of, kn, measures, values)
+        outputs = [c for c in out.columns if c not in kn]
+        # No row at all still gives one: the aggregate of nothing.
+        none = df.limit(0).agg(*measures, *[F.lit(None).cast("double").alias(m) for m in medians])
+        both = out.select(*outputs, F.lit(1).alias("__some")).unionByName(none.withColumn("__some", F.lit(0)))
+        picked = both.agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in none.columns]), "__some").alias("__row"))
+        return picked.select("__row.*")
+    large, n_large, n_rows = _sampled_groups(rows_of, kn)
+    tagged = rows_of.withColumn("__h", F.xxhash64(*kn))
+    few = tagged.join(F.broadcast(large), "__h", "left_anti").drop("__h") if n_large else rows_of
+    own_tasks = few.repartition(*task_count(df.sparkSession, n_rows), *kn)
+    out = own_tasks.groupBy(*kn).agg(*measures, *[F.median(v).alias(name) for name, v in values.items()])
+    if n_large:
+        many = tagged.join(F.broadcast(large), "__h", "left_semi").drop("__h")
+        out = out.unionByName(_large_groups(many, kn, measures, values))
+    return out.select(*[F.col(k).alias(n) for k, n in zip(kn, names)], *[F.col(f"`{c}`") for c in out.columns if c not in kn])
+
+
+def _sampled_groups(rows_of: DataFrame, kn: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """Hashes (``__h``) of the groups that may be large, their number, and about how many rows there are.
+
+    The sample is written, so that every reader finds the same list, of at most the rows over half the limit.
+    """
+    spark = rows_of.sparkSession
+    limit = max(1, setting(spark, "groupRows", GROUP_ROWS))
+    rate = min(1.0, GROUP_SAMPLE / limit)
+    path = scratch_dir(spark, "group-sample")
+    seen = rows_of.select(F.xxhash64(*kn).alias("__h")).sample(rate, seed=17).groupBy("__h").agg(rows().alias("__n"))
+    seen.write.parquet(path)
+    written = spark.read.schema(seen.schema).parquet(path)
+    is_large = F.col("__n") > (limit * rate / 2 if rate < 1 else limit)
+    n_large, n_seen = written.agg(F.count_if(is_large), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    return written.where(is_large).select("__h"), n_large, int(n_seen / rate)
+
+
+def _large_groups(rows_of: DataFrame, kn: Sequence[str], measures: Sequence[Column], values: dict[str, Column]) -> DataFrame:
+    """Key ``kn``, measures and medians of few groups of any size."""
+    spark = rows_of.sparkSession
+    grouped = rows_of.groupBy(*kn).agg(*measures).withColumn("__id", F.monotonically_increasing_id())
+    at = scratch_dir(spark, "large-groups")
+    grouped.write.parquet(at)
+    groups = spark.read.schema(grouped.schema).parquet(at)
+    listed = rows_of.select(*kn, F.array(*values.values()).alias("__v"))
+    split = null_safe_join(listed, F.broadcast(groups.select("__id", *kn)), kn).select("__id", F.posexplode("__v").alias("__t", "__x"))
+    counted = split.where(F.col("__x").isNotNull()).groupBy("__id", "__t", "__x").agg(rows().alias("__c"))
     path = scratch_dir(spark, "value-counts")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counted.repartitionByRange(parts, "__t", *kn, "__x").withColumn("__p", F.spark_partition_id())
-    ranged.write.parquet(path)
+    ranged = counted.repartitionByRange(parts, "__t", "__id", "__x").withColumn("__p", F.spark_partition_id())
+    ranged.write.option("compression", "zstd").parquet(path)
     written = spark.read.schema(ranged.schema).parquet(path)
-
-    outputs = [c for c in counted.columns if c not in (*kn, "__t", "__x", "__c")]
-    out = written.where(t == 0).select(*kn, *[F.col(f"`{c}`") for c in outputs])
-    for i, name in enumerate(medians, 1):
-        out = null_safe_join(out, _middles(written.where(t == i).select(*kn, "__x", "__c", "__p"), kn, name), kn, "left")
-    if names:
-        return out.select(*[F.col(k).alias(n) for k, n in zip(kn, names)], *outputs, *medians)
-    # No row at all still gives one: the aggregate of nothing.
-    none = df.limit(0).agg(*measures, *[F.lit(None).cast("double").alias(m) for m in medians])
-    both = out.select(*outputs, *medians, F.lit(1).alias("__some")).unionByName(none.withColumn("__some", F.lit(0)))
-    picked = both.agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in none.columns]), "__some").alias("__row"))
-    return picked.select("__row.*")
+    out = groups
+    for i, name in enumerate(values):
+        out = out.join(_middles(written.where(F.col("__t") == i).select("__id", "__x", "__c", "__p"), ["__id"], name), "__id", "left")
+    return out.drop("__id")
 
 
 def _middles(values: DataFrame, kn: Sequence[str], name: str) -> DataFrame:
-    """Per key ``kn`` the median, as ``name``, of values ``__x`` that occur ``__c`` times and lie in range partition ``__p``."""
+    """Per key ``kn`` the median, as ``name``, of values ``__x`` that occur ``__c`` times and lie in range partition ``__p``.
+
+    Few keys: two rows of each at most, and one more for every partition in between, are broadcast.
+    """
     sizes = values.groupBy(*kn, "__p").agg(F.sum("__c").alias("__n"))
     spans = sizes.groupBy(*kn).agg(F.array_sort(F.collect_list(F.struct("__p", "__n"))).alias("__s"), F.sum("__n").alias("__all"))
     first, last = F.shiftright(F.col("__all") - 1, 1), F.shiftright("__all", 1)
@@ -87,7 +131,7 @@ def _middles(values: DataFrame, kn: Sequence[str], name: str) -> DataFrame:
     none = F.array().cast("array<struct<p:int,before:bigint>>")
     found = F.aggregate("__s", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("hit")), step)["hit"]
     wanted = ranks.select(*kn, "__lo", "__hi", F.inline(found)).withColumnRenamed("p", "__p")
-    near = null_safe_join(values, wanted, [*kn, "__p"], "inner")
+    near = null_safe_join(values, F.broadcast(wanted), [*kn, "__p"], "inner")
     until = F.col("before") + F.sum("__c").over(Window.partitionBy(*kn, "__p").orderBy("__x"))
     ranked = near.select(*kn, "__x", "__lo", "__hi", (until - F.col("__c")).alias("__from"), until.alias("__to"))
 

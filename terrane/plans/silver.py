@@ -150,12 +150,13 @@ def _raw_rank_key() -> list[Column]:
 
 def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
                 date_formats: Sequence[str] = D.DATE_FORMATS, first_only: bool = False,
-                hot_threshold: int | None = None) -> DataFrame:
+                hot_threshold: int | None = None, n_rows: int = 0) -> DataFrame:
     """distinct -> clean -> lot rank -> price and rule filters -> id and unit price.
 
     The DISTINCT and the lot rank share one shuffle (``rank_distinct_rows``).
     ``first_only`` keeps only rank 1 per key (the de-duplication the documentation
     describes) instead of keeping every lot with its rank (what the SQL does).
+    ``n_rows``, if known, bounds the rows that a task of the ranking sorts.
     """
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     if first_only:
@@ -164,7 +165,7 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
     else:
         # The raw columns are shuffled, which are narrower than the cleaned ones with their code.
         ranked = rank_distinct_rows(src, _raw_rank_key(), row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
-                                    project=clean_columns(date_formats))
+                                    project=clean_columns(date_formats), n_rows=n_rows)
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
     valid = validate_by_category(valid, "type_local", rules, default)

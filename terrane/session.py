@@ -120,7 +120,18 @@ def setting(spark: SparkSession, name: str, default: int) -> int:
     """Integer knob ``terrane.<name>`` from the session conf, else ``default``.
 
     Knobs: ``hotKeyRows`` (rows above which a lot key is split), ``hotKeyList`` (keys that
-    are split at most), ``broadcastRows`` (largest seed or calendar broadcast after a size check).
+    are split at most), ``broadcastRows`` (largest seed or calendar broadcast after a size check),
+    ``groupRows`` (rows above which a group's values are ordered in ranges), ``taskRows`` (rows that a
+    task sorts or groups).
     """
     value = spark.conf.get(f"terrane.{name}", None)
     return int(value) if value not in (None, "") else default
+
+
+TASK_ROWS = 500_000
+
+
+def task_count(spark: SparkSession, n_rows: int) -> list[int]:
+    """The number of tasks for ``repartition`` if ``n_rows`` need more than the session's shuffle partitions, else nothing."""
+    wanted = -(-n_rows // max(1, setting(spark, "taskRows", TASK_ROWS)))
+    return [wanted] if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else []

@@ -195,3 +195,40 @@ def test_a_calendar_stretched_by_an_outlying_date_is_not_broadcast(spark, silver
     assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r.annee for r in out.select("annee").collect()) == [1, 2021, 2021, 9999]
     assert "strategy=broadcast" in star._with_calendar(f, star.calendar(spark), ["annee"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_groups_are_gathered_and_large_ones_counted_with_the_same_result(spark):
+    from statistics import median
+
+    from terrane.functions.measures import count_distinct, rows
+    from terrane.operators.aggregates import aggregate
+    from terrane.session import scratch_scope
+    data = [(k, None if i % 7 == 0 else (i * 37) % 101, i % 3) for k, n in (("a", 200), ("b", 3), (None, 150), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, v int, w int")
+    want = {}
+    for k in ("a", "b", None, "c"):
+        own = [r for r in data if r[0] == k]
+        vs = [float(v) for _, v, _ in own if v is not None]
+        want[k] = (len(own), len({w for *_, w in own}), median(vs) if vs else None, median([float(w) for *_, w in own]))
+    written = {}
+    for limit in ("1000000", "20", "1"):
+        spark.conf.set("terrane.groupRows", limit)
+        try:
+            with scratch_scope() as made:
+                out = aggregate(df, ["k"], [rows().alias("n"), count_distinct("w").alias("d")], medians={"m": "v", "mw": "w"})
+                assert out.columns == ["k", "n", "d", "m", "mw"]
+                assert {r.k: (r.n, r.d, r.m, r.mw) for r in out.collect()} == want, limit
+                written[limit] = any("value-counts" in p for p in made)
+        finally:
+            spark.conf.unset("terrane.groupRows")
+    assert written == {"1000000": False, "20": True, "1": True}  # small groups' values are not counted, ranged and written
+
+
+def test_tasks_follow_the_rows_and_not_only_the_sessions_partitions(spark):
+    from terrane.session import task_count
+    spark.conf.set("terrane.taskRows", "10")
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert task_count(spark, 10 * parts) == [] and task_count(spark, 10 * parts + 1) == [parts + 1]
+    finally:
+        spark.conf.unset("terrane.taskRows")
