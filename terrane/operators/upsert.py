@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import remove_scratch
+from ..session import remove_scratch, task_count
 from .joins import null_safe_join
 
 BUCKETS = 64  # of a new table for keyed upserts
@@ -133,13 +133,13 @@ def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str], bucket
     """Merge ``updates`` (one row per key) into the bucketed table at ``root`` (created if absent) by ``key``.
 
     The number of buckets is fixed when the table is created.  Only the buckets of the batch's
-    keys are read and rewritten.  There the batch, whose written size Spark knows, is broadcast to
-    the old rows if it is small; else both are shuffled, but no row of another bucket is.
+    keys are read and rewritten.  There old and new rows are shuffled once, by bucket and part of a
+    bucket, and are joined and written by the same tasks; no row of another bucket is shuffled.
     """
     manifest = _manifest(root)
     n = buckets if manifest is None else manifest["buckets"]
     keys = [key] if isinstance(key, str) else list(key)
-    return merge_partitions(updates, root, keys, F.pmod(F.xxhash64(*keys), F.lit(n)), extra={"buckets": n})
+    return merge_partitions(updates, root, keys, F.pmod(F.xxhash64(*keys), F.lit(n)), extra={"buckets": n}, even=True)
 
 
 def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str], mark_col: str,
@@ -169,7 +169,7 @@ def vacuum(root: str) -> list[str]:
     for top in ("data", "_stage"):
         for info in fs.get_file_info(pafs.FileSelector(f"{base}/{top}", allow_not_found=True, recursive=True)):
             name = info.path[len(base):].lstrip("/")
-            if info.type == pafs.FileType.Directory and name.count("/") == 2 and name not in used:
+            if info.type == pafs.FileType.Directory and name.count("/") == (1 if top == "_stage" else 2) and name not in used:
                 fs.delete_dir(info.path)
                 gone.append(name)
     return sorted(gone)
@@ -219,12 +219,14 @@ def _read_parts(spark: SparkSession, root: str, manifest: dict, values: Sequence
 
 
 def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], partition_col: str | Column,
-                     delete_keys: DataFrame | None = None, extra: dict | None = None) -> DataFrame:
+                     delete_keys: DataFrame | None = None, extra: dict | None = None, even: bool = False,
+                     carried: dict[str, Column] | None = None, derived: dict[str, Column] | None = None) -> DataFrame:
     """Keyed upsert into a partitioned parquet table, rewriting only the touched partitions.
 
     The key must determine ``partition_col``, a column or an expression (a matching row always
     lives in the same partition), e.g. a month derived from a date that is part of the key's hash.
-    ``extra`` is kept in the commits.
+    ``extra`` is kept in the commits.  ``even`` says that the values are a hash of the key, so that their parts
+    are of one size.  ``derived`` columns are not shuffled but computed again from the others and from ``carried`` ones.
     ``delete_keys`` replaces whole groups instead: every stored row whose columns match one
     of its rows (NULLs match) is removed, wherever it lies, before the updates go in.
 
@@ -239,26 +241,32 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
     attempt = uuid.uuid4().hex[:12]  # a failed run's folders are never read
     staged, merged = f"_stage/{version}-{attempt}", f"data/{version}-{attempt}"
     columns = updates.columns if manifest is None else [f["name"] for f in manifest["schema"]["fields"]]
-    _write_parts(updates.select(*columns), partition_col, f"{base}/{merged if manifest is None else staged}")
     if manifest is None:
+        _write_parts(updates.select(*columns), partition_col, f"{base}/{merged}", carried, derived)
         manifest = {"schema": updates.schema.jsonValue(), "parts": _folders(root, merged)} | (extra or {})
     else:
-        batch = spark.read.schema(StructType.fromJson(manifest["schema"]))
-        fresh = _folders(root, staged)
-        touched = set(fresh)
+        ready = updates.select(*columns, _part(partition_col))
+        ready.write.option("compression", "zstd").parquet(f"{base}/{staged}")
+        rows = spark.read.schema(StructType.fromJson(manifest["schema"]).add(PART, "string")).parquet(f"{base}/{staged}")
+        touched = {_folder_value(r[0]) for r in rows.select(PART).distinct().collect()}
         current = _read_parts(spark, root, manifest)
         if delete_keys is not None:
             hit = null_safe_join(current.select(*delete_keys.columns, _part(partition_col)), delete_keys, delete_keys.columns, "left_semi")
             touched |= {_folder_value(r[0]) for r in hit.select(PART).distinct().collect()}
         if not touched:
             return current
-        rows = batch.parquet(*[f"{base}/{f}" for f in fresh.values()]) if fresh else spark.createDataFrame([], current.schema)
         old = _read_parts(spark, root, manifest, sorted(touched))
         if delete_keys is not None:
-            kept = null_safe_join(old, delete_keys, delete_keys.columns, "left_anti").unionByName(rows)
+            kept = null_safe_join(old, delete_keys, delete_keys.columns, "left_anti")
+            _write_parts(kept.unionByName(rows.drop(PART)), partition_col, f"{base}/{merged}", carried, derived)
+        elif even:
+            _upsert_evenly(old.select("*", _part(partition_col)), rows, key, f"{base}/{merged}")
         else:
-            kept = upsert(old, rows, key)
-        _write_parts(kept, partition_col, f"{base}/{merged}")
+            value = F.coalesce(F.nullif(F.col(PART), F.lit("")), F.lit(_folder_value(None)))
+            rivals = rows.where(value.isin(sorted(touched & set(manifest["parts"])))).drop(PART)  # the others meet no old row
+            keys = [key] if isinstance(key, str) else list(key)
+            kept = old.join(rivals.select(*keys), keys, "left_anti")
+            _write_parts(kept.unionByName(rows.drop(PART)), partition_col, f"{base}/{merged}", carried, derived)
         parts = {v: f for v, f in manifest["parts"].items() if v not in touched}
         manifest = manifest | {"parts": parts | _folders(root, merged)}
     _commit(root, version, json.dumps(manifest))
@@ -276,10 +284,31 @@ def _folder_value(value: str | None) -> str:
     return value or "__HIVE_DEFAULT_PARTITION__"
 
 
-def _write_parts(df: DataFrame, partition_col: str | Column, path: str) -> None:
+def _upsert_evenly(old: DataFrame, rows: DataFrame, key: str | Sequence[str], path: str) -> None:
+    """Old rows without those whose key is among the new ones, and the new ones, written to one folder per ``PART`` value.
+
+    Both sides are shuffled by the value and a part of it, so that neither the join nor the write shuffles again.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    tasks = task_count(old.sparkSession, old.count() + rows.count())  # the footers tell
+    parts = -(-tasks[0] // max(1, rows.select(PART).distinct().count())) if tasks else 1
+    # Another hash than the one of the value, so that the parts of a value are even.
+    old, rows = [df.withColumn("__sub", F.pmod(F.hash(*keys), F.lit(parts))).repartition(*tasks, PART, "__sub") for df in (old, rows)]
+    new = rows.select(PART, "__sub", *keys, F.lit(True).alias("__new")).hint("shuffle_hash")
+    # An anti-join would be moved below the shuffle of the old rows and take one of its own.
+    kept = old.join(new, [PART, "__sub", *keys], "left").where(F.col("__new").isNull()).drop("__new")
+    out = kept.unionByName(rows).drop("__sub")
+    out.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(path)
+
+
+def _write_parts(df: DataFrame, partition_col: str | Column, path: str, carried: dict[str, Column] | None = None,
+                 derived: dict[str, Column] | None = None) -> None:
     """Rows clustered by partition value and written to one folder each (few, full files).
 
     ``REBALANCE`` lets AQE split a value that is too large for one task and merge small
     ones, so a hot month never lands whole in one writer.
     """
-    df.select("*", _part(partition_col)).hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+    out, derived = df.select("*", _part(partition_col)), derived or {}
+    lean = out.select(*[c for c in out.columns if c not in derived], *[c.alias(n) for n, c in (carried or {}).items()])
+    whole = lean.hint("rebalance", PART).select(*[derived[c].alias(c) if c in derived else F.col(c) for c in out.columns])
+    whole.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(path)

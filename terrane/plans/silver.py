@@ -94,20 +94,26 @@ def open_keys(src: DataFrame, current: DataFrame, date_formats: Sequence[str] =
     Written once: the probe reads the key and date columns, and the size of the written
     table tells Spark whether the semi-join with the raw rows can be a broadcast.
     """
-    from ..operators.upsert import newer_than_target
     from ..session import scratch_dir
     spark = src.sparkSession
-    probe = src.select(*[k.alias(n) for k, n in zip(_raw_rank_key(), KEY_COLUMNS)],
-                       parse_date("date_mutation", date_formats).alias("date_mutation"))
     path = scratch_dir(spark, "silver-open-keys")
-    keys = newer_than_target(probe, current, "date_mutation", lookback_days).select(*KEY_COLUMNS).distinct()
-    keys.write.parquet(path)
+    keys = _open_rows(src, current, date_formats, lookback_days).distinct()
+    keys.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(keys.schema).parquet(path)
 
 
-def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame) -> DataFrame:
+def _open_rows(src: DataFrame, current: DataFrame, date_formats: Sequence[str], lookback_days: int = 0) -> DataFrame:
+    """The lot keys of ``open_keys``, one for every raw row."""
+    from ..operators.upsert import newer_than_target
+    probe = src.select(*[k.alias(n) for k, n in zip(_raw_rank_key(), KEY_COLUMNS)],
+                       parse_date("date_mutation", date_formats).alias("date_mutation"))
+    return newer_than_target(probe, current, "date_mutation", lookback_days).select(*KEY_COLUMNS)
+
+
+def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame, exact: bool = True) -> DataFrame:
     """The rows whose lot key is among ``keys``: a Bloom filter in the scan, then the exact semi-join.
 
+    Without ``exact`` only the filter: all rows of a few other lot keys may be there too.
     If the keys are too many to broadcast, the semi-join shuffles the rows that passed the filter,
     in proportion to the batch and not to the raw table.  The rows are written, so that what looks for
     heavy keys among them and what ranks them read the batch and not the raw table again.
@@ -119,25 +125,28 @@ def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame) -> DataFra
     own = rows.select("*", *[k.alias(n) for k, n in zip(key, named)])
     own = own.where(may_be_among([F.col(n) for n in named], wanted, named))
     path = scratch_dir(rows.sparkSession, "silver-batch")
-    null_safe_join(own, wanted, named, "left_semi").drop(*named).write.parquet(path)
+    found = null_safe_join(own, wanted, named, "left_semi") if exact else own
+    found.drop(*named).write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool = False,
              date_formats: Sequence[str] = D.DATE_FORMATS, restrict_to_new_keys: bool = True,
-             hot_threshold: int | None = None) -> DataFrame:
+             hot_threshold: int | None = None, n_rows: int = 0) -> DataFrame:
     """Silver rows newer than the current table's high-water mark (the incremental run).
 
     Ranking still sees every raw row of a key, as a full build does.  With
     ``restrict_to_new_keys`` only the lot keys that received a row past the mark are
     ranked: the window partitions on the key, so their ranks are unchanged while
-    the rest of the raw table is neither shuffled nor sorted.
+    the rest of the raw table is neither shuffled nor sorted.  A Bloom filter finds them; other
+    keys that it lets pass are ranked too, and have no row past the mark.
     """
     from ..operators.upsert import newer_than_target
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     if restrict_to_new_keys:
-        src = _of_keys(src, _raw_rank_key(), open_keys(src, current, date_formats))
-    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold)
+        src = _of_keys(src, _raw_rank_key(), _open_rows(src, current, date_formats), exact=False)
+        n_rows = src.count()
+    rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold, n_rows=n_rows)
     return newer_than_target(rows, current, "date_mutation")
 
 
@@ -164,7 +173,7 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
         ranked = keep_first_per_key(cleaned, ["identifiant_document", "no_disposition", *rank_key()[2:]], rank_order()).withColumn("lot_rank", F.lit(1))
     else:
         # The raw columns are shuffled, which are narrower than the cleaned ones with their code.
-        ranked = rank_distinct_rows(src, _raw_rank_key(), row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
+        ranked = rank_distinct_rows(src, ["identifiant_document", "no_disposition", *_raw_rank_key()[2:]], row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
                                     project=clean_columns(date_formats), n_rows=n_rows)
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
@@ -194,15 +203,19 @@ def incremental_build(bronze_or_src: DataFrame, path: str, already_staged: bool
     month = F.trunc(F.col("date_mutation"), "month").alias(PARTITION_COL)
     key = [k.alias(n) for k, n in zip(rank_key(), KEY_COLUMNS)]
     if current_version(spark, path) is None:
-        rows, gone = silver_rows(bronze_or_src, already_staged, hot_threshold=hot_threshold), None
+        rows, gone = silver_rows(bronze_or_src, already_staged, hot_threshold=hot_threshold, n_rows=bronze_or_src.count()), None
     else:
         current = read_partitions(spark, path)
         if lookback_days:
             src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
             gone = open_keys(src, current, lookback_days=lookback_days)
-            rows = silver_rows(_of_keys(src, _raw_rank_key(), gone), already_staged=True, hot_threshold=hot_threshold)
+            batch = _of_keys(src, _raw_rank_key(), gone)
+            rows = silver_rows(batch, already_staged=True, hot_threshold=hot_threshold, n_rows=batch.count())
         else:
             rows, gone = new_rows(bronze_or_src, current, already_staged, restrict_to_new_keys=restrict_to_new_keys,
-                                  hot_threshold=hot_threshold), None
-    out = merge_partitions(rows.select("*", *key, month), path, "mutation_id", PARTITION_COL, gone)
+                                  hot_threshold=hot_threshold, n_rows=0 if restrict_to_new_keys else bronze_or_src.count()), None
+    # Not shuffled to their month: the id's hex digits and what other columns tell.
+    carried = {"__id": F.unhex("mutation_id")}
+    derived = {"mutation_id": F.lower(F.hex("__id")), "prix_metre_carre": unit_price(), PARTITION_COL: month} | dict(zip(KEY_COLUMNS, rank_key()))
+    out = merge_partitions(rows.select("*", *key, month), path, "mutation_id", PARTITION_COL, gone, carried=carried, derived=derived)
     return out.select(*D.SILVER_COLUMNS)

@@ -128,7 +128,7 @@ def setting(spark: SparkSession, name: str, default: int) -> int:
     return int(value) if value not in (None, "") else default
 
 
-TASK_ROWS = 500_000
+TASK_ROWS = 300_000
 
 
 def task_count(spark: SparkSession, n_rows: int) -> list[int]:

@@ -213,3 +213,37 @@ def test_scratch_folders_of_a_scope_are_removed(spark):
         spark.read.parquet(gone).write.parquet(kept)
         made.remove(kept)
     assert not os.path.exists(local_path(gone)) and spark.read.parquet(kept).count() == 3
+
+
+def test_derived_columns_are_not_shuffled_to_their_partition(spark):
+    from terrane.operators.upsert import merge_partitions
+    path = scratch_dir(spark, "t-derived")
+    df = spark.createDataFrame([("0a", 1, 10), ("ff", 2, 20), ("1b", 2, None)], "id string, m int, v int").withColumn("w", F.col("v") * 2)
+    lean = {"carried": {"__id": F.unhex("id")}, "derived": {"id": F.lower(F.hex("__id")), "w": F.col("v") * 2}}
+    merge_partitions(df, path, "id", "m", **lean)
+    upd = spark.createDataFrame([("ff", 2, 21), ("2c", 3, 30)], "id string, m int, v int").withColumn("w", F.col("v") * 2)
+    out = merge_partitions(upd, path, "id", "m", **lean)
+    assert out.columns == ["id", "m", "v", "w"]
+    assert sorted(map(tuple, out.collect())) == [("0a", 1, 10, 20), ("1b", 2, None, None), ("2c", 3, 30, 60), ("ff", 2, 21, 42)]
+
+
+def test_buckets_in_several_parts_are_merged_by_one_shuffle_of_each_side(spark):
+    import glob
+    import os
+
+    from terrane.session import local_path
+    root = scratch_dir(spark, "t-parts")
+    spark.conf.set("terrane.taskRows", "10")
+    try:
+        upsert_table(_df(spark, [(f"k{i}", None, i) for i in range(300)] + [(None, None, 7)]), root, "id", buckets=3)
+        out = upsert_table(_df(spark, [(f"k{i}", None, -i) for i in range(200, 400)] + [(None, None, 8)]), root, "id")
+        got = sorted(((r.id, r.v) for r in out.collect()), key=str)
+        assert got == sorted([(f"k{i}", i if i < 200 else -i) for i in range(400)] + [(None, 7), (None, 8)], key=str)
+        # A batch of which a failed run left the staged rows.
+        left = os.path.join(local_path(root), "_stage", "9-gone")
+        os.makedirs(left)
+        open(os.path.join(left, "part-0.parquet"), "wb").close()
+        assert "_stage/9-gone" in vacuum(root) and not os.path.exists(left)
+        assert len(glob.glob(os.path.join(local_path(root), "data", "*", "__part=*", "*.parquet"))) > 3  # a bucket is written by several tasks
+    finally:
+        spark.conf.unset("terrane.taskRows")

@@ -246,3 +246,33 @@ def test_first_per_key_carries_no_column_twice(spark):
     assert sorted(map(tuple, first.collect()), key=str) == sorted([("a", "1", 2.0), (None, "3", 2.5)], key=str)
     carried = first._jdf.queryExecution().optimizedPlan().toString().split("min(struct(", 1)[1].split(")")[0]
     assert ", k," not in carried and ", o," not in carried
+
+
+def test_a_key_column_is_sorted_once_and_tasks_follow_the_rows(spark, src_df):
+    raw = [raw_row(identifiant_document=str(i % 7), no_disposition=None if i % 5 == 0 else "1", valeur_fonciere=str(5000 + i % 11)) for i in range(90)]
+    df = src_df(raw)
+    want = sorted(map(tuple, silver.silver_rows(df, already_staged=True).collect()), key=str)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("terrane.taskRows", "2")
+    try:
+        out = silver.silver_rows(df, already_staged=True, n_rows=2 * (parts + 3))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, out.collect()), key=str) == want
+    finally:
+        spark.conf.unset("terrane.taskRows")
+    assert f", {parts + 3}" in plan.split("RepartitionByExpression", 1)[1].splitlines()[0]
+    ranked = plan.split("dense_rank(", 1)[1].split("windowspecdefinition(", 1)[1].splitlines()[0]
+    assert "identifiant_document#" in ranked and "__k0" not in ranked and "__k1" not in ranked
+
+
+def test_a_new_batch_is_ranked_without_an_exact_join_of_its_keys(spark, src_df):
+    from terrane.session import scratch_dir, scratch_scope
+    old = [raw_row(identifiant_document=f"d{i}", date_mutation="2021-01-05", valeur_fonciere=str(5000 + i)) for i in range(40)]
+    new = [raw_row(identifiant_document=f"d{i}", date_mutation="2021-02-05", valeur_fonciere=str(7000 + i)) for i in range(20, 60)]
+    root = scratch_dir(spark, "t-strict")
+    silver.incremental_build(src_df(old), root, already_staged=True)
+    with scratch_scope() as made:
+        out = silver.incremental_build(src_df(old + new), root, already_staged=True)
+        assert not any("silver-open-keys" in p for p in made)
+        whole = silver.silver_rows(src_df(old + new), True).filter("date_mutation > DATE'2021-01-05'").collect()
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, silver.silver_rows(src_df(old), True).collect() + whole), key=str)
