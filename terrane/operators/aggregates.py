@@ -69,6 +69,10 @@ def _aggregate_with_medians(df: DataFrame, keys: Sequence[ColumnOrName], measure
     own_tasks = few.repartition(*task_count(df.sparkSession, n_rows), *kn)
     out = own_tasks.groupBy(*kn).agg(*measures, *[F.median(v).alias(name) for name, v in values.items()])
     if n_large:
+        # Written too: what the caller reads are results and counts, never the source again.
+        path, schema = scratch_dir(df.sparkSession, "small-groups"), out.schema
+        out.write.option("compression", "zstd").parquet(path)
+        out = df.sparkSession.read.schema(schema).parquet(path)
         many = tagged.join(F.broadcast(large), "__h", "left_semi").drop("__h")
         out = out.unionByName(_large_groups(many, kn, measures, values))
     return out.select(*[F.col(k).alias(n) for k, n in zip(kn, names)], *[F.col(f"`{c}`") for c in out.columns if c not in kn])
