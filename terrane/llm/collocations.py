@@ -15,7 +15,8 @@ a level at a time:
    no candidate either.  The rest are the candidates of the next level.
 
 If the tries of a level need several blocks, each but the last adds what it found to a
-written table of the positions, so every position is known when neighbours meet.
+written table of the positions, so every position is known when neighbours meet.  That table
+goes when the next one is written: there are two of them at most, however many blocks.
 
 Every candidate is then cut after each of its words and scored by
 floor(SCALE * a / (l + r)), the lowest cut counting; phrases that mostly occur inside a longer
@@ -39,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import remove_scratch
 from . import automata
-from .common import stored
+from .common import stored, written
 
 LEAST = 30
 LONGEST = 4
@@ -205,27 +207,35 @@ def _pass(texts: DataFrame, k: int, block: list[tuple], joined: bool, last: bool
     return texts.select("lang", "text", *(["seen"] if joined else [])).mapInArrow(run, schema)
 
 
+def _summed(found: DataFrame) -> DataFrame:
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def _level(texts: DataFrame, candidates: DataFrame, k: int, least: int, shard_bytes: int, block_bytes: int):
     """(lang, phrase, ordinal, n) of the candidates of k words, and (lang, phrase) of those of k + 1."""
     listed = automata.numbered(candidates, "lang", "phrase", shard_bytes, across=True)
     shards = automata.automata(listed, "lang", "phrase", automata.trie)
-    rest, counted, joined, blocks = texts, [], False, automata.blocks(shards, "lang", block_bytes)
+    rest, counted, before, blocks = texts, [], None, automata.blocks(shards, "lang", block_bytes)
     block = next(blocks, None)
     if block is None:
         return None
     while block is not None:
         following = next(blocks, None)
-        found = _pass(rest, k, block, joined, following is None)
+        found = _pass(rest, k, block, before is not None, following is None)
         if following is not None:
-            found = stored(found, f"seen-{k}")
-            rest, joined = found.where("text IS NOT NULL").select("lang", "text", "seen"), True
-            found = found.where("text IS NULL")
+            seen, path = written(found, f"seen-{k}", "zstd")
+            if before:
+                remove_scratch(before)
+            rest, before = seen.where("text IS NOT NULL").select("lang", "text", "seen"), path
+            found = stored(_summed(seen.where("text IS NULL")), f"found-{k}")
         counted.append(found.select("a", "b", "n"))
         block = following
     rows = counted[0]
     for more in counted[1:]:
         rows = rows.unionByName(more)
-    total = stored(rows.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{k}")
+    total = stored(_summed(rows).where(F.col("n") >= least), f"counts-{k}")
+    if before:
+        remove_scratch(before)
     # Only what is frequent meets the list again, through plain equi-joins.
     name = listed.select("lang", F.col("ordinal").alias("a"), "phrase")
     frequent = total.where("b IS NULL").drop("b").join(name, "a").select("lang", "phrase", F.col("n").alias("f"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import freed_shuffles, scratch_dir
 
 # Space, tab, line feed, vertical tab, form feed, carriage return: what bytes.split() splits at.
 SPACES = "\x20\t\n\x0b\x0c\r"
@@ -23,7 +23,8 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> tuple[Data
     """``df`` written once into the shared checkpoint folder and read back, and the folder."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

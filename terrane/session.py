@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -97,6 +98,36 @@ def scratch_scope() -> Iterator[list[str]]:
             remove_scratch(path)
 
 
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: dict[int, list] = {}  # by session: writers at work, the session's own value
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a write inside the block are deleted when that write ends.
+
+    Else Spark keeps them until the driver happens to collect its garbage, so that a query of many
+    written steps holds the shuffles of all of them on disk.  Not for plans that run again: those
+    would have to shuffle anew.  The session's own value comes back.
+    """
+    with _freeing_lock:
+        held = _freeing.setdefault(id(spark), [0, spark.conf.get(FREED, None)])
+        held[0] += 1
+        spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            held[0] -= 1
+            if not held[0]:
+                del _freeing[id(spark)]
+                if held[1] is None:
+                    spark.conf.unset(FREED)
+                else:
+                    spark.conf.set(FREED, held[1])
+
+
 def remove_scratch(path: str) -> None:
     """Delete a scratch folder that nothing reads any more, if it is there."""
     from pyarrow import fs as pafs

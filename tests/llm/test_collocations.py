@@ -71,3 +71,23 @@ def test_empty_table_and_no_frequent_phrase(spark, tmp_path):
     assert op13_collocations(spark, str(tmp_path)).collect() == []
     assert collocations.mine(frame(spark, [("a b", "en"), (None, None)])).collect() == []
     assert collocations.mine(frame(spark, [("a. b", "en")] * 40)).collect() == []
+
+
+def test_tables_of_seen_positions_go_when_the_next_one_is_written(spark, monkeypatch):
+    import os
+
+    rows, seen, most = corpus(), [], []
+
+    def writes(df, name, *more):
+        found, path = written(df, name, *more)
+        if name.startswith("seen"):
+            seen.append(path)
+            most.append(sum(map(os.path.exists, (p.removeprefix("file:") for p in seen))))
+        return found, path
+
+    written = collocations.written
+    monkeypatch.setattr(collocations, "written", writes)
+    got = collocations.mine(frame(spark, rows).repartition(4), shard_bytes=500, block_bytes=20_000)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+    assert len(seen) > 4 and max(most) == 2
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in seen)
