@@ -22,11 +22,11 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import remove_scratch, task_count
+from ..session import TASK_ROWS, freed_shuffles, remove_scratch, setting, task_count
 from .joins import null_safe_join
 
 BUCKETS = 64  # of a new table for keyed upserts
@@ -129,17 +129,20 @@ def full_refresh(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(version_path(root, v))
 
 
-def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+def upsert_table(updates: DataFrame, root: str, key: str | Sequence[str], buckets: int = BUCKETS,
+                 carried: dict[str, Column] | None = None, derived: dict[str, Column] | None = None) -> DataFrame:
     """Merge ``updates`` (one row per key) into the bucketed table at ``root`` (created if absent) by ``key``.
 
     The number of buckets is fixed when the table is created.  Only the buckets of the batch's
     keys are read and rewritten.  There old and new rows are shuffled once, by bucket and part of a
-    bucket, and are joined and written by the same tasks; no row of another bucket is shuffled.
+    bucket, and are merged and written by the same tasks; no row of another bucket is shuffled.
+    ``carried`` and ``derived``: see ``merge_partitions``.
     """
     manifest = _manifest(root)
     n = buckets if manifest is None else manifest["buckets"]
     keys = [key] if isinstance(key, str) else list(key)
-    return merge_partitions(updates, root, keys, F.pmod(F.xxhash64(*keys), F.lit(n)), extra={"buckets": n}, even=True)
+    return merge_partitions(updates, root, keys, F.pmod(F.xxhash64(*keys), F.lit(n)), extra={"buckets": n}, even=True,
+                            carried=carried, derived=derived)
 
 
 def incremental_load(candidates: DataFrame, root: str, key: str | Sequence[str], mark_col: str,
@@ -231,7 +234,7 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
     of its rows (NULLs match) is removed, wherever it lies, before the updates go in.
 
     The batch is computed and written once, the touched partitions are merged into a new
-    folder, and one marker commits the new list of folders: readers see all of the merge or
+    folder (with ``even`` or ``delete_keys`` by one shuffle of their rows), and one marker commits the new list of folders: readers see all of the merge or
     nothing of it, and a failed run leaves the table as it was.  The driver sees only
     the partition values.
     """
@@ -246,21 +249,25 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
         manifest = {"schema": updates.schema.jsonValue(), "parts": _folders(root, merged)} | (extra or {})
     else:
         ready = updates.select(*columns, _part(partition_col))
-        ready.write.option("compression", "zstd").parquet(f"{base}/{staged}")
+        with freed_shuffles(spark):
+            ready.write.option("compression", "zstd").parquet(f"{base}/{staged}")
         rows = spark.read.schema(StructType.fromJson(manifest["schema"]).add(PART, "string")).parquet(f"{base}/{staged}")
         touched = {_folder_value(r[0]) for r in rows.select(PART).distinct().collect()}
         current = _read_parts(spark, root, manifest)
         if delete_keys is not None:
-            hit = null_safe_join(current.select(*delete_keys.columns, _part(partition_col)), delete_keys, delete_keys.columns, "left_semi")
-            touched |= {_folder_value(r[0]) for r in hit.select(PART).distinct().collect()}
+            # The groups to remove with the partitions they lie in, so that old rows meet them where they are written.
+            hit = null_safe_join(current.select(*delete_keys.columns, _part(partition_col)), delete_keys, delete_keys.columns, "left_semi").distinct()
+            with freed_shuffles(spark):
+                hit.write.option("compression", "zstd").parquet(f"{base}/{staged}-gone")
+            gone = spark.read.schema(hit.schema).parquet(f"{base}/{staged}-gone")
+            touched |= {_folder_value(r[0]) for r in gone.select(PART).distinct().collect()}
         if not touched:
             return current
         old = _read_parts(spark, root, manifest, sorted(touched))
         if delete_keys is not None:
-            kept = null_safe_join(old, delete_keys, delete_keys.columns, "left_anti")
-            _write_parts(kept.unionByName(rows.drop(PART)), partition_col, f"{base}/{merged}", carried, derived)
+            _replace_groups(old.select("*", _part(partition_col)), rows, gone, f"{base}/{merged}", carried, derived)
         elif even:
-            _upsert_evenly(old.select("*", _part(partition_col)), rows, key, f"{base}/{merged}")
+            _upsert_evenly(old.select("*", _part(partition_col)), rows, key, f"{base}/{merged}", carried, derived)
         else:
             value = F.coalesce(F.nullif(F.col(PART), F.lit("")), F.lit(_folder_value(None)))
             rivals = rows.where(value.isin(sorted(touched & set(manifest["parts"])))).drop(PART)  # the others meet no old row
@@ -271,6 +278,7 @@ def merge_partitions(updates: DataFrame, root: str, key: str | Sequence[str], pa
         manifest = manifest | {"parts": parts | _folders(root, merged)}
     _commit(root, version, json.dumps(manifest))
     remove_scratch(f"{base}/{staged}")
+    remove_scratch(f"{base}/{staged}-gone")
     return _read_parts(spark, root, manifest)
 
 
@@ -284,21 +292,66 @@ def _folder_value(value: str | None) -> str:
     return value or "__HIVE_DEFAULT_PARTITION__"
 
 
-def _upsert_evenly(old: DataFrame, rows: DataFrame, key: str | Sequence[str], path: str) -> None:
+_OLD, _NEW, _GONE = 0, 1, 2  # rows of a merge
+
+
+def _upsert_evenly(old: DataFrame, rows: DataFrame, key: str | Sequence[str], path: str,
+                   carried: dict[str, Column] | None = None, derived: dict[str, Column] | None = None) -> None:
     """Old rows without those whose key is among the new ones, and the new ones, written to one folder per ``PART`` value.
 
-    Both sides are shuffled by the value and a part of it, so that neither the join nor the write shuffles again.
+    Both go through one shuffle by the value and a part of it; a window over the key needs no other one,
+    which a join would (it takes only what is shuffled by all of its keys).
     """
     keys = [key] if isinstance(key, str) else list(key)
     tasks = task_count(old.sparkSession, old.count() + rows.count())  # the footers tell
-    parts = -(-tasks[0] // max(1, rows.select(PART).distinct().count())) if tasks else 1
-    # Another hash than the one of the value, so that the parts of a value are even.
-    old, rows = [df.withColumn("__sub", F.pmod(F.hash(*keys), F.lit(parts))).repartition(*tasks, PART, "__sub") for df in (old, rows)]
-    new = rows.select(PART, "__sub", *keys, F.lit(True).alias("__new")).hint("shuffle_hash")
-    # An anti-join would be moved below the shuffle of the old rows and take one of its own.
-    kept = old.join(new, [PART, "__sub", *keys], "left").where(F.col("__new").isNull()).drop("__new")
-    out = kept.unionByName(rows).drop("__sub")
-    out.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(path)
+    parts = F.lit(-(-tasks[0] // max(1, rows.select(PART).distinct().count())) if tasks else 1)
+    both = [df.select("*", _sub(keys, parts), F.lit(kind).alias("__kind")) for df, kind in ((old, _OLD), (rows, _NEW))]
+    dealt = _dealt(both[0].unionByName(both[1]), tasks, carried, derived)
+    met = dealt.withColumn("__met", F.max("__kind").over(Window.partitionBy(PART, "__sub", *keys)))
+    lone = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))  # NULL keys match none
+    out = met.where((F.col("__kind") == _NEW) | (F.col("__met") == _OLD) | lone)
+    _write_folders(out.drop("__sub", "__kind", "__met"), path)
+
+
+def _replace_groups(old: DataFrame, rows: DataFrame, gone: DataFrame, path: str,
+                    carried: dict[str, Column] | None = None, derived: dict[str, Column] | None = None) -> None:
+    """Old rows without those of the groups in ``gone`` (columns of the group and ``PART``; NULLs match), and the new ones.
+
+    All go through one shuffle, by value and part of it, as in ``_upsert_evenly``.  A value has parts by its number of rows.
+    """
+    groups = [c for c in gone.columns if c != PART]
+    value = F.coalesce(F.col(PART), F.lit(_folder_value(None)))
+    sizes = {r[0]: r[1] for r in old.select(PART).unionByName(rows.select(PART)).groupBy(value).count().collect()}
+    most = max(1, setting(old.sparkSession, "taskRows", TASK_ROWS))
+    tasks = task_count(old.sparkSession, sum(sizes.values()))
+    # Twice as many parts as full tasks, so that those which fall to one task differ less.
+    split = F.create_map(*[F.lit(x) for v, n in sizes.items() for x in (v, -(-2 * n // most))])
+    sub = _sub(groups, F.coalesce(F.try_element_at(split, value), F.lit(1)))
+    both = [df.select("*", sub, F.lit(kind).alias("__kind")) for df, kind in ((old, _OLD), (rows, _NEW))]
+    marks = gone.select(PART, sub, F.struct(*groups).alias("__group"), F.lit(_GONE).alias("__kind"))
+    dealt = _dealt(both[0].unionByName(both[1]).unionByName(marks, allowMissingColumns=True), tasks, carried, derived)
+    named = [f"__g{i}" for i in range(len(groups))]
+    own = [F.when(F.col("__kind") == _GONE, F.col("__group").getField(c)).otherwise(F.col(c)).alias(n) for c, n in zip(groups, named)]
+    met = dealt.select("*", *own).withColumn("__met", F.max("__kind").over(Window.partitionBy(PART, "__sub", *named)))
+    out = met.where((F.col("__kind") == _NEW) | (F.col("__kind") == _OLD) & (F.col("__met") != _GONE))
+    _write_folders(out.select(*old.columns), path)
+
+
+def _sub(keys: Sequence[str], parts: Column) -> Column:
+    """The part of its ``PART`` value that a key lies in."""
+    return F.pmod(F.hash(*keys), parts).alias("__sub")  # another hash than the one of buckets, so that their parts are even
+
+
+def _dealt(df: DataFrame, tasks: Sequence[int], carried: dict[str, Column] | None, derived: dict[str, Column] | None) -> DataFrame:
+    """``df`` shuffled by ``PART`` and ``__sub``; ``carried`` and ``derived``: see ``merge_partitions``."""
+    derived = derived or {}
+    lean = df.select(*[c for c in df.columns if c not in derived], *[c.alias(n) for n, c in (carried or {}).items()])
+    return lean.repartition(*tasks, PART, "__sub").select(*[derived[c].alias(c) if c in derived else F.col(c) for c in df.columns])
+
+
+def _write_folders(df: DataFrame, path: str) -> None:
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(path)
 
 
 def _write_parts(df: DataFrame, partition_col: str | Column, path: str, carried: dict[str, Column] | None = None,
@@ -311,4 +364,4 @@ def _write_parts(df: DataFrame, partition_col: str | Column, path: str, carried:
     out, derived = df.select("*", _part(partition_col)), derived or {}
     lean = out.select(*[c for c in out.columns if c not in derived], *[c.alias(n) for n, c in (carried or {}).items()])
     whole = lean.hint("rebalance", PART).select(*[derived[c].alias(c) if c in derived else F.col(c) for c in out.columns])
-    whole.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(path)
+    _write_folders(whole, path)

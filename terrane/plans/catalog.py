@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_dir
+from ..session import freed_shuffles, scratch_dir
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -28,6 +28,8 @@ def materialized(spark: SparkSession, name: str, source: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_dir(spark, name)
-        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+        rows = build()
+        with freed_shuffles(spark):
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)

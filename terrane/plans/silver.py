@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,11 +96,12 @@ def open_keys(src: DataFrame, current: DataFrame, date_formats: Sequence[str] =
     Written once: the probe reads the key and date columns, and the size of the written
     table tells Spark whether the semi-join with the raw rows can be a broadcast.
     """
-    from ..session import scratch_dir
+    from ..session import freed_shuffles, scratch_dir
     spark = src.sparkSession
     path = scratch_dir(spark, "silver-open-keys")
     keys = _open_rows(src, current, date_formats, lookback_days).distinct()
-    keys.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        keys.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(keys.schema).parquet(path)
 
 
@@ -118,15 +121,16 @@ def _of_keys(rows: DataFrame, key: Sequence[Column], keys: DataFrame, exact: boo
     in proportion to the batch and not to the raw table.  The rows are written, so that what looks for
     heavy keys among them and what ranks them read the batch and not the raw table again.
     """
-    from ..operators.joins import may_be_among, null_safe_join
-    from ..session import scratch_dir
+    from ..operators.joins import may_be_among
+    from ..session import freed_shuffles, scratch_dir
     named = [f"__nk{i}" for i in range(len(KEY_COLUMNS))]
     wanted = keys.select(*[F.col(c).alias(n) for c, n in zip(KEY_COLUMNS, named)])
-    own = rows.select("*", *[k.alias(n) for k, n in zip(key, named)])
-    own = own.where(may_be_among([F.col(n) for n in named], wanted, named))
+    found = rows.where(may_be_among(list(key), wanted, named))
+    if exact:  # by the key's expressions: the shuffled rows carry no second copy of it
+        found = found.join(wanted, reduce(and_, [k.eqNullSafe(F.col(n)) for k, n in zip(key, named)]), "left_semi")
     path = scratch_dir(rows.sparkSession, "silver-batch")
-    found = null_safe_join(own, wanted, named, "left_semi") if exact else own
-    found.drop(*named).write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(rows.sparkSession):
+        found.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

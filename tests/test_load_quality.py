@@ -247,3 +247,55 @@ def test_buckets_in_several_parts_are_merged_by_one_shuffle_of_each_side(spark):
         assert len(glob.glob(os.path.join(local_path(root), "data", "*", "__part=*", "*.parquet"))) > 3  # a bucket is written by several tasks
     finally:
         spark.conf.unset("terrane.taskRows")
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_merges_shuffle_their_rows_once(spark, monkeypatch):
+    from terrane.operators import upsert as U
+    from terrane.session import scratch_dir
+
+    written, write = [], U._write_folders
+    monkeypatch.setattr(U, "_write_folders", lambda df, path: (written.append(_exchanges(df)), write(df, path)))
+    lean = {"carried": {"__id": F.substring("id", 2, 9)}, "derived": {"id": F.concat(F.lit("k"), "__id")}}
+    spark.conf.set("terrane.taskRows", "40")
+    try:
+        root = scratch_dir(spark, "once-upsert")
+        schema = "id string, g string, v int, m string"
+        rows = [(f"k{i}", None if i % 5 == 0 else f"g{i % 5}", i, [None, "2021-01-01", "2021-02-01"][i % 3]) for i in range(300)]
+        U.upsert_table(spark.createDataFrame(rows, schema), root, "id", buckets=3, **lean)
+        new = [(f"k{i}", "g1", -i, "2021-02-01") for i in range(200, 400)]
+        out = U.upsert_table(spark.createDataFrame(new, schema), root, "id", **lean)
+        assert sorted(map(str, out.collect())) == sorted(str(r) for r in spark.createDataFrame(rows[:200] + new, schema).collect())
+        root = scratch_dir(spark, "once-groups")
+        U.merge_partitions(spark.createDataFrame(rows, schema), root, "id", "m", **lean)
+        new = [("k0", "g2", -1, "2021-03-01"), ("x", None, -2, None)]
+        gone = spark.createDataFrame([(None,), ("g3",), ("other",)], "g string")
+        out = U.merge_partitions(spark.createDataFrame(new, schema), root, "id", "m", gone, **lean)
+        want = [r for r in rows if r[1] not in (None, "g3")] + [("k0", "g2", -1, "2021-03-01"), ("k", None, -2, None)]  # ids are made anew
+        assert sorted(map(str, out.collect())) == sorted(str(r) for r in spark.createDataFrame(want, schema).collect())
+    finally:
+        spark.conf.unset("terrane.taskRows")
+    assert written[1] == written[3] == 1
+
+
+def test_steps_of_an_incremental_build_free_their_shuffles(spark, src_df, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from terrane.plans import silver
+    from terrane.session import FREED, scratch_dir
+    from tests.conftest import raw_row
+
+    def src(days):
+        return src_df([raw_row(identifiant_document=str(i % 7), no_disposition="1", type_local="Maison", surface_reelle_bati="80",
+                               valeur_fonciere=str(20000 + i), date_mutation=f"2021-{1 + i % 3:02d}-{1 + i % days:02d}") for i in range(60)])
+
+    freed, write, own = [], DataFrameWriter.parquet, spark.conf.get(FREED, None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (freed.append(spark.conf.get(FREED)), write(self, *a, **b))[1])
+    root = scratch_dir(spark, "freed")
+    silver.incremental_build(src(9), root, already_staged=True)
+    out = silver.incremental_build(src(20), root, already_staged=True, lookback_days=30)
+    assert len(freed) >= 5 and set(freed) == {"true"} and spark.conf.get(FREED, None) == own
+    assert out.select("mutation_id").distinct().count() == out.count() > 0
