@@ -74,9 +74,10 @@ def _stale_target(s):
 def q_incremental_upsert(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     root = scratch_dir(spark, "silver-upsert")
-    upsert_table(_stale_target(s), root, "mutation_id")
+    lean = {"carried": {"__id": F.unhex("mutation_id")}, "derived": {"mutation_id": F.lower(F.hex("__id"))}}  # an MD5 in hex digits
+    upsert_table(_stale_target(s), root, "mutation_id", **lean)
     updates = s.filter(F.col("date_mutation") >= F.lit(UPDATES_FROM).cast("date"))
-    return upsert_table(updates, root, "mutation_id")
+    return upsert_table(updates, root, "mutation_id", **lean)
 
 
 def _first_load(b):
