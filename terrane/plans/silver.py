@@ -24,14 +24,14 @@ def staging(bronze: DataFrame) -> DataFrame:
 
 
 def clean_projection(src: DataFrame, date_formats: Sequence[str] = D.DATE_FORMATS,
-                     scale: int = 0, keep_raw: bool = True) -> DataFrame:
+                     scale: int = 0, keep_raw: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Lower-case the text, parse numbers (decimal comma) and dates.
 
     ``keep_raw`` adds ``raw_code``, an injective encoding of the raw row: it tells
-    distinct raw rows apart and gives the lot rank a total order.
+    distinct raw rows apart and gives the lot rank a total order.  ``keep`` names other columns to pass on.
     """
     raw = [row_code(SRC_COLUMNS).alias(RAW_CODE)] if keep_raw else []
-    return src.select(*clean_columns(date_formats, scale), *raw)
+    return src.select(*clean_columns(date_formats, scale), *raw, *keep)
 
 
 def clean_columns(date_formats: Sequence[str] = D.DATE_FORMATS, scale: int = 0) -> list[Column]:
@@ -108,7 +108,7 @@ def open_keys(src: DataFrame, current: DataFrame, date_formats: Sequence[str] =
 def _open_rows(src: DataFrame, current: DataFrame, date_formats: Sequence[str], lookback_days: int = 0) -> DataFrame:
     """The lot keys of ``open_keys``, one for every raw row."""
     from ..operators.upsert import newer_than_target
-    probe = src.select(*[k.alias(n) for k, n in zip(_raw_rank_key(), KEY_COLUMNS)],
+    probe = src.select(*[k.alias(n) for k, n in zip(raw_rank_key(), KEY_COLUMNS)],
                        parse_date("date_mutation", date_formats).alias("date_mutation"))
     return newer_than_target(probe, current, "date_mutation", lookback_days).select(*KEY_COLUMNS)
 
@@ -148,13 +148,13 @@ def new_rows(bronze_or_src: DataFrame, current: DataFrame, already_staged: bool
     from ..operators.upsert import newer_than_target
     src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
     if restrict_to_new_keys:
-        src = _of_keys(src, _raw_rank_key(), _open_rows(src, current, date_formats), exact=False)
+        src = _of_keys(src, raw_rank_key(), _open_rows(src, current, date_formats), exact=False)
         n_rows = src.count()
     rows = silver_rows(src, already_staged=True, date_formats=date_formats, hot_threshold=hot_threshold, n_rows=n_rows)
     return newer_than_target(rows, current, "date_mutation")
 
 
-def _raw_rank_key() -> list[Column]:
+def raw_rank_key() -> list[Column]:
     """The lot key computed from raw (staging) columns, equal to ``rank_key`` after cleaning."""
     return [F.col("identifiant_document"), F.col("no_disposition"),
             F.coalesce(F.lower(F.col("type_local")), F.lit("")),
@@ -177,7 +177,7 @@ def silver_rows(bronze_or_src: DataFrame, already_staged: bool = False,
         ranked = keep_first_per_key(cleaned, ["identifiant_document", "no_disposition", *rank_key()[2:]], rank_order()).withColumn("lot_rank", F.lit(1))
     else:
         # The raw columns are shuffled, which are narrower than the cleaned ones with their code.
-        ranked = rank_distinct_rows(src, ["identifiant_document", "no_disposition", *_raw_rank_key()[2:]], row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
+        ranked = rank_distinct_rows(src, ["identifiant_document", "no_disposition", *raw_rank_key()[2:]], row_code(SRC_COLUMNS), "lot_rank", hot_threshold,
                                     project=clean_columns(date_formats), n_rows=n_rows)
     valid = positive_filter(ranked, "valeur_fonciere")
     rules, default = validity_rules()
@@ -213,7 +213,7 @@ def incremental_build(bronze_or_src: DataFrame, path: str, already_staged: bool
         if lookback_days:
             src = (bronze_or_src if already_staged else staging(bronze_or_src)).select(*SRC_COLUMNS)
             gone = open_keys(src, current, lookback_days=lookback_days)
-            batch = _of_keys(src, _raw_rank_key(), gone)
+            batch = _of_keys(src, raw_rank_key(), gone)
             rows = silver_rows(batch, already_staged=True, hot_threshold=hot_threshold, n_rows=batch.count())
         else:
             rows, gone = new_rows(bronze_or_src, current, already_staged, restrict_to_new_keys=restrict_to_new_keys,

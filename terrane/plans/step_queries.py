@@ -14,7 +14,7 @@ from ..functions.scalars import (
 )
 from ..functions.measures import count_if, rows
 from ..operators.clean import positive_filter, validate_by_category
-from ..operators.windows import keep_first_per_key, rank_distinct_rows, rank_within_key
+from ..operators.windows import DEALT, dealt_by_key, keep_first_per_key, rank_distinct_rows, rank_within_key, row_code
 from . import oracle as O
 from . import silver
 from .queries import bronze_of, silver_of
@@ -28,6 +28,13 @@ def _cleaned(spark, sf_dir, keep_raw=True):
     return silver.clean_projection(_staged(spark, sf_dir).distinct(), keep_raw=keep_raw)
 
 
+def _cleaned_by_lot(spark, sf_dir, hot_threshold=None):
+    """As ``_cleaned``, with one shuffle by the lot key for the distinct rows and what follows within a key."""
+    rows = dealt_by_key(_staged(spark, sf_dir), silver.raw_rank_key(), F.md5(row_code(silver.SRC_COLUMNS)), hot_threshold,
+                        n_rows=bronze_of(spark, sf_dir).count())  # the footers of the written table tell
+    return silver.clean_projection(rows.distinct(), keep=DEALT)
+
+
 def _ranked(spark, sf_dir, hot_threshold=None):
     return rank_distinct_rows(silver.clean_projection(_staged(spark, sf_dir)), silver.rank_key(), silver.RAW_CODE,
                               "lot_rank", hot_threshold)
@@ -160,7 +167,7 @@ def q_rank_within_window(spark, sf_dir):
 
 
 def q_keep_first_per_key(spark, sf_dir):
-    k = keep_first_per_key(_cleaned(spark, sf_dir), ["identifiant_document", "no_disposition", *silver.rank_key()[2:]], silver.rank_order())
+    k = keep_first_per_key(_cleaned_by_lot(spark, sf_dir), ["identifiant_document", "no_disposition", *silver.rank_key()[2:]], silver.rank_order())
     return k.select(*CLEAN_COLS, "raw_code")
 
 

@@ -276,3 +276,44 @@ def test_a_new_batch_is_ranked_without_an_exact_join_of_its_keys(spark, src_df):
         assert not any("silver-open-keys" in p for p in made)
         whole = silver.silver_rows(src_df(old + new), True).filter("date_mutation > DATE'2021-01-05'").collect()
         assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, silver.silver_rows(src_df(old), True).collect() + whole), key=str)
+
+
+def _lots(src_df):
+    """Distinct and repeated rows of light and heavy lot keys, NULLs among them."""
+    rows = [raw_row(no_disposition="1", identifiant_document="HOT", type_local=MAISON, valeur_fonciere=str(1000 + i)) for i in range(200)]
+    rows += [raw_row(no_disposition=str(i % 3), identifiant_document=None if i % 9 == 0 else f"d{i % 20}", type_local=["", None, DEP][i % 3],
+                     surface_reelle_bati=[None, "4", "4,2"][i % 3], valeur_fonciere=str(i)) for i in range(90)]
+    return src_df(rows + rows[:40] + rows[200:230])
+
+
+def _dealt_lots(src_df, threshold, n_rows=0):
+    from terrane.operators.windows import DEALT, dealt_by_key, row_code
+    rows = dealt_by_key(_lots(src_df), silver.raw_rank_key(), F.md5(row_code(silver.SRC_COLUMNS)), threshold, n_rows)
+    return silver.clean_projection(rows.distinct(), keep=DEALT)
+
+
+def test_first_of_a_key_shares_the_shuffle_of_the_distinct_rows(spark, src_df):
+    from terrane.operators.windows import keep_first_per_key
+    plain = keep_first_per_key(silver.clean_projection(_lots(src_df).distinct()), silver.rank_key(), silver.rank_order())
+    want = sorted(map(tuple, plain.collect()), key=str)
+    assert len(want) == plain.select(*silver.rank_key()).distinct().count()
+    for threshold in (None, 1, 7):
+        first = keep_first_per_key(_dealt_lots(src_df, threshold), silver.rank_key(), silver.rank_order())
+        assert first.columns == plain.columns
+        assert sorted(map(tuple, first.collect()), key=str) == want
+    light = first._jdf.queryExecution().executedPlan().toString().split("Union", 1)[1].split("\n   :- ", 1)[1].split("\n   +- ", 1)[0]
+    assert light.count("Exchange hashpartitioning(") == 1
+
+
+def test_ranks_share_the_shuffle_of_the_distinct_rows(spark, src_df):
+    from terrane.operators.windows import rank_within_key
+    spread, by = F.md5(silver.RAW_CODE), [F.col(silver.RAW_CODE)]
+    plain = rank_within_key(silver.clean_projection(_lots(src_df).distinct()), silver.rank_key(), by, "r", spread=spread)
+    want = sorted(map(tuple, plain.collect()), key=str)
+    for threshold in (None, 1, 7):
+        ranked = rank_within_key(_dealt_lots(src_df, threshold, 90), silver.rank_key(), by, "r", spread=spread, hot_threshold=threshold)
+        assert ranked.columns == plain.columns
+        assert sorted(map(tuple, ranked.collect()), key=str) == want
+    plan = ranked.select("*")._jdf.queryExecution().executedPlan().toString()
+    numbered = plan.split("Window [row_number()", 1)[1].split("BroadcastExchange", 1)[0]
+    assert numbered.count("Exchange hashpartitioning(") == 1
