@@ -161,7 +161,7 @@ def q_rank_within_key_split(spark, sf_dir):
 
 def q_rank_within_window(spark, sf_dir):
     """The general operator: a window over already distinct rows, hot keys salted."""
-    r = rank_within_key(_cleaned(spark, sf_dir), silver.rank_key(), [F.col(silver.RAW_CODE)], "lot_rank",
+    r = rank_within_key(_cleaned_by_lot(spark, sf_dir, hot_threshold=1), silver.rank_key(), [F.col(silver.RAW_CODE)], "lot_rank",
                         spread=F.md5(F.col(silver.RAW_CODE)), hot_threshold=1)
     return r.select(*CLEAN_COLS, "raw_code", "lot_rank")
 
